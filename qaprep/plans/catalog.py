@@ -2,6 +2,7 @@
 
 from qaprep.plans import (  # noqa: F401
     catalog_tables,
+    catalog_text,
 )
 from qaprep.plans.registry import ORACLES, QUERIES
 
