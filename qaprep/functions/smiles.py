@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,12 +168,18 @@ def formula_counts(formula: Column) -> Column:
     names = F.regexp_extract_all(formula, F.lit(FORMULA_PART), 1)
     numbers = F.regexp_extract_all(formula, F.lit(FORMULA_PART), 2)
     pairs = F.zip_with(
-        names, numbers, lambda n, c: F.struct(n.alias("e"), F.when(c == "", 1).otherwise(c.try_cast("int")).alias("n"))
-    )
-    total = lambda e: F.aggregate(
-        F.filter(pairs, lambda p: p["e"] == e), F.lit(0), lambda a, p: a + p["n"]
+        names, numbers, lambda n, c: F.struct(n.alias("e"), F.when(c == "", F.lit(1)).otherwise(c.try_cast("int")).alias("n"))
     )
-    return F.map_from_entries(F.transform(F.array_distinct(names), lambda e: F.struct(e, total(e))))
+    kind = "array<struct<e:string,n:int>>"
+
+    def add(done: Column, pair: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        summed = F.struct(pair["e"].alias("e"), (last["n"] + pair["n"]).alias("n"))
+        before = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        repeated = F.coalesce(last["e"] == pair["e"], F.lit(False))
+        return F.when(repeated, F.array_append(before, summed)).otherwise(F.array_append(done, pair)).cast(kind)
+
+    return F.map_from_entries(F.aggregate(F.array_sort(pairs).cast(kind), F.array().cast(kind), add))
 
 
 def hydrogen_count(formula: Column) -> Column:
@@ -180,11 +188,12 @@ def hydrogen_count(formula: Column) -> Column:
 
 def hill_formula(counts: Column, net_charge: Column | None = None) -> Column:
     """Formula text in Hill order: with carbon C, H, then the alphabet; without it the alphabet."""
-    has_carbon = F.map_contains_key(counts, F.lit("C"))
-    place = lambda e: F.when(has_carbon & (e == "C"), "0").when(has_carbon & (e == "H"), "1").otherwise(F.concat(F.lit("2"), e))
-    entries = F.array_sort(
-        F.transform(F.map_entries(counts), lambda p: F.struct(place(p["key"]).alias("o"), p["key"].alias("e"), p["value"].alias("n")))
-    )
+    def listed(place: Callable[[Column], Column]) -> Column:
+        keyed = lambda p: F.struct(place(p["key"]).alias("o"), p["key"].alias("e"), p["value"].alias("n"))
+        return F.array_sort(F.transform(F.map_entries(counts), keyed))
+
+    organic = listed(lambda e: F.when(e == "C", 0).when(e == "H", 1).otherwise(2))
+    entries = F.when(F.map_contains_key(counts, F.lit("C")), organic).otherwise(listed(lambda e: F.lit(2)))
     part = lambda p: F.concat(p["e"], F.when(p["n"] == 1, "").otherwise(p["n"].cast("string")))
     text = F.array_join(F.transform(entries, part), "")
     if net_charge is None:

@@ -107,8 +107,10 @@ def _placed(first: Column, last: Column, total: Column, found: Column, limit: in
 
 def train_labels(ids: Column, span: Column) -> Column:
     """The ids inside the answer range, everything else masked."""
-    inside = lambda i: F.coalesce((i >= span["start"]) & (i < span["stop"]), F.lit(False))
-    return F.transform(ids, lambda x, i: F.when(inside(i), x).otherwise(F.lit(MASKED)))
+    start = F.coalesce(span["start"], F.lit(0))
+    inside = F.coalesce(span["stop"] - span["start"], F.lit(0))
+    masks = lambda n: F.array_repeat(F.lit(MASKED), n)
+    return F.concat(masks(start), F.slice(ids, start + 1, inside), masks(F.size(ids) - start - inside))
 
 
 def weight_spans(prompt: Column, answer: Column, limit: int, end: bool = True) -> Column:
@@ -118,9 +120,13 @@ def weight_spans(prompt: Column, answer: Column, limit: int, end: bool = True) -
 
 
 def position_weights(ids: Column, spans: Column, default: float = 0.5, inside: float = 5.0) -> Column:
-    """One weight per position; positions inside any of the ranges weigh more."""
-    hit = lambda i: F.exists(spans, lambda s: (i >= s["start"]) & (i < s["stop"]))
-    return F.transform(ids, lambda x, i: F.when(hit(i), F.lit(float(inside))).otherwise(F.lit(float(default))))
+    """One weight per position; positions inside any of the ranges weigh more. The ranges are the
+    outer argument of the fold: in an inner function they would be worked out again per position."""
+    start = F.array_repeat(F.lit(float(default)), F.size(ids))
+    raise_in = lambda weights, s: F.transform(
+        weights, lambda w, i: F.when((i >= s["start"]) & (i < s["stop"]), F.lit(float(inside))).otherwise(w)
+    )
+    return F.aggregate(spans, start, raise_in)
 
 
 def eval_labels(answer: Column, limit: int) -> Column:

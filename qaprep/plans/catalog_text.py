@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaprep.functions import templates as T
@@ -10,6 +10,7 @@ from qaprep.functions import text as X_
 from qaprep.operators import evaluation as E
 from qaprep.operators import filters as P
 from qaprep.operators import reactions as A
+from qaprep.operators.conversations import chat_context as recent_turns
 from qaprep.plans import fixtures as X
 from qaprep.plans.generate import expand_templates, rendered_questions
 from qaprep.plans.question_sets import answer_json
@@ -89,20 +90,13 @@ def chat_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-HISTORY = 5
-
-
 @query(
     "chat_context",
     """SELECT conv_id, turn, string_agg('User: ' || text, ' ') OVER (PARTITION BY conv_id ORDER BY turn
       ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS context FROM conversations WHERE role = 'user'""",
 )
 def chat_context(spark: SparkSession, folder: str) -> DataFrame:
-    """The last five user turns of a conversation, joined. The frame, not the group, is collected."""
-    recent = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(1 - HISTORY, 0)
-    said = F.concat(F.lit("User: "), F.col("text"))
-    turns = X.read(spark, folder, "conversations").filter("role = 'user'")
-    return turns.select("conv_id", "turn", F.array_join(F.collect_list(said).over(recent), " ").alias("context"))
+    return recent_turns(X.read(spark, folder, "conversations").filter("role = 'user'"))
 
 
 _THOUGHT = "CASE WHEN turn % 3 = 0 THEN text ELSE 'hm' || chr(10) || '</think>' || chr(10) || chr(10) || text || chr(10) END"
