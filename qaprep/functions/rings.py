@@ -68,14 +68,14 @@ def _path(parent: dict[int, int], a: int, b: int) -> set[int]:
 CARBON = re.compile(r"\[?[0-9]*(C(?![a-z])|c(?![a-z]))")
 
 
-def _longest_open_chain(atom_tokens: list[str], links: list[dict]) -> list[int]:
+def _longest_open_chain(atom_tokens: list[str], links: list[tuple[int, int, bool]]) -> list[int]:
     """Longest path over carbons outside rings. Equally long paths: the lowest start wins, then
     the neighbour that was bonded first."""
-    parent = {k["b"]: k["a"] for k in links if not k["ring_closure"]}
+    parent = {b: a for a, b, closing in links if not closing}
     in_ring: set[int] = set()
-    for k in links:
-        if k["ring_closure"]:
-            in_ring |= _path(parent, k["a"], k["b"])
+    for a, b, closing in links:
+        if closing:
+            in_ring |= _path(parent, a, b)
     open_carbon = {i for i, token in enumerate(atom_tokens) if CARBON.match(token) and i not in in_ring}
     near: dict[int, list[int]] = defaultdict(list)
     for child, above in sorted(parent.items()):
@@ -105,12 +105,22 @@ def _longest_open_chain(atom_tokens: list[str], links: list[dict]) -> list[int]:
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _chain_batch(atom_tokens: pd.Series, links: pd.Series) -> pd.Series:
-    return pd.Series([_longest_open_chain(list(a), list(k)) for a, k in zip(atom_tokens, links)])
+def _chain_batch(
+    atom_tokens: pd.Series, starts: pd.Series, ends: pd.Series, closures: pd.Series, base: pd.Series
+) -> pd.Series:
+    out = []
+    for tokens, a, b, closing, first in zip(atom_tokens, starts, ends, closures, base):
+        out.append([i + first for i in _longest_open_chain(list(tokens), list(zip(a, b, closing)))])
+    return pd.Series(out)
 
 
-def longest_chain(smiles: Column, base: int = 1) -> Column:
+def chain_bonds(smiles: Column) -> Column:
+    """The bonds ``longest_chain`` needs, to be attached as a column of their own first: the fold
+    that makes them must not be merged into the call of a Python function."""
+    return bonds(F.when(parsable(smiles), smiles).otherwise(F.lit("")))
+
+
+def longest_chain(smiles: Column, links: Column, base: int = 1) -> Column:
     """Sorted atom numbers of the longest open carbon chain; empty for text that does not parse."""
     usable = F.when(parsable(smiles), smiles).otherwise(F.lit(""))
-    chain = _chain_batch(atoms(usable), bonds(usable))
-    return F.transform(chain, lambda i: i + base)
+    return _chain_batch(atoms(usable), links["a"], links["b"], links["ring_closure"], F.lit(base))

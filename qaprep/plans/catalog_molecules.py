@@ -196,8 +196,9 @@ def bond_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("longest_chain")
 def longest_chain(spark: SparkSession, folder: str) -> DataFrame:
-    chain = R.longest_chain(F.col("smiles"))
-    return X.molecules(spark, folder).select("cid", "smiles", F.array_join(chain.cast("array<string>"), " ").alias("chain"))
+    linked = X.molecules(spark, folder).select("cid", "smiles", R.chain_bonds(F.col("smiles")).alias("links"))
+    chain = R.longest_chain(F.col("smiles"), F.col("links"))
+    return linked.select("cid", "smiles", F.array_join(chain.cast("array<string>"), " ").alias("chain"))
 
 
 @query(

@@ -50,13 +50,16 @@ def scalar_counts(smiles: Column) -> dict[str, Column]:
     }
 
 
+LINKS = "_links"
+
+
 def property_answers(df: DataFrame) -> dict[str, Column]:
-    """The answer columns this table has the inputs for."""
+    """The answer columns this table has the inputs for; the chain reads the bonds in ``LINKS``."""
     smiles, formula = F.col("smiles"), F.col("formula")
     valid = S.parsable(smiles)
     bond, charge = S.bond_counts(smiles), S.charge_counts(smiles)
     answers = {
-        "longest_chain": answer_json({"longest_carbon_chain": json_list(R.longest_chain(smiles))}),
+        "longest_chain": answer_json({"longest_carbon_chain": json_list(R.longest_chain(smiles, F.col(LINKS)))}),
         "hydrogen_count": F.when(valid, S.hydrogen_count(formula)).otherwise(F.lit(0)),
         "heavy_atom_count": S.heavy_atom_count(smiles),
         "net_formal_charge": charge["net"],
@@ -79,21 +82,29 @@ def property_answers(df: DataFrame) -> dict[str, Column]:
     return answers | {name: F.col(name) for name in SUPPLIED if name in df.columns}
 
 
+# Answers that can be empty. The others are numbers or JSON and always have text, so the validity
+# test need not look at them, and the filter stays cheap when it is pushed below the projection.
+MAY_BE_EMPTY = ("kekulized_smiles", "molecular_formula", "iupac_name", *SUPPLIED)
+
+
+def _with_answers(df: DataFrame, answers: dict[str, Column]) -> DataFrame:
+    """All answers as text; rows with an empty one are dropped. A null is the text ``None``, as in
+    a stringified list, and stays."""
+    linked = df.withColumn(LINKS, R.chain_bonds(F.col("smiles")))
+    named = replace_answers(linked, {name: as_text(value) for name, value in answers.items()}).drop(LINKS)
+    return named.filter(answers_valid([name for name in answers if name in MAY_BE_EMPTY]))
+
+
 def molecular_properties(df: DataFrame) -> DataFrame:
-    """All property answers as text; rows with an empty one are dropped. A null is the text
-    ``None``, as in a stringified list, and stays."""
+    """The property answers and the name."""
     require_columns(df, ["smiles", "formula", "iupac"])
-    answers = property_answers(df) | {"iupac_name": F.col("iupac")}
-    named = replace_answers(df, {name: as_text(value) for name, value in answers.items()})
-    return named.filter(answers_valid(list(answers)))
+    return _with_answers(df, property_answers(df) | {"iupac_name": F.col("iupac")})
 
 
 def property_counts(df: DataFrame) -> DataFrame:
-    """Property answers and the single-number answers next to them."""
+    """Property answers, the single-number answers next to them, and the name."""
     require_columns(df, ["smiles", "formula", "iupac"])
-    answers = property_answers(df) | scalar_counts(F.col("smiles")) | {"iupac_name": F.col("iupac")}
-    named = replace_answers(df, {name: as_text(value) for name, value in answers.items()})
-    return named.filter(answers_valid(list(answers)))
+    return _with_answers(df, property_answers(df) | scalar_counts(F.col("smiles")) | {"iupac_name": F.col("iupac")})
 
 
 def iupac_naming(df: DataFrame) -> DataFrame:
