@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qaprep.functions.binding import bind
 from qaprep.session import write_through
 
 BITS = 2048
@@ -28,19 +29,21 @@ FIRST_CHUNK = 8192
 CHUNK_GROWTH = 4
 
 
+def _runs(chars: Column, runs: Column, size: int, gram: int) -> Column:
+    """``runs`` of ``size`` characters followed by the longer ones; runs over the end are null."""
+    if size == gram:
+        return runs
+    longer = F.zip_with(runs, F.slice(chars, F.lit(size + 1), F.size(chars)), lambda r, c: F.concat(r, c))
+    return F.concat(runs, bind(longer, lambda r: _runs(chars, r, size + 1, gram)))
+
+
 def fingerprint(text: Column, gram: int = 3, bits: int = BITS) -> Column:
     """Sorted set bits: one per character run of length 1 to ``gram``, hashed by md5."""
-    # split(text, '') would cost a regex per character; every column is cut once per run length
     chars = F.filter(F.split(text, ""), lambda c: c != "")
-    grams = chars
-    every = chars
-    for size in range(2, gram + 1):
-        shifted = F.slice(chars, F.lit(size), F.greatest(F.size(chars) - (size - 1), F.lit(0)))
-        kept = F.slice(grams, F.lit(1), F.size(shifted))
-        grams = F.zip_with(kept, shifted, lambda g, c: F.concat(g, c))
-        every = F.concat(every, grams)
+    every = bind(chars, lambda c: _runs(c, c, 1, gram))
     position = lambda g: (F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("bigint") % bits).cast("int")
-    return F.array_sort(F.array_distinct(F.transform(F.array_distinct(every), position)))
+    distinct = F.array_distinct(F.filter(every, lambda g: g.isNotNull()))
+    return F.array_sort(F.array_distinct(F.transform(distinct, position)))
 
 
 def tanimoto(a: Column, b: Column) -> Column:
@@ -68,7 +71,7 @@ def _shared_below(a: str, b: str, bit: str) -> str:
     """Shared bits below ``bit``: none when ``bit`` is the first one the two rows have in common."""
     terms = []
     for w in range(WORDS):
-        masked = f"bit_count({a}[{w}] & {b}[{w}] & (shiftleft(1L, {bit} % 64) - 1L))"
+        masked = f"bit_count({a}[{w}] & {b}[{w}] & ~shiftleft(-1L, {bit} % 64))"
         terms.append(
             f"CASE WHEN {bit} >= {64 * (w + 1)} THEN bit_count({a}[{w}] & {b}[{w}]) "
             f"WHEN {bit} >= {64 * w} THEN {masked} ELSE 0 END"
@@ -238,7 +241,7 @@ def similar_join(
     df: DataFrame, picks: DataFrame, key: str, bits: str, size: str,
     low: float = SIMILAR_LOW, high: float = SIMILAR_HIGH,
 ) -> DataFrame:
-    """(key, similar): for each pick the lowest other row whose size is within the band and whose
+    """(key, similar_id): for each pick the lowest other row whose size is within the band and whose
     similarity lies in [low, high). A pick without one does not appear.
 
     Rows are searched in growing chunks of the key order; a pick leaves at its first match, so the
@@ -261,7 +264,7 @@ def similar_join(
             f"AND b.`{size}` <= a.`{size}` * {SIZE_HIGH}D AND {_similar_condition(low)} "
             f"AND ({shared}) / (a.n_bits + b.n_bits - ({shared})) < {high!r}D"
         )
-        hits = a.alias("a").join(b.alias("b"), condition).groupBy(F.col("a.id").alias("id")).agg(F.min("b.id").alias("similar"))
+        hits = a.alias("a").join(b.alias("b"), condition).groupBy(F.col("a.id").alias("id")).agg(F.min("b.id").alias("similar_id"))
         hits = write_through(hits, "similar")
         matched = hits if matched is None else matched.unionByName(hits)
         open_picks = open_picks.join(hits.select("id"), "id", "left_anti")
@@ -278,7 +281,7 @@ def _pick_prints(lookup: DataFrame, df: DataFrame, prints: DataFrame, key: str,
 
 def merge_picks(picks: DataFrame, similar: DataFrame, key: str) -> DataFrame:
     """Picks and their similar rows, each key once."""
-    return picks.select(key).union(similar.select(F.col("similar").alias(key))).distinct()
+    return picks.select(key).union(similar.select(F.col("similar_id").alias(key))).distinct()
 
 
 def expand_picks(df: DataFrame, picks: DataFrame, key: str, bits: str, size: str) -> DataFrame:

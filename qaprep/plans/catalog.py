@@ -2,6 +2,7 @@
 
 from qaprep.plans import (  # noqa: F401
     catalog_molecules,
+    catalog_similarity,
     catalog_tables,
     catalog_text,
     catalog_tokens,
