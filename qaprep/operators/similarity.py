@@ -1,8 +1,8 @@
 """Fingerprints, exact similarity joins and diverse picks.
 
-A fingerprint is a set of bits below 2048, kept as 32 words of 64 bits. Bits are renumbered from
-rare to common, so the lowest bits of a row are its rarest and candidates come from an equality
-join on those (prefix filter, Bayardo et al. 2007). Every candidate is verified inside the join
+A fingerprint is a set of bits below 2048, kept as words of 64 bits. Bits are renumbered from rare
+to common, so the lowest bits of a row are its rarest and candidates come from an equality join on
+those (prefix filter, Bayardo et al. 2007, with the positional bound of Xiao et al. 2008). Every candidate is verified inside the join
 condition by bit counts; only verified rows leave the join. Equal fingerprints are collapsed first,
 so a third of all rows being copies of one another costs one row.
 """
@@ -19,14 +19,14 @@ from qaprep.functions.binding import bind
 from qaprep.session import write_through
 
 BITS = 2048
-WORDS = BITS // 64
 # Thresholds of the diverse-subset recipe.
 PICK_DISTANCE = 0.6
 SIMILAR_LOW, SIMILAR_HIGH = 0.45, 0.65
 SIZE_LOW, SIZE_HIGH = 0.83, 1.17
 
-FIRST_CHUNK = 8192
+FIRST_CHUNK = 2048
 CHUNK_GROWTH = 4
+HOT_ROWS = 50_000
 
 
 def _runs(chars: Column, runs: Column, size: int, gram: int) -> Column:
@@ -53,30 +53,8 @@ def tanimoto(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(both, total), F.lit(0.0))
 
 
-def _pack(bits: Column) -> Column:
-    """32 words of 64 bits."""
-    word = lambda w: F.aggregate(
-        F.filter(bits, lambda b: F.shiftright(b, 6) == w),
-        F.lit(0).cast("bigint"),
-        lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), b % 64)),
-    )
-    return F.array(*[word(w) for w in range(WORDS)])
-
-
-def _shared(a: str, b: str) -> str:
-    return " + ".join(f"bit_count({a}[{w}] & {b}[{w}])" for w in range(WORDS))
-
-
-def _shared_below(a: str, b: str, bit: str) -> str:
-    """Shared bits below ``bit``: none when ``bit`` is the first one the two rows have in common."""
-    terms = []
-    for w in range(WORDS):
-        masked = f"bit_count({a}[{w}] & {b}[{w}] & ~shiftleft(-1L, {bit} % 64))"
-        terms.append(
-            f"CASE WHEN {bit} >= {64 * (w + 1)} THEN bit_count({a}[{w}] & {b}[{w}]) "
-            f"WHEN {bit} >= {64 * w} THEN {masked} ELSE 0 END"
-        )
-    return " + ".join(terms)
+def _shared(words: Sequence[str], a: str, b: str) -> str:
+    return " + ".join(f"bit_count({a}.{w} & {b}.{w})" for w in words)
 
 
 def _needed(threshold: float, sizes: str) -> str:
@@ -84,56 +62,99 @@ def _needed(threshold: float, sizes: str) -> str:
     return f"ceil({threshold / (1.0 + threshold)!r}D * ({sizes}) - 1e-9D)"
 
 
-def bit_ranks(df: DataFrame, bits: str) -> list[int]:
-    """Rank of every bit from rare to common. At most 2048 counts reach the driver."""
+def bit_ranks(df: DataFrame, bits: str) -> dict[int, int]:
+    """Rank of every occurring bit from rare to common. At most 2048 counts reach the driver."""
     counts = df.select(F.explode(bits).alias("bit")).groupBy("bit").agg(F.count("*").alias("n")).collect()
-    seen = {row.bit: row.n for row in counts}
-    ranks = [0] * BITS
-    for rank, bit in enumerate(sorted(range(BITS), key=lambda b: (seen.get(b, 0), b))):
-        ranks[bit] = rank
-    return ranks
+    ordered = sorted((row.n, row.bit) for row in counts)
+    return {bit: rank for rank, (_, bit) in enumerate(ordered)}
+
+
+def word_columns(prints: DataFrame) -> list[str]:
+    return [c for c in prints.columns if c.startswith("word_")]
 
 
 def distinct_prints(df: DataFrame, key: str, bits: str, also: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct (fingerprint, *also): lowest key, number of rows, packed words.
-    Bits are renumbered by rarity. Rows without bits are left out: they resemble nothing."""
+    """One row per distinct (fingerprint, *also): lowest key, number of rows, bits, 64-bit words.
+    Bits are renumbered by rarity, and only as many words are kept as there are bits in use. Rows
+    without bits are left out: they resemble nothing."""
     filled = df.filter(F.size(bits) > 0)
     unique = filled.groupBy(bits, *also).agg(F.min(key).alias("id"), F.count("*").alias("n_rows"))
     unique = write_through(unique, "prints")
-    ranks = F.array(*[F.lit(r) for r in bit_ranks(unique, bits)])
-    ranked = unique.withColumn("bits", F.array_sort(F.transform(F.col(bits), lambda b: F.get(ranks, b))))
+    ranks = bit_ranks(unique, bits)
+    table = F.expr("array(" + ", ".join(str(ranks.get(bit, 0)) for bit in range(BITS)) + ")")
+    ranked = unique.withColumn("bits", F.array_sort(F.transform(F.col(bits), lambda b: F.get(table, b))))
     ranked = ranked.select("id", "n_rows", *also, "bits", F.size("bits").alias("n_bits"))
-    return write_through(ranked.withColumn("words", _pack(F.col("bits"))), "prints")
+    one = F.lit(1).cast("bigint")
 
+    def word(number: int) -> Column:
+        members = F.filter("bits", lambda b: F.shiftright(b, 6) == number)
+        add = lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, b % 64))
+        return F.aggregate(members, F.lit(0).cast("bigint"), add).alias(f"word_{number}")
 
-def _prefix(df: DataFrame, threshold: float, keep: Sequence[str]) -> DataFrame:
-    """One row per prefix bit: any two rows that reach the threshold share one of them."""
+    n_words = max(1, math.ceil(len(ranks) / 64))
+    return write_through(ranked.select("*", *[word(w) for w in range(n_words)]), "prints")
+
+
+def _prefix(prints: DataFrame, threshold: float, *keep: str) -> DataFrame:
+    """One row per prefix bit: any two rows that reach the threshold share one of them. ``left`` is
+    the number of bits from this one on, which bounds what two rows can share."""
     length = F.col("n_bits") - F.ceil(F.col("n_bits") * F.lit(threshold) - F.lit(1e-9)) + 1
-    return df.select(*keep, F.explode(F.slice("bits", F.lit(1), length.cast("int"))).alias("bit"))
+    columns = ["id", "n_bits", *word_columns(prints), *keep]
+    cut = prints.select(*columns, F.posexplode(F.slice("bits", F.lit(1), length.cast("int"))).alias("_at", "bit"))
+    return cut.withColumn("left", F.col("n_bits") - F.col("_at")).drop("_at")
 
 
-def _similar_condition(threshold: float, a: str = "a", b: str = "b") -> str:
-    """Sizes compatible, and enough shared bits."""
-    sizes = f"{a}.n_bits + {b}.n_bits"
+def _similar_condition(threshold: float, words: Sequence[str]) -> str:
+    """Enough bits are left from the common bit on, the sizes agree, and enough bits are shared. A
+    similar pair passes at the first bit it has in common. The cheap tests come first; the words are
+    compared for what is left."""
+    needed = _needed(threshold, "a.n_bits + b.n_bits")
     return (
-        f"{a}.n_bits >= {threshold!r}D * {b}.n_bits - 1e-9D AND {b}.n_bits >= {threshold!r}D * {a}.n_bits - 1e-9D "
-        f"AND {_shared(f'{a}.words', f'{b}.words')} >= {_needed(threshold, sizes)}"
+        f"least(a.left, b.left) >= {needed} "
+        f"AND a.n_bits >= {threshold!r}D * b.n_bits - 1e-9D AND b.n_bits >= {threshold!r}D * a.n_bits - 1e-9D "
+        f"AND {_shared(words, 'a', 'b')} >= {needed}"
     )
 
 
-_JOIN_COLUMNS = ("id", "n_bits", "words")
+def _meet(big: DataFrame, small: DataFrame, condition: str, how: str = "inner", also: str = "") -> DataFrame:
+    """Join prefix rows ``a`` (big) and ``b`` (small) on the bit.
+
+    The rows of a bit that very many rows have are cut into slices and meet a copy of the other
+    side's rows each, so no task gets a whole hot bit. The counts, one per hot bit, are at most 2048.
+    """
+    counts = big.groupBy("bit").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).collect()
+    slices = F.lit(1)
+    if counts:
+        pairs = [F.lit(x) for row in counts for x in (row["bit"], math.ceil(row["n"] / HOT_ROWS))]
+        slices = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("bit")), F.lit(1))
+    a = big.withColumn("slice", F.pmod(F.xxhash64("id"), slices))
+    b = small.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices.cast("bigint") - 1)))
+    on = f"a.bit = b.bit AND a.slice = b.slice AND {also}{condition}"
+    return a.alias("a").join(b.hint("merge").alias("b"), F.expr(on), how)
+
+
+def _bits_below(prints: DataFrame) -> list[Column]:
+    """The words of a prefix row without its bits from ``bit`` on."""
+    out = []
+    for number, word in enumerate(word_columns(prints)):
+        mask = F.expr(f"~shiftleft(-1L, bit % 64) & {word}")
+        below = F.when(F.col("bit") >= 64 * (number + 1), F.col(word)).when(F.col("bit") >= 64 * number, mask)
+        out.append(below.otherwise(F.lit(0)).cast("bigint").alias(f"below_{number}"))
+    return out
 
 
 def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
-    """(id_a < id_b, shared, n_bits_a, n_bits_b) for distinct fingerprints, each pair once."""
-    rows = _prefix(prints, threshold, _JOIN_COLUMNS)
-    a, b = rows.alias("a"), rows.alias("b")
-    first = f"({_shared_below('a.words', 'b.words', 'a.bit')}) = 0"
-    condition = F.expr(f"a.bit = b.bit AND a.id < b.id AND {_similar_condition(threshold)} AND {first}")
-    return a.join(b, condition).select(
+    """(id_a < id_b, shared, n_bits_a, n_bits_b) for distinct fingerprints. A pair meets at each
+    prefix bit it shares and is kept at the first one, so it comes once."""
+    words = word_columns(prints)
+    rows = _prefix(prints, threshold)
+    marked = rows.select("*", *_bits_below(prints))
+    earlier = " | ".join(f"(a.below_{i} & b.{w})" for i, w in enumerate(words))
+    condition = f"a.id < b.id AND ({earlier}) = 0 AND {_similar_condition(threshold, words)}"
+    return _meet(marked, rows, condition).select(
         F.col("a.id").alias("id_a"),
         F.col("b.id").alias("id_b"),
-        F.expr(_shared("a.words", "b.words")).alias("shared"),
+        F.expr(_shared(words, "a", "b")).alias("shared"),
         F.col("a.n_bits").alias("n_bits_a"),
         F.col("b.n_bits").alias("n_bits_b"),
     )
@@ -191,31 +212,28 @@ def _chunks(prints: DataFrame) -> list[DataFrame]:
 
 def _without_near(rows: DataFrame, picks: DataFrame, similarity: float) -> DataFrame:
     """Rows that are not near any pick."""
-    a = _prefix(rows, similarity, _JOIN_COLUMNS).alias("a")
-    b = _prefix(picks, similarity, _JOIN_COLUMNS).alias("b")
-    near = a.join(b, F.expr(f"a.bit = b.bit AND {_similar_condition(similarity)}"), "left_semi")
+    condition = _similar_condition(similarity, word_columns(rows))
+    near = _meet(_prefix(rows, similarity), _prefix(picks, similarity), condition, "left_semi")
     return rows.join(near.select("id").distinct(), "id", "left_anti")
 
 
 def _first_independent(rows: DataFrame, similarity: float) -> DataFrame:
-    """Ids a scan in id order would pick among ``rows``: the first maximal independent set.
+    """The rows a scan in id order would pick among ``rows``: the first maximal independent set.
 
-    Round by round, a live row without a live earlier neighbour is picked and its neighbours drop
-    out; few rounds are needed (Blelloch et al. 2012). Each round goes on from written tables.
+    Round by round, a row without an earlier neighbour is a pick, and its neighbours drop out with
+    their edges; what never drops out is picked. Few rounds are needed (Blelloch et al. 2012). Each
+    round goes on from written tables.
     """
     edges = write_through(similar_pairs(rows, similarity).select("id_a", "id_b"), "edges")
-    live = rows.select("id")
-    picked: DataFrame | None = None
-    while True:
-        found = write_through(live.join(edges.select(F.col("id_b").alias("id")), "id", "left_anti"), "round")
-        picked = found if picked is None else picked.unionByName(found)
-        if edges.isEmpty():
-            return picked
-        dropped = edges.join(found.withColumnRenamed("id", "id_a"), "id_a", "left_semi").select(F.col("id_b").alias("id"))
-        gone = found.unionByName(dropped)
-        live = write_through(live.join(gone, "id", "left_anti"), "live")
-        left = edges.join(gone.withColumnRenamed("id", "id_a"), "id_a", "left_anti")
-        edges = write_through(left.join(gone.withColumnRenamed("id", "id_b"), "id_b", "left_anti"), "edges")
+    dropped: DataFrame | None = None
+    while not edges.isEmpty():
+        behind = edges.select(F.col("id_b").alias("id_a"))
+        gone = edges.join(behind, "id_a", "left_anti").select(F.col("id_b").alias("id")).distinct()
+        gone = write_through(gone, "gone")
+        dropped = gone if dropped is None else dropped.unionByName(gone)
+        left = edges.join(gone.withColumnRenamed("id", "id_b"), "id_b", "left_anti")
+        edges = write_through(left.join(gone.withColumnRenamed("id", "id_a"), "id_a", "left_anti"), "edges")
+    return rows if dropped is None else rows.join(dropped, "id", "left_anti")
 
 
 def leader_pick(df: DataFrame, key: str, bits: str, distance: float = PICK_DISTANCE) -> DataFrame:
@@ -230,8 +248,7 @@ def leader_pick(df: DataFrame, key: str, bits: str, distance: float = PICK_DISTA
     picks: DataFrame | None = None
     for chunk in _chunks(prints):
         live = chunk if picks is None else write_through(_without_near(chunk, picks, similarity), "live")
-        chosen = _first_independent(live, similarity)
-        found = write_through(live.join(chosen, "id", "left_semi"), "picks")
+        found = write_through(_first_independent(live, similarity), "picks")
         picks = found if picks is None else picks.unionByName(found)
     blank = df.filter(F.size(bits) == 0).select(F.col(key))
     return picks.select(F.col("id").alias(key)).unionByName(blank)
@@ -253,18 +270,20 @@ def similar_join(
     open_picks, matched = ranks, None
     band = math.log(SIZE_HIGH)
     slot = lambda value: F.floor(F.log(F.greatest(value.cast("double"), F.lit(1e-9))) / F.lit(band))
+    words = word_columns(prints)
+    shared = _shared(words, "a", "b")
+    condition = (
+        f"a.`{size}` >= b.`{size}` * {SIZE_LOW}D AND a.`{size}` <= b.`{size}` * {SIZE_HIGH}D "
+        f"AND {_similar_condition(low, words)} "
+        f"AND ({shared}) / (a.n_bits + b.n_bits - ({shared})) < {high!r}D"
+    )
     for chunk in _chunks(prints):
-        a = _prefix(open_picks, low, ["id", "n_bits", "words", size]).withColumn(
+        rows = _prefix(chunk, low, size).withColumn("slot", slot(F.col(size)))
+        wanted = _prefix(open_picks, low, size).withColumn(
             "slot", F.explode(F.sequence(slot(F.col(size) * SIZE_LOW), slot(F.col(size) * SIZE_HIGH)))
         )
-        b = _prefix(chunk, low, ["id", "n_bits", "words", size]).withColumn("slot", slot(F.col(size)))
-        shared = _shared("a.words", "b.words")
-        condition = F.expr(
-            f"a.bit = b.bit AND a.slot = b.slot AND b.`{size}` >= a.`{size}` * {SIZE_LOW}D "
-            f"AND b.`{size}` <= a.`{size}` * {SIZE_HIGH}D AND {_similar_condition(low)} "
-            f"AND ({shared}) / (a.n_bits + b.n_bits - ({shared})) < {high!r}D"
-        )
-        hits = a.alias("a").join(b.alias("b"), condition).groupBy(F.col("a.id").alias("id")).agg(F.min("b.id").alias("similar_id"))
+        found = _meet(rows, wanted, condition, also="a.slot = b.slot AND ")
+        hits = found.groupBy(F.col("b.id").alias("id")).agg(F.min("a.id").alias("similar_id"))
         hits = write_through(hits, "similar")
         matched = hits if matched is None else matched.unionByName(hits)
         open_picks = open_picks.join(hits.select("id"), "id", "left_anti")
