@@ -3,6 +3,8 @@
 from qaprep.plans import (  # noqa: F401
     catalog_molecules,
     catalog_similarity,
+    catalog_sources,
+    catalog_streams,
     catalog_tables,
     catalog_text,
     catalog_tokens,

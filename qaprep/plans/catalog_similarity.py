@@ -36,10 +36,10 @@ def fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "fingerprint_documents",
-    """WITH grams AS (SELECT DISTINCT doc_id, substr(text, CAST(i AS INT), CAST(g AS INT)) AS gram
-      FROM (SELECT doc_id, text, unnest(generate_series(1, length(text))) AS i FROM documents), (VALUES (1), (2), (3)) s(g)
-      WHERE i + g - 1 <= length(text)),
-    bits AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(md5(gram), 1, 8)) AS BIGINT) % 2048 AS bit FROM grams)
+    """WITH chars AS (SELECT doc_id, string_split(text, '') AS c FROM documents),
+    grams AS (SELECT DISTINCT doc_id, unnest(list_concat(c, list_transform(list_zip(c, c[2:]), lambda z: z[1] || z[2]),
+      list_transform(list_zip(c, c[2:], c[3:]), lambda z: z[1] || z[2] || z[3]))) AS gram FROM chars),
+    bits AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(md5(gram), 1, 8)) AS BIGINT) % 2048 AS bit FROM grams WHERE gram IS NOT NULL)
     SELECT doc_id, count(*) AS n_bits, array_to_string(list_sort(list(bit)), ' ') AS bits FROM bits GROUP BY doc_id""",
 )
 def fingerprint_documents(spark: SparkSession, folder: str) -> DataFrame:
