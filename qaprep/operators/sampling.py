@@ -43,15 +43,16 @@ def random_partition(
     return df.withColumn(column, label.otherwise(names[-1]) if label is not None else F.lit(names[0]))
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the ones with the smallest draws.
+def seeded_sample(df: DataFrame, key: str | None, n: int, seed: int = 42) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows, the ones with the smallest draws. Without a key column the
+    whole row is the key; equal rows are then interchangeable.
 
     A histogram of the draws (at most 65,536 rows) tells which buckets are in; only the bucket at
     the edge is ranked. No task sees more than its share, however large ``n`` is.
     """
-    drawn = df.withColumn("_draw", draw(seed, F.col(key))).withColumn(
-        "_bucket", F.shiftright("_draw", 32 - _BUCKET_BITS)
-    )
+    row_key = F.col(key) if key is not None else F.md5(F.to_json(F.struct("*")))
+    drawn = df.withColumn("_key", row_key).withColumn("_draw", draw(seed, F.col("_key")))
+    drawn = drawn.withColumn("_bucket", F.shiftright("_draw", 32 - _BUCKET_BITS))
     sizes = drawn.groupBy("_bucket").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
@@ -59,7 +60,7 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     rows = drawn.join(F.broadcast(quota), "_bucket")
     whole = rows.filter(F.col("_size") <= F.col("_quota"))
     edge = rows.filter(F.col("_size") > F.col("_quota"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_draw", key))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_draw", "_key"))
     edge = edge.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_quota")).drop("_rank")
     return whole.unionByName(edge).select(*df.columns)
 

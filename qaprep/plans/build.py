@@ -66,11 +66,13 @@ def build_dataset(
     max_label_len: int = 512,
     weights: bool = False,
 ) -> None:
-    """Write ``full`` (valid, test) and ``minimal`` (all splits)."""
+    """Write ``full`` (valid, test) and ``minimal`` (all splits). Rows of ``full`` get an
+    ``example_id``, by which predictions are paired with them later."""
     require_columns(records, ["split"])
     if limit is not None:
-        records = seeded_sample(records, key or "question_id", limit)
+        records = seeded_sample(records, key, limit)
     rendered = render_records(records.filter(F.col("split").isin(*SPLITS)), system_prompt)
     train = tokenise_train(rendered.filter("split = 'train'"), max_length, weights)
     evaluation = tokenise_eval(rendered.filter("split <> 'train'"), max_length, max_label_len)
-    write_dataset(train, evaluation.drop("prompt", "answer"), path)
+    numbered = evaluation.drop("prompt", "answer").withColumn("example_id", F.monotonically_increasing_id())
+    write_dataset(train, numbered, path)
