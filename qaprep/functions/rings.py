@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaprep.functions.smiles import atoms, bonds, parsable
+from qaprep.functions.smiles import Scan, atoms, bonds, parsable, scan
 
 
 def sort_rings(rings: Column, base: int = 0) -> Column:
@@ -120,7 +120,8 @@ def chain_bonds(smiles: Column) -> Column:
     return bonds(F.when(parsable(smiles), smiles).otherwise(F.lit("")))
 
 
-def longest_chain(smiles: Column, links: Column, base: int = 1) -> Column:
+def longest_chain(smiles: Column | Scan, links: Column, base: int = 1) -> Column:
     """Sorted atom numbers of the longest open carbon chain; empty for text that does not parse."""
-    usable = F.when(parsable(smiles), smiles).otherwise(F.lit(""))
+    smiles = scan(smiles)
+    usable = F.when(smiles.valid, smiles.text).otherwise(F.lit(""))
     return _chain_batch(atoms(usable), links["a"], links["b"], links["ring_closure"], F.lit(base))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,30 @@ def smiles_tokens(df: DataFrame, key: str = "cid", smiles: str = "smiles") -> Da
     return exploded.withColumn("kind", token_kind(F.col("token")))
 
 
+@dataclass(frozen=True)
+class Scan:
+    """A SMILES column with the two things nearly every count starts from: the text outside
+    brackets, and whether the text parses."""
+
+    text: Column
+    bare: Column
+    valid: Column
+
+
+def scan(smiles: Column | Scan) -> Scan:
+    return smiles if isinstance(smiles, Scan) else Scan(smiles, _without_brackets(smiles), parsable(smiles))
+
+
+def with_scan(df: DataFrame, smiles: str = "smiles") -> tuple[DataFrame, Scan]:
+    """Attach them as columns, so that any number of counts works them out once."""
+    found = scan(F.col(smiles))
+    table = df.withColumns({"_bare": found.bare, "_valid": found.valid})
+    return table, Scan(F.col(smiles), F.col("_bare"), F.col("_valid"))
+
+
+SCAN_COLUMNS = ("_bare", "_valid")
+
+
 def _without_brackets(smiles: Column) -> Column:
     return F.regexp_replace(smiles, r"\[[^\]]*\]", "")
 
@@ -44,9 +69,9 @@ def _occurrences(text: Column, mark: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(mark)))) / F.lit(len(mark))
 
 
-def closure_count(smiles: Column) -> Column:
+def _closure_labels(bare: Column) -> Column:
     """Ring-closure labels; each closure is written at both of its ends."""
-    return F.size(F.regexp_extract_all(_without_brackets(smiles), F.lit(f"({CLOSURE})"), 1))
+    return F.regexp_count(bare, F.lit(CLOSURE))
 
 
 def parsable(smiles: Column) -> Column:
@@ -55,7 +80,7 @@ def parsable(smiles: Column) -> Column:
     bare = _without_brackets(smiles)
     balanced = _occurrences(bare, "(") == _occurrences(bare, ")")
     return F.coalesce(
-        (smiles != "") & (left_over == "") & balanced & (closure_count(smiles) % 2 == 0), F.lit(False)
+        (smiles != "") & (left_over == "") & balanced & (_closure_labels(bare) % 2 == 0), F.lit(False)
     )
 
 
@@ -64,16 +89,16 @@ def atoms(smiles: Column) -> Column:
     return F.regexp_extract_all(smiles, F.lit(f"({ATOM})"), 1)
 
 
-def _valid_or_zero(smiles: Column, value: Column) -> Column:
-    return F.when(parsable(smiles), value).otherwise(F.lit(0)).cast("bigint")
+def _valid_or_zero(smiles: Scan, value: Column) -> Column:
+    return F.when(smiles.valid, value).otherwise(F.lit(0)).cast("bigint")
 
 
-def _element_atoms(smiles: Column, element: str) -> Column:
+def _element_atoms(smiles: Scan, element: str) -> Column:
     """Atoms of one element, inside and outside brackets; one-letter elements may be aromatic."""
     forms = element if len(element) > 1 else f"(?:{element}|{element.lower()})"
     bare = f"{forms}(?!l)" if element == "C" else forms
-    return F.regexp_count(_without_brackets(smiles), F.lit(bare)) + F.regexp_count(
-        smiles, F.lit(rf"\[[0-9]*{forms}(?![a-z])[^\]]*\]")
+    return F.regexp_count(smiles.bare, F.lit(bare)) + F.regexp_count(
+        smiles.text, F.lit(rf"\[[0-9]*{forms}(?![a-z])[^\]]*\]")
     )
 
 
@@ -86,17 +111,19 @@ def _atom_tokens(smiles: Column) -> Column:
     return F.regexp_count(smiles, F.lit(ATOM))
 
 
-def element_count(smiles: Column, element: str) -> Column:
+def element_count(smiles: Column | Scan, element: str) -> Column:
+    smiles = scan(smiles)
     return _valid_or_zero(smiles, _element_atoms(smiles, element))
 
 
-def element_counts(smiles: Column) -> Column:
+def element_counts(smiles: Column | Scan) -> Column:
     """Counts of the listed elements as a struct."""
     return F.struct(*[element_count(smiles, e).alias(e) for e in ELEMENTS])
 
 
-def heavy_atom_count(smiles: Column) -> Column:
-    return _valid_or_zero(smiles, _atom_tokens(smiles) - _hydrogen_atoms(smiles))
+def heavy_atom_count(smiles: Column | Scan) -> Column:
+    smiles = scan(smiles)
+    return _valid_or_zero(smiles, _atom_tokens(smiles.text) - _hydrogen_atoms(smiles.text))
 
 
 def atom_charges(smiles: Column) -> Column:
@@ -111,9 +138,10 @@ def atom_charges(smiles: Column) -> Column:
     return F.transform(written, charge)
 
 
-def charge_counts(smiles: Column) -> Column:
+def charge_counts(smiles: Column | Scan) -> Column:
     """Atoms with positive and negative charge, and the net charge."""
-    charges = atom_charges(smiles)
+    smiles = scan(smiles)
+    charges = atom_charges(smiles.text)
     return F.struct(
         _valid_or_zero(smiles, F.size(F.filter(charges, lambda c: c > 0))).alias("positive"),
         _valid_or_zero(smiles, F.size(F.filter(charges, lambda c: c < 0))).alias("negative"),
@@ -121,42 +149,44 @@ def charge_counts(smiles: Column) -> Column:
     )
 
 
-def fragment_count(smiles: Column) -> Column:
-    return _occurrences(_without_brackets(smiles), ".").cast("int") + 1
+def _fragments(bare: Column) -> Column:
+    return _occurrences(bare, ".").cast("int") + 1
 
 
-def is_aromatic_text(smiles: Column) -> Column:
+def is_aromatic_text(smiles: Column | Scan) -> Column:
     """Lower-case atoms: the text is not in Kekule form."""
-    return _without_brackets(smiles).rlike("[bcnops]") | smiles.rlike(r"\[[0-9]*[a-z]")
+    smiles = scan(smiles)
+    return smiles.bare.rlike("[bcnops]") | smiles.text.rlike(r"\[[0-9]*[a-z]")
 
 
-def ring_count(smiles: Column) -> Column:
+def ring_count(smiles: Column | Scan) -> Column:
     """Cycle rank: every ring closure adds one ring."""
-    return _valid_or_zero(smiles, F.floor(closure_count(smiles) / 2))
+    smiles = scan(smiles)
+    return _valid_or_zero(smiles, F.floor(_closure_labels(smiles.bare) / 2))
 
 
-def _written_bonds(smiles: Column, sign: str) -> Column:
+def _written_bonds(bare: Column, sign: str) -> Column:
     """Bonds written with ``sign``; one that is repeated at both ends of a closure counts once."""
-    bare = _without_brackets(smiles)
     at_closures = F.regexp_extract_all(bare, F.lit(f"({sign}(?:{CLOSURE}))"), 1)
     repeated = F.size(at_closures) - F.size(F.array_distinct(at_closures))
     return _occurrences(bare, sign) - repeated
 
 
-def bond_counts(smiles: Column) -> Column:
+def bond_counts(smiles: Column | Scan) -> Column:
     """All, double and triple bonds and bonds between heavy atoms. The number of double bonds of a
     text with aromatic atoms is not known without perception: it is null then and flagged."""
-    n_atoms = _atom_tokens(smiles)
-    n_heavy = n_atoms - _hydrogen_atoms(smiles)
-    links = F.floor(closure_count(smiles) / 2) - fragment_count(smiles)
-    aromatic = is_aromatic_text(smiles)
-    doubles = F.when(~(parsable(smiles) & aromatic), _valid_or_zero(smiles, _written_bonds(smiles, "=")))
+    smiles = scan(smiles)
+    n_atoms = _atom_tokens(smiles.text)
+    n_heavy = n_atoms - _hydrogen_atoms(smiles.text)
+    links = F.floor(_closure_labels(smiles.bare) / 2) - _fragments(smiles.bare)
+    aromatic = smiles.valid & is_aromatic_text(smiles)
+    doubles = F.when(~aromatic, _valid_or_zero(smiles, _written_bonds(smiles.bare, "=")))
     return F.struct(
         _valid_or_zero(smiles, n_atoms + links).alias("all_bonds"),
         doubles.alias("double_bonds"),
-        _valid_or_zero(smiles, _written_bonds(smiles, "#")).alias("triple_bonds"),
+        _valid_or_zero(smiles, _written_bonds(smiles.bare, "#")).alias("triple_bonds"),
         _valid_or_zero(smiles, F.greatest(n_heavy + links, F.lit(0))).alias("non_hydrogen_bonds"),
-        (parsable(smiles) & aromatic).alias("aromatic_input"),
+        aromatic.alias("aromatic_input"),
     )
 
 

@@ -86,7 +86,7 @@ def example_log(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
 
 
 def _marks(ids: Column, value: int) -> Column:
-    return F.size(F.filter(ids, lambda x: x == value))
+    return F.size(ids) - F.size(F.array_remove(ids, value))
 
 
 def _spread(count: Column, prefix: str) -> list[Column]:

@@ -29,21 +29,29 @@ CHUNK_GROWTH = 4
 HOT_ROWS = 50_000
 
 
-def _runs(chars: Column, runs: Column, size: int, gram: int) -> Column:
-    """``runs`` of ``size`` characters followed by the longer ones; runs over the end are null."""
-    if size == gram:
-        return runs
-    longer = F.zip_with(runs, F.slice(chars, F.lit(size + 1), F.size(chars)), lambda r, c: F.concat(r, c))
-    return F.concat(runs, bind(longer, lambda r: _runs(chars, r, size + 1, gram)))
-
-
 def fingerprint(text: Column, gram: int = 3, bits: int = BITS) -> Column:
-    """Sorted set bits: one per character run of length 1 to ``gram``, hashed by md5."""
+    """Sorted set bits: one per character run of length 1 to ``gram``, hashed by md5.
+
+    Only the longest run at each character is cut out; the shorter ones are its beginnings, and they
+    are taken from the distinct ones.
+    """
     chars = F.filter(F.split(text, ""), lambda c: c != "")
-    every = bind(chars, lambda c: _runs(c, c, 1, gram))
+
+    def longest(c: Column) -> Column:
+        runs = c
+        for step in range(1, gram):
+            following = F.slice(c, F.lit(step + 1), F.size(c))
+            runs = F.zip_with(runs, following, lambda r, n: F.concat(r, F.coalesce(n, F.lit(""))))
+        return F.array_distinct(runs)
+
+    def beginnings(runs: Column) -> Column:
+        begin = lambda n: F.transform(runs, lambda r: F.substring(r, 1, n))
+        shorter = [begin(n) for n in range(1, gram)]
+        return F.array_distinct(F.concat(runs, *shorter))
+
     position = lambda g: (F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("bigint") % bits).cast("int")
-    distinct = F.array_distinct(F.filter(every, lambda g: g.isNotNull()))
-    return F.array_sort(F.array_distinct(F.transform(distinct, position)))
+    every = bind(bind(chars, longest), beginnings)
+    return F.array_sort(F.array_distinct(F.transform(every, position)))
 
 
 def tanimoto(a: Column, b: Column) -> Column:

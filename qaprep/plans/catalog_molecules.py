@@ -38,7 +38,7 @@ _AROMATIC = "contains(smiles, 'c1ccccc1')"
         FROM (SELECT cid, regexp_extract_all(smiles, '\[[^\]]+\]|Br|Cl|%[0-9][0-9]|[A-Za-z0-9=#().]') AS t FROM molecules))""",
 )
 def smiles_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return S.smiles_tokens(X.molecules(spark, folder))
+    return S.smiles_tokens(X.molecules_spread(spark, folder))
 
 
 @query(
@@ -191,12 +191,12 @@ def _unit_graph_sql() -> str:
       UNION ALL SELECT cid, 0, 1, '', false FROM molecules WHERE valid AND starts_with(smiles, '[2H]')""",
 )
 def bond_table(spark: SparkSession, folder: str) -> DataFrame:
-    return S.bond_table(X.molecules(spark, folder))
+    return S.bond_table(X.molecules_spread(spark, folder))
 
 
 @query("longest_chain")
 def longest_chain(spark: SparkSession, folder: str) -> DataFrame:
-    linked = X.molecules(spark, folder).select("cid", "smiles", R.chain_bonds(F.col("smiles")).alias("links"))
+    linked = X.molecules_spread(spark, folder).select("cid", "smiles", R.chain_bonds(F.col("smiles")).alias("links"))
     chain = R.longest_chain(F.col("smiles"), F.col("links"))
     return linked.select("cid", "smiles", F.array_join(chain.cast("array<string>"), " ").alias("chain"))
 
@@ -212,7 +212,7 @@ def longest_chain(spark: SparkSession, folder: str) -> DataFrame:
 )
 def property_set(spark: SparkSession, folder: str) -> DataFrame:
     """The answer columns the SQL can follow; ring and chain texts are tested on their own."""
-    answered = Q.question_set("molecular_properties")(X.molecules(spark, folder))
+    answered = Q.question_set("molecular_properties")(X.molecules_table(spark, folder))
     return answered.select(
         "cid", "hydrogen_count", "heavy_atom_count", "net_formal_charge", "kekulized_smiles", "element_counts",
         "stereo_summary", "molecular_formula", "iupac_name",
@@ -226,7 +226,7 @@ def property_set(spark: SparkSession, folder: str) -> DataFrame:
       FROM molecules WHERE valid AND (iupac IS NULL OR trim(iupac) <> '')""",
 )
 def all_properties(spark: SparkSession, folder: str) -> DataFrame:
-    answered = Q.question_set("all_properties")(X.molecules(spark, folder))
+    answered = Q.question_set("all_properties")(X.molecules_table(spark, folder))
     return answered.select("cid", "carbon_count", "ring_count", "triple_bond_count", "non_hydrogen_bond_count")
 
 

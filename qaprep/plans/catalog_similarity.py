@@ -26,7 +26,7 @@ _TANIMOTO = f"({_SHARED} / (len(a.fp) + len(b.fp) - {_SHARED}))"
 
 def prints(spark: SparkSession, folder: str) -> DataFrame:
     bits = F.when(F.col("valid"), C.fingerprint(F.col("smiles"))).otherwise(F.array().cast("array<int>"))
-    return X.molecules(spark, folder).select("cid", "num_atoms", bits.alias("bits"))
+    return X.molecules_spread(spark, folder).select("cid", "num_atoms", bits.alias("bits"))
 
 
 @query("fingerprint", FINGERPRINTS + "SELECT cid, array_to_string(fp, ' ') AS bits FROM prints")
@@ -44,7 +44,7 @@ def fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 )
 def fingerprint_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts."""
-    found = X.read(spark, folder, "documents").select("doc_id", C.fingerprint(F.col("text")).alias("fp"))
+    found = X.spread_out(spark, folder, "documents", "doc_id", "text").select("doc_id", C.fingerprint(F.col("text")).alias("fp"))
     shown = F.array_join(F.col("fp").cast("array<string>"), " ").alias("bits")
     return found.filter(F.size("fp") > 0).select("doc_id", F.size("fp").cast("bigint").alias("n_bits"), shown)
 

@@ -159,7 +159,7 @@ def headerless_tsv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
-    table = X.molecules(spark, folder).select("cid", "smiles", "formula", "iupac", "num_atoms")
+    table = X.molecules_spread(spark, folder).select("cid", "smiles", "formula", "iupac", "num_atoms")
     split = F.expr("CASE WHEN cid % 10 < 8 THEN 'train' WHEN cid % 10 = 8 THEN 'valid' ELSE 'test' END")
     return expand_templates(table.withColumn("split", split), FLAGSHIP)
 
@@ -206,7 +206,7 @@ def generate(spark: SparkSession, folder: str) -> DataFrame:
             Template("repeat", "Repeat {kekulized_smiles}\n", "<answer>{kekulized_smiles}</answer>\n"),
         ],
     )
-    records = generate_questions(X.molecules(spark, folder), config, low=3, high=45)
+    records = generate_questions(X.molecules_table(spark, folder), config, low=3, high=45)
     return records.select("question_id", "split", "metadata.cid", "metadata.kekulized_smiles", "metadata.net_formal_charge")
 
 

@@ -42,7 +42,7 @@ def shown_sql(ids: str) -> str:
         SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]')) AS token FROM documents) GROUP BY token)""",
 )
 def build_vocab(spark: SparkSession, folder: str) -> DataFrame:
-    return N.build_vocab(X.read(spark, folder, "documents"), "text")
+    return N.build_vocab(X.spread_out(spark, folder, "documents"), "text")
 
 
 @query(
@@ -54,7 +54,7 @@ def build_vocab(spark: SparkSession, folder: str) -> DataFrame:
 def encode(spark: SparkSession, folder: str) -> DataFrame:
     text = F.col("text")
     mask = N.attention_mask(N.token_count(text, MAX_LENGTH), MAX_LENGTH)
-    return X.read(spark, folder, "documents").select(
+    return X.spread_out(spark, folder, "documents").select(
         "doc_id",
         shown(N.pad_left(N.token_ids(text, MAX_LENGTH), MAX_LENGTH)).alias("input_ids"),
         shown(mask).alias("attention_mask"),
@@ -72,7 +72,7 @@ def encode(spark: SparkSession, folder: str) -> DataFrame:
       FROM pieces LEFT JOIN known USING (token) GROUP BY doc_id""",
 )
 def encode_words(spark: SparkSession, folder: str) -> DataFrame:
-    documents = X.read(spark, folder, "documents")
+    documents = X.spread_out(spark, folder, "documents")
     vocab = N.build_vocab(documents, "text", size=2000)
     coded = N.encode_words(documents.select("doc_id", "text"), "text", vocab)
     return coded.filter(F.size("input_ids") > 0).select("doc_id", shown(F.col("input_ids")).alias("input_ids"))
@@ -82,7 +82,7 @@ def encode_words(spark: SparkSession, folder: str) -> DataFrame:
 def decode(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts there and back."""
     ids = N.pad_left(N.byte_ids(F.col("text")), F.octet_length("text") + 3)
-    return X.read(spark, folder, "documents").select("doc_id", N.decode_ids(ids).alias("text"))
+    return X.spread_out(spark, folder, "documents").select("doc_id", N.decode_ids(ids).alias("text"))
 
 
 _ANSWER = "substr(text, 20, 12)"
@@ -105,7 +105,7 @@ def _span_sql(prompt: str, answer: str, limit: int) -> str:
 def answer_span(spark: SparkSession, folder: str) -> DataFrame:
     answer = F.substring("text", 20, 12)
     span = N.answer_span(F.col("text"), answer, 64)
-    found = X.read(spark, folder, "documents").select("doc_id", span.alias("span"))
+    found = X.spread_out(spark, folder, "documents").select("doc_id", span.alias("span"))
     return found.select("doc_id", F.col("span.start").cast("bigint").alias("start"), F.col("span.stop").cast("bigint").alias("stop"))
 
 
@@ -115,7 +115,7 @@ def answer_span(spark: SparkSession, folder: str) -> DataFrame:
       WHERE length(text) >= 20 UNION ALL SELECT doc_id, 0 FROM documents WHERE length(text) < 20""",
 )
 def subsequence_find(spark: SparkSession, folder: str) -> DataFrame:
-    rows = X.read(spark, folder, "documents")
+    rows = X.spread_out(spark, folder, "documents")
     found = N.find_ids(N.byte_ids(F.col("text")), N.byte_ids(F.substring("text", 20, 12)))
     return rows.select("doc_id", found.cast("bigint").alias("found"))
 
@@ -127,7 +127,7 @@ TRAIN_LENGTH = 200
 
 
 def _training(spark: SparkSession, folder: str) -> DataFrame:
-    rows = X.read(spark, folder, "documents").selectExpr("doc_id", f"{_PROMPT} || {_TAGGED} AS whole", f"{_TAGGED} AS answer")
+    rows = X.spread_out(spark, folder, "documents").selectExpr("doc_id", f"{_PROMPT} || {_TAGGED} AS whole", f"{_TAGGED} AS answer")
     ids = N.pad_left(N.token_ids(F.col("whole"), TRAIN_LENGTH, True), TRAIN_LENGTH)
     return rows.withColumn("ids", ids)
 
@@ -180,7 +180,7 @@ _EVAL_SQL = f"list_slice(list_concat({bytes_sql('text')}, [256]), 1, {LABEL_LENG
     f"SELECT doc_id, {shown_sql(padded_sql('ids', str(LABEL_LENGTH), N.MASKED))} AS labels FROM (SELECT doc_id, {_EVAL_SQL} AS ids FROM documents)",
 )
 def eval_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return X.read(spark, folder, "documents").select("doc_id", shown(N.eval_labels(F.col("text"), LABEL_LENGTH)).alias("labels"))
+    return X.spread_out(spark, folder, "documents").select("doc_id", shown(N.eval_labels(F.col("text"), LABEL_LENGTH)).alias("labels"))
 
 
 @query(
@@ -200,7 +200,7 @@ def decode_labels(spark: SparkSession, folder: str) -> DataFrame:
       FROM (SELECT doc_id, {bytes_sql('lang || source || substr(text, 1, CAST(doc_id % 9 AS INT))')} AS ids FROM documents))""",
 )
 def left_pad_batch(spark: SparkSession, folder: str) -> DataFrame:
-    rows = X.read(spark, folder, "documents").selectExpr(
+    rows = X.spread_out(spark, folder, "documents").selectExpr(
         "doc_id", "floor(doc_id / 64) AS batch", "lang || source || substr(text, 1, CAST(doc_id % 9 AS INT)) AS t"
     )
     coded = rows.select("doc_id", "batch", N.byte_ids(F.col("t")).alias("ids"))
@@ -218,7 +218,7 @@ def sanitize_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def _tokenised(spark: SparkSession, folder: str) -> DataFrame:
     """Two datasets with three splits each, made of the documents."""
-    rows = X.read(spark, folder, "documents").selectExpr(
+    rows = X.spread_out(spark, folder, "documents").selectExpr(
         "doc_id", "text", "CASE WHEN doc_id % 2 = 0 THEN 'full' ELSE 'minimal' END AS dataset",
         "CASE WHEN doc_id % 10 < 7 THEN 'train' WHEN doc_id % 10 < 9 THEN 'valid' ELSE 'test' END AS split",
     )
@@ -267,7 +267,7 @@ def dataset_profile(spark: SparkSession, folder: str) -> DataFrame:
 def score_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts as ids, a third of the predictions altered."""
     said = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))
-    rows = X.read(spark, folder, "documents").select(
+    rows = X.spread_out(spark, folder, "documents").select(
         N.byte_ids(F.concat(F.lit(OPEN_TAG), said, F.lit(CLOSE_TAG))).alias("pred_ids"),
         N.pad_left(N.byte_ids(F.concat(F.lit(OPEN_TAG), F.col("text"), F.lit(CLOSE_TAG))), F.octet_length("text") + 40, N.MASKED).alias("labels"),
     )

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from qaprep.session import spread, write_through
+
 # Chain unit, its C H N O P S Cl F counts, its charge.
 UNITS = [
     ("C", (1, 2, 0, 0, 0, 0, 0, 0), 0),
@@ -103,10 +105,25 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_out(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a table ahead of heavy work per row: a few files must not mean a few tasks."""
+    table = read(spark, folder, name)
+    return spread(table.select(*columns) if columns else table)
+
+
 def molecules(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(molecules_select("spark", "{part}"), part=read(spark, folder, "part"))
 
 
+def molecules_spread(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql(molecules_select("spark", "{part}"), part=spread_out(spark, folder, "part"))
+
+
+def molecules_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The view as a written table, for plans that are long themselves."""
+    return write_through(molecules_spread(spark, folder), "molecules")
+
+
 MOLECULES = f"WITH molecules AS ({molecules_select('duckdb')})\n"
 
 # Gold answers and predictions from ``events``: a third is wrong, JSON ones are written differently.

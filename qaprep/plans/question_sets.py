@@ -36,7 +36,7 @@ def json_nested(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, json_list), ", "), F.lit("]"))
 
 
-def scalar_counts(smiles: Column) -> dict[str, Column]:
+def scalar_counts(smiles: Column | S.Scan) -> dict[str, Column]:
     """Single-number answers, by the names the templates use."""
     charge, bond = S.charge_counts(smiles), S.bond_counts(smiles)
     counts = {f"{name}_count": S.element_count(smiles, e) for name, e in SCALAR_ELEMENTS.items()}
@@ -50,23 +50,20 @@ def scalar_counts(smiles: Column) -> dict[str, Column]:
     }
 
 
-LINKS = "_links"
-
-
-def property_answers(df: DataFrame) -> dict[str, Column]:
-    """The answer columns this table has the inputs for; the chain reads the bonds in ``LINKS``."""
-    smiles, formula = F.col("smiles"), F.col("formula")
-    valid = S.parsable(smiles)
+def property_answers(df: DataFrame, smiles: S.Scan, links: Column) -> dict[str, Column]:
+    """The answer columns this table has the inputs for; ``links`` are the bonds the chain reads."""
+    formula = F.col("formula")
     bond, charge = S.bond_counts(smiles), S.charge_counts(smiles)
+    hill = S.hill_formula(S.formula_counts(formula), charge["net"])
     answers = {
-        "longest_chain": answer_json({"longest_carbon_chain": json_list(R.longest_chain(smiles, F.col(LINKS)))}),
-        "hydrogen_count": F.when(valid, S.hydrogen_count(formula)).otherwise(F.lit(0)),
+        "longest_chain": answer_json({"longest_carbon_chain": json_list(R.longest_chain(smiles, links))}),
+        "hydrogen_count": F.when(smiles.valid, S.hydrogen_count(formula)).otherwise(F.lit(0)),
         "heavy_atom_count": S.heavy_atom_count(smiles),
         "net_formal_charge": charge["net"],
-        "kekulized_smiles": F.when(~valid, "").when(~S.is_aromatic_text(smiles), smiles),
+        "kekulized_smiles": F.when(~smiles.valid, "").when(~S.is_aromatic_text(smiles), smiles.text),
         "element_counts": answer_json({e: S.element_count(smiles, e) for e in S.ELEMENTS}),
         "bond_counts": answer_json({n: bond[n] for n in ("all_bonds", "double_bonds", "triple_bonds")}),
-        "molecular_formula": F.when(valid, S.hill_formula(S.formula_counts(formula), charge["net"])).otherwise(""),
+        "molecular_formula": F.when(smiles.valid, hill).otherwise(""),
     }
     if "kekulized_smiles" in df.columns:
         answers["kekulized_smiles"] = F.col("kekulized_smiles")
@@ -82,29 +79,35 @@ def property_answers(df: DataFrame) -> dict[str, Column]:
     return answers | {name: F.col(name) for name in SUPPLIED if name in df.columns}
 
 
-# Answers that can be empty. The others are numbers or JSON and always have text, so the validity
-# test need not look at them, and the filter stays cheap when it is pushed below the projection.
-MAY_BE_EMPTY = ("kekulized_smiles", "molecular_formula", "iupac_name", *SUPPLIED)
-
-
-def _with_answers(df: DataFrame, answers: dict[str, Column]) -> DataFrame:
+def _with_answers(df: DataFrame, scalars: bool) -> DataFrame:
     """All answers as text; rows with an empty one are dropped. A null is the text ``None``, as in
-    a stringified list, and stays."""
-    linked = df.withColumn(LINKS, R.chain_bonds(F.col("smiles")))
-    named = replace_answers(linked, {name: as_text(value) for name, value in answers.items()}).drop(LINKS)
-    return named.filter(answers_valid([name for name in answers if name in MAY_BE_EMPTY]))
+    a stringified list, and stays.
+
+    Computed answers are numbers or JSON and never empty, but for structure and formula of a row that
+    does not parse or has no formula: testing that, the name and the supplied columns comes to the
+    same, before anything is computed.
+    """
+    require_columns(df, ["smiles", "formula", "iupac"])
+    supplied = [c for c in ("kekulized_smiles", *SUPPLIED) if c in df.columns]
+    table, smiles = S.with_scan(df)
+    table = table.filter(smiles.valid & F.col("formula").rlike("[A-Z]") & answers_valid(["iupac", *supplied]))
+    table = table.withColumn("_links", S.bonds(smiles.text))
+    answers = property_answers(df, smiles, F.col("_links"))
+    if scalars:
+        answers |= scalar_counts(smiles)
+    answers["iupac_name"] = F.col("iupac")
+    named = replace_answers(table, {name: as_text(value) for name, value in answers.items()})
+    return named.drop("_links", *S.SCAN_COLUMNS)
 
 
 def molecular_properties(df: DataFrame) -> DataFrame:
     """The property answers and the name."""
-    require_columns(df, ["smiles", "formula", "iupac"])
-    return _with_answers(df, property_answers(df) | {"iupac_name": F.col("iupac")})
+    return _with_answers(df, scalars=False)
 
 
 def property_counts(df: DataFrame) -> DataFrame:
     """Property answers, the single-number answers next to them, and the name."""
-    require_columns(df, ["smiles", "formula", "iupac"])
-    return _with_answers(df, property_answers(df) | scalar_counts(F.col("smiles")) | {"iupac_name": F.col("iupac")})
+    return _with_answers(df, scalars=True)
 
 
 def iupac_naming(df: DataFrame) -> DataFrame:
