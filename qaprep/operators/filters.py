@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaprep.functions.text import as_text, strip
+from qaprep.operators.joins import sliced_join
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -107,7 +108,7 @@ def resume_anti_join(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return wanted.join(done.select(key), key, "left_anti")
 
 
-def duplicate_groups(df: DataFrame, column: str) -> DataFrame:
-    """The rows whose value occurs more than once."""
+def duplicate_groups(df: DataFrame, column: str, key: str) -> DataFrame:
+    """The rows whose value occurs more than once; ``key`` identifies a row."""
     repeated = df.groupBy(column).agg(F.count("*").alias("_n")).filter("_n > 1").select(column)
-    return df.join(repeated, column, "left_semi")
+    return sliced_join(df, repeated, [column], [key], "left_semi")

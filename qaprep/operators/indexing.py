@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from qaprep.operators.joins import sliced_join
 from qaprep.session import write_through
 
 # Up to here a prefix is cheaper as a top-k; beyond it the rows stay distributed.
@@ -39,17 +39,15 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_
 def group_positions(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], name: str = "member_no"
 ) -> DataFrame:
-    """Zero-based position inside each group, also for groups no task could hold.
+    """Zero-based position inside each group, also for groups no task could hold. Rows without a
+    group are left out.
 
     The global order by (groups, order) keeps a group contiguous; its first position is a plain
     minimum, which combines map-side.
     """
     indexed = global_index(df, [*groups, *order], "_global")
-    starts = indexed.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]).agg(
-        F.min("_global").alias("_start")
-    )
-    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
-    joined = indexed.join(starts, reduce(Column.__and__, same))
+    starts = indexed.groupBy(*groups).agg(F.min("_global").alias("_start"))
+    joined = sliced_join(indexed, starts, groups, ["_global"])
     return joined.select(*df.columns, (F.col("_global") - F.col("_start")).alias(name))
 
 

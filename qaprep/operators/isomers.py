@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from qaprep.functions.hashing import draw
 from qaprep.operators.indexing import global_index, group_positions
+from qaprep.operators.joins import sliced_join
 
 LETTERS = "ABCD"
 DECOYS = 3
@@ -33,8 +34,8 @@ def _number_candidates(df: DataFrame, columns: Sequence[str], formula: str, key:
     per_formula = per_key.groupBy(formula).agg(
         F.min("_key_first").alias("_first"), F.sum("_key_size").alias("_size")
     )
-    runs = per_key.join(per_formula, formula)
-    return rows.join(runs, [formula, key]).withColumn("n_isomers", F.col("_size") - F.col("_key_size"))
+    runs = sliced_join(per_key, per_formula, [formula], [key])
+    return sliced_join(rows, runs, [formula, key], [row_id]).withColumn("n_isomers", F.col("_size") - F.col("_key_size"))
 
 
 def isomer_pairs(df: DataFrame, formula: str = "formula", key: str = "connectivity_key", row_id: str = "cid") -> DataFrame:

@@ -124,13 +124,15 @@ def _similar_condition(threshold: float, words: Sequence[str]) -> str:
     )
 
 
-def _meet(big: DataFrame, small: DataFrame, condition: str, how: str = "inner", also: str = "") -> DataFrame:
+def _meet(n_rows: int, big: DataFrame, small: DataFrame, condition: str, how: str = "inner", also: str = "") -> DataFrame:
     """Join prefix rows ``a`` (big) and ``b`` (small) on the bit.
 
-    The rows of a bit that very many rows have are cut into slices and meet a copy of the other
-    side's rows each, so no task gets a whole hot bit. The counts, one per hot bit, are at most 2048.
+    The rows of a bit that very many of the ``n_rows`` fingerprints have are cut into slices and meet
+    a copy of the other side's rows each, so no task gets a whole hot bit. The counts, one per hot
+    bit, are at most 2048.
     """
-    counts = big.groupBy("bit").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).collect()
+    per_bit = big.groupBy("bit").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS)
+    counts = per_bit.collect() if n_rows > HOT_ROWS else []
     slices = F.lit(1)
     if counts:
         pairs = [F.lit(x) for row in counts for x in (row["bit"], math.ceil(row["n"] / HOT_ROWS))]
@@ -159,7 +161,7 @@ def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
     marked = rows.select("*", *_bits_below(prints))
     earlier = " | ".join(f"(a.below_{i} & b.{w})" for i, w in enumerate(words))
     condition = f"a.id < b.id AND ({earlier}) = 0 AND {_similar_condition(threshold, words)}"
-    return _meet(marked, rows, condition).select(
+    return _meet(prints.count(), marked, rows, condition).select(
         F.col("a.id").alias("id_a"),
         F.col("b.id").alias("id_b"),
         F.expr(_shared(words, "a", "b")).alias("shared"),
@@ -221,7 +223,7 @@ def _chunks(prints: DataFrame) -> list[DataFrame]:
 def _without_near(rows: DataFrame, picks: DataFrame, similarity: float) -> DataFrame:
     """Rows that are not near any pick."""
     condition = _similar_condition(similarity, word_columns(rows))
-    near = _meet(_prefix(rows, similarity), _prefix(picks, similarity), condition, "left_semi")
+    near = _meet(rows.count(), _prefix(rows, similarity), _prefix(picks, similarity), condition, "left_semi")
     return rows.join(near.select("id").distinct(), "id", "left_anti")
 
 
@@ -290,7 +292,7 @@ def similar_join(
         wanted = _prefix(open_picks, low, size).withColumn(
             "slot", F.explode(F.sequence(slot(F.col(size) * SIZE_LOW), slot(F.col(size) * SIZE_HIGH)))
         )
-        found = _meet(rows, wanted, condition, also="a.slot = b.slot AND ")
+        found = _meet(chunk.count(), rows, wanted, condition, also="a.slot = b.slot AND ")
         hits = found.groupBy(F.col("b.id").alias("id")).agg(F.min("a.id").alias("similar_id"))
         hits = write_through(hits, "similar")
         matched = hits if matched is None else matched.unionByName(hits)

@@ -175,9 +175,7 @@ def _unit_graph_sql() -> str:
     return f"units(unit, size, last) AS (VALUES {units}), unit_bonds(unit, a, b, o, r) AS (VALUES {bonds})"
 
 
-@query(
-    "bond_table",
-    M.rstrip() + f""", {_unit_graph_sql()},
+_GRAPH = M.rstrip() + f""", {_unit_graph_sql()},
       placed AS (SELECT cid, place, instr('0123456789abcdef', substr(md5(CAST(cid AS VARCHAR)), CAST(place AS INT), 1)) AS unit
         FROM (SELECT cid, unnest(generate_series(1, n_units)) AS place FROM molecules WHERE valid)),
       ends AS (SELECT cid, 0 AS place, 1 AS size, 0 AS last, 0 AS unit FROM molecules WHERE valid
@@ -185,11 +183,15 @@ def _unit_graph_sql() -> str:
       chain AS (SELECT cid, place, size, last, unit FROM placed JOIN units USING (unit) UNION ALL SELECT * FROM ends),
       numbered AS (SELECT c.cid, place, last, unit, {_LABEL} + coalesce(sum(size) OVER (PARTITION BY c.cid ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
         FROM chain c JOIN molecules m USING (cid)),
-      linked AS (SELECT cid, lag(first + last) OVER (PARTITION BY cid ORDER BY place) AS a, first AS b FROM numbered)
-      SELECT cid, CAST(a AS INT) AS a, CAST(b AS INT) AS b, '' AS bond_order, false AS ring_closure FROM linked WHERE a IS NOT NULL
-      UNION ALL SELECT n.cid, CAST(n.first + u.a AS INT), CAST(n.first + u.b AS INT), u.o, u.r FROM numbered n JOIN unit_bonds u USING (unit)
-      UNION ALL SELECT cid, 0, 1, '', false FROM molecules WHERE valid AND starts_with(smiles, '[2H]')""",
-)
+      linked AS (SELECT cid, lag(first + last) OVER (PARTITION BY cid ORDER BY place) AS a, first AS b FROM numbered),
+      bonds AS (
+        SELECT cid, CAST(a AS INT) AS a, CAST(b AS INT) AS b, '' AS bond_order, false AS ring_closure FROM linked WHERE a IS NOT NULL
+        UNION ALL SELECT n.cid, CAST(n.first + u.a AS INT), CAST(n.first + u.b AS INT), u.o, u.r FROM numbered n JOIN unit_bonds u USING (unit)
+        UNION ALL SELECT cid, 0, 1, '', false FROM molecules WHERE valid AND starts_with(smiles, '[2H]'))
+"""
+
+
+@query("bond_table", _GRAPH + "SELECT cid, a, b, bond_order, ring_closure FROM bonds")
 def bond_table(spark: SparkSession, folder: str) -> DataFrame:
     return S.bond_table(X.molecules_spread(spark, folder))
 
@@ -201,6 +203,29 @@ def longest_chain(spark: SparkSession, folder: str) -> DataFrame:
     return linked.select("cid", "smiles", F.array_join(chain.cast("array<string>"), " ").alias("chain"))
 
 
+# carbons outside rings inside each unit; the end atoms are carbons too
+_OPEN = {"C": [0], "[C@H](O)": [0], "C(=O)": [0], "C(F)": [0], "C(Cl)": [0], "C=C": [0, 1], "C#C": [0, 1], "[N+](C)(C)": [1, 2], "C(C(=O)[O-])": [0, 1]}
+_OPEN_SQL = ", ".join(f"({i}, {at})" for i, u in enumerate(X.UNITS, start=1) for at in _OPEN.get(u[0], [])) + ", (0, 0)"
+
+
+@query(
+    "longest_chain_length",
+    _GRAPH.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""", unit_open(unit, place_in) AS (VALUES {_OPEN_SQL}),
+      open_atoms AS (SELECT n.cid, n.first + u.place_in AS atom FROM numbered n JOIN unit_open u USING (unit)),
+      steps AS (
+        SELECT k.cid, k.a AS x, k.b AS y FROM bonds k JOIN open_atoms p ON p.cid = k.cid AND p.atom = k.a JOIN open_atoms q ON q.cid = k.cid AND q.atom = k.b
+        UNION ALL SELECT k.cid, k.b, k.a FROM bonds k JOIN open_atoms p ON p.cid = k.cid AND p.atom = k.a JOIN open_atoms q ON q.cid = k.cid AND q.atom = k.b),
+      walks AS (
+        SELECT cid, atom AS here, -1 AS came, 1 AS n FROM open_atoms
+        UNION ALL SELECT w.cid, s.y, w.here, w.n + 1 FROM walks w JOIN steps s ON s.cid = w.cid AND s.x = w.here AND s.y <> w.came)
+      SELECT m.cid, coalesce(max(w.n), 0) AS chain_length FROM molecules m LEFT JOIN walks w USING (cid) GROUP BY m.cid""",
+)
+def longest_chain_length(spark: SparkSession, folder: str) -> DataFrame:
+    linked = X.molecules_spread(spark, folder).select("cid", "smiles", R.chain_bonds(F.col("smiles")).alias("links"))
+    chain = R.longest_chain(F.col("smiles"), F.col("links"))
+    return linked.select("cid", F.size(chain).alias("chain_length"))
+
+
 @query(
     "property_set",
     M + f"""SELECT cid, CAST(n_h AS VARCHAR) AS hydrogen_count, CAST({_HEAVY} AS VARCHAR) AS heavy_atom_count, CAST(net_charge AS VARCHAR) AS net_formal_charge,

@@ -247,7 +247,7 @@ def take_rows(spark: SparkSession, folder: str) -> DataFrame:
     M + "SELECT cid, formula FROM molecules WHERE formula IN (SELECT formula FROM molecules GROUP BY 1 HAVING count(*) > 1)",
 )
 def duplicate_groups(spark: SparkSession, folder: str) -> DataFrame:
-    return P.duplicate_groups(X.molecules(spark, folder).select("cid", "formula"), "formula").orderBy("formula", "cid")
+    return P.duplicate_groups(X.molecules(spark, folder).select("cid", "formula"), "formula", "cid").orderBy("formula", "cid")
 
 
 @query(
@@ -367,7 +367,7 @@ def split_counts(spark: SparkSession, folder: str) -> DataFrame:
 )
 def sorted_set(spark: SparkSession, folder: str) -> DataFrame:
     words = F.split(F.regexp_replace("text", "[^A-Za-z ]", ""), " ")
-    return X.read(spark, folder, "documents").select("doc_id", F.array_join(O.sorted_set(words), " ").alias("members"))
+    return X.spread_out(spark, folder, "documents", "doc_id", "text").select("doc_id", F.array_join(O.sorted_set(words), " ").alias("members"))
 
 
 @query(

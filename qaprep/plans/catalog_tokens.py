@@ -75,7 +75,7 @@ def encode_words(spark: SparkSession, folder: str) -> DataFrame:
     documents = X.spread_out(spark, folder, "documents")
     vocab = N.build_vocab(documents, "text", size=2000)
     coded = N.encode_words(documents.select("doc_id", "text"), "text", vocab)
-    return coded.filter(F.size("input_ids") > 0).select("doc_id", shown(F.col("input_ids")).alias("input_ids"))
+    return coded.select("doc_id", shown(F.col("input_ids")).alias("input_ids"))
 
 
 @query("decode", "SELECT doc_id, text FROM documents")

@@ -8,7 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from qaprep.functions.binding import bind
-from qaprep.operators import conversations, filters, indexing, isomers, reactions, sampling, similarity
+from qaprep.operators import conversations, filters, indexing, isomers, joins, reactions, sampling, similarity
+
+
+@pytest.fixture(autouse=True)
+def small_slices(monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 40)  # groups beyond 40 rows are cut into slices
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +45,18 @@ def test_group_positions_and_top(skewed):
         assert {r.cid for r in top if r.formula == group} == {r.cid for r in best}
 
 
+def test_sliced_join(spark, skewed):
+    assert [n for _, n in joins.hot_keys(skewed, ["formula"])] == [8]  # 300 rows of 40
+    names = skewed.select("formula").distinct().filter("formula <> 'g1'").withColumn("name", F.upper("formula"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = skewed.join(names, "formula", how)
+        sliced = joins.sliced_join(skewed, names, ["formula"], ["cid"], how)
+        assert sliced.columns == plain.columns
+        assert plain.exceptAll(sliced).isEmpty() and sliced.exceptAll(plain).isEmpty()
+    repeated = filters.duplicate_groups(skewed.select("cid", "formula"), "formula", "cid")
+    assert repeated.count() == skewed.join(skewed.groupBy("formula").count().filter("count > 1"), "formula").count()
+
+
 def test_first_rows_both_ways(skewed, monkeypatch):
     few = {r.cid for r in indexing.first_rows(skewed, ["v", "cid"], 50).collect()}
     monkeypatch.setattr(indexing, "TOP_K_ROWS", 10)
