@@ -81,17 +81,11 @@ def word_columns(prints: DataFrame) -> list[str]:
     return [c for c in prints.columns if c.startswith("word_")]
 
 
-def distinct_prints(df: DataFrame, key: str, bits: str, also: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct (fingerprint, *also): lowest key, number of rows, bits, 64-bit words.
-    Bits are renumbered by rarity, and only as many words are kept as there are bits in use. Rows
-    without bits are left out: they resemble nothing."""
-    filled = df.filter(F.size(bits) > 0)
-    unique = filled.groupBy(bits, *also).agg(F.min(key).alias("id"), F.count("*").alias("n_rows"))
-    unique = write_through(unique, "prints")
-    ranks = bit_ranks(unique, bits)
+def number_bits(df: DataFrame, ranks: dict[int, int]) -> DataFrame:
+    """Renumber ``bits`` by rank, count them and pack them into 64-bit words: as many words as there
+    are bits in use."""
     table = F.expr("array(" + ", ".join(str(ranks.get(bit, 0)) for bit in range(BITS)) + ")")
-    ranked = unique.withColumn("bits", F.array_sort(F.transform(F.col(bits), lambda b: F.get(table, b))))
-    ranked = ranked.select("id", "n_rows", *also, "bits", F.size("bits").alias("n_bits"))
+    ranked = df.withColumn("bits", F.array_sort(F.transform("bits", lambda b: F.get(table, b))))
     one = F.lit(1).cast("bigint")
 
     def word(number: int) -> Column:
@@ -100,7 +94,17 @@ def distinct_prints(df: DataFrame, key: str, bits: str, also: Sequence[str] = ()
         return F.aggregate(members, F.lit(0).cast("bigint"), add).alias(f"word_{number}")
 
     n_words = max(1, math.ceil(len(ranks) / 64))
-    return write_through(ranked.select("*", *[word(w) for w in range(n_words)]), "prints")
+    words = [word(w) for w in range(n_words)]
+    return write_through(ranked.select("*", F.size("bits").alias("n_bits"), *words), "prints")
+
+
+def distinct_prints(df: DataFrame, key: str, bits: str, also: Sequence[str] = ()) -> tuple[DataFrame, dict[int, int]]:
+    """One numbered row per distinct (fingerprint, *also): lowest key as ``id``, number of rows; and
+    the ranks of the bits. Rows without bits are left out: they resemble nothing."""
+    filled = df.filter(F.size(bits) > 0).groupBy(F.col(bits).alias("bits"), *also)
+    unique = write_through(filled.agg(F.min(key).alias("id"), F.count("*").alias("n_rows")), "unique")
+    ranks = bit_ranks(unique, "bits")
+    return number_bits(unique, ranks), ranks
 
 
 def _prefix(prints: DataFrame, threshold: float, *keep: str) -> DataFrame:
@@ -176,7 +180,7 @@ def similarity_join(df: DataFrame, key: str, bits: str, threshold: float) -> Dat
     (id_a, id_b, n_a, n_b, similarity): a fingerprint stands for its ``n`` rows and is named by the
     lowest key. A fingerprint that several rows have also appears with itself, similarity 1.
     """
-    prints = distinct_prints(df, key, bits)
+    prints, _ = distinct_prints(df, key, bits)
     pairs = similar_pairs(prints, threshold)
     names = prints.select("id", "n_rows")
     similarity = F.col("shared") / (F.col("n_bits_a") + F.col("n_bits_b") - F.col("shared"))
@@ -254,13 +258,14 @@ def leader_pick(df: DataFrame, key: str, bits: str, distance: float = PICK_DISTA
     chunks meet the picks only, not one another's copies and near copies.
     """
     similarity = round(1.0 - distance, 12)
-    prints = distinct_prints(df, key, bits)
+    table = write_through(df.select(key, bits), "fingerprints")
+    prints, _ = distinct_prints(table, key, bits)
     picks: DataFrame | None = None
     for chunk in _chunks(prints):
         live = chunk if picks is None else write_through(_without_near(chunk, picks, similarity), "live")
         found = write_through(_first_independent(live, similarity), "picks")
         picks = found if picks is None else picks.unionByName(found)
-    blank = df.filter(F.size(bits) == 0).select(F.col(key))
+    blank = table.filter(F.size(bits) == 0).select(key)
     return picks.select(F.col("id").alias(key)).unionByName(blank)
 
 
@@ -274,10 +279,11 @@ def similar_join(
     Rows are searched in growing chunks of the key order; a pick leaves at its first match, so the
     large chunks meet only picks that are still without. Rows equal in fingerprint and size are one.
     """
-    prints = distinct_prints(df, key, bits, also=[size])
-    lookup = df.filter(F.size(bits) > 0).join(picks.select(key), key, "left_semi")
-    ranks = _pick_prints(lookup, df, prints, key, bits, size)
-    open_picks, matched = ranks, None
+    table = write_through(df.select(key, bits, size), "fingerprints")
+    prints, ranks = distinct_prints(table, key, bits, also=[size])
+    chosen = table.filter(F.size(bits) > 0).join(picks.select(key).distinct(), key, "left_semi")
+    open_picks = number_bits(chosen.select(F.col(key).alias("id"), F.col(bits).alias("bits"), size), ranks)
+    matched = None
     band = math.log(SIZE_HIGH)
     slot = lambda value: F.floor(F.log(F.greatest(value.cast("double"), F.lit(1e-9))) / F.lit(band))
     words = word_columns(prints)
@@ -300,14 +306,6 @@ def similar_join(
     return matched.withColumnRenamed("id", key)
 
 
-def _pick_prints(lookup: DataFrame, df: DataFrame, prints: DataFrame, key: str, bits: str, size: str) -> DataFrame:
-    """The picks themselves, with the renumbered bits of the row that stands for their fingerprint."""
-    owners = df.filter(F.size(bits) > 0).groupBy(bits, size).agg(F.min(key).alias("_owner"))
-    named = lookup.select(key, bits, size).join(owners, [bits, size]).select(F.col(key).alias("_pick"), "_owner")
-    owned = prints.withColumnRenamed("id", "_owner")
-    return write_through(named.join(owned, "_owner").drop("_owner").withColumnRenamed("_pick", "id"), "picks")
-
-
 def merge_picks(picks: DataFrame, similar: DataFrame, key: str) -> DataFrame:
     """Picks and their similar rows, each key once."""
     return picks.select(key).union(similar.select(F.col("similar_id").alias(key))).distinct()
