@@ -52,7 +52,7 @@ def group_positions(
 
 
 def top_per_group(
-    df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, salt: Column, salts: int = 32
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, salt: Column, salts: int = 256
 ) -> DataFrame:
     """The first ``n`` rows of each group. A first cut inside (group, salt) spreads a hot group over
     many tasks; what is left for the second cut is at most ``salts * n`` rows per group."""

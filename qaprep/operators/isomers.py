@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from qaprep.functions.hashing import draw
 from qaprep.operators.indexing import global_index, group_positions
 from qaprep.operators.joins import sliced_join
+from qaprep.session import write_through
 
 LETTERS = "ABCD"
 DECOYS = 3
@@ -66,7 +67,8 @@ def sample_candidates(
     carry: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with ``n_isomers``, draws): each draw is (id, slot, candidate number, repeat flag)."""
-    numbered = _number_candidates(df, [row_id, formula, key, *carry], formula, key, row_id).filter("n_isomers > 0")
+    ready = _number_candidates(df, [row_id, formula, key, *carry], formula, key, row_id).filter("n_isomers > 0")
+    numbered = write_through(ready, "isomers")  # read three times: drawing, fetching, the rows themselves
     offsets = _distinct_draws(seed, F.col(row_id), F.col("n_isomers"))
     local_first = F.col("_key_first") - F.col("_first")
     slots = F.array(

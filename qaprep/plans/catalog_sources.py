@@ -186,7 +186,7 @@ def write_questions(spark: SparkSession, folder: str) -> DataFrame:
     written = sinks.write_questions(_records(spark, folder), path)
     has_key = F.contains("value", F.lit('"iupac":'))
     return spark.read.text(path).agg(
-        F.lit(written).alias("n_written"), F.count("*").alias("n_lines"), F.count_if(has_key).alias("n_with_null_key")
+        F.lit(written).cast("bigint").alias("n_written"), F.count("*").alias("n_lines"), F.count_if(has_key).alias("n_with_null_key")
     )
 
 

@@ -168,7 +168,7 @@ def expand(spark: SparkSession, folder: str) -> DataFrame:
       GROUP BY 1, 2, 3""",
 )
 def isomer_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return J.isomer_pairs(X.molecules(spark, folder))
+    return J.isomer_pairs(X.molecules_table(spark, folder))
 
 
 def _isomer_sql(formula: str, key: str, condition: str) -> str:
@@ -208,13 +208,13 @@ _MCQ_TAIL = """, options AS (
 
 @query("isomer_mcq", M.rstrip() + ", " + _isomer_sql("formula", "connectivity_key", "valid") + _MCQ_TAIL)
 def isomer_mcq(spark: SparkSession, folder: str) -> DataFrame:
-    return J.isomer_questions(X.molecules(spark, folder).filter("valid"))
+    return J.isomer_questions(X.molecules_table(spark, folder).filter("valid"))
 
 
 @query("isomer_mcq_large_groups", M.rstrip() + ", " + _isomer_sql("brand", "kind", "true") + _MCQ_TAIL)
 def isomer_mcq_large_groups(spark: SparkSession, folder: str) -> DataFrame:
     """The same where a formula holds a fixed share of the whole table."""
-    return J.isomer_questions(X.molecules(spark, folder), formula="brand", key="kind")
+    return J.isomer_questions(X.molecules_table(spark, folder), formula="brand", key="kind")
 
 
 @query(
@@ -222,7 +222,7 @@ def isomer_mcq_large_groups(spark: SparkSession, folder: str) -> DataFrame:
     M.rstrip() + ", " + _isomer_sql("brand", "kind", "true") + " SELECT cid, CAST(slot AS INT) AS slot, candidate_cid FROM fetched",
 )
 def sample_per_group(spark: SparkSession, folder: str) -> DataFrame:
-    rows, draws = J.sample_candidates(X.molecules(spark, folder), "brand", "kind")
+    rows, draws = J.sample_candidates(X.molecules_table(spark, folder), "brand", "kind")
     pool = rows.select(F.col("_no").alias("candidate"), F.col("cid").alias("candidate_cid"))
     return draws.join(pool, "candidate").select("cid", "slot", "candidate_cid")
 

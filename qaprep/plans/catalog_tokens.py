@@ -154,7 +154,7 @@ def train_labels(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "position_weights",
     _TRAIN_SQL + f"""SELECT doc_id, len(list_filter(w, lambda v: v = 5)) AS n_inside, len(w) AS n_positions,
-      coalesce(list_position(w, 5) - 1, -1) AS first_inside
+      CAST(coalesce(list_position(w, 5) - 1, -1) AS BIGINT) AS first_inside
       FROM (SELECT doc_id, list_transform(ids, lambda x, i: CASE WHEN i - 1 - ({TRAIN_LENGTH} - n) >= ahead
           AND i - 1 - ({TRAIN_LENGTH} - n) < ahead + strlen(body) THEN 5 ELSE 0 END) AS w
         FROM (SELECT *, strlen(substr(whole, 1, strpos(whole, body) - 1)) AS ahead
