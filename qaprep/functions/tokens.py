@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from qaprep.functions.text import strip, tagged_spans
 from qaprep.operators.indexing import global_index
+from qaprep.operators.joins import sliced_join
+from qaprep.session import write_through
 
 # Fixed values
 PAD = 256
@@ -191,11 +193,11 @@ MAX_VOCAB = 1_000_000
 
 
 def encode_words(df: DataFrame, text: str, vocab: DataFrame, output: str = "input_ids", unknown: int = -1) -> DataFrame:
-    """Word ids of a text column. A tokenizer vocabulary is small by nature; its size is checked,
-    then it travels once to each executor, batches are looked up in it and no token is shuffled."""
+    """Word ids of a text column. A tokenizer vocabulary is small by nature: up to a million tokens
+    it travels once to each executor, batches are looked up in it and no token is shuffled."""
     rows = vocab.select("token", "token_id").limit(MAX_VOCAB + 1).toPandas().sort_values("token_id")
     if len(rows) > MAX_VOCAB:
-        raise ValueError(f"a vocabulary of more than {MAX_VOCAB} tokens cannot travel to the tasks")
+        return _encode_by_join(df, text, vocab, output, unknown)
     table = df.sparkSession.sparkContext.broadcast((list(rows["token"]), list(rows["token_id"].astype(int))))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
@@ -210,6 +212,19 @@ def encode_words(df: DataFrame, text: str, vocab: DataFrame, output: str = "inpu
     return df.withColumn(output, look_up(words(F.col(text))))
 
 
+def _encode_by_join(df: DataFrame, text: str, vocab: DataFrame, output: str, unknown: int) -> DataFrame:
+    """The same for a vocabulary of any size: every token meets its id in a join, and the ids of a
+    row are put together again."""
+    rows = write_through(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    pieces = rows.select("_row", F.posexplode(words(F.col(text))).alias("_pos", "token"))
+    known = vocab.select("token", "token_id")
+    found = sliced_join(pieces, known, ["token"], ["_row", "_pos"], "left")
+    item = F.struct("_pos", F.coalesce("token_id", F.lit(unknown)).cast("int").alias("id"))
+    joined = found.groupBy("_row").agg(F.array_sort(F.collect_list(item)).alias("_ids"))
+    ids = F.coalesce(F.transform("_ids", lambda i: i["id"]), F.array().cast("array<int>"))
+    return rows.join(joined, "_row", "left").withColumn(output, ids).drop("_row", "_ids")
+
+
 def plugged_tokenizer(encode: Callable[[Sequence[str] | str], list[int]]) -> Callable[[Column], Column]:
     """A caller's own tokenizer as an Arrow-batched function returning ``array<int>``."""
 

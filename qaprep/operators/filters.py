@@ -15,7 +15,7 @@ from qaprep.operators.joins import sliced_join
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, null_count), one pass over the table."""
     names = list(columns or df.columns)
-    counted = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in names])
+    counted = df.agg(*[(F.count(F.lit(1)) - F.count(F.col(f"`{c}`"))).alias(c) for c in names])
     pairs = ", ".join(f"'{c}', `{c}`" for c in names)
     return counted.selectExpr(f"stack({len(names)}, {pairs}) AS (column_name, null_count)")
 

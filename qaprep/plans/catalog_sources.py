@@ -40,13 +40,16 @@ def load_table(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-@query("arrow_source", "SELECT vec_id, label, len(embedding) AS n_values, round(list_sum(embedding), 3) AS total FROM embeddings")
+@query(
+    "arrow_source",
+    "SELECT vec_id, label, len(embedding) AS n_values, CAST(embedding[1] AS DOUBLE) AS first_value, CAST(embedding[-1] AS DOUBLE) AS last_value FROM embeddings",
+)
 def arrow_source(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "arrow")
     sinks.write_arrow(X.read(spark, folder, "embeddings"), path)
     back = tables.arrow_source(spark, path, batches_per_split=1)
-    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
-    return back.select("vec_id", "label", F.size("embedding").cast("bigint").alias("n_values"), F.round(total, 3).alias("total"))
+    value = lambda at, name: F.element_at("embedding", at).cast("double").alias(name)
+    return back.select("vec_id", "label", F.size("embedding").cast("bigint").alias("n_values"), value(1, "first_value"), value(-1, "last_value"))
 
 
 @query("write_arrow", "SELECT doc_id, text, lang FROM documents")

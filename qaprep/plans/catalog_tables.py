@@ -12,6 +12,7 @@ from qaprep.operators import isomers as J
 from qaprep.operators import sampling as O
 from qaprep.plans import fixtures as X
 from qaprep.plans.generate import expand_templates
+from qaprep.plans.question_sets import question_set
 from qaprep.plans.registry import query
 
 M = X.MOLECULES
@@ -211,6 +212,13 @@ def isomer_mcq(spark: SparkSession, folder: str) -> DataFrame:
     return J.isomer_questions(X.molecules_table(spark, folder).filter("valid"))
 
 
+@query("structure", M.rstrip() + ", " + _isomer_sql("formula", "connectivity_key", "valid") + _MCQ_TAIL)
+def structure(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through the question set, which drops rows that do not parse itself."""
+    answered = question_set("structure")(X.molecules_table(spark, folder))
+    return answered.select("cid", "kekulized_smiles", *[f"smiles_{c}" for c in J.LETTERS], "isomer_answer")
+
+
 @query("isomer_mcq_large_groups", M.rstrip() + ", " + _isomer_sql("brand", "kind", "true") + _MCQ_TAIL)
 def isomer_mcq_large_groups(spark: SparkSession, folder: str) -> DataFrame:
     """The same where a formula holds a fixed share of the whole table."""

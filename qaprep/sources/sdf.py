@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qaprep.session import spread
 from qaprep.sources.tables import per_file_cap
 
 # Property name -> (column, type) of the compound table.
@@ -125,8 +126,9 @@ def sdf_source(
     recursive: bool = False,
     properties: Mapping[str, tuple[str, str]] = COMPOUND_PROPERTIES,
 ) -> DataFrame:
-    """Compound table from structure files; ``max_records`` counts per file."""
+    """Compound table from structure files; ``max_records`` counts per file. A few compressed files
+    are spread over the cores ahead of parsing."""
     records = sdf_records(spark, path, recursive)
     if max_records:
         records = per_file_cap(records, max_records)
-    return parse_sdf(records, properties)
+    return parse_sdf(spread(records), properties)
