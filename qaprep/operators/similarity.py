@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaprep.functions.binding import bind
-from qaprep.session import write_through
+from qaprep.session import spread, write_through
 
 BITS = 2048
 # Thresholds of the diverse-subset recipe.
@@ -27,6 +27,7 @@ SIZE_LOW, SIZE_HIGH = 0.83, 1.17
 FIRST_CHUNK = 2048
 CHUNK_GROWTH = 4
 HOT_ROWS = 50_000
+BROADCAST_ROWS = 200_000  # prefix rows, at most about 300 bytes each
 
 
 def fingerprint(text: Column, gram: int = 3, bits: int = BITS) -> Column:
@@ -128,23 +129,25 @@ def _similar_condition(threshold: float, words: Sequence[str]) -> str:
     )
 
 
-def _meet(n_rows: int, big: DataFrame, small: DataFrame, condition: str, how: str = "inner", also: str = "") -> DataFrame:
+def _meet(big: DataFrame, small: DataFrame, condition: str, how: str = "inner", also: str = "") -> DataFrame:
     """Join prefix rows ``a`` (big) and ``b`` (small) on the bit.
 
-    The rows of a bit that very many of the ``n_rows`` fingerprints have are cut into slices and meet
+    A small side of checked size goes to every task and the big side is not moved. Beyond that both
+    are shuffled by bit; the rows of a bit that very many rows have are then cut into slices and meet
     a copy of the other side's rows each, so no task gets a whole hot bit. The counts, one per hot
     bit, are at most 2048.
     """
-    per_bit = big.groupBy("bit").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS)
-    counts = per_bit.collect() if n_rows > HOT_ROWS else []
+    on = f"a.bit = b.bit AND {also}{condition}"
+    if small.count() <= BROADCAST_ROWS:
+        return big.alias("a").join(F.broadcast(small).alias("b"), F.expr(on), how)
+    counts = big.groupBy("bit").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).collect()
     slices = F.lit(1)
     if counts:
         pairs = [F.lit(x) for row in counts for x in (row["bit"], math.ceil(row["n"] / HOT_ROWS))]
         slices = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("bit")), F.lit(1))
     a = big.withColumn("slice", F.pmod(F.xxhash64("id"), slices))
     b = small.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices.cast("bigint") - 1)))
-    on = f"a.bit = b.bit AND a.slice = b.slice AND {also}{condition}"
-    return a.alias("a").join(b.hint("merge").alias("b"), F.expr(on), how)
+    return a.alias("a").join(b.hint("merge").alias("b"), F.expr(f"a.slice = b.slice AND {on}"), how)
 
 
 def _bits_below(prints: DataFrame) -> list[Column]:
@@ -161,11 +164,11 @@ def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
     """(id_a < id_b, shared, n_bits_a, n_bits_b) for distinct fingerprints. A pair meets at each
     prefix bit it shares and is kept at the first one, so it comes once."""
     words = word_columns(prints)
-    rows = _prefix(prints, threshold)
+    rows = _prefix(spread(prints), threshold)
     marked = rows.select("*", *_bits_below(prints))
     earlier = " | ".join(f"(a.below_{i} & b.{w})" for i, w in enumerate(words))
     condition = f"a.id < b.id AND ({earlier}) = 0 AND {_similar_condition(threshold, words)}"
-    return _meet(prints.count(), marked, rows, condition).select(
+    return _meet(marked, rows, condition).select(
         F.col("a.id").alias("id_a"),
         F.col("b.id").alias("id_b"),
         F.expr(_shared(words, "a", "b")).alias("shared"),
@@ -227,7 +230,7 @@ def _chunks(prints: DataFrame) -> list[DataFrame]:
 def _without_near(rows: DataFrame, picks: DataFrame, similarity: float) -> DataFrame:
     """Rows that are not near any pick."""
     condition = _similar_condition(similarity, word_columns(rows))
-    near = _meet(rows.count(), _prefix(rows, similarity), _prefix(picks, similarity), condition, "left_semi")
+    near = _meet(_prefix(spread(rows), similarity), _prefix(picks, similarity), condition, "left_semi")
     return rows.join(near.select("id").distinct(), "id", "left_anti")
 
 
@@ -294,11 +297,11 @@ def similar_join(
         f"AND ({shared}) / (a.n_bits + b.n_bits - ({shared})) < {high!r}D"
     )
     for chunk in _chunks(prints):
-        rows = _prefix(chunk, low, size).withColumn("slot", slot(F.col(size)))
+        rows = _prefix(spread(chunk), low, size).withColumn("slot", slot(F.col(size)))
         wanted = _prefix(open_picks, low, size).withColumn(
             "slot", F.explode(F.sequence(slot(F.col(size) * SIZE_LOW), slot(F.col(size) * SIZE_HIGH)))
         )
-        found = _meet(chunk.count(), rows, wanted, condition, also="a.slot = b.slot AND ")
+        found = _meet(rows, wanted, condition, also="a.slot = b.slot AND ")
         hits = found.groupBy(F.col("b.id").alias("id")).agg(F.min("a.id").alias("similar_id"))
         hits = write_through(hits, "similar")
         matched = hits if matched is None else matched.unionByName(hits)

@@ -161,9 +161,10 @@ def similarity_of(a, b):
     return both / total if total else 0.0
 
 
-@pytest.mark.parametrize("hot_rows", [50_000, 7])
-def test_similarity_join(spark, monkeypatch, hot_rows):
+@pytest.mark.parametrize("hot_rows,small", [(50_000, 200_000), (50_000, 0), (7, 0)])
+def test_similarity_join(spark, monkeypatch, hot_rows, small):
     monkeypatch.setattr(similarity, "HOT_ROWS", hot_rows)  # 7: every common bit is cut into slices
+    monkeypatch.setattr(similarity, "BROADCAST_ROWS", small)  # 0: both sides are shuffled
     rows = fingerprints(240, 3)
     df = spark.createDataFrame(rows, "id long, size int, bits array<int>")
     for threshold in (0.3, 0.6, 0.9):
@@ -187,8 +188,9 @@ def scan_picks(rows, distance):
     return {i for i, _ in picks}
 
 
-@pytest.mark.parametrize("first_chunk", [8192, 16])
-def test_leader_pick(spark, monkeypatch, first_chunk):
+@pytest.mark.parametrize("first_chunk,small", [(8192, 0), (16, 0), (16, 200_000)])
+def test_leader_pick(spark, monkeypatch, first_chunk, small):
+    monkeypatch.setattr(similarity, "BROADCAST_ROWS", small)
     monkeypatch.setattr(similarity, "FIRST_CHUNK", first_chunk)  # 16: several chunks
     rows = fingerprints(200, 11)
     df = spark.createDataFrame(rows, "id long, size int, bits array<int>")
@@ -200,6 +202,7 @@ def test_leader_pick(spark, monkeypatch, first_chunk):
 def test_similar_join(spark, monkeypatch, first_chunk, hot_rows):
     monkeypatch.setattr(similarity, "FIRST_CHUNK", first_chunk)
     monkeypatch.setattr(similarity, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(similarity, "BROADCAST_ROWS", 0 if hot_rows == 9 else 200_000)
     rows = fingerprints(200, 17)
     df = spark.createDataFrame(rows, "id long, size int, bits array<int>")
     chosen = [i for i, _, _ in rows if i % 5 == 1]
