@@ -254,7 +254,7 @@ def _first_independent(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def leader_pick(df: DataFrame, key: str, bits: str, distance: float = PICK_DISTANCE) -> DataFrame:
-    """Keys a scan in key order picks when it skips rows within ``distance`` of an earlier pick.
+    """Keys a scan in (numeric) key order picks when it skips rows within ``distance`` of an earlier pick.
 
     The result is that of the sequential scan. Chunks of growing size are resolved in key order;
     rows near an earlier pick leave before their chunk's own neighbours are looked for. So the large

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qaprep.functions import tokens as N
@@ -65,14 +65,19 @@ def build_dataset(
     max_length: int = 1024,
     max_label_len: int = 512,
     weights: bool = False,
-) -> None:
+) -> int:
     """Write ``full`` (valid, test) and ``minimal`` (all splits). Rows of ``full`` get an
-    ``example_id``, by which predictions are paired with them later."""
+    ``example_id``, by which predictions are paired with them later. Returns how many training rows
+    have no label left because the truncation cut their answer off; the write itself counts them."""
     require_columns(records, ["split"])
     if limit is not None:
         records = seeded_sample(records, key, limit)
     rendered = render_records(records.filter(F.col("split").isin(*SPLITS)), system_prompt)
     train = tokenise_train(rendered.filter("split = 'train'"), max_length, weights)
+    unlabelled = Observation("unlabelled")
+    kept = F.size(F.array_remove(F.col("labels"), N.MASKED))
+    train = train.observe(unlabelled, F.count_if(kept == 0).alias("n"))
     evaluation = tokenise_eval(rendered.filter("split <> 'train'"), max_length, max_label_len)
     numbered = evaluation.drop("prompt", "answer").withColumn("example_id", F.monotonically_increasing_id())
     write_dataset(train, numbered, path)
+    return unlabelled.get["n"]

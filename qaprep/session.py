@@ -58,6 +58,7 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan that has fewer splits than there are cores a split per core, ahead of heavy work
     per row: a compressed file, or a table of a few files. A table with more splits stays as it is,
-    so nothing is shuffled at scale."""
+    so nothing is shuffled at scale. For plain scans only: splits of a plan with shuffles are not
+    known ahead."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

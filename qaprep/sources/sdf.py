@@ -129,6 +129,5 @@ def sdf_source(
     """Compound table from structure files; ``max_records`` counts per file. A few compressed files
     are spread over the cores ahead of parsing."""
     records = sdf_records(spark, path, recursive)
-    if max_records:
-        records = per_file_cap(records, max_records)
-    return parse_sdf(spread(records), properties)
+    records = per_file_cap(records, max_records) if max_records else spread(records)
+    return parse_sdf(records, properties)

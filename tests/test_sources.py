@@ -117,7 +117,10 @@ def test_paths_end_to_end(spark, tmp_path):
     assert set(lines[0]) == {"question_id", "question_template", "assistant_template", "split", "metadata"}
     assert "split" not in lines[0]["metadata"] and lines[0]["question_template"] == "Name {smiles}\n"
     records = tables.questions_source(spark, str(tmp_path / "q"))
-    build.build_dataset(records, str(tmp_path / "d"), config.system_prompt, max_length=96, max_label_len=64)
+    assert build.build_dataset(records, str(tmp_path / "d"), config.system_prompt, max_length=96, max_label_len=64) == 0
+    assert build.build_dataset(records, str(tmp_path / "short"), config.system_prompt, max_length=20, max_label_len=64) == 2
+    sampled = build.build_dataset(records, str(tmp_path / "few"), config.system_prompt, limit=3, max_length=96)
+    assert sampled == 0 and spark.read.parquet(str(tmp_path / "few" / "minimal")).count() == 3
     assert not (tmp_path / "d" / "full" / "split=train").exists() and (tmp_path / "d" / "minimal" / "split=train").exists()
     with pytest.raises(ValueError):
         tables.tokenised_source(spark, str(tmp_path / "d" / "full"), "val")
