@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaprep.llm.common import table
+from qaprep.llm import toxicity
+from qaprep.llm.common import crc32_of_id, table
 from qaprep.llm.exact_dedup import exact_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +40,11 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 )
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents")).drop("copy")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"), crc32_of_id(F.col("doc_id")) % 5 != 0)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (crc32_of_id(F.col("doc_id")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("sentences").alias("n_offending"))
