@@ -90,9 +90,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     follows[1:] = solid[:-1]
     follows[offsets] = False
     starts = np.flatnonzero(solid & ~follows)
-    last = np.zeros(len(data) + 1, dtype=bool)
-    last[:-1] = solid[:-1] & ~follows[1:]
-    ends = np.flatnonzero(last) + 1
+    goes_on = (solid & follows)[1:]
+    ends = np.flatnonzero(solid[:-1] & ~goes_on) + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 
@@ -142,15 +141,18 @@ def components(links: DataFrame, label: str) -> DataFrame:
     a grouped minimum and a join on the node, so a node with many links is split like any hot key;
     the edges are written after each step and never leave the executors."""
 
+    def least_of(pairs: DataFrame) -> DataFrame:
+        # written, so that the join below deals out both sides itself and can split a node's rows
+        return write_through(pairs.groupBy("a").agg(F.min("b").alias("m")), f"{label}-least")
+
     def large(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = least_of(both).select("a", F.least("a", "m").alias("m"))
         return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
 
     def small(edges: DataFrame) -> DataFrame:
         down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        joined = down.join(least, "a")
+        joined = down.join(least_of(down), "a")
         return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(joined.select("a", F.col("m").alias("b"))).filter("a != b").distinct()
 
     def state(edges: DataFrame):
@@ -159,7 +161,7 @@ def components(links: DataFrame, label: str) -> DataFrame:
     edges = write_through(links.select("a", "b").filter("a != b").distinct(), f"{label}-edges")
     before = state(edges)
     while before[0]:
-        edges = write_through(small(large(edges)), f"{label}-edges")
+        edges = write_through(small(write_through(large(edges), f"{label}-edges")), f"{label}-edges")
         now = state(edges)
         if now == before:
             break

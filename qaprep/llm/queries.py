@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from qaprep.llm import toxicity
 from qaprep.llm.common import crc32_of_id, table
 from qaprep.llm.exact_dedup import exact_duplicates
+from qaprep.llm.minhash import near_duplicates
+from qaprep.llm.packing import pack
+from qaprep.llm.suffix_dedup import remove_repeats
+
+def vocabulary(name: str) -> str:
+    """A file of the installed public tokenizers; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +58,33 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, folder, "labels"), crc32_of_id(F.col("doc_id")) % 5 != 0)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (crc32_of_id(F.col("doc_id")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("sentences").alias("n_offending"))
+
+
+@query(
+    "op6_minhash",
+    f"""
+    WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWERED}, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                 ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' ')) END) AS sh FROM w),
+    n AS (SELECT doc_id, len(sh) AS n FROM s),
+    x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_n FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * both_n >= 75 * (na.n + nb.n - both_n)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (WITH RECURSIVE walk(node, reach) AS (SELECT doc_id, doc_id FROM documents UNION SELECT walk.node, e.b FROM walk JOIN e ON e.a = walk.reach) SELECT node, min(reach) AS component_id FROM walk GROUP BY node)
+    SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, r.component_id, n.doc_id = r.component_id AS kept FROM n JOIN r ON r.node = n.doc_id
+    """,
+)
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op1_packing")
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).withColumn("kept", F.sha2("kept", 256)).withColumnRenamed("kept", "kept_sha256")
