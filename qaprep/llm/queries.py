@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaprep.llm import toxicity
+from qaprep.llm import language_id, toxicity
 from qaprep.llm.common import crc32_of_id, table
 from qaprep.llm.exact_dedup import exact_duplicates
 from qaprep.llm.minhash import near_duplicates
@@ -88,3 +88,11 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents")).withColumn("kept", F.sha2("kept", 256)).withColumnRenamed("kept", "kept_sha256")
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc32_of_id(F.col("doc_id")) % 4 == 2
+    model = language_id.train(docs, ~held_out)
+    return language_id.predict(docs, model, runs=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
