@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from qaprep.session import configure, write_through
 
 NO_ID = -(1 << 63)
-#: Texts go to Python in batches of this many rows; batches are cut again by bytes (``slices``).
-ROWS_PER_BATCH = "1000"
+#: Rows go to Python in batches of at most this many rows and about this size; ``slices`` cuts them again.
+ROWS_PER_BATCH = "4000"
+BYTES_PER_BATCH = "16m"
 SLICE_BYTES = 4 << 20
 
 
@@ -27,6 +28,7 @@ def session(spark: SparkSession) -> SparkSession:
     """The settings of the library, and Arrow batches that stay small with long texts."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     return spark
 
 

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaprep.llm import language_id, toxicity
+from qaprep.llm import bpe, language_id, toxicity
 from qaprep.llm.common import crc32_of_id, table
 from qaprep.llm.exact_dedup import exact_duplicates
 from qaprep.llm.minhash import near_duplicates
 from qaprep.llm.packing import pack
 from qaprep.llm.suffix_dedup import remove_repeats
+from qaprep.llm.token_files import read_tokens, write_tokens
+from qaprep.session import new_folder
 
 def vocabulary(name: str) -> str:
     """A file of the installed public tokenizers; operators take the path as a parameter."""
@@ -96,3 +98,25 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     held_out = crc32_of_id(F.col("doc_id")) % 4 == 2
     model = language_id.train(docs, ~held_out)
     return language_id.predict(docs, model, runs=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    written = new_folder(spark, "token-files")
+    write_tokens(docs, written, vocabulary("word_bpe_49k.json"))
+    return read_tokens(spark, written).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
