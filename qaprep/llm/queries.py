@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from qaprep.llm import bpe, language_id, toxicity
 from qaprep.llm.common import crc32_of_id, table
+from qaprep.llm.embedding_dedup import similar_embeddings
 from qaprep.llm.exact_dedup import exact_duplicates
 from qaprep.llm.minhash import near_duplicates
 from qaprep.llm.packing import pack
@@ -120,3 +121,8 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     written = new_folder(spark, "token-files")
     write_tokens(docs, written, vocabulary("word_bpe_49k.json"))
     return read_tokens(spark, written).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_embeddings(table(spark, folder, "embeddings"))
