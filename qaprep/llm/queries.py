@@ -11,6 +11,7 @@ from qaprep.llm import bpe, language_id, toxicity
 from qaprep.llm.common import crc32_of_id, table
 from qaprep.llm.embedding_dedup import similar_embeddings
 from qaprep.llm.exact_dedup import exact_duplicates
+from qaprep.llm.lm_scoring import score_texts
 from qaprep.llm.minhash import near_duplicates
 from qaprep.llm.packing import pack
 from qaprep.llm.suffix_dedup import remove_repeats
@@ -126,3 +127,12 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_embedding_dedup")
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return similar_embeddings(table(spark, folder, "embeddings"))
+
+
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    held_out = crc32_of_id(F.col("doc_id")) % 5 == 1
+    scored = score_texts(table(spark, folder, "documents"), ~held_out, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
