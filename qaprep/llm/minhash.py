@@ -9,7 +9,7 @@
    uniform prior, is below ``MISS``.
 4. Survivors are verified exactly on their full sets.
 
-A bucket may hold a large share of all classes, so its pairs are never listed. Rounds of leaders come
+A bucket may hold a large share of all classes, so its pairs are never listed. Two rounds of leaders come
 first: every class of a bucket is compared with one leader, which joins nearly all of a group of near
 copies by as many pairs as it has members. What is left are the pairs of a bucket whose classes are still in
 different components. These are compared block against block (bounded blocks of a bucket, one group
@@ -40,7 +40,6 @@ BATCH = 24
 MISS = 1e-7
 #: Classes of one block in the last round.
 BLOCK = 256
-LEADER_ROUNDS = 3
 
 _PLUS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64))
 _TIMES = mix(_PLUS) | np.uint64(1)
@@ -101,7 +100,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(BAND_ROWS):
             bucket = mix(bucket * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, i])
         node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(bucket.ravel().view(np.int64), pa.int64())], names=["node", "bucket"])
+        band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(bucket.ravel().view(np.int64), pa.int64()), pa.array(band)], names=["node", "bucket", "band"])
 
 
 def least_matches(values: int, threshold: float = NUMERATOR / DENOMINATOR, miss: float = MISS) -> int:
@@ -167,16 +167,21 @@ def _hash_sets(words: int):
 
 
 def _block_pairs(table: pa.Table) -> pa.Table:
-    """Surviving pairs between the left and the right rows of one block pair, in different components."""
+    """Surviving pairs between the left and the right rows of one block pair, in different components. A
+    pair that shares several bands is left to the first of them."""
     left, right = (table.filter(pa.array(np.asarray(table.column("side")) == s)) for s in (0, 1))
     out: list[tuple[np.ndarray, np.ndarray]] = []
     if left.num_rows and right.num_rows:
         ln, rn, lc, rc = (np.asarray(t.column(c)) for c in ("node", "comp") for t in (left, right))
         ls, rs = _signatures(left.column("sig").combine_chunks()), _signatures(right.column("sig").combine_chunks())
-        rank = np.asarray(right.column("straggler"))
+        rank, band = np.asarray(right.column("straggler")), left.column("band")[0].as_py()
+        banded = rs.reshape(len(rs), BANDS, BAND_ROWS)
         for i in range(left.num_rows):
             # two stragglers meet once, from the smaller one
             others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])))
+            if band and len(others):
+                earlier = (banded[others, :band] == ls[i].reshape(BANDS, BAND_ROWS)[:band]).all(axis=2).any(axis=1)
+                others = others[~earlier]
             if len(others):
                 found = others[surviving(np.broadcast_to(ls[i], (len(others), ls.shape[1])), rs[others])]
                 out.append((np.minimum(ln[i], rn[found]), np.maximum(ln[i], rn[found])))
@@ -185,11 +190,6 @@ def _block_pairs(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _relabel(nodes: DataFrame, links: DataFrame, label: str) -> DataFrame:
-    found = components(links, label)
-    return write_through(nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("comp")), f"{label}-labels")
-
-
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, digest`` for every row of ``docs``.
 
@@ -197,11 +197,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     white space) has none and is linked with nothing. Repeated rows and other rows that share an id are
     in one component, as it is the id that is linked; each shows the same ``kept``. A null id is an id below
     all others. An empty table gives an empty result."""
-    spark = docs.sparkSession
     signed = write_through(keyed(docs).mapInArrow(_sign(words), "key bigint, size bigint, digest binary, sig binary"), "signed")
     nodes = write_through(signed.filter("size > 0").groupBy("digest").agg(F.min("key").alias("node"), F.max("sig").alias("sig")), "classes")
 
-    banded = write_through(nodes.select("node", "sig").mapInArrow(_bands, "node bigint, bucket bigint").distinct(), "bands")
+    banded = write_through(nodes.select("node", "sig").mapInArrow(_bands, "node bigint, bucket bigint, band int").distinct(), "bands")
     shared = write_through(banded.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
     buckets = write_through(banded.join(shared, "bucket"), "buckets")
     busy = write_through(buckets.select("node").distinct(), "busy")
@@ -223,20 +222,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
         both = with_a.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
         return both.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a bigint, b bigint").distinct()
 
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    labels = busy.withColumn("comp", F.col("node"))
-    for turn in range(LEADER_ROUNDS):
+    def compared(labels: DataFrame, turn: int) -> DataFrame:
+        """Links of the classes to the leaders of their buckets, where the labels differ."""
         members = buckets.join(labels, "node").withColumn("rank", F.xxhash64("node", F.lit(turn)))
         leaders = members.groupBy("bucket").agg(F.min(F.struct("rank", "node", "comp")).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
-        leaders = write_through(leaders, "leaders")
-        pairs = members.join(leaders.select("bucket", "lead"), "bucket").filter("comp != lead.comp")
+        pairs = members.join(write_through(leaders.select("bucket", "lead"), "leaders"), "bucket").filter("comp != lead.comp")
         if turn == 0:  # one leader for each class does for most
             pairs = pairs.groupBy("node").agg(F.min("lead").alias("lead"))
-        pairs = pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
-        pairs = write_through(plausible(pairs), "plausible")
-        new = checked(pairs, "links")
-        links = links.union(new)
-        labels = _relabel(busy, links, "near")
+        return checked(plausible(pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()), "links")
+
+    # labels say who is known to be connected; the first ones follow a class's link to its leader, two steps far
+    links = compared(busy.withColumn("comp", F.col("node")), 0)
+    step = write_through(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("comp")), "steps")
+    two = step.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("further")), "comp", "left").select("node", F.coalesce("further", "comp").alias("comp"))
+    labels = write_through(busy.join(two, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "labels")
+    links = links.union(compared(labels, 1))
+    known = write_through(components(links, "near"), "known")
+    labels = write_through(busy.join(known, "node", "left").select("node", F.coalesce("root", "node").alias("comp")), "labels")
 
     # the rest: buckets that still hold several components, block against block
     members = buckets.join(labels, "node")
@@ -246,15 +248,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     slot = F.xxhash64("node", F.lit("block"))
     left = rest.filter("straggler").withColumns({"l": F.pmod(slot, "left_blocks"), "r": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("right_blocks").cast("bigint") - 1))})
     right = rest.withColumns({"r": F.pmod(slot, "right_blocks"), "l": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("left_blocks").cast("bigint") - 1))})
-    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "l", "r", "side", "node", "comp", "straggler", "sig")
+    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "band", "l", "r", "side", "node", "comp", "straggler", "sig")
     last = both.groupBy("bucket", "l", "r").applyInArrow(_block_pairs, "a bigint, b bigint").distinct()
-    links = links.union(checked(write_through(last, "plausible"), "links"))
+    more = checked(last, "links")
+    for end in ("a", "b"):  # between components now
+        more = more.join(labels.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp")), end)
+    more = more.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
 
     member_of = write_through(signed.filter("size > 0").select("key", "digest").join(nodes.select("digest", "node"), "digest").select("key", "digest", "node"), "members")
     several = member_of.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")  # one id, several texts
     same_id = several.select(F.col("low").alias("a"), F.col("high").alias("b")).union(member_of.join(write_through(several, "several"), "key").select(F.col("low").alias("a"), F.col("node").alias("b")))
-    found = write_through(components(links.union(same_id), "near-all"), "found")
-    roots = member_of.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    for end in ("a", "b"):
+        same_id = same_id.join(labels.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp")), end, "left").withColumn(end, F.coalesce(f"{end}_comp", end)).select("a", "b")
+    found = write_through(components(more.union(same_id), "near-all"), "found")
+    roots = nodes.select("node").distinct().join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    roots = roots.join(found.select(F.col("node").alias("comp"), "root"), "comp", "left").select("node", F.coalesce("root", "comp").alias("root"))
     linked = member_of.join(write_through(roots, "roots"), "node").select("key", "digest", "root")
     rows = signed.select("key", "size", "digest").join(linked.dropDuplicates(["key", "digest"]), ["key", "digest"], "left").withColumn("root", F.coalesce("root", "key"))
     return rows.select(id_of(F.col("key")).alias("doc_id"), F.col("size").alias("n_shingles"), id_of(F.col("root")).alias("component_id"), (F.col("key") == F.col("root")).alias("kept"))
