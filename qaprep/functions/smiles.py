@@ -74,14 +74,34 @@ def _closure_labels(bare: Column) -> Column:
     return F.regexp_count(bare, F.lit(CLOSURE))
 
 
+# What may not stand side by side, on the text with A for an atom, 1 for a closure, = for a bond sign: nothing
+# but an atom ahead of the first bond, closure, branch or dot; no bond sign without a partner behind it.
+_OUT_OF_PLACE = r"^[^A]|=[=().]|=$|\([().1]|\.[=1().]|\($"
+
+
+def _closures(bare: Column) -> Column:
+    """Ring closures in the order they are written, each with the bond sign ahead of it, if there is one."""
+    return F.regexp_extract_all(bare, F.lit(f"({BOND}?(?:{CLOSURE}))"), 1)
+
+
+def _label(closure: Column) -> Column:
+    return F.regexp_replace(closure, f"^{BOND}", "")
+
+
 def parsable(smiles: Column) -> Column:
-    """No text left over beside the tokens, branches balanced, closures paired."""
+    """No text left over beside the tokens, every token in place, branches closed after they were opened,
+    every ring-closure label written an even number of times (a label may be used again)."""
     left_over = F.regexp_replace(smiles, TOKEN, "")
     bare = _without_brackets(smiles)
-    balanced = _occurrences(bare, "(") == _occurrences(bare, ")")
-    return F.coalesce(
-        (smiles != "") & (left_over == "") & balanced & (_closure_labels(bare) % 2 == 0), F.lit(False)
-    )
+    kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(smiles, ATOM, "A"), CLOSURE, "1"), BOND, "=")
+    steps = F.split(F.regexp_replace(bare, r"[^()]", ""), "")
+    depth = lambda d, c: F.when(d < 0, d).when(c == "(", d + 1).when(c == ")", d - 1).otherwise(d)
+    # branches closed: the depth never falls below zero and ends there
+    closed = F.when(~bare.rlike("[()]"), True).otherwise(F.aggregate(steps, F.lit(0), depth) == 0)
+    labels = F.transform(_closures(bare), _label)
+    even = lambda label: F.size(F.filter(labels, lambda x: x == label)) % 2 == 0
+    paired = F.when(_closure_labels(bare) == 0, True).otherwise(F.forall(F.array_distinct(labels), even))
+    return F.coalesce((smiles != "") & (left_over == "") & ~kinds.rlike(_OUT_OF_PLACE) & closed & paired, F.lit(False))
 
 
 def atoms(smiles: Column) -> Column:
@@ -166,10 +186,20 @@ def ring_count(smiles: Column | Scan) -> Column:
 
 
 def _written_bonds(bare: Column, sign: str) -> Column:
-    """Bonds written with ``sign``; one that is repeated at both ends of a closure counts once."""
-    at_closures = F.regexp_extract_all(bare, F.lit(f"({sign}(?:{CLOSURE}))"), 1)
-    repeated = F.size(at_closures) - F.size(F.array_distinct(at_closures))
-    return _occurrences(bare, sign) - repeated
+    """Bonds written with ``sign``; one that is written at both ends of a closure counts once. The first and
+    the second writing of a label are the ends of one closure, the third and the fourth of the next."""
+    closures = _closures(bare)
+    signed = F.regexp_count(bare, F.lit(f"{sign}(?:{CLOSURE})"))
+
+    def repeated(label: Column) -> Column:
+        own = F.filter(closures, lambda c: _label(c) == label)
+        marked = F.transform(own, lambda c: F.startswith(c, F.lit(sign)).cast("int"))
+        both = F.transform(marked, lambda m, i: F.when(i % 2 == 1, m * F.get(marked, i - 1)).otherwise(0))
+        return F.aggregate(both, F.lit(0), lambda a, b: a + b)
+
+    labels = F.array_distinct(F.transform(closures, _label))
+    twice = F.aggregate(F.transform(labels, repeated), F.lit(0), lambda a, b: a + b)
+    return _occurrences(bare, sign) - F.when(signed > 1, twice).otherwise(0)
 
 
 def bond_counts(smiles: Column | Scan) -> Column:

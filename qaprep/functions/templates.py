@@ -78,9 +78,31 @@ def template_fields(template: str) -> list[str]:
     return [name for _, name, _, _ in Formatter().parse(template) if name is not None]
 
 
+def _float_text(value: Column) -> Column:
+    """A floating-point number as Python writes it: plain from 1e-4 up to 1e16, an exponent of two digits
+    or more beyond. Spark writes an exponent from 1e7 and below 1e-3."""
+    text = value.cast("string")
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    digits = F.rtrim(F.replace(F.regexp_extract(text, r"([0-9.]+)E", 1), F.lit("."), F.lit("")), F.lit("0"))
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    wide = F.rpad(digits, F.greatest(power + 1, F.length(digits)), F.lit("0"))
+    fraction = F.substr(wide, power + 2)
+    plain = F.concat(F.substr(wide, F.lit(1), power + 1), F.lit("."), F.when(fraction == "", "0").otherwise(fraction))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    rest = F.substr(digits, F.lit(2))
+    size = F.abs(power).cast("string")
+    exponent = F.concat(
+        F.substr(digits, F.lit(1), F.lit(1)), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"),
+        F.when(power < 0, "-").otherwise("+"), F.when(F.abs(power) < 10, F.concat(F.lit("0"), size)).otherwise(size),
+    )
+    written = F.when(power.between(0, 15), plain).when(power.between(-4, -1), small).otherwise(exponent)
+    named = F.when(F.isnan(value), "nan").when(text == "Infinity", "inf").when(text == "-Infinity", "-inf")
+    return F.coalesce(named, F.when(F.contains(text, F.lit("E")), F.concat(sign, written)), text)
+
+
 def format_value(value: Column, dtype: T.DataType | None = None) -> Column:
     """A value as Python would format it: ``None`` for null, ``True``/``False`` for booleans."""
-    text = value.cast("string")
+    text = _float_text(value) if isinstance(dtype, (T.DoubleType, T.FloatType)) else value.cast("string")
     if isinstance(dtype, T.BooleanType):
         text = F.initcap(text)
     return F.coalesce(text, F.lit("None"))

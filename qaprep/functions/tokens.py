@@ -189,39 +189,17 @@ def build_vocab(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
     return ranked if size is None else ranked.filter(F.col("token_id") < size)
 
 
-MAX_VOCAB = 1_000_000
-
-
 def encode_words(df: DataFrame, text: str, vocab: DataFrame, output: str = "input_ids", unknown: int = -1) -> DataFrame:
-    """Word ids of a text column. A tokenizer vocabulary is small by nature: up to a million tokens
-    it travels once to each executor, batches are looked up in it and no token is shuffled."""
-    rows = vocab.select("token", "token_id").limit(MAX_VOCAB + 1).toPandas().sort_values("token_id")
-    if len(rows) > MAX_VOCAB:
-        return _encode_by_join(df, text, vocab, output, unknown)
-    table = df.sparkSession.sparkContext.broadcast((list(rows["token"]), list(rows["token_id"].astype(int))))
-
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def look_up(batch: pa.Array) -> pa.Array:
-        known, ids = table.value
-        place = pc.index_in(batch.flatten(), value_set=pa.array(known, pa.string()))
-        found = pc.take(pa.array(ids, pa.int32()), place).fill_null(unknown)
-        lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-        return pc.if_else(batch.is_valid(), pa.ListArray.from_arrays(offsets, found), None)
-
-    return df.withColumn(output, look_up(words(F.col(text))))
-
-
-def _encode_by_join(df: DataFrame, text: str, vocab: DataFrame, output: str, unknown: int) -> DataFrame:
-    """The same for a vocabulary of any size: every token meets its id in a join, and the ids of a
-    row are put together again."""
+    """Word ids of a text column, for a vocabulary of any size: every token meets its id in a join (which
+    Spark broadcasts when the vocabulary's measured size allows it), and the ids of a row are put
+    together again. A null text has null ids, a text without words an empty array."""
     rows = write_through(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     pieces = rows.select("_row", F.posexplode(words(F.col(text))).alias("_pos", "token"))
     known = vocab.select("token", "token_id")
     found = sliced_join(pieces, known, ["token"], ["_row", "_pos"], "left")
     item = F.struct("_pos", F.coalesce("token_id", F.lit(unknown)).cast("int").alias("id"))
     joined = found.groupBy("_row").agg(F.array_sort(F.collect_list(item)).alias("_ids"))
-    ids = F.coalesce(F.transform("_ids", lambda i: i["id"]), F.array().cast("array<int>"))
+    ids = F.coalesce(F.transform("_ids", lambda i: i["id"]), F.when(F.col(text).isNotNull(), F.array().cast("array<int>")))
     return rows.join(joined, "_row", "left").withColumn(output, ids).drop("_row", "_ids")
 
 

@@ -24,7 +24,9 @@ def chat_context(
         return df.select(conversation, turn, F.col(text).alias("context"))
     numbered = group_positions(df.select(conversation, turn, text), [conversation], [turn], "_no")
     own = numbered.withColumn("_chunk", F.floor(F.col("_no") / CHUNK))
-    ahead = own.filter(F.col("_no") % CHUNK > CHUNK - last).withColumn("_chunk", F.col("_chunk") + 1)
+    # a chunk looks back ``last - 1`` turns: every row goes to all later chunks that still reach it
+    reached = F.floor((F.col("_no") + (last - 1)) / CHUNK)
+    ahead = own.filter(reached > F.col("_chunk")).withColumn("_chunk", F.explode(F.sequence(F.col("_chunk") + 1, reached)))
     both = own.withColumn("_own", F.lit(True)).unionByName(ahead.withColumn("_own", F.lit(False)))
     recent = Window.partitionBy(conversation, "_chunk").orderBy("_no").rowsBetween(1 - last, 0)
     said = F.concat(F.lit("User: "), F.col(text))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from qaprep.operators.joins import sliced_join
 from qaprep.session import write_through
 
-# Up to here a prefix is cheaper as a top-k; beyond it the rows stay distributed.
-TOP_K_ROWS = 100_000
+# Up to here every split sends its first rows to one task; beyond it the rows stay distributed.
+TOP_K_ROWS = 1000
 
 
 def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:

@@ -7,18 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys followed by the sketch, and rows of one key from which it is cut into slices.
-TRACKED = 10_000
+# Rows of a slice; keys with more are cut.
 HOT_ROWS = 1_000_000
-MOST_SLICES = 4096
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> list[tuple[int, int]]:
-    """(key hash, slices) of the keys with very many rows, from a one-pass heavy-hitter sketch. At
-    most ``TRACKED`` entries reach the driver."""
-    top = F.call_function("approx_top_k", F.xxhash64(*on), F.lit(TRACKED), F.lit(10 * TRACKED))
-    found = df.agg(top.alias("top")).first()["top"] or []
-    return [(i["item"], min(-(-i["count"] // HOT_ROWS), MOST_SLICES)) for i in found if i["count"] > HOT_ROWS]
+    """(key hash, slices) of every key with more than ``HOT_ROWS`` rows. Counting combines map-side, and there
+    is at most one such key per ``HOT_ROWS`` rows of the table."""
+    counts = df.groupBy(F.xxhash64(*on).alias("code")).agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS)
+    return [(r.code, -(-r.n // HOT_ROWS)) for r in counts.toLocalIterator()]
 
 
 def sliced_join(left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str], how: str = "inner") -> DataFrame:

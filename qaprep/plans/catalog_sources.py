@@ -59,7 +59,7 @@ def write_arrow(spark: SparkSession, folder: str) -> DataFrame:
     return tables.arrow_source(spark, path)
 
 
-def _write_sdf(spark: SparkSession, folder: str, path: str, compression: str = "none") -> None:
+def _write_sdf(spark: SparkSession, folder: str, path: str, compression: str = "none", line_end: str = "\n") -> None:
     """Structure files from the molecules: some lack a property, some carry text where a number belongs."""
     tag = lambda name, value: F.concat(F.lit(f"> <{name}>\n"), value.cast("string"), F.lit("\n\n"))
     text = F.concat(
@@ -72,8 +72,8 @@ def _write_sdf(spark: SparkSession, folder: str, path: str, compression: str = "
         tag("PUBCHEM_MOLECULAR_FORMULA", F.col("formula")),
         tag("PUBCHEM_OPENEYE_ISO_SMILES", F.col("smiles")),
     )
-    rows = X.molecules(spark, folder).select(text.alias("value"))
-    rows.write.option("lineSep", sdf.RECORD_END).option("compression", compression).text(path)
+    rows = X.molecules(spark, folder).select(F.replace(text, F.lit("\n"), F.lit(line_end)).alias("value"))
+    rows.write.option("lineSep", f"{sdf.RECORD_END}{line_end}").option("compression", compression).text(path)
 
 
 _SDF_SQL = M + """SELECT cid, CASE WHEN cid % 7 = 0 THEN NULL ELSE num_atoms END AS num_atoms, num_atoms / 2 AS logp,
@@ -101,16 +101,30 @@ def sdf_gzip(spark: SparkSession, folder: str) -> DataFrame:
     return _compounds(sdf.sdf_source(spark, path))
 
 
-@query("sdf_recursive", M + "SELECT cid, formula AS formula, num_atoms AS num_atoms FROM molecules WHERE cid % 7 <> 0")
+@query("sdf_crlf", _SDF_SQL)
+def sdf_crlf(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "sdf")
+    _write_sdf(spark, folder, path, line_end="\r\n")
+    return _compounds(sdf.sdf_source(spark, path))
+
+
+@query("append_arrow", "SELECT p_partkey, p_name FROM part UNION ALL SELECT p_partkey, p_name FROM part")
+def append_arrow(spark: SparkSession, folder: str) -> DataFrame:
+    """Two writes into one folder add up."""
+    path, part = new_folder(spark, "arrow"), X.read(spark, folder, "part").select("p_partkey", "p_name")
+    sinks.write_arrow(part, path)
+    sinks.write_arrow(part, path)
+    return tables.arrow_source(spark, path)
+
+
+@query("sdf_recursive", M + "SELECT cid, formula AS formula, CASE WHEN cid % 7 = 0 THEN NULL ELSE num_atoms END AS num_atoms FROM molecules")
 def sdf_recursive(spark: SparkSession, folder: str) -> DataFrame:
     """The database columns from files in nested folders. Spark's own files end in .txt, so the name
     filter is set to them here."""
     root = new_folder(spark, "sdf")
     _write_sdf(spark, folder, f"{root}/a/b")
-    reader = spark.read.option("lineSep", sdf.RECORD_END).option("recursiveFileLookup", "true")
-    records = reader.option("pathGlobFilter", "*.txt").text(root)
-    found = sdf.parse_sdf(records, sdf.sql_properties())
-    return found.filter("num_atoms IS NOT NULL").select(F.col("cid").cast("bigint").alias("cid"), "formula", "num_atoms")
+    found = sdf.sdf_source(spark, root, recursive=True, properties=sdf.sql_properties(), pattern="*.txt")
+    return found.select(F.col("cid").cast("bigint").alias("cid"), "formula", "num_atoms")
 
 
 @query(
@@ -196,8 +210,8 @@ def write_questions(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "generate_questions",
     M + f"""SELECT q.question_id, 'train' AS split, cid, kekulized_smiles, net_formal_charge FROM (
-      SELECT cid, CASE WHEN contains(smiles, 'c1ccccc1') THEN 'None' ELSE smiles END AS kekulized_smiles, CAST(net_charge AS VARCHAR) AS net_formal_charge
-      FROM molecules WHERE valid AND (iupac IS NULL OR trim(iupac) <> '') AND num_atoms BETWEEN 3 AND 45), (VALUES ('charge'), ('repeat')) q(question_id)""",
+      SELECT cid, smiles AS kekulized_smiles, CAST(net_charge AS VARCHAR) AS net_formal_charge
+      FROM molecules WHERE valid AND NOT contains(smiles, 'c1ccccc1') AND (iupac IS NULL OR trim(iupac) <> '') AND num_atoms BETWEEN 3 AND 45), (VALUES ('charge'), ('repeat')) q(question_id)""",
 )
 def generate(spark: SparkSession, folder: str) -> DataFrame:
     """The generation path: filter, answers, templates."""

@@ -97,16 +97,24 @@ def _span_sql(prompt: str, answer: str, limit: int) -> str:
       {first} < {limit} AND length({answer}) > 0 AS inside"""
 
 
+# turns of conversations are at most some two thousand bytes long: a window of this size holds every whole text
+WHOLE = 4096
+
+
+def _turns(spark: SparkSession, folder: str) -> DataFrame:
+    return X.spread_out(spark, folder, "conversations", "conv_id", "turn", "text")
+
+
 @query(
     "answer_span",
-    f"""SELECT doc_id, CASE WHEN inside THEN start END AS start, CASE WHEN inside THEN stop END AS stop FROM (
-      SELECT doc_id, {_span_sql('text', _ANSWER, 64)} FROM documents)""",
+    f"""SELECT conv_id, turn, CASE WHEN inside THEN start END AS start, CASE WHEN inside THEN stop END AS stop FROM (
+      SELECT conv_id, turn, {_span_sql('text', _ANSWER, WHOLE)} FROM conversations)""",
 )
 def answer_span(spark: SparkSession, folder: str) -> DataFrame:
     answer = F.substring("text", 20, 12)
-    span = N.answer_span(F.col("text"), answer, 64)
-    found = X.spread_out(spark, folder, "documents").select("doc_id", span.alias("span"))
-    return found.select("doc_id", F.col("span.start").cast("bigint").alias("start"), F.col("span.stop").cast("bigint").alias("stop"))
+    span = N.answer_span(F.col("text"), answer, WHOLE)
+    found = _turns(spark, folder).select("conv_id", "turn", span.alias("span"))
+    return found.select("conv_id", "turn", F.col("span.start").cast("bigint").alias("start"), F.col("span.stop").cast("bigint").alias("stop"))
 
 
 @query(
@@ -123,39 +131,39 @@ def subsequence_find(spark: SparkSession, folder: str) -> DataFrame:
 # a question from a benchmark text and a tagged answer, as the training form
 _PROMPT = "'Q: ' || text || ' A: '"
 _TAGGED = f"'It is {OPEN_TAG}' || CAST(length(text) AS STRING) || '{CLOSE_TAG}'"
-TRAIN_LENGTH = 200
+TRAIN_LENGTH = WHOLE
 
 
 def _training(spark: SparkSession, folder: str) -> DataFrame:
-    rows = X.spread_out(spark, folder, "documents").selectExpr("doc_id", f"{_PROMPT} || {_TAGGED} AS whole", f"{_TAGGED} AS answer")
+    rows = _turns(spark, folder).selectExpr("conv_id", "turn", f"{_PROMPT} || {_TAGGED} AS whole", f"{_TAGGED} AS answer")
     ids = N.pad_left(N.token_ids(F.col("whole"), TRAIN_LENGTH, True), TRAIN_LENGTH)
     return rows.withColumn("ids", ids)
 
 
-_TRAIN_SQL = f"""WITH qa AS (SELECT doc_id, {_PROMPT} || {_TAGGED} AS whole, {_TAGGED} AS answer FROM documents),
+_TRAIN_SQL = f"""WITH qa AS (SELECT conv_id, turn, {_PROMPT} || {_TAGGED} AS whole, {_TAGGED} AS answer FROM conversations),
   coded AS (SELECT *, list_slice(list_concat({bytes_sql('whole')}, [256]), 1, {TRAIN_LENGTH}) AS raw FROM qa),
   ready AS (SELECT *, len(raw) AS n, {padded_sql('raw', str(TRAIN_LENGTH), 256)} AS ids FROM coded)\n"""
 
 
 @query(
     "train_labels",
-    _TRAIN_SQL + f"""SELECT doc_id, {shown_sql('ids')} AS input_ids, array_to_string(list_transform(ids, lambda x, i:
+    _TRAIN_SQL + f"""SELECT conv_id, turn, {shown_sql('ids')} AS input_ids, array_to_string(list_transform(ids, lambda x, i:
       CASE WHEN i - 1 - ({TRAIN_LENGTH} - n) >= strlen(whole) - strlen(answer) THEN x ELSE -100 END), ' ') AS labels FROM ready""",
 )
 def train_labels(spark: SparkSession, folder: str) -> DataFrame:
     rows = _training(spark, folder)
     span = N.closing_span(F.col("whole"), F.col("answer"), TRAIN_LENGTH)
     labels = rows.withColumn("span", span).select(
-        "doc_id", shown(F.col("ids")).alias("input_ids"), shown(N.train_labels(F.col("ids"), F.col("span"))).alias("labels")
+        "conv_id", "turn", shown(F.col("ids")).alias("input_ids"), shown(N.train_labels(F.col("ids"), F.col("span"))).alias("labels")
     )
     return labels
 
 
 @query(
     "position_weights",
-    _TRAIN_SQL + f"""SELECT doc_id, len(list_filter(w, lambda v: v = 5)) AS n_inside, len(w) AS n_positions,
+    _TRAIN_SQL + f"""SELECT conv_id, turn, len(list_filter(w, lambda v: v = 5)) AS n_inside, len(w) AS n_positions,
       CAST(coalesce(list_position(w, 5) - 1, -1) AS BIGINT) AS first_inside
-      FROM (SELECT doc_id, list_transform(ids, lambda x, i: CASE WHEN i - 1 - ({TRAIN_LENGTH} - n) >= ahead
+      FROM (SELECT conv_id, turn, list_transform(ids, lambda x, i: CASE WHEN i - 1 - ({TRAIN_LENGTH} - n) >= ahead
           AND i - 1 - ({TRAIN_LENGTH} - n) < ahead + strlen(body) THEN 5 ELSE 0 END) AS w
         FROM (SELECT *, strlen(substr(whole, 1, strpos(whole, body) - 1)) AS ahead
           FROM (SELECT *, regexp_extract(answer, '<answer>(.*?)</answer>', 1) AS body FROM ready)))""",
@@ -165,22 +173,22 @@ def position_weights(spark: SparkSession, folder: str) -> DataFrame:
     spans = N.weight_spans(F.col("whole"), F.col("answer"), TRAIN_LENGTH)
     weights = rows.withColumn("spans", spans).withColumn("w", N.position_weights(F.col("ids"), F.col("spans")))
     return weights.select(
-        "doc_id",
+        "conv_id", "turn",
         F.size(F.filter("w", lambda v: v == 5.0)).cast("bigint").alias("n_inside"),
         F.size("w").cast("bigint").alias("n_positions"),
         (F.array_position("w", 5.0) - 1).cast("bigint").alias("first_inside"),
     )
 
 
-_EVAL_SQL = f"list_slice(list_concat({bytes_sql('text')}, [256]), 1, {LABEL_LENGTH})"
+_EVAL_SQL = f"list_slice(list_concat({bytes_sql('text')}, [256]), 1, {WHOLE})"
 
 
 @query(
     "eval_labels",
-    f"SELECT doc_id, {shown_sql(padded_sql('ids', str(LABEL_LENGTH), N.MASKED))} AS labels FROM (SELECT doc_id, {_EVAL_SQL} AS ids FROM documents)",
+    f"SELECT conv_id, turn, {shown_sql(padded_sql('ids', str(WHOLE), N.MASKED))} AS labels FROM (SELECT conv_id, turn, {_EVAL_SQL} AS ids FROM conversations)",
 )
 def eval_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return X.spread_out(spark, folder, "documents").select("doc_id", shown(N.eval_labels(F.col("text"), LABEL_LENGTH)).alias("labels"))
+    return _turns(spark, folder).select("conv_id", "turn", shown(N.eval_labels(F.col("text"), WHOLE)).alias("labels"))
 
 
 @query(
@@ -195,16 +203,14 @@ def decode_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "left_pad_batch",
-    f"""SELECT doc_id, {shown_sql(padded_sql('ids', 'longest', N.PAD))} AS ids FROM (
-      SELECT doc_id, ids, max(len(ids)) OVER (PARTITION BY doc_id // 64) AS longest
-      FROM (SELECT doc_id, {bytes_sql('lang || source || substr(text, 1, CAST(doc_id % 9 AS INT))')} AS ids FROM documents))""",
+    f"""SELECT conv_id, turn, {shown_sql(padded_sql('ids', 'longest', N.PAD))} AS ids FROM (
+      SELECT conv_id, turn, ids, max(len(ids)) OVER (PARTITION BY conv_id) AS longest
+      FROM (SELECT conv_id, turn, {bytes_sql('text')} AS ids FROM conversations))""",
 )
 def left_pad_batch(spark: SparkSession, folder: str) -> DataFrame:
-    rows = X.spread_out(spark, folder, "documents").selectExpr(
-        "doc_id", "floor(doc_id / 64) AS batch", "lang || source || substr(text, 1, CAST(doc_id % 9 AS INT)) AS t"
-    )
-    coded = rows.select("doc_id", "batch", N.byte_ids(F.col("t")).alias("ids"))
-    return N.left_pad_batches(coded, "batch", {"ids": N.PAD}).select("doc_id", shown(F.col("ids")).alias("ids"))
+    """A batch is a conversation."""
+    coded = _turns(spark, folder).select("conv_id", "turn", N.byte_ids(F.col("text")).alias("ids"))
+    return N.left_pad_batches(coded, "conv_id", {"ids": N.PAD}).select("conv_id", "turn", shown(F.col("ids")).alias("ids"))
 
 
 @query(

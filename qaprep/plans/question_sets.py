@@ -15,6 +15,8 @@ from qaprep.operators.isomers import isomer_questions
 
 # Answer columns that must come with the input, as no column expression gives them.
 SUPPLIED = ("kekulized_smiles_atom_map", "hybridization_indices")
+# Columns that answers are computed from, when the table has them.
+ANSWER_INPUTS = ("rings", "ring_is_aromatic", "num_def_stereo", "num_undef_stereo", "num_def_double")
 SCALAR_ELEMENTS = {
     "carbon": "C", "nitrogen": "N", "oxygen": "O", "sulfur": "S", "phosphorus": "P", "chlorine": "Cl", "fluorine": "F",
 }
@@ -36,9 +38,9 @@ def json_nested(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, json_list), ", "), F.lit("]"))
 
 
-def scalar_counts(smiles: Column | S.Scan) -> dict[str, Column]:
-    """Single-number answers, by the names the templates use."""
-    charge, bond = S.charge_counts(smiles), S.bond_counts(smiles)
+def scalar_counts(smiles: Column | S.Scan, kekulized: Column | S.Scan | None = None) -> dict[str, Column]:
+    """Single-number answers, by the names the templates use; bonds from the Kekule form, if there is one."""
+    charge, bond = S.charge_counts(smiles), S.bond_counts(smiles if kekulized is None else kekulized)
     counts = {f"{name}_count": S.element_count(smiles, e) for name, e in SCALAR_ELEMENTS.items()}
     return counts | {
         "ring_count": S.ring_count(smiles),
@@ -53,14 +55,16 @@ def scalar_counts(smiles: Column | S.Scan) -> dict[str, Column]:
 def property_answers(df: DataFrame, smiles: S.Scan, links: Column) -> dict[str, Column]:
     """The answer columns this table has the inputs for; ``links`` are the bonds the chain reads."""
     formula = F.col("formula")
-    bond, charge = S.bond_counts(smiles), S.charge_counts(smiles)
+    # a supplied Kekule form has the bonds the count is about
+    kekulized = S.scan(F.col("kekulized_smiles")) if "kekulized_smiles" in df.columns else smiles
+    bond, charge = S.bond_counts(kekulized), S.charge_counts(smiles)
     hill = S.hill_formula(S.formula_counts(formula), charge["net"])
     answers = {
         "longest_chain": answer_json({"longest_carbon_chain": json_list(R.longest_chain(smiles, links))}),
         "hydrogen_count": F.when(smiles.valid, S.hydrogen_count(formula)).otherwise(F.lit(0)),
         "heavy_atom_count": S.heavy_atom_count(smiles),
         "net_formal_charge": charge["net"],
-        "kekulized_smiles": F.when(~smiles.valid, "").when(~S.is_aromatic_text(smiles), smiles.text),
+        "kekulized_smiles": smiles.text,
         "element_counts": answer_json({e: S.element_count(smiles, e) for e in S.ELEMENTS}),
         "bond_counts": answer_json({n: bond[n] for n in ("all_bonds", "double_bonds", "triple_bonds")}),
         "molecular_formula": F.when(smiles.valid, hill).otherwise(""),
@@ -80,21 +84,29 @@ def property_answers(df: DataFrame, smiles: S.Scan, links: Column) -> dict[str,
 
 
 def _with_answers(df: DataFrame, scalars: bool) -> DataFrame:
-    """All answers as text; rows with an empty one are dropped. A null is the text ``None``, as in
-    a stringified list, and stays.
+    """All answers as text; rows with an empty or an unknown one are dropped. Only a null name is the
+    text ``None``, as in a stringified list, and stays.
 
-    Computed answers are numbers or JSON and never empty, but for structure and formula of a row that
-    does not parse or has no formula: testing that, the name and the supplied columns comes to the
-    same, before anything is computed.
+    Computed answers are numbers or JSON. They are empty for a row that does not parse or has no formula,
+    and null where an input is null or the bonds of an aromatic text are not known: testing that, the
+    name and the supplied columns comes to the same, before anything is computed.
     """
     require_columns(df, ["smiles", "formula", "iupac"])
     supplied = [c for c in ("kekulized_smiles", *SUPPLIED) if c in df.columns]
     table, smiles = S.with_scan(df)
-    table = table.filter(smiles.valid & F.col("formula").rlike("[A-Z]") & answers_valid(["iupac", *supplied]))
+    known = smiles.valid & F.col("formula").rlike("[A-Z]") & answers_valid(["iupac", *supplied])
+    for name in (c for c in (*supplied, *ANSWER_INPUTS) if c in df.columns):
+        known &= F.col(name).isNotNull()
+    if "kekulized_smiles" in df.columns:
+        kekulized = F.col("kekulized_smiles")
+        known &= S.parsable(kekulized) & ~S.is_aromatic_text(kekulized)
+    else:
+        known &= ~S.is_aromatic_text(smiles)
+    table = table.filter(known)
     table = table.withColumn("_links", S.bonds(smiles.text))
     answers = property_answers(df, smiles, F.col("_links"))
     if scalars:
-        answers |= scalar_counts(smiles)
+        answers |= scalar_counts(smiles, F.col("kekulized_smiles") if "kekulized_smiles" in df.columns else None)
     answers["iupac_name"] = F.col("iupac")
     named = replace_answers(table, {name: as_text(value) for name, value in answers.items()})
     return named.drop("_links", *S.SCAN_COLUMNS)

@@ -118,9 +118,11 @@ class ArrowWriter(DataSourceArrowWriter):
         return message
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Names carry the job, so that a second write into the folder adds to the first."""
         system, root = _open_path(self.path)
+        job = uuid.uuid4().hex
         for number, message in enumerate(m for m in messages if m is not None):
-            system.move(message.name, f"{root}/part-{number:05d}.arrow")
+            system.move(message.name, f"{root}/part-{job}-{number:05d}.arrow")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         """Unfinished files keep their hidden name and are never read."""

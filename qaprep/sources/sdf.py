@@ -70,7 +70,8 @@ SQL_PROPERTIES: dict[str, tuple[str, str]] = {
     "PUBCHEM_COMPONENT_COUNT": ("fragments", "INTEGER"),
 }
 _SPARK_TYPES = {"INTEGER": "int", "REAL": "float", "VARCHAR(2047)": "string"}
-RECORD_END = "$$$$\n"
+# Without its line end: a file may have either one, which is then left at the head of the next record.
+RECORD_END = "$$$$"
 _PROPERTY = r"(?m)^>[^\n]*<([^>\n]+)>[^\n]*\n((?:[^\n]++\n?+)*+)"
 
 
@@ -100,12 +101,13 @@ def compound_schema() -> T.StructType:
     return T.StructType([T.StructField(c, T.DataType.fromDDL(t)) for c, t in COMPOUND_PROPERTIES.values()])
 
 
-def sdf_records(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
-    """Raw records as ``value``. Plain files are split by Spark, ``.gz`` files are one split each."""
+def sdf_records(spark: SparkSession, path: str | list[str], recursive: bool = False, pattern: str = "*.sdf") -> DataFrame:
+    """Raw records as ``value``, with either line end in the file. Plain files are split by Spark, ``.gz``
+    files are one split each. ``pattern``: names read in nested folders."""
     reader = spark.read.option("lineSep", RECORD_END)
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.sdf")
-    records = reader.text(path)
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    records = reader.text(path).withColumn("value", F.replace("value", F.lit("\r\n"), F.lit("\n")))
     return records.filter(F.contains("value", F.lit("M  END")))
 
 
@@ -125,9 +127,10 @@ def sdf_source(
     max_records: int | None = None,
     recursive: bool = False,
     properties: Mapping[str, tuple[str, str]] = COMPOUND_PROPERTIES,
+    pattern: str = "*.sdf",
 ) -> DataFrame:
     """Compound table from structure files; ``max_records`` counts per file. A few compressed files
     are spread over the cores ahead of parsing."""
-    records = sdf_records(spark, path, recursive)
+    records = sdf_records(spark, path, recursive, pattern)
     records = per_file_cap(records, max_records) if max_records else spread(records)
     return parse_sdf(records, properties)

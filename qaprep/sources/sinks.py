@@ -58,7 +58,7 @@ def write_sql(df: DataFrame, url: str, table: str, options: Mapping[str, str], p
     """Create the table and insert over a bounded number of connections."""
     wanted = {column: kind for column, kind in SQL_PROPERTIES.values()}
     types = ", ".join(f"{c} {wanted[c]}" for c in df.columns if c in wanted)
-    writer = df.coalesce(partitions).write.format("jdbc").option("url", url).option("dbtable", table)
+    writer = df.repartition(partitions).write.format("jdbc").option("url", url).option("dbtable", table)
     writer.option("createTableColumnTypes", types).options(**options).mode("append").save()
 
 

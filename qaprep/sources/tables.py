@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qaprep.functions.text import strip
+from qaprep.operators.indexing import first_rows
 from qaprep.session import write_through
 from qaprep.sources.arrow_files import ArrowFiles
 
@@ -16,7 +17,8 @@ QUESTION_FIELDS = ("question_id", "question_template", "assistant_template", "sp
 
 
 def load_table(spark: SparkSession, path: str, limit: int | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """Read by suffix: .arrow, .parquet, .csv, .tsv, .jsonl or .json; optionally the first rows."""
+    """Read by suffix: .arrow, .parquet, .csv, .tsv, .jsonl or .json; optionally ``limit`` rows, those with the
+    smallest hash, whatever the files and splits."""
     suffix = PurePosixPath(path).suffix.lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
     if suffix == ".arrow":
@@ -30,7 +32,10 @@ def load_table(spark: SparkSession, path: str, limit: int | None = None, schema:
         table = reader.json(path)
     else:
         raise ValueError(f"unsupported input format: {suffix}")
-    return table if limit is None else table.limit(limit)
+    if limit is None:
+        return table
+    hashed = [F.col(f"`{f.name}`") for f in table.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return first_rows(table, [F.xxhash64(*hashed)], limit)
 
 
 def arrow_source(spark: SparkSession, path: str, batches_per_split: int = 64) -> DataFrame:
