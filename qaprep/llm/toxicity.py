@@ -147,6 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     features = rows.select("doc_id", "label", "text").mapInArrow(_sample_features, "doc_id bigint, label int, slots binary")
     one_task = features.repartition(1).sortWithinPartitions("doc_id", "slots")
     row = one_task.mapInArrow(_fitter(totals, rounds), "weights binary, bias double").first()
+    if row is None:  # no labelled document: nothing looks toxic
+        nothing = np.zeros(0, dtype=np.int64)
+        return fit(nothing, nothing, nothing, nothing)
     return Model(np.frombuffer(row.weights, dtype=np.float32), row.bias)
 
 
