@@ -9,8 +9,8 @@
    uniform prior, is below ``MISS``.
 4. Survivors are verified exactly on their full sets.
 
-A bucket may hold a large share of all classes, so its pairs are never listed. Two rounds of leaders come
-first: every class of a bucket is compared with one leader, which joins nearly all of a group of near
+A bucket may hold a large share of all classes, so its pairs are never listed. Rounds of leaders come
+first: every class of a bucket is compared with a leader, the class that meets most others, which joins nearly all of a group of near
 copies by as many pairs as it has members. What is left are the pairs of a bucket whose classes are still in
 different components. These are compared block against block (bounded blocks of a bucket, one group
 each), except for pairs inside the bucket's largest component, which need no link any more; only
@@ -34,6 +34,8 @@ from qaprep.session import write_through
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100
 BANDS, BAND_ROWS = 32, 3
+#: Signature values; the bands are made of the first ones, the others sharpen the comparison.
+VALUES = 192
 #: Signature values are compared in batches of this size.
 BATCH = 24
 #: A pair is given up when the posterior probability of reaching the threshold is below this.
@@ -41,7 +43,7 @@ MISS = 1e-7
 #: Classes of one block in the last round.
 BLOCK = 256
 
-_PLUS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64))
+_PLUS = mix(np.arange(1, VALUES + 1, dtype=np.uint64))
 _TIMES = mix(_PLUS) | np.uint64(1)
 
 
@@ -95,7 +97,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint32).reshape(batch.num_rows, BANDS, BAND_ROWS).astype(np.uint64)
+        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint32).reshape(batch.num_rows, VALUES)[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS).astype(np.uint64)
         bucket = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), sig.shape[:2]).copy()
         for i in range(BAND_ROWS):
             bucket = mix(bucket * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, i])
@@ -116,7 +118,7 @@ def least_matches(values: int, threshold: float = NUMERATOR / DENOMINATOR, miss:
     return values
 
 
-LEAST = {min(n, BANDS * BAND_ROWS): least_matches(min(n, BANDS * BAND_ROWS)) for n in range(BATCH, BANDS * BAND_ROWS + BATCH, BATCH)}
+LEAST = {n: least_matches(n) for n in range(BATCH, VALUES + 1, BATCH)}
 
 
 def surviving(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -132,7 +134,7 @@ def surviving(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(len(column), BANDS * BAND_ROWS)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(len(column), VALUES)
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,12 +177,12 @@ def _block_pairs(table: pa.Table) -> pa.Table:
         ln, rn, lc, rc = (np.asarray(t.column(c)) for c in ("node", "comp") for t in (left, right))
         ls, rs = _signatures(left.column("sig").combine_chunks()), _signatures(right.column("sig").combine_chunks())
         rank, band = np.asarray(right.column("straggler")), left.column("band")[0].as_py()
-        banded = rs.reshape(len(rs), BANDS, BAND_ROWS)
+        banded, mine = (x[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS) for x in (rs, ls))
         for i in range(left.num_rows):
             # two stragglers meet once, from the smaller one
             others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])))
             if band and len(others):
-                earlier = (banded[others, :band] == ls[i].reshape(BANDS, BAND_ROWS)[:band]).all(axis=2).any(axis=1)
+                earlier = (banded[others, :band] == mine[i, :band]).all(axis=2).any(axis=1)
                 others = others[~earlier]
             if len(others):
                 found = others[surviving(np.broadcast_to(ls[i], (len(others), ls.shape[1])), rs[others])]
@@ -201,9 +203,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     nodes = write_through(signed.filter("size > 0").groupBy("digest").agg(F.min("key").alias("node"), F.max("sig").alias("sig")), "classes")
 
     banded = write_through(nodes.select("node", "sig").mapInArrow(_bands, "node bigint, bucket bigint, band int").distinct(), "bands")
-    shared = write_through(banded.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
+    shared = write_through(banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
     buckets = write_through(banded.join(shared, "bucket"), "buckets")
-    busy = write_through(buckets.select("node").distinct(), "busy")
+    # how many others a class meets: large for the middle of a group of near copies
+    busy = write_through(buckets.groupBy("node").agg(F.sum("size").alias("meets")), "busy")
     sigs = write_through(nodes.join(busy, "node", "left_semi"), "signatures")
     wanted = keyed(docs).join(sigs.select(F.col("node").alias("key"), "digest"), "key")
     sets = write_through(wanted.mapInArrow(_hash_sets(words), "node bigint, set binary"), "sets")
@@ -223,8 +226,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
         return both.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a bigint, b bigint").distinct()
 
     def compared(labels: DataFrame, turn: int) -> DataFrame:
-        """Links of the classes to the leaders of their buckets, where the labels differ."""
-        members = buckets.join(labels, "node").withColumn("rank", F.xxhash64("node", F.lit(turn)))
+        """Links of the classes to the leaders of their buckets, where the labels differ: first to those
+        that meet most others, in the last turn to any."""
+        rank = F.xxhash64("node", F.lit(turn)) if turn == 2 else -F.col("meets")
+        members = buckets.join(labels, "node").withColumn("rank", rank)
         leaders = members.groupBy("bucket").agg(F.min(F.struct("rank", "node", "comp")).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
         pairs = members.join(write_through(leaders.select("bucket", "lead"), "leaders"), "bucket").filter("comp != lead.comp")
         if turn == 0:  # one leader for each class does for most
@@ -235,13 +240,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     links = compared(busy.withColumn("comp", F.col("node")), 0)
     step = write_through(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("comp")), "steps")
     two = step.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("further")), "comp", "left").select("node", F.coalesce("further", "comp").alias("comp"))
-    labels = write_through(busy.join(two, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "labels")
-    links = links.union(compared(labels, 1))
+    labels = write_through(busy.join(two, "node", "left").select("node", "meets", F.coalesce("comp", "node").alias("comp")), "labels")
+    links = links.union(compared(labels, 1)).union(compared(labels, 2))
     known = write_through(components(links, "near"), "known")
     labels = write_through(busy.join(known, "node", "left").select("node", F.coalesce("root", "node").alias("comp")), "labels")
 
     # the rest: buckets that still hold several components, block against block
-    members = buckets.join(labels, "node")
+    members = buckets.drop("size").join(labels, "node")
     open_buckets = members.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("n").alias("all")).filter("comps > 1 AND all > 2")  # two: compared as leader and member
     open_buckets = open_buckets.select("bucket", F.col("top.comp").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"), F.ceil(F.col("all") / BLOCK).cast("int").alias("right_blocks"))
     rest = members.join(write_through(open_buckets, "open"), "bucket").join(sigs.select("node", "sig"), "node").withColumn("straggler", F.col("comp") != F.col("top"))
