@@ -41,6 +41,14 @@ def keyed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def sampled(rows: DataFrame, count: int) -> DataFrame:
+    """The ``count`` rows of ``keyed`` rows with the smallest hash of key and text. Only hashes are sorted; the
+    texts join the chosen ones (repeated rows of a chosen one come along)."""
+    order = F.xxhash64("key", "text")
+    chosen = rows.select("key", order.alias("_order")).orderBy("_order", "key").limit(count).distinct()
+    return rows.withColumn("_order", order).join(F.broadcast(chosen), ["key", "_order"]).drop("_order")  # at most ``count`` rows
+
+
 def id_of(key: Column) -> Column:
     """The id a key stands for: null for ``NO_ID``."""
     return F.when(key != F.lit(NO_ID), key)

@@ -7,8 +7,8 @@ of the dictionary it needs, and the ids its partition holds ahead of it. Both ar
 committer, so a task that is lost or run twice leaves nothing half done, on any store Spark writes to.
 One document is read from its shard by the index, without any other frame being decompressed.
 
-The dictionary is trained on the id arrays of ``SAMPLE`` documents (the smallest by a hash of the
-id, the first ``SAMPLE_IDS`` ids of each); it changes the size of the files only, never what they hold.
+The dictionary is trained on the id arrays of ``SAMPLE`` documents (the smallest by a hash of id
+and text, the first ``SAMPLE_IDS`` ids of each); it changes the size of the files only, never what they hold.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaprep.llm.common import id_of, keyed, slices
+from qaprep.llm.common import id_of, keyed, sampled, slices
 from qaprep.llm.tokens import WordEncoder
 
 END_ID = 2
@@ -95,7 +95,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
     own, in the order of their texts' hashes. An empty table gives a folder without shards."""
     spark = docs.sparkSession
     rows = keyed(docs)
-    sample = rows.orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).limit(SAMPLE)
+    sample = sampled(rows, SAMPLE).repartition(1).sortWithinPartitions("key", "text")
     trained = sample.mapInArrow(_train(path, end_id, dictionary), "bytes binary").filter("length(bytes) > 0").first()
     raw = bytes(trained.bytes) if trained else b""
     spark.createDataFrame([(hashlib.sha256(raw).hexdigest(), raw)], "dictionary string, bytes binary").coalesce(1).write.parquet(f"{folder}/dictionary")
