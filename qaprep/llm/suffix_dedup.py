@@ -3,9 +3,9 @@
 Every byte is removed that a string of ``WINDOW`` bytes covers which also starts earlier in the corpus (a
 smaller id, or the same document further ahead).
 
-1. A window's anchor is the least hash of the 16-byte strings in it. Equal windows have equal anchors, so
+1. A window's anchor is the least hash of the 32-byte strings in it. Equal windows have equal anchors, so
    windows meet by their anchor alone. Neighbouring windows with one anchor form a context (at most
-   ``2 * WINDOW`` bytes), and only its hashes travel: an anchor in about 40 bytes of text.
+   ``2 * WINDOW`` bytes), and only its hashes travel: an anchor in about 35 bytes of text.
 2. Rows of an anchor meet. An anchor seen once is done with. Of equal contexts all but the first are
    repeated whole. Equal contexts inside a task are merged first, so a passage that a third of all
    documents share arrives as a row per slice of text, not per document.
@@ -33,7 +33,7 @@ from qaprep.llm.common import SpanHash, id_of, keyed, mix, slices, text_buffer
 from qaprep.session import write_through
 
 WINDOW = 100
-GRAM = 16
+GRAM = 32
 #: Texts are dealt with in pieces of at most 2^23 bytes (and a window), so that a place fits these bits.
 PLACE_BITS = 24
 #: Different contexts of one anchor that an index takes.
