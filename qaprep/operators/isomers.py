@@ -100,7 +100,8 @@ def isomer_questions(
     """
     rows, draws = sample_candidates(df, formula, key, row_id, seed, carry=[smiles, respelled])
     pool = rows.select(F.col("_no").alias("candidate"), F.col(smiles).alias("_smiles"), F.col(respelled).alias("_other"))
-    decoys = draws.join(pool, "candidate").select(
+    # one candidate may be drawn by very many rows of its formula
+    decoys = sliced_join(draws, pool, ["candidate"], [row_id, "slot"]).select(
         row_id, "slot", F.when(F.col("repeat"), F.col("_other")).otherwise(F.col("_smiles")).alias("text"),
         F.lit(None).cast("string").alias("given"),
     )

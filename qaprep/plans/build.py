@@ -1,19 +1,25 @@
-"""From question records to tokenised splits, in one pass over the records."""
+"""From question records to tokenised splits."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qaprep.functions import tokens as N
-from qaprep.functions.templates import eval_prompt, render_column, value_map
+from qaprep.functions.templates import chat_markup, chat_messages, eval_prompt, render_column, value_map
 from qaprep.operators.filters import require_columns
 from qaprep.operators.sampling import SPLITS, seeded_sample
 from qaprep.sources.sinks import write_dataset
 
 
-def render_records(df: DataFrame, system_prompt: str | None = None) -> DataFrame:
-    """Attach ``prompt`` (without the answer) and ``answer`` to question records."""
+Markup = tuple[str, str, str]
+
+
+def render_records(df: DataFrame, system_prompt: str | None = None, markup: Markup | None = None) -> DataFrame:
+    """Attach ``prompt`` (without the answer) and ``answer`` to question records. ``markup``: what opens and
+    closes a turn (``{role}`` is the speaker) and what asks for the answer, for models with a chat form."""
     values = value_map(df.schema["metadata"].dataType, "metadata.")
     system = F.lit(system_prompt) if system_prompt is not None else F.col("system_prompt")
     rendered = df.withColumns(
@@ -22,7 +28,9 @@ def render_records(df: DataFrame, system_prompt: str | None = None) -> DataFrame
             "answer": render_column(F.col("assistant_template"), values),
         }
     )
-    return rendered.withColumn("prompt", eval_prompt(system, F.col("_question"))).drop("_question")
+    question = F.col("_question")
+    prompt = eval_prompt(system, question) if markup is None else chat_markup(chat_messages(system, question), *markup)
+    return rendered.withColumn("prompt", prompt).drop("_question")
 
 
 def _ids(text: Column, limit: int, end: bool) -> dict[str, Column]:
@@ -56,6 +64,33 @@ def tokenise_eval(df: DataFrame, max_length: int = 1024, max_label_len: int = 51
     return df.withColumns(_ids(F.col("prompt"), max_length, False) | {"labels": N.eval_labels(F.col("answer"), max_label_len)})
 
 
+def plugged_train(df: DataFrame, tokenizer: Callable[[Column], Column], end_id: int, max_length: int = 1024) -> DataFrame:
+    """``tokenise_train`` with a caller's tokenizer: prompt and answer are encoded one by one, so that the
+    labels begin with the answer's first id whatever the tokenizer merges."""
+    coded = df.withColumns({"_p": tokenizer(F.col("prompt")), "_a": F.concat(tokenizer(F.col("answer")), F.array(F.lit(end_id)))})
+    ids = F.slice(F.concat("_p", "_a"), 1, max_length)
+    start = F.lit(max_length) - F.size("_ids") + F.size("_p")
+    span = F.when(F.size("_p") < max_length, F.struct(start.alias("start"), F.lit(max_length).alias("stop")))
+    out = coded.withColumn("_ids", ids).withColumns(
+        {"input_ids": N.pad_left(F.col("_ids"), max_length, end_id), "attention_mask": N.attention_mask(F.size("_ids"), max_length), "_span": span}
+    )
+    return out.withColumn("labels", N.train_labels(F.col("input_ids"), F.col("_span"))).drop("_p", "_a", "_ids", "_span")
+
+
+def plugged_eval(
+    df: DataFrame, tokenizer: Callable[[Column], Column], end_id: int, max_length: int = 1024, max_label_len: int = 512
+) -> DataFrame:
+    """``tokenise_eval`` with a caller's tokenizer."""
+    coded = df.withColumns({"_p": F.slice(tokenizer(F.col("prompt")), 1, max_length), "_a": F.concat(tokenizer(F.col("answer")), F.array(F.lit(end_id)))})
+    return coded.withColumns(
+        {
+            "input_ids": N.pad_left(F.col("_p"), max_length, end_id),
+            "attention_mask": N.attention_mask(F.size("_p"), max_length),
+            "labels": N.pad_left(F.slice("_a", 1, max_label_len), max_label_len, N.MASKED),
+        }
+    ).drop("_p", "_a")
+
+
 def build_dataset(
     records: DataFrame,
     path: str,
@@ -65,19 +100,28 @@ def build_dataset(
     max_length: int = 1024,
     max_label_len: int = 512,
     weights: bool = False,
+    tokenizer: Callable[[Column], Column] | None = None,
+    end_id: int = N.PAD,
+    markup: Markup | None = None,
 ) -> int:
     """Write ``full`` (valid, test) and ``minimal`` (all splits). Rows of ``full`` get an
-    ``example_id``, by which predictions are paired with them later. Returns how many training rows
-    have no label left because the truncation cut their answer off; the write itself counts them."""
+    ``example_id``, a hash of the record that every build gives alike, by which predictions are paired with
+    them later. ``tokenizer`` (such as ``plugged_tokenizer`` makes) and its ``end_id`` take the place of the
+    bytes; weights are there for bytes only. Returns how many training rows have no label left
+    because the truncation cut their answer off; the write itself counts them."""
+    if weights and tokenizer is not None:
+        raise ValueError("position weights need the byte tokenizer")
     require_columns(records, ["split"])
     if limit is not None:
         records = seeded_sample(records, key, limit)
-    rendered = render_records(records.filter(F.col("split").isin(*SPLITS)), system_prompt)
-    train = tokenise_train(rendered.filter("split = 'train'"), max_length, weights)
+    rendered = render_records(records.filter(F.col("split").isin(*SPLITS)), system_prompt, markup)
+    learned, held = rendered.filter("split = 'train'"), rendered.filter("split <> 'train'")
+    train = tokenise_train(learned, max_length, weights) if tokenizer is None else plugged_train(learned, tokenizer, end_id, max_length)
     unlabelled = Observation("unlabelled")
     kept = F.size(F.array_remove(F.col("labels"), N.MASKED))
     train = train.observe(unlabelled, F.count_if(kept == 0).alias("n"))
-    evaluation = tokenise_eval(rendered.filter("split <> 'train'"), max_length, max_label_len)
-    numbered = evaluation.drop("prompt", "answer").withColumn("example_id", F.monotonically_increasing_id())
+    evaluation = tokenise_eval(held, max_length, max_label_len) if tokenizer is None else plugged_eval(held, tokenizer, end_id, max_length, max_label_len)
+    record = F.to_json(F.struct("split", "prompt", "answer", *[c for c in records.columns if c not in ("split", "prompt", "answer")]))
+    numbered = evaluation.withColumn("example_id", F.xxhash64(record)).drop("prompt", "answer")
     write_dataset(train, numbered, path)
     return unlabelled.get["n"]

@@ -12,7 +12,8 @@ from qaprep.plans import fixtures as X
 from qaprep.plans.catalog_text import FLAGSHIP
 from qaprep.plans.generate import expand_templates, generate_questions
 from qaprep.functions.templates import QuestionConfig, Template
-from qaprep.plans.registry import query
+from qaprep.plans.registry import ORACLES, query
+from qaprep.plans.subset import write_subset
 from qaprep.session import new_folder
 from qaprep.sources import sdf, sinks, tables
 
@@ -274,14 +275,41 @@ def minimal_columns(spark: SparkSession, folder: str) -> DataFrame:
     return counted.selectExpr(f"stack({len(slim.columns)}, {pairs}) AS (column_name, n_values)")
 
 
-@query("evaluate", X.PREDICTIONS + """SELECT question_id, count(*) AS total FROM predictions GROUP BY question_id""")
+@query("evaluate", ORACLES["accuracy_by_question"])
 def evaluation(spark: SparkSession, folder: str) -> DataFrame:
     """The evaluation path over a saved split of labels."""
     path, rows = new_folder(spark, "labels"), X.predictions(spark, folder)
-    saved = rows.select("example_id", "question_id", N.eval_labels(F.col("gold"), 64).alias("labels"), F.lit("test").alias("split"))
+    saved = rows.select("example_id", "question_id", N.eval_labels(F.col("gold"), 1024).alias("labels"), F.lit("test").alias("split"))
     saved.write.partitionBy("split").parquet(path)
     scored = evaluate.evaluate(spark, path, rows.select("example_id", "prediction"))
-    return scored["by_question"].select("question_id", "total")
+    out = scored["by_question"]
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c.endswith("accuracy")})
+
+
+@query(
+    "build_tokenizer",
+    _BUILT_SQL + """SELECT cid, question_id, len(regexp_extract_all(answer, '[^ \n]+')) + 1 AS n_labels FROM qa WHERE split = 'test'""",
+)
+def build_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    """The build path with a caller's tokenizer (a word is the id of its length) and chat markup."""
+    path = new_folder(spark, "built")
+    tokenizer = N.plugged_tokenizer(lambda text: [len(word) for word in text.split()])
+    build.build_dataset(_records(spark, folder), path, "Answer in tags. ", max_length=160, max_label_len=48, tokenizer=tokenizer, end_id=0, markup=("<{role}> ", " </> ", "<assistant> "))
+    test = tables.tokenised_source(spark, f"{path}/full", "test")
+    return test.select("metadata.cid", "question_id", F.size(F.array_remove("labels", N.MASKED)).cast("bigint").alias("n_labels"))
+
+
+@query(
+    "subset_path",
+    "SELECT p_partkey AS cid, p_name AS iupac, p_size AS num_atoms FROM part WHERE p_partkey IN (SELECT doc_id FROM labels) AND trim(p_name) <> ''",
+)
+def subset_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Listed ids, a name filter, splits, and a write sorted for the curriculum; read back."""
+    path = new_folder(spark, "subset")
+    table = X.read(spark, folder, "part").select(F.col("p_partkey").alias("cid"), F.col("p_name").alias("iupac"), F.col("p_size").alias("num_atoms"))
+    ids = X.read(spark, folder, "labels").select(F.col("doc_id").alias("cid"))
+    write_subset(table, ids, path, key="cid", name="iupac")
+    return spark.read.parquet(path).select("cid", "iupac", "num_atoms")
 
 
 @query(

@@ -10,10 +10,13 @@ from qaprep.operators import filters as P
 from qaprep.operators import indexing as W
 from qaprep.operators import isomers as J
 from qaprep.operators import sampling as O
+from qaprep.operators.joins import sliced_join
 from qaprep.plans import fixtures as X
 from qaprep.plans.generate import expand_templates
 from qaprep.plans.question_sets import question_set
 from qaprep.plans.registry import query
+from qaprep.session import new_folder
+from qaprep.sources import tables
 
 M = X.MOLECULES
 BLANKS = "chr(9) || chr(10) || chr(13) || ' '"
@@ -232,7 +235,7 @@ def isomer_mcq_large_groups(spark: SparkSession, folder: str) -> DataFrame:
 def sample_per_group(spark: SparkSession, folder: str) -> DataFrame:
     rows, draws = J.sample_candidates(X.molecules_table(spark, folder), "brand", "kind")
     pool = rows.select(F.col("_no").alias("candidate"), F.col("cid").alias("candidate_cid"))
-    return draws.join(pool, "candidate").select("cid", "slot", "candidate_cid")
+    return sliced_join(draws, pool, ["candidate"], ["cid", "slot"]).select("cid", "slot", "candidate_cid")
 
 
 @query(
@@ -383,6 +386,8 @@ def sorted_set(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT 'customer' AS part_of, c_custkey AS id FROM customer UNION ALL SELECT 'supplier', s_suppkey FROM supplier""",
 )
 def concat_files(spark: SparkSession, folder: str) -> DataFrame:
-    customer = X.read(spark, folder, "customer").select(F.lit("customer").alias("part_of"), F.col("c_custkey").alias("id"))
-    supplier = X.read(spark, folder, "supplier").select(F.lit("supplier").alias("part_of"), F.col("s_suppkey").alias("id"))
-    return customer.unionByName(supplier)
+    """Two files of different formats, read as one table."""
+    root = new_folder(spark, "concat")
+    X.read(spark, folder, "customer").select(F.col("c_custkey").alias("id")).write.parquet(f"{root}/customer.parquet")
+    X.read(spark, folder, "supplier").select(F.col("s_suppkey").alias("id")).write.json(f"{root}/supplier.jsonl")
+    return tables.concat_files(spark, [f"{root}/customer.parquet", f"{root}/supplier.jsonl"], "part_of")

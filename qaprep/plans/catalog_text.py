@@ -79,10 +79,10 @@ def build_prompt(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "chat_messages",
     f"""SELECT conv_id, turn, '[system]{SYSTEM};[user]' || text || ';[assistant]' AS markup, 2 AS n_messages
-      FROM conversations WHERE role = 'user'""",
+      FROM conversations""",
 )
 def chat_messages(spark: SparkSession, folder: str) -> DataFrame:
-    turns = X.read(spark, folder, "conversations").filter("role = 'user'")
+    turns = X.read(spark, folder, "conversations")
     messages = T.chat_messages(F.lit(SYSTEM), F.col("text"))
     return turns.select(
         "conv_id", "turn", T.chat_markup(messages, "[{role}]", ";", "[assistant]").alias("markup"),
@@ -90,6 +90,16 @@ def chat_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "chat_training",
+    f"""SELECT item_id, '[system]{SYSTEM};[user]' || text || ';[assistant]' || length(text) || ';' AS markup, 3 AS n_messages FROM benchmark""",
+)
+def chat_training(spark: SparkSession, folder: str) -> DataFrame:
+    """The form a model is trained on: question and answer."""
+    messages = T.chat_messages(F.lit(SYSTEM), F.col("text"), F.length("text").cast("string"))
+    return X.read(spark, folder, "benchmark").select("item_id", T.chat_markup(messages, "[{role}]", ";").alias("markup"), F.size(messages).alias("n_messages"))
+
+
 @query(
     "chat_context",
     """SELECT conv_id, turn, string_agg('User: ' || text, ' ') OVER (PARTITION BY conv_id ORDER BY turn

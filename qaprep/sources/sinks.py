@@ -30,7 +30,8 @@ def minimal_columns(df: DataFrame) -> DataFrame:
 def write_dataset(train: DataFrame, evaluation: DataFrame, path: str) -> None:
     """``full``: valid and test with every column. ``minimal``: all splits, arrays only."""
     evaluation.write.partitionBy("split").parquet(f"{path}/full")
-    slim = evaluation.select("split", *EVAL_COLUMNS)
+    # the slim rows come from what was just written: the records are worked through once
+    slim = evaluation.sparkSession.read.schema(evaluation.schema).parquet(f"{path}/full").select("split", *EVAL_COLUMNS)
     both = minimal_columns(train).unionByName(slim, allowMissingColumns=True)
     both.write.partitionBy("split").parquet(f"{path}/minimal")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,6 +39,18 @@ def load_table(spark: SparkSession, path: str, limit: int | None = None, schema:
     return first_rows(table, [F.xxhash64(*hashed)], limit)
 
 
+def concat_files(spark: SparkSession, paths: list[str], name: str | None = None) -> DataFrame:
+    """Files of any of the formats as one table, matched by column name; ``name`` adds a column with the
+    file's name without its suffix."""
+    if not paths:
+        raise ValueError("no files to concatenate")
+    parts = []
+    for path in paths:
+        table = load_table(spark, path)
+        parts.append(table if name is None else table.withColumn(name, F.lit(PurePosixPath(path).stem)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def arrow_source(spark: SparkSession, path: str, batches_per_split: int = 64) -> DataFrame:
     """Arrow IPC files; a split is a run of record batches."""
     spark.dataSource.register(ArrowFiles)
