@@ -143,7 +143,8 @@ def test_lm_probabilities_sum_to_one():
     count, starts = 9, np.array([1, 1, 0, 1, 0, 1, 0, 0, 1], dtype=bool)
     model = lm_scoring.Attention(count, starts)
     for name, value in model.p.items():
-        model.p[name] = rng.normal(size=value.shape).astype(np.float32)
+        noise = rng.normal(size=value.shape).astype(np.float32)
+        model.p[name] = value + noise if name == "inner_before" else noise
     classes = rng.integers(3, count, 100)
     lengths = np.array([60, 0, 40])[[0, 2]]
     source, there, target = lm_scoring.windows(lengths)
@@ -167,13 +168,15 @@ def test_lm_probabilities_sum_to_one():
 def test_lm_gradient():
     rng = np.random.default_rng(2)
     model = lm_scoring.Attention(7, np.array([1, 1, 0, 1, 0, 1, 0], dtype=bool))
-    model.p = {k: rng.normal(size=x.shape) for k, x in model.p.items()}
+    model.p = {k: rng.normal(size=x.shape) + (x if k == "inner_before" else 0) for k, x in model.p.items()}
     classes = rng.integers(0, 7, 50)
     source, there, target = lm_scoring.windows(np.array([50]))
     ids, goal, scored = np.r_[classes, 0][source], np.r_[classes, 0][target], (target >= 0).astype(float)
     _, g = model.gradients(ids, there, goal, scored)
-    for name in ("q", "k", "v", "u", "distance", "before"):
+    for name in model.p:
         at = tuple(rng.integers(0, s) for s in model.p[name].shape)
+        if name.startswith("inner"):  # a class that is there
+            at = (0, *at[1:-1], 0) if name == "inner_u" else (at[0], 0, 1)
         old, step = model.p[name][at], 1e-5
         model.p[name][at] = old + step
         up, _ = model.gradients(ids, there, goal, scored)
