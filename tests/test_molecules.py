@@ -131,3 +131,22 @@ def test_property_set(spark):
     with pytest.raises(ValueError):
         Q.question_set("unheard of")
     assert Q.question_set("iupac_naming")(df).count() == 2
+
+
+def test_validity_and_reused_labels(evaluate):
+    broken = ["C1CC2", "C)(C", "CC=", "C==C", "=C", "C()C", "C(=)C", "1CC1", "(C)C", "C.=C", "C1CC", "C(C))C", ".C"]
+    assert evaluate(S.parsable, broken) == [False] * len(broken)
+    sound = ["C1CC1C1CC1", "C(C)(C)C", "C=C", "C%10CC%10", "[Na+].[Cl-]", "C(=O)O", "F/C=C/F", "C1=CC=CC=C1", "C=1CCC=1C=1CCC=1"]
+    assert evaluate(S.parsable, sound) == [True] * len(sound)
+    counts = evaluate(S.bond_counts, ["C=1CCC=1C=1CCC=1", "C=1CCC1C=1CCC1", "C=1CCC1C1CCC=1", "C=1CC=2CC=1CC=2", "C#1CCCCC#1"])
+    assert [b.double_bonds for b in counts] == [2, 2, 2, 2, 0] and counts[4].triple_bonds == 1
+
+
+def test_unknown_answers_drop_the_row(spark):
+    rows = [(1, "CCO", "C2H6O", "ethanol", None), (2, "c1ccccc1", "C6H6", "benzene", None), (3, "c1ccccc1", "C6H6", "benzene", "C1=CC=CC=C1"), (4, "CC", "C2H6", None, "CC")]
+    df = spark.createDataFrame(rows, "cid int, smiles string, formula string, iupac string, kekulized_smiles string")
+    plain = Q.molecular_properties(df.drop("kekulized_smiles"))
+    assert {r.cid for r in plain.collect()} == {1, 4}
+    supplied = {r.cid: r for r in Q.molecular_properties(df).collect()}
+    assert set(supplied) == {3, 4} and supplied[3].kekulized_smiles == "C1=CC=CC=C1"
+    assert supplied[3].bond_counts == '{"all_bonds": 6, "double_bonds": 3, "triple_bonds": 0}' and supplied[4].iupac_name == "None"

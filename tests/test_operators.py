@@ -248,6 +248,13 @@ def test_chat_context(spark, monkeypatch):
     assert alone.context == "b2"
 
 
+def test_chat_context_longer_than_a_chunk(spark, monkeypatch):
+    monkeypatch.setattr(conversations, "CHUNK", 4)
+    df = spark.createDataFrame([(1, t, f"t{t}") for t in range(30)], "conv_id int, turn int, text string")
+    got = {r.turn: r.context for r in conversations.chat_context(df, last=10).collect()}
+    assert got == {t: " ".join(f"User: t{i}" for i in range(max(0, t - 9), t + 1)) for t in range(30)}
+
+
 def test_bind(spark):
     df = spark.createDataFrame([(3,)], "a int")
     assert df.select(bind(F.col("a") + 1, lambda v: v * v).alias("x")).first().x == 16

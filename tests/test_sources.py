@@ -171,3 +171,16 @@ def test_watermarked_dedup(spark, tmp_path):
     stream = jobs.file_stream(spark, str(tmp_path / "in"), df.schema)
     jobs.streaming_dedup(stream, ["k"], str(tmp_path / "out"), str(tmp_path / "cp"), event_time="t").awaitTermination()
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2]
+
+
+def test_two_appends_and_crlf(spark, tmp_path):
+    path = str(tmp_path / "arrow")
+    for part in (range(5), range(5, 10)):
+        sinks.write_arrow(spark.createDataFrame([(i,) for i in part], "i int"), path)
+    assert sorted(r.i for r in tables.arrow_source(spark, path).collect()) == list(range(10))
+    record = "{0}\n  made\n\nM  END\n> <PUBCHEM_COMPOUND_CID>\n{0}\n\n> <PUBCHEM_MOLECULAR_FORMULA>\nC{0}\n\n$$$$\n"
+    (tmp_path / "crlf.sdf").write_bytes("".join(record.format(i) for i in (1, 2, 3)).replace("\n", "\r\n").encode())
+    (tmp_path / "lf.sdf").write_bytes("".join(record.format(i) for i in (4, 5)).encode())
+    for name, want in (("crlf", [(1, "C1"), (2, "C2"), (3, "C3")]), ("lf", [(4, "C4"), (5, "C5")])):
+        rows = sdf.sdf_source(spark, str(tmp_path / f"{name}.sdf")).collect()
+        assert sorted((int(r.cid), r.formula) for r in rows) == want

@@ -125,3 +125,12 @@ def test_templates(spark):
         df.select(T.render_column(F.lit("{zz}"), values).alias("t")).collect()
     with pytest.raises(ValueError):
         T.render("{b:>5}", df.schema)
+
+
+def test_numbers_as_python_writes_them(spark):
+    values = [0.00001, 12345678.0, 1e15, 123456789012345680.0, 1e16, 0.0001, 0.00012, 0.001, 1.5, -2.5e-7, -12345678.5, 0.0, 1e100, float("inf"), float("-inf"), 1e22, 9999999.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(T.format_value(F.col("v"), df.schema["v"].dataType)).collect()]
+    assert got == [str(v) for v in values]
+    nan = spark.createDataFrame([(float("nan"),), (None,)], "v double")
+    assert [r[0] for r in nan.select(T.format_value(F.col("v"), nan.schema["v"].dataType)).collect()] == ["nan", "None"]
