@@ -10,9 +10,9 @@
 4. Survivors are verified exactly on their full sets.
 
 A bucket may hold a large share of all classes, so its pairs are never listed. Rounds of leaders come
-first: every class of a bucket is compared with a leader, the class that meets most others, which joins nearly all of a group of near
-copies by as many pairs as it has members. What is left are the pairs of a bucket whose classes are still in
-different components. These are compared block against block (bounded blocks of a bucket, one group
+first: every class of a bucket is compared with a leader, the class that meets most others, which joins
+nearly all of a group of near copies by as many pairs as it has members, and then with its nearest
+ones. What is left are the pairs of a bucket whose classes are still in different components. These are compared block against block (bounded blocks of a bucket, one group
 each), except for pairs inside the bucket's largest component, which need no link any more; only
 survivors leave a block. So every candidate pair that could join two components is decided.
 """
@@ -40,7 +40,9 @@ VALUES = 192
 BATCH = 24
 #: A pair is given up when the posterior probability of reaching the threshold is below this.
 MISS = 1e-7
-#: Classes of one block in the last round.
+#: Candidates of a class and block in the round before the last.
+NEAREST = 2
+#: Classes of one block in the last rounds.
 BLOCK = 256
 
 _PLUS = mix(np.arange(1, VALUES + 1, dtype=np.uint64))
@@ -168,28 +170,36 @@ def _hash_sets(words: int):
     return run
 
 
-def _block_pairs(table: pa.Table) -> pa.Table:
+def _block_pairs(nearest: int | None):
     """Surviving pairs between the left and the right rows of one block pair, in different components. A
-    pair that shares several bands is left to the first of them."""
-    left, right = (table.filter(pa.array(np.asarray(table.column("side")) == s)) for s in (0, 1))
-    out: list[tuple[np.ndarray, np.ndarray]] = []
-    if left.num_rows and right.num_rows:
-        ln, rn, lc, rc = (np.asarray(t.column(c)) for c in ("node", "comp") for t in (left, right))
-        ls, rs = _signatures(left.column("sig").combine_chunks()), _signatures(right.column("sig").combine_chunks())
-        rank, band = np.asarray(right.column("straggler")), left.column("band")[0].as_py()
-        banded, mine = (x[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS) for x in (rs, ls))
-        for i in range(left.num_rows):
-            # two stragglers meet once, from the smaller one
-            others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])))
-            if band and len(others):
-                earlier = (banded[others, :band] == mine[i, :band]).all(axis=2).any(axis=1)
-                others = others[~earlier]
-            if len(others):
-                found = others[surviving(np.broadcast_to(ls[i], (len(others), ls.shape[1])), rs[others])]
-                out.append((np.minimum(ln[i], rn[found]), np.maximum(ln[i], rn[found])))
-    a = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.int64)
-    b = np.concatenate([y for _, y in out]) if out else np.zeros(0, np.int64)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    pair that shares several bands is left to the first of them. ``nearest``: of each left row no more
+    than this many, those with the most equal values."""
+
+    def run(table: pa.Table) -> pa.Table:
+        left, right = (table.filter(pa.array(np.asarray(table.column("side")) == s)) for s in (0, 1))
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        if left.num_rows and right.num_rows:
+            ln, rn, lc, rc = (np.asarray(t.column(c)) for c in ("node", "comp") for t in (left, right))
+            ls, rs = _signatures(left.column("sig").combine_chunks()), _signatures(right.column("sig").combine_chunks())
+            rank, band = np.asarray(right.column("straggler")), left.column("band")[0].as_py()
+            banded, mine = (x[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS) for x in (rs, ls))
+            for i in range(left.num_rows):
+                # two stragglers meet once, from the smaller one
+                others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])))
+                if band and len(others):
+                    earlier = (banded[others, :band] == mine[i, :band]).all(axis=2).any(axis=1)
+                    others = others[~earlier]
+                if len(others):
+                    found = others[surviving(np.broadcast_to(ls[i], (len(others), ls.shape[1])), rs[others])]
+                    if nearest is not None and len(found) > nearest:
+                        equal = (rs[found] == ls[i]).sum(axis=1)
+                        found = found[np.argsort(-equal, kind="stable")[:nearest]]
+                    out.append((np.minimum(ln[i], rn[found]), np.maximum(ln[i], rn[found])))
+        a = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.int64)
+        b = np.concatenate([y for _, y in out]) if out else np.zeros(0, np.int64)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -226,10 +236,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
         return both.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a bigint, b bigint").distinct()
 
     def compared(labels: DataFrame, turn: int) -> DataFrame:
-        """Links of the classes to the leaders of their buckets, where the labels differ: first to those
-        that meet most others, in the last turn to any."""
-        rank = F.xxhash64("node", F.lit(turn)) if turn == 2 else -F.col("meets")
-        members = buckets.join(labels, "node").withColumn("rank", rank)
+        """Links of the classes to the leaders of their buckets, where the labels differ: to those
+        that meet most others."""
+        members = buckets.join(labels, "node").withColumn("rank", -F.col("meets"))
         leaders = members.groupBy("bucket").agg(F.min(F.struct("rank", "node", "comp")).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
         pairs = members.join(write_through(leaders.select("bucket", "lead"), "leaders"), "bucket").filter("comp != lead.comp")
         if turn == 0:  # one leader for each class does for most
@@ -241,20 +250,27 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     step = write_through(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("comp")), "steps")
     two = step.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("further")), "comp", "left").select("node", F.coalesce("further", "comp").alias("comp"))
     labels = write_through(busy.join(two, "node", "left").select("node", "meets", F.coalesce("comp", "node").alias("comp")), "labels")
-    links = links.union(compared(labels, 1)).union(compared(labels, 2))
+    links = links.union(compared(labels, 1))
+    labels = write_through(busy.join(components(links, "near"), "node", "left").select("node", F.coalesce("root", "node").alias("comp")), "labels")
+
+    def opened(labels: DataFrame, nearest: int | None) -> DataFrame:
+        """Pairs of the buckets that still hold several components, block against block."""
+        members = buckets.drop("size").join(labels, "node")
+        sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("n").alias("all"))
+        sizes = sizes.filter("comps > 1 AND all > 2")  # two: compared as leader and member
+        sizes = sizes.select("bucket", F.col("top.comp").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"), F.ceil(F.col("all") / BLOCK).cast("int").alias("right_blocks"))
+        rest = members.join(write_through(sizes, "open"), "bucket").join(sigs.select("node", "sig"), "node").withColumn("straggler", F.col("comp") != F.col("top"))
+        slot = F.xxhash64("node", F.lit("block"))
+        left = rest.filter("straggler").withColumns({"l": F.pmod(slot, "left_blocks"), "r": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("right_blocks").cast("bigint") - 1))})
+        right = rest.withColumns({"r": F.pmod(slot, "right_blocks"), "l": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("left_blocks").cast("bigint") - 1))})
+        both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "band", "l", "r", "side", "node", "comp", "straggler", "sig")
+        return both.groupBy("bucket", "l", "r").applyInArrow(_block_pairs(nearest), "a bigint, b bigint").distinct()
+
+    # what is left: first the nearest ones of each class, which join most, then every pair
+    links = links.union(checked(opened(labels, NEAREST), "links"))
     known = write_through(components(links, "near"), "known")
     labels = write_through(busy.join(known, "node", "left").select("node", F.coalesce("root", "node").alias("comp")), "labels")
-
-    # the rest: buckets that still hold several components, block against block
-    members = buckets.drop("size").join(labels, "node")
-    open_buckets = members.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("n").alias("all")).filter("comps > 1 AND all > 2")  # two: compared as leader and member
-    open_buckets = open_buckets.select("bucket", F.col("top.comp").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"), F.ceil(F.col("all") / BLOCK).cast("int").alias("right_blocks"))
-    rest = members.join(write_through(open_buckets, "open"), "bucket").join(sigs.select("node", "sig"), "node").withColumn("straggler", F.col("comp") != F.col("top"))
-    slot = F.xxhash64("node", F.lit("block"))
-    left = rest.filter("straggler").withColumns({"l": F.pmod(slot, "left_blocks"), "r": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("right_blocks").cast("bigint") - 1))})
-    right = rest.withColumns({"r": F.pmod(slot, "right_blocks"), "l": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("left_blocks").cast("bigint") - 1))})
-    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "band", "l", "r", "side", "node", "comp", "straggler", "sig")
-    last = both.groupBy("bucket", "l", "r").applyInArrow(_block_pairs, "a bigint, b bigint").distinct()
+    last = opened(labels, None)
     more = checked(last, "links")
     for end in ("a", "b"):  # between components now
         more = more.join(labels.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp")), end)
