@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaprep.functions.smiles import Scan, atoms, bonds, parsable, scan
+from qaprep.functions.smiles import Scan, atoms, bonds, parsable
 
 
 def sort_rings(rings: Column, base: int = 0) -> Column:
@@ -116,12 +116,14 @@ def _chain_batch(
 
 def chain_bonds(smiles: Column) -> Column:
     """The bonds ``longest_chain`` needs, to be attached as a column of their own first: the fold
-    that makes them must not be merged into the call of a Python function."""
-    return bonds(F.when(parsable(smiles), smiles).otherwise(F.lit("")))
+    that makes them must not be merged into the call of a Python function. Null for text that does not parse."""
+    return F.when(parsable(smiles), bonds(smiles))
 
 
 def longest_chain(smiles: Column | Scan, links: Column, base: int = 1) -> Column:
-    """Sorted atom numbers of the longest open carbon chain; empty for text that does not parse."""
-    smiles = scan(smiles)
-    usable = F.when(smiles.valid, smiles.text).otherwise(F.lit(""))
-    return _chain_batch(atoms(usable), links["a"], links["b"], links["ring_closure"], F.lit(base))
+    """Sorted atom numbers of the longest open carbon chain; empty without ``links``, as for text that does
+    not parse."""
+    text = smiles.text if isinstance(smiles, Scan) else smiles
+    usable = F.when(links.isNotNull(), text).otherwise(F.lit(""))
+    part = lambda name, kind: F.coalesce(links[name], F.array().cast(f"array<{kind}>"))
+    return _chain_batch(atoms(usable), part("a", "int"), part("b", "int"), part("ring_closure", "boolean"), F.lit(base))
