@@ -7,15 +7,39 @@ text whose words can't be told apart safely goes to the library whole. The ids a
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 
+# Fixed value: how byte-level vocabularies split a text ahead of the merges.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def rank_file(path: str) -> dict[bytes, int] | None:
+    """The tokens of a byte-level file as bytes with their ids, if every merge makes a token of a higher id
+    than the merge before; else None."""
+    with open(path, encoding="utf-8") as source:
+        content = json.load(source)
+    model, splitter = content["model"], content.get("pre_tokenizer") or {}
+    if content.get("normalizer") or splitter.get("type") != "ByteLevel" or not splitter.get("use_regex", True) or splitter.get("add_prefix_space"):
+        return None
+    # bytes that print stand for themselves, the others for the characters from 256 on, in their order
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in prints)}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [model["vocab"][m] for m in merged]
+    if any(a >= b for a, b in zip(ids, ids[1:], strict=False)) or not all(c in model["vocab"] for c in byte_of):
+        return None
+    return {bytes(byte_of[c] for c in token): model["vocab"][token] for token in [*byte_of, *merged]}
+
 
 class WordEncoder:
     """Ids of texts as little-endian bytes of ``dtype``.
 
     ``spaced``: a word's ids include the one blank ahead of it (byte-level vocabularies); words are then
     cut at single blanks only. Otherwise white space is dropped by the vocabulary and any blank or line end cuts.
-    ``most``: words kept; the table starts afresh beyond it."""
+    ``most``: words kept; the table starts afresh beyond it. A byte-level file whose merges are in the order
+    of their ids is a rank file, too: the faster library for those gives the same ids and needs no table."""
 
     def __init__(self, path: str, spaced: bool, most: int = 300_000):
         import os
@@ -28,6 +52,12 @@ class WordEncoder:
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.spaced, self.most = spaced, most
         self.known: dict[str, bytes | None] = {}
+        ranks = rank_file(path) if spaced else None
+        self.ranked = None
+        if ranks is not None:
+            import tiktoken
+
+            self.ranked = tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -42,6 +72,8 @@ class WordEncoder:
             self.known.update(zip(some, (raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.ranked is not None:
+            return [np.asarray(self.ranked.encode_ordinary(t), dtype=self.dtype).tobytes() for t in texts]
         if self.spaced:
             parts = [t.split(" ") for t in texts]
         else:

@@ -26,10 +26,13 @@ def library(vocab, name):
 def test_word_encoder(vocab, edge_rows, name, spaced):
     texts = ODD + [t or "" for _, t in edge_rows]
     encoder = WordEncoder(vocab.path(name), spaced, most=5)  # the table starts afresh again and again
+    assert (encoder.ranked is not None) == spaced
     want = [e.ids for e in library(vocab, name).encode_batch_fast(texts, add_special_tokens=False)]
     for _ in range(2):
         assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == want
     assert [np.frombuffer(encoder.encode([t])[0], encoder.dtype).tolist() for t in texts] == want
+    encoder.ranked = None  # word by word with the library of the file
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == want
 
 
 def test_bpe(vocab, llm, edge_docs, edge_rows):
