@@ -194,6 +194,41 @@ def test_lm_learns(llm, vocab):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_pairs_of_whole_texts(llm, vocab):
+    """What follows what is learned from the ends of long texts and from texts the network is not fit on."""
+    path, words = vocab.path("byte_bpe_50k.tiktoken"), "river stone candle".split()
+    filler = text_in("en", 1, 1600)
+    for texts in (lambda end: [filler + " " + end], lambda end: [text_in("en", i, 30) for i in range(8)] + [end]):
+        rng, scores = random.Random(3), []
+        mixed = words * 100
+        rng.shuffle(mixed)
+        for end in (words * 100, mixed):  # the same counts
+            rows = list(enumerate([*texts(" ".join(end)), " ".join(words * 4)]))
+            docs = llm.createDataFrame(rows, "doc_id bigint, text string")
+            scored = lm_scoring.score_texts(docs, F.col("doc_id") != len(rows) - 1, path, vocab.PATTERN, steps=0, sample=1).collect()
+            scores.append(next(r.score for r in scored if r.doc_id == len(rows) - 1))
+        assert scores[0] > scores[1] + 1
+
+
+def test_lm_pairs_by_brute_force(llm, vocab, monkeypatch):
+    path, texts = vocab.path("byte_bpe_50k.tiktoken"), [text_in(("en", "de", "fr")[i % 3], i, 400) for i in range(9)] + [""]
+    size = max(lm_scoring.load_ranks(path).values()) + 1
+    class_of = np.where(np.arange(size) % 3 == 0, 3 + np.arange(size) % 5, 1 + np.arange(size) % 2).astype(np.int16)
+    table = (path, vocab.PATTERN, class_of, np.zeros(size, np.float32))
+    subwords, want, tail = lm_scoring.Subwords(*table), np.zeros((8, 8)), Counter()
+    for t in texts:
+        words = lm_scoring.words_of(t.encode())
+        ids, classes, _, _ = subwords.spread(subwords.numbers([words]), np.array([len(words)]))
+        for before, c, i in zip([0, *classes[:-1]], classes, ids, strict=True):
+            want[before, c] += 1
+            if c in (1, 2):
+                tail[before * size + i] += 1
+    docs = llm.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    classes, pairs = lm_scoring.count_pairs(docs, table, 8)
+    assert (classes == want).all() and (pairs.totals == want[:, :3]).all()
+    assert dict(zip(pairs.keys.tolist(), pairs.counts.tolist(), strict=True)) == tail and (np.diff(pairs.keys) > 0).all()
+
+
 def test_lm_empty(no_docs, vocab):
     out = lm_scoring.score_texts(no_docs, F.lit(True), vocab.path("byte_bpe_50k.tiktoken"), vocab.PATTERN, steps=2)
     assert out.count() == 0
