@@ -47,17 +47,10 @@ COARSE = 1 << 17
 SEED = 11
 
 
-def _unit(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Rows scaled to length 1 (double precision), and which rows are vectors that can be linked."""
-    rows = column.to_pylist()
-    width = max((len(r) for r in rows if r is not None), default=0)
-    out = np.zeros((len(rows), width))
-    good = np.zeros(len(rows), dtype=bool)
-    for i, r in enumerate(rows):
-        if r is not None and len(r) == width and None not in r:
-            out[i] = r
-            good[i] = True
-    good &= np.isfinite(out).all(axis=1)
+def _unit(rows: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of one width scaled to length 1 (double precision), and which of them can be linked."""
+    out = np.array(rows, dtype=np.float64).reshape(len(rows), -1)
+    good = np.isfinite(out).all(axis=1)
     out[~good] = 0.0
     peak = np.abs(out).max(axis=1, initial=0.0)
     good &= peak > 0
@@ -67,18 +60,24 @@ def _unit(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prepare(directions: int):
-    """Unit vectors as bytes, and the cell of each: the signs along fixed directions, and the strongest of
-    them. Near copies mostly share it; it decides only who may join a ball."""
+    """Unit vectors as bytes, their width, and the cell of each: the signs along fixed directions, and the
+    strongest of them. Near copies mostly share it; it decides only who may join a ball. Each width by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            unit, good = _unit(batch.column("vector"))
-            along = unit @ np.random.default_rng(SEED).standard_normal((directions, unit.shape[1])).T
-            cell = ((along > 0) << np.arange(directions)).sum(axis=1).astype(np.int64) * 64 + np.abs(along).argmax(axis=1)
-            raw = [row.tobytes() if ok else None for row, ok in zip(unit, good, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(cell, pa.int64()), pa.array(raw, pa.binary())], names=["key", "cell", "unit"])
+            rows = batch.column("vector").to_pylist()
+            width = np.array([len(r) if r is not None and None not in r else 0 for r in rows], dtype=np.int64)
+            cell, raw = np.zeros(len(rows), dtype=np.int64), [None] * len(rows)
+            for w in np.unique(width[width > 0]).tolist():
+                at = np.flatnonzero(width == w)
+                unit, good = _unit([rows[i] for i in at])
+                along = unit @ np.random.default_rng(SEED).standard_normal((directions, w)).T
+                cell[at] = ((along > 0) << np.arange(directions)).sum(axis=1).astype(np.int64) * 64 + np.abs(along).argmax(axis=1)
+                for i, row in zip(at[good].tolist(), unit[good], strict=True):
+                    raw[i] = row.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(width), pa.array(cell), pa.array(raw, pa.binary())], names=["key", "width", "cell", "unit"])
 
     return run
 
@@ -115,7 +114,7 @@ def _balls(ball: float):
             centre[left[inside]] = np.array(chosen)[best[inside]]
             angle[left[inside]] = near[np.arange(len(left)), best][inside]
             left = left[~inside]
-        return pa.table({"key": table.column("key"), "centre": pa.array(keys[centre]), "angle": pa.array(angle), "unit": table.column("unit"), "centre_unit": pa.array([units[c].tobytes() for c in centre], pa.binary())})
+        return pa.table({"width": table.column("width"), "key": table.column("key"), "centre": pa.array(keys[centre]), "angle": pa.array(angle), "unit": table.column("unit"), "centre_unit": pa.array([units[c].tobytes() for c in centre], pa.binary())})
 
     return run
 
@@ -247,7 +246,7 @@ def _build(table: pa.Table) -> pa.Table:
     table = table.sort_by("node")
     units, nodes = _matrix(table.column("unit")), table.column("node").to_numpy()
     raw = pickle.dumps((units, nodes, Graph(units).state()))
-    return pa.table({"shard": table.column("shard")[:1], "node": pa.array([0], pa.int64()), "unit": pa.array([raw], pa.binary())})
+    return pa.table({"width": table.column("width")[:1], "shard": table.column("shard")[:1], "node": pa.array([0], pa.int64()), "unit": pa.array([raw], pa.binary())})
 
 
 def _search_shard(reach: float):
@@ -255,13 +254,15 @@ def _search_shard(reach: float):
 
     def run(table: pa.Table) -> pa.Table:
         side = np.asarray(table.column("side"))
+        if not (side == 0).any():  # no centre was dealt to this shard
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
         units, nodes, state = pickle.loads(table.column("unit")[int(np.flatnonzero(side == 0)[0])].as_py())
         graph = Graph.of(units, state)
         asking = table.filter(pa.array(side == 1))
         queries, names = _matrix(asking.column("unit")), asking.column("node").to_numpy()
         a, b, near = [], [], []
         audit = {"a": 0, "b": 0}
-        if len(units) and len(queries) and units.shape[1] == queries.shape[1]:
+        if len(units) and len(queries):
             picked = np.random.default_rng(SEED).permutation(len(queries))[:AUDITED]
             truth = units @ queries[picked].T >= reach
             for beam in BEAMS:
@@ -321,18 +322,18 @@ def neighbour_balls(balls: DataFrame, centres: DataFrame, threshold: float, ball
     """Pairs of centres (a, b, cosine) whose balls could hold a linked pair, and the audits (found, true)."""
     widest = balls.agg(F.max("angle")).first()[0] or 0.0
     reach = math.cos(min(math.pi, math.acos(threshold) + 2 * widest + 1e-9))
-    count = centres.count()
-    if count == 0:
+    if centres.isEmpty():
         empty = centres.sparkSession.createDataFrame([], "a bigint, b bigint, cosine double")
         return empty, empty.selectExpr("a AS found", "b AS true_neighbours")
-    shards, blocks = max(LEAST_SHARDS, -(-count // SHARD)), max(LEAST_BLOCKS, -(-count // BLOCK))
-    shard, block = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(shards)), F.pmod(F.xxhash64("node", F.lit(2)), F.lit(blocks))
-    dealt = centres.select("node", "unit", shard.alias("shard"))
-    graphs = write_through(dealt.groupBy("shard").applyInArrow(_build, "shard bigint, node bigint, unit binary"), "graphs")
-    own = graphs.withColumns({"block": F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")), "side": F.lit(0)})
-    asking = graphs.select("shard").distinct().agg(F.collect_list("shard").alias("shards"))  # a number per shard
-    asking = centres.select("node", "unit", block.alias("block"), F.explode(F.array(*[F.lit(r).cast("bigint") for r in asking.first().shards])).alias("shard"), F.lit(1).alias("side"))
-    found = own.unionByName(asking).groupBy("shard", "block").applyInArrow(_search_shard(reach), "a bigint, b bigint, cosine double")
+    # vectors meet only others of their width: each has shards and blocks of its own
+    dealing = lambda size, least: F.greatest(F.lit(least), F.ceil(F.count("*") / F.lit(size))).cast("bigint")
+    widths = write_through(centres.groupBy("width").agg(dealing(SHARD, LEAST_SHARDS).alias("shards"), dealing(BLOCK, LEAST_BLOCKS).alias("blocks")), "widths")
+    by_width = centres.select("width", "node", "unit").join(widths, "width")
+    dealt = by_width.select("width", "node", "unit", F.pmod(F.xxhash64("node", F.lit(1)), "shards").alias("shard"))
+    graphs = write_through(dealt.groupBy("width", "shard").applyInArrow(_build, "width bigint, shard bigint, node bigint, unit binary"), "graphs")
+    own = graphs.join(widths, "width").select("width", "shard", "node", "unit", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(0).alias("side"))
+    asking = by_width.select("width", F.explode(F.expr("sequence(0L, shards - 1)")).alias("shard"), "node", "unit", F.pmod(F.xxhash64("node", F.lit(2)), "blocks").alias("block"), F.lit(1).alias("side"))
+    found = own.unionByName(asking).groupBy("width", "shard", "block").applyInArrow(_search_shard(reach), "a bigint, b bigint, cosine double")
     found = write_through(found, "neighbours")
     return found.filter("cosine > -2").dropDuplicates(["a", "b"]), found.filter("cosine < -2").select(F.col("a").alias("found"), F.col("b").alias("true_neighbours"))
 
@@ -340,19 +341,19 @@ def neighbour_balls(balls: DataFrame, centres: DataFrame, threshold: float, ball
 def similar_embeddings(vectors: DataFrame, threshold: float = COSINE, ball: float = BALL, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vectors``.
 
-    Vectors that are null, zero, or hold null or non-finite components link with nothing. Rows that repeat an
+    Vectors that are null, zero, or hold null or non-finite components link with nothing, others with those of their width. Rows that repeat an
     id with an equal vector are one vector, not links of one another; several vectors under one id are in
     one component and their links add up. A null id is an id below all others. Empty in, empty out."""
     rows = vectors.select(F.coalesce(F.col(id_column).cast("bigint"), F.lit(NO_ID)).alias("key"), F.col(vector_column).cast("array<double>").alias("vector"))
     directions = 8 + max(0, (vectors.count() // COARSE).bit_length())
-    prepared = write_through(rows.mapInArrow(_prepare(directions), "key bigint, cell bigint, unit binary"), "units")
+    prepared = write_through(rows.mapInArrow(_prepare(directions), "key bigint, width bigint, cell bigint, unit binary"), "units")
     linkable = prepared.filter("unit IS NOT NULL").dropDuplicates(["key", "unit"])
     # a cell that holds many vectors is split at random; each part makes its own balls
-    parts = write_through(linkable.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("int").alias("parts")), "cells")
-    dealt = linkable.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("key", F.lit(3)), "parts"))
-    balls = write_through(dealt.groupBy("cell", "part").applyInArrow(_balls(ball), "key bigint, centre bigint, angle double, unit binary, centre_unit binary"), "balls")
+    parts = write_through(linkable.groupBy("width", "cell").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("int").alias("parts")), "cells")
+    dealt = linkable.join(parts, ["width", "cell"]).withColumn("part", F.pmod(F.xxhash64("key", F.lit(3)), "parts"))
+    balls = write_through(dealt.groupBy("width", "cell", "part").applyInArrow(_balls(ball), "width bigint, key bigint, centre bigint, angle double, unit binary, centre_unit binary"), "balls")
     balls = balls.withColumn("node", F.xxhash64("centre", "centre_unit"))
-    centres = write_through(balls.groupBy("node").agg(F.max("centre_unit").alias("unit"), F.count("*").alias("members"), F.max("angle").alias("radius"), F.min("key").alias("low")), "centres")
+    centres = write_through(balls.groupBy("node").agg(F.first("width").alias("width"), F.max("centre_unit").alias("unit"), F.count("*").alias("members"), F.max("angle").alias("radius"), F.min("key").alias("low")), "centres")
     pairs, _ = neighbour_balls(balls, centres, threshold, ball)
 
     limit = math.acos(threshold)

@@ -49,6 +49,19 @@ def test_against_brute_force(llm, vectors):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_vectors_of_several_widths(llm):
+    """One longer vector takes no links from the others, and each width links within itself."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for w, n in ((8, 40), (3, 12), (1, 3), (9, 1)):
+        base = rng.normal(size=(n, w))
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(np.concatenate([base, base + 0.05 * rng.normal(size=(n, w))]) if n > 1 else base)]
+    for parts in (1, 5):
+        frame = llm.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(parts)
+        got = embedding_dedup.similar_embeddings(frame).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
+
+
 def test_repeated_rows_and_null_ids(llm):
     a, b = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
     rows = [(1, a), (1, a), (2, a), (None, b), (3, [0.0, 2.0, 0.1]), (4, None)]
