@@ -6,8 +6,9 @@
    point of the graph, not a clique. Balls only shorten the work: any vector may be its own ball.
 2. The balls' centres are dealt to shards by a hash; each shard builds a graph of layers.
 3. All centres search every shard, in blocks, for centres whose balls could hold a linked pair. The beam is
-   widened (``BEAMS``) until an audit passes: sampled centres of every shard, compared with the whole
-   shard by brute force, must find ``RECALL`` of their true neighbours.
+   widened (``BEAMS``) until an audit passes: sampled queries of every block and planted ones (points near
+   sampled centres of the shard), compared with the whole shard by brute force, must both find ``RECALL``
+   of their true neighbours, themselves left out. If the widest beam fails, all queries are compared with all of the shard.
 4. The pairs of balls found are decided in double precision: a pair of balls whose centres are so near, or so
    far, that all or none of their members' pairs are linked is counted as a whole; otherwise the members
    are compared one by one, in blocks. Links are united to components.
@@ -34,7 +35,9 @@ NEIGHBOURS = 12
 BUILD_BEAM = 32
 BEAMS = (24, 48, 96, 192, 384)
 RECALL = 0.97
-AUDITED = 64
+#: Planted queries of an audit, and queries of the block drawn at a time: until ``LEAST_TRUE`` true neighbours
+#: or ``MOST_AUDITED`` queries.
+AUDITED, LEAST_TRUE, MOST_AUDITED = 64, 32, 1024
 #: Centres of a shard, on average, and the fewest shards.
 SHARD = 16384
 LEAST_SHARDS = 4
@@ -249,53 +252,97 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({"width": table.column("width")[:1], "shard": table.column("shard")[:1], "node": pa.array([0], pa.int64()), "unit": pa.array([raw], pa.binary())})
 
 
+def _near(graph: Graph, units: np.ndarray, queries: np.ndarray, reach: float, beam: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (query, place in ``units``, cosine) with a cosine of at least ``reach``: those the graph leads to, or
+    all of them without a beam."""
+    rows, places, cosines = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for at in range(0, len(queries), 512):
+        some = queries[at : at + 512]
+        if beam is None:
+            row, col = np.nonzero(some @ units.T >= reach)
+            rows.append(at + row)
+            places.append(col)
+            cosines.append(np.einsum("nd,nd->n", some[row], units[col]))
+            continue
+        found, score = graph.search(some, beam)
+        # a full beam of near ones may hide more: those queries look on with a wider one
+        wide = beam
+        full = np.flatnonzero((score[:, -1] >= reach - 1e-4) & (score[:, -1] > -1.5))
+        first = np.setdiff1d(np.arange(len(found)), full)
+        parts = [(first, found[first], score[first])]
+        if wide >= len(units):
+            parts.append((full, found[full], score[full]))
+        while len(full) and wide < len(units):
+            wide = min(4 * wide, len(units))
+            more, more_score = graph.search(some[full], wide)
+            still = (more_score[:, -1] >= reach - 1e-4) & (more_score[:, -1] > -1.5) & (wide < len(units))
+            parts.append((full[~still], more[~still], more_score[~still]))
+            full = full[still]
+        for who, f, score in parts:
+            row, col = np.nonzero((score > -1.5) & (score >= reach - 1e-4))
+            x, y = who[row], f[row, col]
+            exact = np.einsum("nd,nd->n", some[x], units[y])
+            keep = exact >= reach
+            rows.append(at + x[keep])
+            places.append(y[keep])
+            cosines.append(exact[keep])
+    return np.concatenate(rows), np.concatenate(places), np.concatenate(cosines)
+
+
+def _planted(units: np.ndarray, reach: float, rng: np.random.Generator) -> np.ndarray:
+    """Points within reach of sampled units, in random directions: queries that have a true neighbour."""
+    base = units[rng.permutation(len(units))[:AUDITED]]
+    aside = rng.standard_normal(base.shape)
+    aside -= np.einsum("nd,nd->n", aside, base)[:, None] * base
+    size = np.sqrt((aside**2).sum(axis=1, keepdims=True))
+    aside = np.where(size > 1e-9, aside / np.maximum(size, 1e-9), 0.0)
+    angle = math.acos(max(-1.0, min(1.0, reach))) * rng.uniform(0.0, 0.999, (len(base), 1))
+    out = np.cos(angle) * base + np.sin(angle) * aside
+    return out / np.sqrt((out**2).sum(axis=1, keepdims=True))
+
+
+def _audited_beam(graph: Graph, units: np.ndarray, nodes: np.ndarray, queries: np.ndarray, names: np.ndarray, reach: float) -> tuple[int | None, int, int]:
+    """The first beam that finds ``RECALL`` of the true neighbours of the block's own queries and of planted ones, or
+    None (compare everything); and how many neighbours of the audited it found, and how many are true."""
+    rng = np.random.default_rng(SEED)
+    order, drawn, true = rng.permutation(len(queries)), [], 0
+    for at in range(0, min(len(order), MOST_AUDITED), AUDITED):
+        some = order[at : min(at + AUDITED, MOST_AUDITED)]
+        near = (queries[some] @ units.T >= reach) & (names[some][:, None] != nodes[None, :])
+        true += int(near.sum())
+        drawn.append(some[near.any(axis=1)])  # the others have nothing to find
+        if true >= LEAST_TRUE:
+            break
+    own, planted = np.concatenate(drawn), _planted(units, reach, rng)
+    planted_true = int((planted @ units.T >= reach).sum())
+    for beam in BEAMS:
+        row, place, _ = _near(graph, units, queries[own], reach, min(beam, len(units)))
+        hits = int((names[own][row] != nodes[place]).sum())
+        if hits < RECALL * true:
+            continue
+        planted_hits = len(_near(graph, units, planted, reach, min(beam, len(units)))[0])
+        if planted_hits >= RECALL * planted_true:
+            return min(beam, len(units)), hits + planted_hits, true + planted_true
+    return None, true + planted_true, true + planted_true
+
+
 def _search_shard(reach: float):
     """One shard against one block of queries: the centres whose balls could hold a linked pair."""
 
     def run(table: pa.Table) -> pa.Table:
         side = np.asarray(table.column("side"))
-        if not (side == 0).any():  # no centre was dealt to this shard
+        asking = table.filter(pa.array(side == 1))
+        if not (side == 0).any() or asking.num_rows == 0:  # no centre was dealt to this shard, or block
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
         units, nodes, state = pickle.loads(table.column("unit")[int(np.flatnonzero(side == 0)[0])].as_py())
         graph = Graph.of(units, state)
-        asking = table.filter(pa.array(side == 1))
         queries, names = _matrix(asking.column("unit")), asking.column("node").to_numpy()
-        a, b, near = [], [], []
-        audit = {"a": 0, "b": 0}
-        if len(units) and len(queries):
-            picked = np.random.default_rng(SEED).permutation(len(queries))[:AUDITED]
-            truth = units @ queries[picked].T >= reach
-            for beam in BEAMS:
-                beam = min(beam, len(units))
-                found, score = graph.search(queries[picked], beam)
-                hits = sum(truth[f[s > -1.5], i].sum() for i, (f, s) in enumerate(zip(found, score, strict=True)))
-                audit = {"a": int(hits), "b": int(truth.sum())}
-                if hits >= RECALL * truth.sum():
-                    break
-            for at in range(0, len(queries), 512):
-                found, score = graph.search(queries[at : at + 512], beam)
-                # a full beam of near ones may hide more: those queries look on with a wider one
-                wide = beam
-                full = np.flatnonzero((score[:, -1] >= reach - 1e-4) & (score[:, -1] > -1.5))
-                parts = [(np.setdiff1d(np.arange(len(found)), full), found, score)]
-                while len(full) and wide < len(units):
-                    wide = min(4 * wide, len(units))
-                    more, more_score = graph.search(queries[at + full], wide)
-                    still = (more_score[:, -1] >= reach - 1e-4) & (more_score[:, -1] > -1.5) & (wide < len(units))
-                    parts.append((full[~still], more[~still], more_score[~still]))
-                    full = full[still]
-                for k, (who, f, s) in enumerate(parts):
-                    f, s = (f[who], s[who]) if k == 0 else (f, s)
-                    row, col = np.nonzero((s > -1.5) & (s >= reach - 1e-4))
-                    x, y = names[at + who[row]], nodes[f[row, col]]
-                    exact = np.einsum("nd,nd->n", queries[at + who[row]], units[f[row, col]])
-                    keep = (x != y) & (exact >= reach)
-                    a.append(np.minimum(x[keep], y[keep]))
-                    b.append(np.maximum(x[keep], y[keep]))
-                    near.append(exact[keep])
-        out_a, out_b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        cos = np.concatenate(near) if near else np.zeros(0)
-        return pa.table({"a": pa.array(np.r_[out_a, audit["a"]], pa.int64()), "b": pa.array(np.r_[out_b, audit["b"]], pa.int64()), "cosine": pa.array(np.r_[cos, -9.0])})
+        beam, hits, true = _audited_beam(graph, units, nodes, queries, names, reach)
+        row, place, cosine = _near(graph, units, queries, reach, beam)
+        x, y = names[row], nodes[place]
+        keep = x != y
+        a, b = np.minimum(x[keep], y[keep]), np.maximum(x[keep], y[keep])
+        return pa.table({"a": pa.array(np.r_[a, hits], pa.int64()), "b": pa.array(np.r_[b, true], pa.int64()), "cosine": pa.array(np.r_[cosine[keep], -9.0])})
 
     return run
 
@@ -354,7 +401,10 @@ def similar_embeddings(vectors: DataFrame, threshold: float = COSINE, ball: floa
     balls = write_through(dealt.groupBy("width", "cell", "part").applyInArrow(_balls(ball), "width bigint, key bigint, centre bigint, angle double, unit binary, centre_unit binary"), "balls")
     balls = balls.withColumn("node", F.xxhash64("centre", "centre_unit"))
     centres = write_through(balls.groupBy("node").agg(F.first("width").alias("width"), F.max("centre_unit").alias("unit"), F.count("*").alias("members"), F.max("angle").alias("radius"), F.min("key").alias("low")), "centres")
-    pairs, _ = neighbour_balls(balls, centres, threshold, ball)
+    pairs, audits = neighbour_balls(balls, centres, threshold, ball)
+    pooled = audits.agg(F.sum("found").alias("found"), F.sum("true_neighbours").alias("true_neighbours")).first()
+    if pooled.true_neighbours and pooled.found < RECALL * pooled.true_neighbours:
+        raise RuntimeError(f"audits found {pooled.found} of {pooled.true_neighbours} neighbours")
 
     limit = math.acos(threshold)
     side = centres.select("node", "members", "radius", "low")

@@ -1,6 +1,9 @@
 """Embedding links against brute force; recall of the graph; odd vectors."""
 
+import pickle
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from qaprep.llm import embedding_dedup
@@ -75,6 +78,23 @@ def test_empty(llm):
         assert [(r.n_links, r.vec_id == r.component_id) for r in out] == [(0, True)] * len(rows)
 
 
+@pytest.mark.parametrize("pairs", [0, 3])
+def test_poor_graph_does_not_lose_links(pairs):
+    """Few true pairs and a graph without edges: the audit must not pass, and everything is compared."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 48))
+    x[1 : 2 * pairs : 2] = x[0 : 2 * pairs : 2] + 0.05 * rng.normal(size=(pairs, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    layers, entry, neighbours = embedding_dedup.Graph(x).state()
+    empty = pickle.dumps((x, np.arange(600), ([np.full_like(t, -1) for t in layers], entry, neighbours)))
+    raw = [empty] + [v.tobytes() for v in x]
+    table = pa.table({"side": pa.array([0] + [1] * 600, pa.int32()), "node": pa.array([0, *range(600)], pa.int64()), "unit": pa.array(raw, pa.binary())})
+    out = embedding_dedup._search_shard(0.9)(table).to_pylist()
+    assert {(r["a"], r["b"]) for r in out if r["cosine"] > -2} == {(2 * i, 2 * i + 1) for i in range(pairs)}
+    audit = next(r for r in out if r["cosine"] < -2)
+    assert audit["a"] == audit["b"] > 2 * pairs  # never an empty audit
+
+
 def test_recall():
     rng = np.random.default_rng(9)
     x = rng.normal(size=(3000, 32)) + 2 * rng.normal(size=(30, 32))[rng.integers(0, 30, 3000)]
