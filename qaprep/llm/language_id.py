@@ -1,6 +1,7 @@
 """Language of texts by a linear-chain conditional random field over words.
 
-A chain is a line, or a part of a longer one (``CHAIN`` words at most). A word's features are the word itself and
+A chain is a line, or a part of a longer one (``CHAIN`` words at most). A run of more than ``PIECE`` characters without
+a blank counts as several words, pieces that overlap so that none of its n-grams is lost. A word's features are the word itself and
 its neighbours' (the lexicon), its affixes and its byte n-grams, hashed into a table of fixed size; the
 chain has learned weights between the labels of neighbouring words and for its first word. Forward and
 backward sums give each word's label probabilities, so a text that changes its language is labelled
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qaprep.llm.common import slices
@@ -28,10 +29,12 @@ CHAIN = 64
 #: Documents of a label that the fit reads, the smallest by a hash of the id; chains read from one of them.
 SAMPLE = 400
 SAMPLE_CHAINS = 6
-#: Labels a model can have: the most frequent ones.
-MOST_LABELS = 64
+SALTS = 32
 ROUNDS = 30
-_PLACES = 12
+#: Characters of a word at most, and those that neighbouring pieces of a longer run share.
+PIECE, OVERLAP = 16, 2
+_AFFIXES = 8
+_PLACES = _AFFIXES + PIECE
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 
 
@@ -44,17 +47,23 @@ def _word_slots(word: str) -> list[int]:
         return []
     parts = ["w" + word, "a" + word[:2], "a" + word[:3], "a" + word[:4], "z" + word[-1:], "z" + word[-2:], "z" + word[-3:], "z" + word[-4:]]
     closed = f"<{word}>"
-    grams = [closed[i : i + 3] for i in range(len(closed) - 2)]
-    step = max(1, len(grams) // (_PLACES - len(parts)))
-    parts += ["g" + g for g in grams[::step][: _PLACES - len(parts)]]
+    parts += ["g" + closed[i : i + 3] for i in range(len(closed) - 2)]
     return [xxhash.xxh32_intdigest(p.encode()) & (SLOTS - 1) for p in parts]
 
 
+def _pieces(run: str) -> list[str]:
+    """The run, or pieces of a longer one; lower-casing may lengthen a text, so it comes first."""
+    run = run.strip(_EDGES).lower()
+    if len(run) <= PIECE:
+        return [run]
+    return [run[i : i + PIECE] for i in range(0, len(run) - OVERLAP, PIECE - OVERLAP)]
+
+
 def chains_of(text: str, size: int = CHAIN) -> list[list[str]]:
     """The words that have a letter, line by line, cut at ``size``."""
     out = []
     for line in text.split("\n"):
-        words = [w for w in line.split() if any(c.isalpha() for c in w)] if line else []
+        words = [w for run in line.split() for w in _pieces(run) if any(c.isalpha() for c in w)] if line else []
         out += [words[i : i + size] for i in range(0, len(words), size)]
     return out
 
@@ -95,8 +104,9 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transition: np.nda
     expected = np.zeros((count, count))
     for t in range(1, longest):
         live = t < lengths
-        joint = forward[live, t - 1][:, :, None] * move * (local[live, t] * backward[live, t])[:, None, :]
-        expected += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        before, after = forward[live, t - 1], local[live, t] * backward[live, t]
+        total = ((before @ move) * after).sum(axis=1, keepdims=True)
+        expected += move * ((before / total).T @ after)
     return marginal, expected
 
 
@@ -113,7 +123,7 @@ def fit(slots: np.ndarray, lengths: np.ndarray, label: np.ndarray, labels: list[
     begins = ends - lengths
     first, second = np.zeros_like(model.emission), np.zeros_like(model.emission)
     t1, t2, s1, s2 = np.zeros((count, count)), np.zeros((count, count)), np.zeros(count), np.zeros(count)
-    step, size = 0, 512
+    step, size = 0, max(32, min(512, 32768 // count))
     for _ in range(max(1, min(rounds, 1 + rounds * 4096 // max(1, len(lengths))))):
         order = rng.permutation(len(lengths))
         for at in range(0, len(order), size):
@@ -181,16 +191,16 @@ def _fitter(labels: list[str], rounds: int):
 def train(docs: DataFrame, usable: Column, sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
     """Fit on rows with a language for which ``usable`` (of ``doc_id``) holds, in one task over the sample."""
     known = docs.filter(F.col("lang").isNotNull()).filter(usable).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    shares = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LABELS).collect()
-    labels = sorted(r.lang for r in shares)
-    picked = None
-    for name in labels:
-        part = known.filter(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        picked = part if picked is None else picked.union(part)
-    if picked is None:
+    labels = sorted(r.lang for r in known.select("lang").distinct().collect())  # a row per language
+    if not labels:
         return Model([], np.zeros((SLOTS + 1, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
+    # the smallest hashes of each label: within parts of it first, so that no label's rows meet in one task
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    salted = known.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SALTS)))
+    cut = salted.withColumn("nth", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("nth") <= sample)
+    picked = cut.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("nth") <= sample).select("doc_id", "lang")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = texts.join(F.broadcast(picked), ["doc_id", "lang"])  # at most sample * MOST_LABELS ids
+    rows = texts.join(F.broadcast(picked), ["doc_id", "lang"])  # at most ``sample`` ids of a label
     features = rows.select("doc_id", "lang", "text").mapInArrow(_sample_words, "doc_id bigint, lang string, slots binary, counts array<int>")
     row = features.repartition(1).sortWithinPartitions("doc_id", "lang", "slots").mapInArrow(_fitter(labels, rounds), "emission binary, transition binary, start binary").first()
     count = len(labels)
@@ -207,7 +217,7 @@ def _predict(model: Model, spans: bool):
         for batch in slices(batches, "text", 2 << 20):
             texts = batch.column("text").to_pylist()
             chains = [chains_of(t or "") for t in texts]
-            if len(number) > 300_000:
+            if len(number) > min(300_000, 20_000_000 // max(1, count)):
                 number, scores = {}, np.zeros((1 << 12, count), dtype=np.float32)
             new = [w for w in dict.fromkeys(w for own in chains for c in own for w in c) if w not in number]
             while len(scores) < len(number) + len(new):
@@ -222,8 +232,9 @@ def _predict(model: Model, spans: bool):
             best: list[np.ndarray] = [np.zeros(0, np.int64)] * len(flat)
             lengths = np.array([len(c) for c in flat], dtype=np.int64)
             order = np.argsort(lengths, kind="stable")
-            for at in range(0, len(order), 1024) if count else ():
-                some = order[at : at + 1024]
+            size = max(16, min(1024, 65536 // max(1, count)))
+            for at in range(0, len(order), size) if count else ():
+                some = order[at : at + size]
                 n = lengths[some]
                 row = np.repeat(np.arange(len(some)), n)
                 inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -232,8 +243,8 @@ def _predict(model: Model, spans: bool):
                 marginal, _ = forward_backward(padded, n, transition, start)
                 np.add.at(sums, doc[some], marginal.sum(axis=1))
                 if spans:
-                    for i, m, size in zip(some, marginal.argmax(axis=2), n, strict=True):
-                        best[i] = m[:size]
+                    for i, m, length in zip(some, marginal.argmax(axis=2), n, strict=True):
+                        best[i] = m[:length]
             total = sums.sum(axis=1)
             known = total > 0
             top = sums.argmax(axis=1) if count else np.zeros(len(texts), np.int64)

@@ -116,6 +116,26 @@ def test_language_without_anything_to_learn(edge_docs, edge_rows, no_docs):
     assert language_id.predict(no_docs, model).count() == 0
 
 
+def test_language_every_label_is_learned(llm):
+    names = [f"l{i:02d}" for i in range(70)]
+    rows = [(i * 10 + j, f"{chr(0x4E00 + i) * 3} {chr(0x4E00 + i) * 4}", name) for i, name in enumerate(names) for j in range(3 if i < 64 else 2)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, language_id.train(docs, F.lit(True), rounds=10), runs=False).collect()}
+    assert got == {i: name for i, _, name in rows}
+
+
+def test_language_unspaced_text_is_read_whole(llm):
+    """Lines without blanks that differ in their middle only, and one that changes its language there."""
+    middle = {"xa": "丁丂七" * 12, "xb": "币市布" * 12}
+    edge = "渁渂渃渄" * 8
+    rows = [(i, edge + middle[x] + edge, x) for i, x in enumerate(["xa", "xb"] * 20)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.train(docs, F.lit(True))
+    asked = llm.createDataFrame([(i, t) for i, t, _ in rows[:2]] + [(9, middle["xa"] * 3 + middle["xb"] * 3)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in language_id.predict(asked, model).collect()}
+    assert [got[i].lang_pred for i in (0, 1)] == ["xa", "xb"] and [r.lang for r in got[9].runs] == ["xa", "xb"]
+
+
 def test_lm_sums(llm, vocab, edge_docs, edge_rows, monkeypatch):
     """Base scores, counts and known tokens against brute force, with few words travelling (the rest is joined)."""
     path = vocab.path("byte_bpe_50k.tiktoken")
