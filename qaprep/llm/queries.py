@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaprep.llm import bpe, language_id, toxicity
-from qaprep.llm.common import crc32_of_id, table
+from qaprep.llm.common import crc32_of_id, slices, table
 from qaprep.llm.embedding_dedup import similar_embeddings
 from qaprep.llm.exact_dedup import exact_duplicates
 from qaprep.llm.lm_scoring import score_texts
 from qaprep.llm.minhash import near_duplicates
 from qaprep.llm.packing import pack
+from qaprep.llm.period_runs import periodic_runs
 from qaprep.llm.suffix_dedup import remove_repeats
 from qaprep.llm.token_files import read_tokens, write_tokens
 from qaprep.session import new_folder
 
+
 def vocabulary(name: str) -> str:
     """A file of the installed public tokenizers; operators take the path as a parameter."""
     import public_tokenizers
@@ -136,3 +139,32 @@ def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     held_out = crc32_of_id(F.col("doc_id")) % 5 == 1
     scored = score_texts(table(spark, folder, "documents"), ~held_out, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts whose ``planted`` number is a multiple of ten become periodic from some word on."""
+    for batch in slices(batches, "text"):
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for row, h in enumerate(batch.column("planted").to_pylist()):
+            if h % 10 == 0 and (words := texts[row].split()):
+                g, n = h // 10, len(words)
+                a = g % n
+                period = words[a : a + 1 + (n - a) // (3 + g % 8)]
+                texts[row] = b" ".join(words[:a] + (period * (-(-(n - a) // len(period))))[: n - a])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+
+
+@query("op13_period_runs")
+def op13_period_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A null id has no decimal digits: it is planted by the crc32 of nothing, as other queries treat it."""
+    docs = table(spark, folder, "documents")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"), crc32_of_id(F.col("doc_id")).alias("planted"))
+    found = periodic_runs(rows.mapInArrow(_planted, "doc_id bigint, text binary"))
+    greater = "a.length * b.period > b.length * a.period"  # exact; runs are in order, so the first of equals stays
+    best = F.expr(f"reduce(slice(runs, 2, greatest(size(runs) - 1, 0)), runs[0], (b, a) -> IF({greater}, a, b))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    some = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    return some.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
