@@ -2,12 +2,15 @@
 
 The vocabularies here split a text at white space before any merge, so the ids of a text are those of its
 words in a row. A task keeps the ids of the words it has met and asks the library for new words only; a
-text whose words can't be told apart safely goes to the library whole. The ids are the library's in either case.
+text whose words can't be told apart safely, or that holds the string of a special token (which the library
+turns into that token), goes to the library whole. The ids are the library's in either case.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from array import array
 
 import numpy as np
 
@@ -15,6 +18,17 @@ import numpy as np
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def _byte_characters() -> dict[str, int]:
+    """How byte-level files write bytes: those that print stand for themselves, the others for the
+    characters from 256 on, in their order."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in prints)}
+
+
+def _merged(model: dict) -> list[str]:
+    return ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+
+
 def rank_file(path: str) -> dict[bytes, int] | None:
     """The tokens of a byte-level file as bytes with their ids, if every merge makes a token of a higher id
     than the merge before; else None."""
@@ -23,22 +37,56 @@ def rank_file(path: str) -> dict[bytes, int] | None:
     model, splitter = content["model"], content.get("pre_tokenizer") or {}
     if content.get("normalizer") or splitter.get("type") != "ByteLevel" or not splitter.get("use_regex", True) or splitter.get("add_prefix_space"):
         return None
-    # bytes that print stand for themselves, the others for the characters from 256 on, in their order
-    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    byte_of = {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in prints)}
-    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    byte_of, merged = _byte_characters(), _merged(model)
     ids = [model["vocab"][m] for m in merged]
     if any(a >= b for a, b in zip(ids, ids[1:], strict=False)) or not all(c in model["vocab"] for c in byte_of):
         return None
     return {bytes(byte_of[c] for c in token): model["vocab"][token] for token in [*byte_of, *merged]}
 
 
+#: The byte that ends a word in ``suffix_file``; UTF-8 never uses it.
+WORD_END = b"\xff"
+
+
+def suffix_file(path: str) -> dict[bytes, int] | None:
+    """The tokens of a lower-casing file whose words end in a suffix, as bytes with their ids. The last byte and the
+    suffix are one symbol from the start, as their ids are below those of all merges; None if they
+    are not, or if the file does anything else."""
+    with open(path, encoding="utf-8") as source:
+        content = json.load(source)
+    model, steps = content["model"], (content.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    kinds = [s["type"] for s in (content.get("normalizer") or {}).get("normalizers") or []]
+    suffix, byte_of, merged = model.get("end_of_word_suffix"), _byte_characters(), _merged(model)
+    if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"] or not suffix or steps[1].get("use_regex") or steps[1].get("add_prefix_space"):
+        return None
+    if steps[0].get("behavior") != "Removed" or not steps[0].get("invert") or steps[0]["pattern"].get("Regex") != _SUFFIX_PATTERN:
+        return None
+    single = [*byte_of, *(c + suffix for c in byte_of)]
+    ids = [model["vocab"][m] for m in merged]
+    if any(a >= b for a, b in zip(ids, ids[1:], strict=False)) or any(model["vocab"].get(c, ids[0]) >= ids[0] for c in single):
+        return None
+    ranks = {}
+    for token in [*single, *merged]:
+        ends = token.endswith(suffix)
+        ranks[bytes(byte_of[c] for c in token.removesuffix(suffix)) + WORD_END * ends] = model["vocab"][token]
+    ranks[WORD_END] = len(model["vocab"]) + 1  # never left alone
+    return ranks
+
+
+#: Characters that no normal form changes, whose classes are the same in every Unicode version and whose
+#: lower case does not depend on their neighbours; and how the file's pattern cuts words of them.
+_PLAIN = re.compile("[\n -~\u00a1-\u012f\u0131-\u017f]*")
+_LETTERS, _NUMBERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_SUFFIX_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value, of the file read here
+_PLAIN_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^ {_LETTERS}{_NUMBERS}]+")
+
+
 class WordEncoder:
     """Ids of texts as little-endian bytes of ``dtype``.
 
     ``spaced``: a word's ids include the one blank ahead of it (byte-level vocabularies); words are then
     cut at single blanks only. Otherwise white space is dropped by the vocabulary and any blank or line end cuts.
-    ``most``: words kept; the table starts afresh beyond it. A byte-level file whose merges are in the order
+    ``most``: words kept; beyond it only those of the batch at hand stay. A byte-level file whose merges are in the order
     of their ids is a rank file, too: the faster library for those gives the same ids and needs no table."""
 
     def __init__(self, path: str, spaced: bool, most: int = 300_000):
@@ -48,7 +96,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.spaced, self.most = spaced, most
         self.known: dict[str, bytes | None] = {}
@@ -58,12 +106,29 @@ class WordEncoder:
             import tiktoken
 
             self.ranked = tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        suffixed = None if spaced else suffix_file(path)
+        self.pieces = None
+        if suffixed is not None:
+            import tiktoken
+
+            self.pieces = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=suffixed, special_tokens={})
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
         size = self.dtype.itemsize
+        if self.pieces is not None:  # plain words by the library of rank files
+            one, kind, left = self.pieces._encode_single_piece, "H" if size == 2 else "I", []
+            for word in words:
+                if word.isalpha() and _PLAIN.fullmatch(word):
+                    self.known[word] = array(kind, one(word.lower().encode() + WORD_END)).tobytes()
+                elif _PLAIN.fullmatch(word):
+                    ids = [i for p in _PLAIN_PIECES.findall(word.lower()) for i in one(p.encode() + WORD_END)]
+                    self.known[word] = array(kind, ids).tobytes()
+                else:
+                    left.append(word)
+            words = left
         for at in range(0, len(words), 512):
             some = words[at : at + 512]
             encoding = self.tokenizer.encode([" " + w for w in some] if self.spaced else some, is_pretokenized=True, add_special_tokens=False)
@@ -72,15 +137,29 @@ class WordEncoder:
             self.known.update(zip(some, (raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        special = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        if special:
+            out = self._ordinary(["" if any(s in t for s in self.special) else t for t in texts])
+            for i, ids in zip(special, self.whole([texts[i] for i in special]), strict=True):
+                out[i] = ids
+            return out
+        return self._ordinary(texts)
+
+    def _ordinary(self, texts: list[str]) -> list[bytes]:
         if self.ranked is not None:
             return [np.asarray(self.ranked.encode_ordinary(t), dtype=self.dtype).tobytes() for t in texts]
         if self.spaced:
             parts = [t.split(" ") for t in texts]
         else:
+            if self.pieces is not None:
+                texts = [t.lower() if _PLAIN.fullmatch(t) else t for t in texts]
             parts = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = {w for p in parts for w in (p[1:] if self.spaced else p)}.difference(self.known)
+        wanted: set[str] = set()
+        for p in parts:
+            wanted.update(p[1:] if self.spaced else p)
+        if len(self.known) > self.most:  # those of this batch stay
+            self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
+        new = wanted.difference(self.known)
         if self.spaced:  # a word with white space at an edge belongs to a longer run of it
             odd = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
             self.known.update(dict.fromkeys(odd))

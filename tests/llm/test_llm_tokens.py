@@ -11,15 +11,13 @@ from qaprep.llm import bpe, packing, token_files
 from qaprep.llm.tokens import WordEncoder
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-ODD = ["", " ", "  a  b ", "don't  stop\n\n\tnow ", "a b c ́x", "x" * 700, "ab" * 400, "<|endoftext|> is text", "日本語 テキスト 12345 ½ ²", " lead", "trail ", "CamelCase's WE'LL \x1c \x85 end", "a" * 300 + " " + "é" * 300]
+ODD = ["", " ", "  a  b ", "don't  stop\n\n\tnow ", "a b c ́x", "x" * 700, "ab" * 400, "a<|endoftext|>b", "<|startoftext|>x <|STARTOFTEXT|> y<|endoftext|>", "<|start of|> <|", "Straße İstanbul ΣΑΣ ŉ it's WE'LL 3½ x²y ÀÉ n\u0303 \u00adsoft a\u0301b </w> a</w>b", "日本語 テキスト 12345 ½ ²", " lead", "trail ", "CamelCase's WE'LL \x1c \x85 end", "a" * 300 + " " + "é" * 300]
 
 
 def library(vocab, name):
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(vocab.path(name))
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(vocab.path(name))
 
 
 @pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
