@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaprep.llm import bpe, language_id, toxicity
+from qaprep.llm.bin_completion import pack_whole
 from qaprep.llm.common import crc32_of_id, slices, table
 from qaprep.llm.embedding_dedup import similar_embeddings
 from qaprep.llm.exact_dedup import exact_duplicates
@@ -141,6 +142,12 @@ def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("op11_bin_completion")
+def op11_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack_whole(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts whose ``planted`` number is a multiple of ten become periodic from some word on."""
     for batch in slices(batches, "text"):
