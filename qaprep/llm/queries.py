@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 
 from qaprep.llm import bpe, language_id, toxicity
 from qaprep.llm.bin_completion import pack_whole
-from qaprep.llm.common import crc32_of_id, slices, table
+from qaprep.llm.common import NO_ID, crc32_of_id, id_of, slices, table
 from qaprep.llm.embedding_dedup import similar_embeddings
 from qaprep.llm.exact_dedup import exact_duplicates
 from qaprep.llm.lm_scoring import score_texts
 from qaprep.llm.minhash import near_duplicates
 from qaprep.llm.packing import pack
 from qaprep.llm.period_runs import periodic_runs
+from qaprep.llm.prefix_trie import ordered_turns, prefix_trie
 from qaprep.llm.suffix_dedup import remove_repeats
 from qaprep.llm.token_files import read_tokens, write_tokens
-from qaprep.session import new_folder
+from qaprep.session import new_folder, write_through
 
 
 def vocabulary(name: str) -> str:
@@ -148,6 +149,50 @@ def op11_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+@query(
+    "op12_prefix_trie",
+    """
+    WITH RECURSIVE bits(i, k, c) AS (
+        SELECT range, 0, range FROM range(256)
+        UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8),
+    t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations),
+    ids AS (SELECT conv_id, max(pos) AS n FROM t GROUP BY conv_id),
+    c AS (SELECT conv_id, n, conv_id - conv_id % 100 AS base,
+                 xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ''), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                                 lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h FROM ids, crc),
+    m AS (SELECT c.*, least(h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN ids b ON b.conv_id = c.base),
+    r AS (SELECT m.conv_id, taken + pos - h AS d, role, text FROM m JOIN t ON t.conv_id IS NOT DISTINCT FROM m.conv_id AND pos > h
+          UNION ALL SELECT m.conv_id, pos, role, text FROM m JOIN t ON t.conv_id = m.base AND pos <= taken),
+    s AS (SELECT m.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS turns FROM m LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY m.conv_id),
+    p AS (SELECT conv_id, unnest(range(len(turns) + 1)) AS d, turns FROM s),
+    q AS (SELECT conv_id, d, turns[1:d] AS pre, CASE WHEN d > 0 THEN length(turns[d].text) ELSE 0 END AS chars, len(turns) = d AS ends FROM p),
+    g AS (SELECT pre, d, min(coalesce(conv_id, -9223372036854775808)) AS rep, count(*) AS n, any_value(chars) AS chars,
+                 coalesce(string_agg(coalesce(CAST(conv_id AS VARCHAR), ''), ',' ORDER BY conv_id NULLS FIRST) FILTER (WHERE ends), '') AS ids FROM q GROUP BY pre, d),
+    k AS (SELECT pre[1:d-1] AS pre, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1),
+    e AS (SELECT g.*, coalesce(k.n_children, 0) AS n_children FROM g LEFT JOIN k ON k.pre = g.pre),
+    u AS (SELECT pre[1:a] AS pre, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n - 1) * chars) AS saved FROM (SELECT *, unnest(range(d + 1)) AS a FROM e) GROUP BY 1)
+    SELECT nullif(e.rep, -9223372036854775808) AS conv_id, CAST(e.d AS BIGINT) AS depth, nullif(o.rep, -9223372036854775808) AS parent_conv_id, CAST(e.n AS BIGINT) AS n_convs,
+           CAST(e.n_children AS BIGINT) AS n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(e.ids) AS ends_sha256
+    FROM e JOIN u ON u.pre = e.pre LEFT JOIN e o ON e.d > 0 AND o.pre = e.pre[1:e.d-1]
+    """,
+)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """A null id has no base: its crc32 is that of nothing, so it takes no turns."""
+    turns = ordered_turns(table(spark, folder, "conversations"))
+    sizes = write_through(turns.groupBy("conv").agg(F.count("*").alias("n")), "sizes")
+    own_id = id_of(F.col("conv"))
+    wanted = sizes.select("conv", "n", (F.col("conv") - F.col("conv") % 100).alias("base"), (crc32_of_id(own_id) % 6).alias("h"))
+    taken = F.least("h", F.coalesce("base_n", F.lit(0)).cast("bigint"))
+    convs = wanted.join(sizes.select(F.col("conv").alias("base"), F.col("n").alias("base_n")), "base", "left").withColumn("taken", taken)
+    convs = write_through(convs.select("conv", "base", "h", "taken", (F.col("taken") + F.greatest(F.col("n") - F.col("h"), F.lit(0))).alias("size")), "rebuilt")
+    own = turns.join(convs, "conv").filter("pos >= h").select("conv", (F.col("taken") + F.col("pos") - F.col("h") + 1).alias("depth"), "role", "text")
+    first = turns.filter("pos < 5 AND conv % 100 = 0").withColumnRenamed("conv", "base")  # h is 5 at most
+    shared = first.join(convs, "base").filter("pos < taken").select("conv", (F.col("pos") + 1).alias("depth"), "role", "text")
+    return prefix_trie(own.unionByName(shared), convs.select("conv", "size"))
+
+
 def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts whose ``planted`` number is a multiple of ten become periodic from some word on."""
     for batch in slices(batches, "text"):
