@@ -1,10 +1,16 @@
 """Fingerprints, exact similarity joins and diverse picks.
 
-A fingerprint is a set of bits below 2048, kept as words of 64 bits. Bits are renumbered from rare
-to common, so the lowest bits of a row are its rarest and candidates come from an equality join on
-those (prefix filter, Bayardo et al. 2007, with the positional bound of Xiao et al. 2008). Every candidate is verified inside the join
-condition by bit counts; only verified rows leave the join. Equal fingerprints are collapsed first,
-so a third of all rows being copies of one another costs one row.
+A fingerprint is a set of bits below 2048, kept as words of 64 bits. Candidates come from an equality
+join on composite keys (a prefix filter, Bayardo et al. 2007, with the positional bound of Xiao et al. 2008):
+
+* Bits that always occur together (the pieces of one chemical unit) are one key that weighs as much as they
+  are. Keys are ordered by how few rows they have for their weight, so a few keys make up a prefix.
+* The larger row of a pair brings the prefix for its own size, the smaller one only the shorter prefix that
+  suffices against rows of its size or more; and both bring a band of sizes, so that they meet only if
+  their sizes agree.
+
+Every candidate is verified inside the join condition by bit counts; only verified rows leave the join.
+Equal fingerprints are collapsed first, so a third of all rows being copies of one another costs one row.
 """
 
 from __future__ import annotations
@@ -12,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +31,13 @@ PICK_DISTANCE = 0.6
 SIMILAR_LOW, SIMILAR_HIGH = 0.45, 0.65
 SIZE_LOW, SIZE_HIGH = 0.83, 1.17
 
+#: Sizes of a band differ by less than this factor.
+BAND = 1.2
 FIRST_CHUNK = 2048
-CHUNK_GROWTH = 4
+CHUNK_GROWTH = 16
 HOT_ROWS = 50_000
+#: Edges of a block that one task scans.
+BLOCK_EDGES = 1_000_000
 BROADCAST_ROWS = 200_000  # prefix rows, at most about 300 bytes each
 
 
@@ -71,20 +82,37 @@ def _needed(threshold: float, sizes: str) -> str:
     return f"ceil({threshold / (1.0 + threshold)!r}D * ({sizes}) - 1e-9D)"
 
 
-def bit_ranks(df: DataFrame, bits: str) -> dict[int, int]:
-    """Rank of every occurring bit from rare to common. At most 2048 counts reach the driver."""
-    counts = df.select(F.explode(bits).alias("bit")).groupBy("bit").agg(F.count("*").alias("n")).collect()
-    ordered = sorted((row.n, row.bit) for row in counts)
-    return {bit: rank for rank, (_, bit) in enumerate(ordered)}
+def bit_ranks(df: DataFrame, bits: str) -> tuple[dict[int, int], set[int]]:
+    """The number of every occurring bit, and the numbers at which a class of bits begins.
+
+    A class holds bits that exactly the same rows have, told by their count and 128 bits of summed row hashes. Its
+    bits get numbers in a row; classes are ordered by rows over bits. At most 2048 rows reach the driver."""
+    low = F.lit((1 << 32) - 1)
+    hashes = [F.xxhash64("_row"), F.xxhash64("_row", F.lit("again"))]
+    lanes = [x for h in hashes for x in (h.bitwiseAND(low), F.shiftrightunsigned(h, 32))]
+    rows = df.select(F.explode(bits).alias("bit"), F.xxhash64(bits).alias("_row"))
+    sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(lanes)]
+    classes: dict[tuple, list[int]] = {}
+    for row in rows.groupBy("bit").agg(F.count("*").alias("n"), *sums).collect():
+        classes.setdefault((row.n, row.s0, row.s1, row.s2, row.s3), []).append(row.bit)
+    ordered = sorted((key[0] / len(members), sorted(members)) for key, members in classes.items())
+    ranks: dict[int, int] = {}
+    heads: set[int] = set()
+    for _, members in ordered:
+        heads.add(len(ranks))
+        for bit in members:
+            ranks[bit] = len(ranks)
+    return ranks, heads
 
 
 def word_columns(prints: DataFrame) -> list[str]:
     return [c for c in prints.columns if c.startswith("word_")]
 
 
-def number_bits(df: DataFrame, ranks: dict[int, int]) -> DataFrame:
-    """Renumber ``bits`` by rank, count them and pack them into 64-bit words: as many words as there
-    are bits in use."""
+def number_bits(df: DataFrame, numbering: tuple[dict[int, int], set[int]]) -> DataFrame:
+    """Renumber ``bits``, count them and pack them into 64-bit words: as many words as there are bits in
+    use. ``keys``: (bit, bits from it on) for the first bit of each class."""
+    ranks, heads = numbering
     table = F.expr("array(" + ", ".join(str(ranks.get(bit, 0)) for bit in range(BITS)) + ")")
     ranked = df.withColumn("bits", F.array_sort(F.transform("bits", lambda b: F.get(table, b))))
     one = F.lit(1).cast("bigint")
@@ -96,25 +124,39 @@ def number_bits(df: DataFrame, ranks: dict[int, int]) -> DataFrame:
 
     n_words = max(1, math.ceil(len(ranks) / 64))
     words = [word(w) for w in range(n_words)]
-    return write_through(ranked.select("*", F.size("bits").alias("n_bits"), *words), "prints")
+    head = F.expr("array(" + ", ".join("true" if rank in heads else "false" for rank in range(max(1, len(ranks)))) + ")")
+    placed = F.transform("bits", lambda b, at: F.struct(b.alias("bit"), (F.size("bits") - at).alias("left")))
+    keys = F.filter(placed, lambda k: F.get(head, k["bit"]))
+    return write_through(ranked.select("*", F.size("bits").alias("n_bits"), keys.alias("keys"), *words), "prints")
 
 
-def distinct_prints(df: DataFrame, key: str, bits: str, also: Sequence[str] = ()) -> tuple[DataFrame, dict[int, int]]:
+def distinct_prints(df: DataFrame, key: str, bits: str, also: Sequence[str] = ()) -> tuple[DataFrame, tuple[dict[int, int], set[int]]]:
     """One numbered row per distinct (fingerprint, *also): lowest key as ``id``, number of rows; and
-    the ranks of the bits. Rows without bits are left out: they resemble nothing."""
+    the numbering of the bits. Rows without bits are left out: they resemble nothing."""
     filled = df.filter(F.size(bits) > 0).groupBy(F.col(bits).alias("bits"), *also)
     unique = write_through(filled.agg(F.min(key).alias("id"), F.count("*").alias("n_rows")), "unique")
-    ranks = bit_ranks(unique, "bits")
-    return number_bits(unique, ranks), ranks
+    numbering = bit_ranks(unique, "bits")
+    return number_bits(unique, numbering), numbering
+
+
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / F.lit(math.log(BAND)) + F.lit(1e-9)).cast("int")
 
 
-def _prefix(prints: DataFrame, threshold: float, *keep: str) -> DataFrame:
-    """One row per prefix bit: any two rows that reach the threshold share one of them. ``left`` is
-    the number of bits from this one on, which bounds what two rows can share."""
-    length = F.col("n_bits") - F.ceil(F.col("n_bits") * F.lit(threshold) - F.lit(1e-9)) + 1
-    columns = ["id", "n_bits", *word_columns(prints), *keep]
-    cut = prints.select(*columns, F.posexplode(F.slice("bits", F.lit(1), length.cast("int"))).alias("_at", "bit"))
-    return cut.withColumn("left", F.col("n_bits") - F.col("_at")).drop("_at")
+def _prefix(prints: DataFrame, threshold: float, *keep: str, larger: bool) -> DataFrame:
+    """One row per prefix key and band of sizes. ``left`` is the number of bits from the key on, which
+    bounds what two rows can share.
+
+    Of two rows that reach the threshold, the ``larger`` one (or either of two equal ones) shares at least
+    threshold times its bits, the other one at least 2 t / (1 + t) times its own: with fewer bits left than
+    that, a key can't be the first common one. The smaller one is placed in the bands of all rows it can match."""
+    share = threshold if larger else 2.0 * threshold / (1.0 + threshold)
+    least = F.ceil(F.col("n_bits") * F.lit(share) - F.lit(1e-9))
+    band = _band(F.col("n_bits"))
+    if not larger:
+        band = F.explode(F.sequence(band, _band(F.col("n_bits") / F.lit(threshold) + F.lit(1e-6))))
+    cut = prints.select("id", "n_bits", *word_columns(prints), *keep, F.explode(F.filter("keys", lambda k: k["left"] >= least)).alias("_key"))
+    return cut.select("*", F.col("_key.bit").alias("bit"), F.col("_key.left").alias("left"), band.alias("band")).drop("_key")
 
 
 def _similar_condition(threshold: float, words: Sequence[str]) -> str:
@@ -130,14 +172,14 @@ def _similar_condition(threshold: float, words: Sequence[str]) -> str:
 
 
 def _meet(big: DataFrame, small: DataFrame, condition: str, how: str = "inner", also: str = "") -> DataFrame:
-    """Join prefix rows ``a`` (big) and ``b`` (small) on the bit.
+    """Join prefix rows ``a`` (big) and ``b`` (small) on bit and band.
 
     A small side of checked size goes to every task and the big side is not moved. Beyond that both
     are shuffled by bit; the rows of a bit that very many rows have are then cut into slices and meet
     a copy of the other side's rows each, so no task gets a whole hot bit. The counts, one per hot
     bit, are at most 2048.
     """
-    on = f"a.bit = b.bit AND {also}{condition}"
+    on = f"a.bit = b.bit AND a.band = b.band AND {also}{condition}"
     if small.count() <= BROADCAST_ROWS:
         return big.alias("a").join(F.broadcast(small).alias("b"), F.expr(on), how)
     counts = big.groupBy("bit").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).collect()
@@ -162,18 +204,19 @@ def _bits_below(prints: DataFrame) -> list[Column]:
 
 def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
     """(id_a < id_b, shared, n_bits_a, n_bits_b) for distinct fingerprints. A pair meets at each
-    prefix bit it shares and is kept at the first one, so it comes once."""
+    prefix key it shares and is kept at the first one, so it comes once."""
     words = word_columns(prints)
-    rows = _prefix(spread(prints), threshold)
-    marked = rows.select("*", *_bits_below(prints))
+    rows = spread(prints)
+    marked = _prefix(rows, threshold, larger=True).select("*", *_bits_below(prints))
     earlier = " | ".join(f"(a.below_{i} & b.{w})" for i, w in enumerate(words))
-    condition = f"a.id < b.id AND ({earlier}) = 0 AND {_similar_condition(threshold, words)}"
-    return _meet(marked, rows, condition).select(
-        F.col("a.id").alias("id_a"),
-        F.col("b.id").alias("id_b"),
+    condition = f"(a.n_bits > b.n_bits OR a.n_bits = b.n_bits AND a.id > b.id) AND ({earlier}) = 0 AND {_similar_condition(threshold, words)}"
+    first = F.col("a.id") < F.col("b.id")
+    return _meet(marked, _prefix(rows, threshold, larger=False), condition).select(
+        F.least("a.id", "b.id").alias("id_a"),
+        F.greatest("a.id", "b.id").alias("id_b"),
         F.expr(_shared(words, "a", "b")).alias("shared"),
-        F.col("a.n_bits").alias("n_bits_a"),
-        F.col("b.n_bits").alias("n_bits_b"),
+        F.when(first, F.col("a.n_bits")).otherwise(F.col("b.n_bits")).alias("n_bits_a"),
+        F.when(first, F.col("b.n_bits")).otherwise(F.col("a.n_bits")).alias("n_bits_b"),
     )
 
 
@@ -227,29 +270,83 @@ def _chunks(prints: DataFrame) -> list[DataFrame]:
     return out
 
 
+def _both_ways(rows: DataFrame, others: DataFrame, threshold: float, *keep: str) -> tuple[DataFrame, DataFrame, str]:
+    """Prefix rows of two tables that meet whichever side is the larger one, and the condition for it."""
+
+    def sides(df: DataFrame, first_is_larger: bool) -> DataFrame:
+        larger = _prefix(df, threshold, *keep, larger=True).withColumn("way", F.lit(0 if first_is_larger else 1))
+        return larger.union(_prefix(df, threshold, *keep, larger=False).withColumn("way", F.lit(1 if first_is_larger else 0)))
+
+    return sides(rows, True), sides(others, False), "a.way = b.way AND (a.n_bits >= b.n_bits) = (a.way = 0) AND "
+
+
 def _without_near(rows: DataFrame, picks: DataFrame, similarity: float) -> DataFrame:
     """Rows that are not near any pick."""
-    condition = _similar_condition(similarity, word_columns(rows))
-    near = _meet(_prefix(spread(rows), similarity), _prefix(picks, similarity), condition, "left_semi")
+    a, b, also = _both_ways(spread(rows), picks, similarity)
+    near = _meet(a, b, _similar_condition(similarity, word_columns(rows)), "left_semi", also)
     return rows.join(near.select("id").distinct(), "id", "left_anti")
 
 
+def _scan(edges: pa.Table) -> pa.Table:
+    """The rows of a block that the scan skips for certain. A row is skipped if an earlier neighbour is picked, and
+    picked if all earlier neighbours are skipped; neighbours of other blocks are unknown unless they
+    have no earlier neighbour themselves (``first``)."""
+    edges = edges.sort_by([("id_b", "ascending"), ("id_a", "ascending")])
+    later, earlier, first = (edges.column(c).to_pylist() for c in ("id_b", "id_a", "first"))
+    state: dict = {}  # True: picked, False: skipped; absent: unknown
+    at = 0
+    while at < len(later):
+        row, stop, picked = later[at], at, True
+        while stop < len(later) and later[stop] == row:
+            known = True if first[stop] else state.get(earlier[stop])
+            if known:
+                picked = False
+                break
+            if known is None and picked:
+                picked = None
+            stop += 1
+        if picked is not None:
+            state[row] = picked
+        while at < len(later) and later[at] == row:
+            at += 1
+    return pa.table({"id": pa.array([row for row, picked in state.items() if picked is False], edges.schema.field("id_b").type)})
+
+
 def _first_independent(rows: DataFrame, similarity: float) -> DataFrame:
     """The rows a scan in id order would pick among ``rows``: the first maximal independent set.
 
-    Round by round, a row without an earlier neighbour is a pick, and its neighbours drop out with
-    their edges; what never drops out is picked. Few rounds are needed (Blelloch et al. 2012). Each
+    In each round rows behind one that has no earlier neighbour drop out. Then blocks of consecutive rows are
+    scanned, each by itself, as far as it can be known, and what they skip drops out with its edges. The first
+    block that has edges is always resolved to its end, since nothing before it is open, so there are at
+    most as many rounds as blocks, however long a chain of neighbours is; mostly one or two do. Each
     round goes on from written tables.
     """
     edges = write_through(similar_pairs(rows, similarity).select("id_a", "id_b"), "edges")
     dropped: DataFrame | None = None
-    while not edges.isEmpty():
-        behind = edges.select(F.col("id_b").alias("id_a"))
-        gone = edges.join(behind, "id_a", "left_anti").select(F.col("id_b").alias("id")).distinct()
+    count = edges.count()
+    bounds = []
+    if count > BLOCK_EDGES:
+        shares = [i * BLOCK_EDGES / count for i in range(1, math.ceil(count / BLOCK_EDGES))]
+        bounds = sorted(set(edges.agg(F.percentile_approx("id_b", shares).alias("q")).first()["q"]))
+    block = F.lit(0) if not bounds else F.size(F.filter(F.array(*[F.lit(x) for x in bounds]), lambda x: x < F.col("id_b")))
+    id_type = edges.schema["id_b"].dataType.simpleString()
+
+    def without(gone: DataFrame) -> DataFrame:
+        nonlocal dropped
         gone = write_through(gone, "gone")
         dropped = gone if dropped is None else dropped.unionByName(gone)
         left = edges.join(gone.withColumnRenamed("id", "id_b"), "id_b", "left_anti")
-        edges = write_through(left.join(gone.withColumnRenamed("id", "id_a"), "id_a", "left_anti"), "edges")
+        return left.join(gone.withColumnRenamed("id", "id_a"), "id_a", "left_anti")
+
+    def firsts() -> DataFrame:
+        return edges.select(F.col("id_b").alias("id_a"), F.lit(True).alias("behind")).distinct()
+
+    while not edges.isEmpty():
+        if bounds:  # a row with very many earlier neighbours goes before the blocks are dealt
+            marked = edges.join(firsts(), "id_a", "left")
+            edges = write_through(without(marked.filter("behind IS NULL").select(F.col("id_b").alias("id")).distinct()), "edges")
+        marked = edges.join(firsts(), "id_a", "left").select("id_a", "id_b", F.col("behind").isNull().alias("first"), block.alias("block"))
+        edges = write_through(without(marked.groupBy("block").applyInArrow(_scan, f"id {id_type}")), "edges")
     return rows if dropped is None else rows.join(dropped, "id", "left_anti")
 
 
@@ -283,9 +380,9 @@ def similar_join(
     large chunks meet only picks that are still without. Rows equal in fingerprint and size are one.
     """
     table = write_through(df.select(key, bits, size), "fingerprints")
-    prints, ranks = distinct_prints(table, key, bits, also=[size])
+    prints, numbering = distinct_prints(table, key, bits, also=[size])
     chosen = table.filter(F.size(bits) > 0).join(picks.select(key).distinct(), key, "left_semi")
-    open_picks = number_bits(chosen.select(F.col(key).alias("id"), F.col(bits).alias("bits"), size), ranks)
+    open_picks = number_bits(chosen.select(F.col(key).alias("id"), F.col(bits).alias("bits"), size), numbering)
     matched = None
     band = math.log(SIZE_HIGH)
     slot = lambda value: F.floor(F.log(F.greatest(value.cast("double"), F.lit(1e-9))) / F.lit(band))
@@ -297,15 +394,18 @@ def similar_join(
         f"AND ({shared}) / (a.n_bits + b.n_bits - ({shared})) < {high!r}D"
     )
     for chunk in _chunks(prints):
-        rows = _prefix(spread(chunk), low, size).withColumn("slot", slot(F.col(size)))
-        wanted = _prefix(open_picks, low, size).withColumn(
-            "slot", F.explode(F.sequence(slot(F.col(size) * SIZE_LOW), slot(F.col(size) * SIZE_HIGH)))
-        )
-        found = _meet(rows, wanted, condition, also="a.slot = b.slot AND ")
-        hits = found.groupBy(F.col("b.id").alias("id")).agg(F.min("a.id").alias("similar_id"))
-        hits = write_through(hits, "similar")
+        if open_picks.isEmpty():
+            break
+        rows, wanted, ways = _both_ways(spread(chunk), open_picks, low, size)
+        rows = rows.withColumn("slot", slot(F.col(size)))
+        wanted = wanted.withColumn("slot", F.explode(F.sequence(slot(F.col(size) * SIZE_LOW), slot(F.col(size) * SIZE_HIGH))))
+        met = _meet(rows, wanted, condition, also=f"a.slot = b.slot AND {ways}")
+        found = met.select(F.col("b.id").alias("id"), F.col("a.id").alias("similar_id"))
+        hits = write_through(found.groupBy("id").agg(F.min("similar_id").alias("similar_id")), "similar")
         matched = hits if matched is None else matched.unionByName(hits)
-        open_picks = open_picks.join(hits.select("id"), "id", "left_anti")
+        open_picks = write_through(open_picks.join(hits.select("id"), "id", "left_anti"), "open")
+    if matched is None:
+        return picks.select(key, F.col(key).alias("similar_id")).limit(0)
     return matched.withColumnRenamed("id", key)
 
 

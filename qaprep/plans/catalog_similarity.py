@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from qaprep.operators import similarity as C
 from qaprep.plans import fixtures as X
 from qaprep.plans.registry import query
+from qaprep.session import write_through
 
 THRESHOLD = 0.7
 
@@ -91,34 +92,35 @@ def leader_pick(spark: SparkSession, folder: str) -> DataFrame:
     return C.leader_pick(prints(spark, folder), "cid", "bits")
 
 
-def picked(spark: SparkSession, folder: str) -> DataFrame:
-    """Every 25th molecule as a pick list."""
-    return X.read(spark, folder, "part").filter("p_partkey % 25 = 7").select(F.col("p_partkey").alias("cid"))
+def with_picks(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints and the leaders among them, both written."""
+    rows = write_through(prints(spark, folder), "molecule-prints")
+    return rows, write_through(C.leader_pick(rows, "cid", "bits"), "leaders")
 
 
-_SIMILAR_SQL = FINGERPRINTS.rstrip() + f""", nearby AS (
-    SELECT a.cid, min(b.cid) AS similar_id FROM prints a JOIN prints b ON a.cid <> b.cid AND len(a.fp) > 0 AND len(b.fp) > 0
+_SIMILAR_SQL = _PICKS_SQL.rstrip() + f""", nearby AS (
+    SELECT a.cid, min(b.cid) AS similar_id FROM prints a JOIN picks USING (cid) JOIN prints b ON a.cid <> b.cid AND len(a.fp) > 0 AND len(b.fp) > 0
       AND b.num_atoms >= a.num_atoms * CAST(0.83 AS DOUBLE) AND b.num_atoms <= a.num_atoms * CAST(1.17 AS DOUBLE)
-    WHERE a.cid % 25 = 7 AND {_TANIMOTO} >= 0.45 AND {_TANIMOTO} < 0.65 GROUP BY a.cid)
+    WHERE {_TANIMOTO} >= 0.45 AND {_TANIMOTO} < 0.65 GROUP BY a.cid)
 """
 
 
 @query("similar_join", _SIMILAR_SQL + "SELECT cid, similar_id FROM nearby")
 def similar_join(spark: SparkSession, folder: str) -> DataFrame:
-    return C.similar_join(prints(spark, folder), picked(spark, folder), "cid", "bits", "num_atoms")
+    rows, picks = with_picks(spark, folder)
+    return C.similar_join(rows, picks, "cid", "bits", "num_atoms")
 
 
-@query("merge_picks", _SIMILAR_SQL + "SELECT cid FROM molecules WHERE cid % 25 = 7 UNION SELECT similar_id FROM nearby")
+@query("merge_picks", _SIMILAR_SQL + "SELECT cid FROM picks UNION SELECT similar_id FROM nearby")
 def merge_picks(spark: SparkSession, folder: str) -> DataFrame:
-    picks = picked(spark, folder)
-    similar = C.similar_join(prints(spark, folder), picks, "cid", "bits", "num_atoms")
-    return C.merge_picks(picks, similar, "cid")
+    rows, picks = with_picks(spark, folder)
+    return C.merge_picks(picks, C.similar_join(rows, picks, "cid", "bits", "num_atoms"), "cid")
 
 
 @query(
     "expand_picks",
-    _SIMILAR_SQL + """SELECT cid, num_atoms FROM molecules WHERE cid IN (
-      SELECT cid FROM molecules WHERE cid % 25 = 7 UNION SELECT similar_id FROM nearby)""",
+    _SIMILAR_SQL + "SELECT cid, num_atoms FROM molecules WHERE cid IN (SELECT cid FROM picks UNION SELECT similar_id FROM nearby)",
 )
 def expand_picks(spark: SparkSession, folder: str) -> DataFrame:
-    return C.expand_picks(prints(spark, folder), picked(spark, folder), "cid", "bits", "num_atoms").select("cid", "num_atoms")
+    rows, picks = with_picks(spark, folder)
+    return C.expand_picks(rows, picks, "cid", "bits", "num_atoms").select("cid", "num_atoms")

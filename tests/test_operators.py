@@ -198,6 +198,32 @@ def test_leader_pick(spark, monkeypatch, first_chunk, small):
     assert got == scan_picks(rows, 0.5)
 
 
+def test_leaders_of_long_chains(spark, monkeypatch):
+    """Rows that are near their neighbours only: one block resolves a chain of any length at once, and
+    small blocks need no more rounds than there are blocks."""
+    monkeypatch.setattr(similarity, "BLOCK_EDGES", 40)
+    rows = [(i, 3, list(range(10 * i, 10 * i + 20))) for i in range(150)]  # two neighbours share a third
+    df = spark.createDataFrame(rows, "id long, size int, bits array<int>").repartition(3)
+    rounds, scan = [], similarity.write_through
+    monkeypatch.setattr(similarity, "write_through", lambda d, label: (rounds.append(label), scan(d, label))[1])
+    got = {r.id for r in similarity.leader_pick(df, "id", "bits", 0.7).collect()}
+    assert got == scan_picks(rows, 0.7) == set(range(0, 150, 2))
+    assert rounds.count("gone") <= 2 * -(-149 // 40) + 2
+    monkeypatch.setattr(similarity, "BLOCK_EDGES", 1_000_000)
+    rounds.clear()
+    assert {r.id for r in similarity.leader_pick(df, "id", "bits", 0.7).collect()} == set(range(0, 150, 2))
+    assert rounds.count("gone") <= 2
+
+
+def test_keys_of_similar_rows(spark):
+    """Bits that the same rows have are one key, and far fewer rows meet than there are pairs."""
+    df = spark.createDataFrame([(i, [1, 2, 3, 100 + i % 7, 200 + i, 300 + i]) for i in range(60)], "id long, bits array<int>")
+    prints, (ranks, heads) = similarity.distinct_prints(df, "id", "bits")
+    assert sorted(ranks.values()) == list(range(len(ranks))) and len(heads) == 1 + 7 + 60
+    assert {ranks[1], ranks[2], ranks[3]} == {len(ranks) - 3, len(ranks) - 2, len(ranks) - 1} or ranks[2] - ranks[1] == 1
+    assert all(k.left == r.n_bits - r.bits.index(k.bit) and k.bit in heads for r in prints.collect() for k in r["keys"])
+
+
 @pytest.mark.parametrize("first_chunk,hot_rows", [(8192, 50_000), (16, 9)])
 def test_similar_join(spark, monkeypatch, first_chunk, hot_rows):
     monkeypatch.setattr(similarity, "FIRST_CHUNK", first_chunk)
