@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qaprep.functions.binding import bind
+
 # SMILES token classes and the elements that get counted.
 ATOM = r"\[[^\]]+\]|Br|Cl|[BCNOPSFI]|[bcnops]"
 CLOSURE = r"%[0-9]{2}|[0-9]"
@@ -88,9 +90,26 @@ def _label(closure: Column) -> Column:
     return F.regexp_replace(closure, f"^{BOND}", "")
 
 
+def _closes_on_itself(bare: Column) -> Column:
+    """Whether an atom opens and closes the same ring label. Runs of closures that repeat a label are rare; only
+    with one in sight are the labels counted: one that is open before the run is closed and opened anew."""
+    one = f"{BOND}?(?:{CLOSURE})"
+    labels = lambda run: F.transform(F.regexp_extract_all(run, F.lit(f"({one})"), F.lit(1)), _label)
+    written = lambda items, label: F.size(F.filter(items, lambda x: x == label))
+
+    def own(runs: Column) -> Column:
+        before = lambda i: F.flatten(F.slice(runs, F.lit(1), i))
+        closed = F.transform(runs, lambda run, i: F.exists(run, lambda x: (written(run, x) > 1) & (written(before(i), x) % 2 == 0)))
+        return F.exists(closed, lambda c: c)
+
+    found = bind(F.transform(F.regexp_extract_all(bare, F.lit(f"((?:{one})+)"), F.lit(1)), labels), own)
+    return F.when(bare.rlike(rf"({CLOSURE})(?:{one})*?{BOND}?\1"), found).otherwise(F.lit(False))
+
+
 def parsable(smiles: Column) -> Column:
     """No text left over beside the tokens, every token in place, branches closed after they were opened,
-    every ring-closure label written an even number of times (a label may be used again)."""
+    every ring-closure label written an even number of times (a label may be used again), but not opened and
+    closed at one atom."""
     left_over = F.regexp_replace(smiles, TOKEN, "")
     bare = _without_brackets(smiles)
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(smiles, ATOM, "A"), CLOSURE, "1"), BOND, "=")
@@ -101,7 +120,7 @@ def parsable(smiles: Column) -> Column:
     labels = F.transform(_closures(bare), _label)
     even = lambda label: F.size(F.filter(labels, lambda x: x == label)) % 2 == 0
     paired = F.when(_closure_labels(bare) == 0, True).otherwise(F.forall(F.array_distinct(labels), even))
-    return F.coalesce((smiles != "") & (left_over == "") & ~kinds.rlike(_OUT_OF_PLACE) & closed & paired, F.lit(False))
+    return F.coalesce((smiles != "") & (left_over == "") & ~kinds.rlike(_OUT_OF_PLACE) & closed & paired & ~_closes_on_itself(bare), F.lit(False))
 
 
 def atoms(smiles: Column) -> Column:

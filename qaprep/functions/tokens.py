@@ -211,3 +211,67 @@ def plugged_tokenizer(encode: Callable[[Sequence[str] | str], list[int]]) -> Cal
         return values.map(encode, na_action="ignore")
 
     return run
+
+
+Offsets = Sequence[tuple[int, int]]
+_MAP = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("id", "start", "stop")]))
+#: Texts a caller's tokenizer gets at once.
+TEXTS_AT_ONCE = 1000
+
+
+def offset_tokenizer(encode: Callable[[list[str]], Sequence[tuple[Sequence[int], Offsets]]]) -> Callable[[Column], Column]:
+    """A caller's tokenizer that knows where its tokens come from, as an Arrow-batched function returning the
+    offset map of a text: ``array<struct<id, start, stop>>``, offsets in characters.
+
+    ``encode`` gets a list of texts and gives ids and (start, stop) offsets of each. A token that stands for no
+    text has an empty range. A null text has a null map."""
+
+    @F.arrow_udf(_MAP)
+    def run(texts: pa.Array) -> pa.Array:
+        known = texts.drop_null()
+        ids: list[int] = []
+        places: list[tuple[int, int]] = []
+        sizes: list[int] = []
+        for at in range(0, len(known), TEXTS_AT_ONCE):
+            for own, offsets in encode(known.slice(at, TEXTS_AT_ONCE).to_pylist()):
+                if len(own) != len(offsets):
+                    raise ValueError("a tokenizer must give an offset for each id")
+                ids.extend(own)
+                places.extend(offsets)
+                sizes.append(len(own))
+        ends = np.zeros(len(texts) + 1, dtype=np.int64)
+        ends[1:][np.asarray(texts.is_valid())] = sizes
+        where = np.asarray(places, dtype=np.int32).reshape(-1, 2)
+        entries = pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in (ids, where[:, 0], where[:, 1])], names=["id", "start", "stop"])
+        maps = pa.ListArray.from_arrays(pa.array(np.cumsum(ends).astype(np.int32)), entries)
+        return pc.if_else(texts.is_valid(), maps, None)
+
+    run.offsets = True
+    return run
+
+
+def mapped_ids(offsets: Column) -> Column:
+    return F.transform(offsets, lambda t: t["id"])
+
+
+def overlapping_tokens(offsets: Column, first: Column, last: Column) -> Column:
+    """Half-open range of the tokens of an offset map that share a character with [first, last); null when
+    none does. Tokens without text share none."""
+    inside = lambda t: (t["start"] < last) & (t["stop"] > first) & (t["stop"] > t["start"])
+    places = F.filter(F.transform(offsets, lambda t, i: F.when(inside(t), i)), lambda i: i.isNotNull())
+    return F.when(F.size(places) > 0, F.struct(F.array_min(places).alias("start"), (F.array_max(places) + 1).alias("stop")))
+
+
+def mapped_span(offsets: Column, prompt: Column, answer: Column) -> Column:
+    """Token range of the first occurrence of ``answer`` in ``prompt``, by the prompt's offset map. A text that occurs
+    only without its outer spaces is looked for trimmed; null for an empty answer or none found."""
+    exact, trimmed = F.position(answer, prompt), F.position(strip(answer), prompt)
+    first = F.when(exact > 0, exact).otherwise(trimmed) - 1
+    return F.when((first >= 0) & (F.length(answer) > 0), overlapping_tokens(offsets, first, first + F.length(answer)))
+
+
+def placed_span(span: Column, count: Column, limit: int) -> Column:
+    """A token range of a text of ``count`` kept tokens in its left-padded window; null when it is cut off whole."""
+    shift = F.lit(limit) - count
+    moved = F.struct((shift + span["start"]).cast("int").alias("start"), (shift + F.least(span["stop"], count)).cast("int").alias("stop"))
+    return F.when(span["start"] < count, moved)

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from qaprep.functions import tokens as N
 from qaprep.functions.templates import chat_markup, chat_messages, eval_prompt, render_column, value_map
+from qaprep.functions.text import tagged_spans
 from qaprep.operators.filters import require_columns
+from qaprep.operators.indexing import group_positions
 from qaprep.operators.sampling import SPLITS, seeded_sample
+from qaprep.session import write_through
 from qaprep.sources.sinks import write_dataset
 
 
@@ -77,6 +80,27 @@ def plugged_train(df: DataFrame, tokenizer: Callable[[Column], Column], end_id:
     return out.withColumn("labels", N.train_labels(F.col("input_ids"), F.col("_span"))).drop("_p", "_a", "_ids", "_span")
 
 
+def mapped_train(
+    df: DataFrame, tokenizer: Callable[[Column], Column], end_id: int, max_length: int = 1024,
+    weights: bool = False, default_weight: float = 0.5, answer_weight: float = 5.0,
+) -> DataFrame:
+    """``tokenise_train`` with a caller's ``offset_tokenizer``: prompt and answer are encoded as one text, and the
+    answer's tokens are those that overlap it, the end id included. So are the tokens that weigh more: those
+    overlapping the first occurrence of each tag body of the answer."""
+    coded = df.withColumn("_text", F.concat("prompt", "answer")).withColumn("_map", tokenizer(F.col("_text")))
+    coded = coded.withColumn("_ids", F.slice(F.concat(N.mapped_ids(F.col("_map")), F.array(F.lit(end_id))), 1, max_length))
+    total, count = F.size("_map"), F.size("_ids")
+    covered = N.overlapping_tokens(F.col("_map"), F.length("prompt"), F.length("_text"))
+    closing = F.struct(F.coalesce(covered["start"], total).alias("start"), (total + 1).alias("stop"))
+    out = coded.withColumns({"input_ids": N.pad_left(F.col("_ids"), max_length, end_id), "attention_mask": N.attention_mask(count, max_length), "_span": N.placed_span(closing, count, max_length)})
+    out = out.withColumn("labels", N.train_labels(F.col("input_ids"), F.col("_span")))
+    if weights:
+        span = lambda body: N.placed_span(N.mapped_span(F.col("_map"), F.col("_text"), body), count, max_length)
+        spans = F.filter(F.transform(tagged_spans(F.col("answer")), span), lambda s: s.isNotNull())
+        out = out.withColumn("_spans", spans).withColumn("position_weights", N.position_weights(F.col("input_ids"), F.col("_spans"), default_weight, answer_weight))
+    return out.drop("_text", "_map", "_ids", "_span", "_spans")
+
+
 def plugged_eval(
     df: DataFrame, tokenizer: Callable[[Column], Column], end_id: int, max_length: int = 1024, max_label_len: int = 512
 ) -> DataFrame:
@@ -106,22 +130,46 @@ def build_dataset(
 ) -> int:
     """Write ``full`` (valid, test) and ``minimal`` (all splits). Rows of ``full`` get an
     ``example_id``, a hash of the record that every build gives alike, by which predictions are paired with
-    them later. ``tokenizer`` (such as ``plugged_tokenizer`` makes) and its ``end_id`` take the place of the
-    bytes; weights are there for bytes only. Returns how many training rows have no label left
+    them later; records that are repeated are told apart by an occurrence number. ``tokenizer`` (such as
+    ``plugged_tokenizer`` or ``offset_tokenizer`` makes) and its ``end_id`` take the place of the bytes; weights need
+    bytes or offsets. Returns how many training rows have no label left
     because the truncation cut their answer off; the write itself counts them."""
-    if weights and tokenizer is not None:
-        raise ValueError("position weights need the byte tokenizer")
+    offsets = getattr(tokenizer, "offsets", False)
+    if weights and tokenizer is not None and not offsets:
+        raise ValueError("position weights need the byte tokenizer or one with offsets")
     require_columns(records, ["split"])
     if limit is not None:
         records = seeded_sample(records, key, limit)
     rendered = render_records(records.filter(F.col("split").isin(*SPLITS)), system_prompt, markup)
     learned, held = rendered.filter("split = 'train'"), rendered.filter("split <> 'train'")
-    train = tokenise_train(learned, max_length, weights) if tokenizer is None else plugged_train(learned, tokenizer, end_id, max_length)
+    if tokenizer is None:
+        train = tokenise_train(learned, max_length, weights)
+    elif offsets:
+        train = mapped_train(learned, tokenizer, end_id, max_length, weights)
+    else:
+        train = plugged_train(learned, tokenizer, end_id, max_length)
     unlabelled = Observation("unlabelled")
     kept = F.size(F.array_remove(F.col("labels"), N.MASKED))
     train = train.observe(unlabelled, F.count_if(kept == 0).alias("n"))
-    evaluation = tokenise_eval(held, max_length, max_label_len) if tokenizer is None else plugged_eval(held, tokenizer, end_id, max_length, max_label_len)
+    evaluate = tokenizer
+    if offsets:
+        evaluate = lambda text: N.mapped_ids(tokenizer(text))
+    evaluation = tokenise_eval(held, max_length, max_label_len) if tokenizer is None else plugged_eval(held, evaluate, end_id, max_length, max_label_len)
     record = F.to_json(F.struct("split", "prompt", "answer", *[c for c in records.columns if c not in ("split", "prompt", "answer")]))
-    numbered = evaluation.withColumn("example_id", F.xxhash64(record)).drop("prompt", "answer")
-    write_dataset(train, numbered, path)
+    numbered = numbered_records(evaluation.withColumn("_record", F.xxhash64(record)))
+    write_dataset(train, numbered.drop("prompt", "answer"), path)
     return unlabelled.get["n"]
+
+
+def numbered_records(df: DataFrame) -> DataFrame:
+    """``example_id`` from the hash ``_record``: the hash itself, and for the second, third ... of equal records the hash of
+    it and their number. Only hashes that occur more than once are numbered, and these in a global order, so
+    that a record repeated any number of times is not one task's."""
+    repeated = df.groupBy("_record").agg(F.count("*").alias("_copies")).filter("_copies > 1").select("_record")
+    repeated = write_through(repeated, "repeated")
+    once = df.join(repeated, "_record", "left_anti").withColumn("example_id", F.col("_record"))
+    if repeated.isEmpty():
+        return once.drop("_record")
+    again = group_positions(df.join(repeated, "_record", "left_semi").withColumn("_nth", F.monotonically_increasing_id()), ["_record"], ["_nth"], "_copy")
+    numbered = again.withColumn("example_id", F.when(F.col("_copy") == 0, F.col("_record")).otherwise(F.xxhash64("_record", "_copy")))
+    return once.unionByName(numbered.drop("_nth", "_copy")).drop("_record")

@@ -196,30 +196,35 @@ def bond_table(spark: SparkSession, folder: str) -> DataFrame:
     return S.bond_table(X.molecules_spread(spark, folder))
 
 
-@query("longest_chain")
-def longest_chain(spark: SparkSession, folder: str) -> DataFrame:
-    linked = X.molecules_spread(spark, folder).select("cid", "smiles", R.chain_bonds(F.col("smiles")).alias("links"))
-    chain = R.longest_chain(F.col("smiles"), F.col("links"))
-    return linked.select("cid", "smiles", F.array_join(chain.cast("array<string>"), " ").alias("chain"))
-
-
 # carbons outside rings inside each unit; the end atoms are carbons too
 _OPEN = {"C": [0], "[C@H](O)": [0], "C(=O)": [0], "C(F)": [0], "C(Cl)": [0], "C=C": [0, 1], "C#C": [0, 1], "[N+](C)(C)": [1, 2], "C(C(=O)[O-])": [0, 1]}
 _OPEN_SQL = ", ".join(f"({i}, {at})" for i, u in enumerate(X.UNITS, start=1) for at in _OPEN.get(u[0], [])) + ", (0, 0)"
-
-
-@query(
-    "longest_chain_length",
-    _GRAPH.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""", unit_open(unit, place_in) AS (VALUES {_OPEN_SQL}),
+# all walks over open carbons. Of equally long ones the first is that with the lowest start, then with the
+# lowest turning point (an atom's number is above that of the atom it is bonded to), then with the lowest end
+_CHAINS = _GRAPH.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""", unit_open(unit, place_in) AS (VALUES {_OPEN_SQL}),
       open_atoms AS (SELECT n.cid, n.first + u.place_in AS atom FROM numbered n JOIN unit_open u USING (unit)),
       steps AS (
         SELECT k.cid, k.a AS x, k.b AS y FROM bonds k JOIN open_atoms p ON p.cid = k.cid AND p.atom = k.a JOIN open_atoms q ON q.cid = k.cid AND q.atom = k.b
         UNION ALL SELECT k.cid, k.b, k.a FROM bonds k JOIN open_atoms p ON p.cid = k.cid AND p.atom = k.a JOIN open_atoms q ON q.cid = k.cid AND q.atom = k.b),
       walks AS (
-        SELECT cid, atom AS here, -1 AS came, 1 AS n FROM open_atoms
-        UNION ALL SELECT w.cid, s.y, w.here, w.n + 1 FROM walks w JOIN steps s ON s.cid = w.cid AND s.x = w.here AND s.y <> w.came)
-      SELECT m.cid, coalesce(max(w.n), 0) AS chain_length FROM molecules m LEFT JOIN walks w USING (cid) GROUP BY m.cid""",
+        SELECT cid, atom AS here, -1 AS came, [atom] AS path FROM open_atoms
+        UNION ALL SELECT w.cid, s.y, w.here, list_append(w.path, s.y) FROM walks w JOIN steps s ON s.cid = w.cid AND s.x = w.here AND s.y <> w.came),
+      chains AS (SELECT cid, list_sort(arg_min(path, [-len(path), path[1], list_min(path), here])) AS path FROM walks GROUP BY cid)
+"""
+
+
+@query(
+    "longest_chain",
+    _CHAINS + """SELECT m.cid, smiles, coalesce(array_to_string(list_transform(path, lambda x: CAST(x + 1 AS BIGINT)), ' '), '') AS chain
+      FROM molecules m LEFT JOIN chains c USING (cid)""",
 )
+def longest_chain(spark: SparkSession, folder: str) -> DataFrame:
+    linked = X.molecules_spread(spark, folder).select("cid", "smiles", R.chain_bonds(F.col("smiles")).alias("links"))
+    chain = R.longest_chain(F.col("smiles"), F.col("links"))
+    return linked.select("cid", "smiles", F.array_join(chain.cast("array<string>"), " ").alias("chain"))
+
+
+@query("longest_chain_length", _CHAINS + "SELECT m.cid, coalesce(len(path), 0) AS chain_length FROM molecules m LEFT JOIN chains c USING (cid)")
 def longest_chain_length(spark: SparkSession, folder: str) -> DataFrame:
     linked = X.molecules_spread(spark, folder).select("cid", "smiles", R.chain_bonds(F.col("smiles")).alias("links"))
     chain = R.longest_chain(F.col("smiles"), F.col("links"))
@@ -228,7 +233,7 @@ def longest_chain_length(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "property_set",
-    M + f"""SELECT cid, true AS has_chain, CAST(n_h AS VARCHAR) AS hydrogen_count, CAST({_HEAVY} AS VARCHAR) AS heavy_atom_count, CAST(net_charge AS VARCHAR) AS net_formal_charge,
+    _CHAINS + f"""SELECT cid, '{{"longest_carbon_chain": [' || coalesce(array_to_string(list_transform(c.path, lambda x: CAST(x + 1 AS BIGINT)), ', '), '') || ']}}' AS longest_chain, CAST(n_h AS VARCHAR) AS hydrogen_count, CAST({_HEAVY} AS VARCHAR) AS heavy_atom_count, CAST(net_charge AS VARCHAR) AS net_formal_charge,
       smiles AS kekulized_smiles, coalesce(rings, '') AS sorted_rings,
       '{{"total_rings": ' || len(rings_list) || ', "aromatic_rings": ' || len(list_filter(ring_is_aromatic, lambda x: x)) || ', "five_membered_rings": ' ||
         len(list_filter(rings_list, lambda x: len(x) = 5)) || ', "six_membered_rings": ' || len(list_filter(rings_list, lambda x: len(x) = 6)) || '}}' AS ring_counts,
@@ -238,16 +243,14 @@ def longest_chain_length(spark: SparkSession, folder: str) -> DataFrame:
       formula AS molecular_formula, coalesce(iupac, 'None') AS iupac_name
       FROM (SELECT m.* REPLACE ('{{"rings": [' || coalesce(r.texts, '') || ']}}' AS rings), m.rings AS rings_list FROM molecules m LEFT JOIN (
         SELECT cid, string_agg('[' || array_to_string(list_sort(ring), ', ') || ']', ', ' ORDER BY list_max(ring), list_min(ring)) AS texts
-        FROM (SELECT cid, unnest(rings) AS ring FROM molecules) GROUP BY cid) r USING (cid))
+        FROM (SELECT cid, unnest(rings) AS ring FROM molecules) GROUP BY cid) r USING (cid)) LEFT JOIN chains c USING (cid)
       WHERE valid AND NOT {_AROMATIC} AND (iupac IS NULL OR trim(iupac) <> '')""",
 )
 def property_set(spark: SparkSession, folder: str) -> DataFrame:
-    """Every answer column; the chain, whose choice among equals is tested on its own, is worked out and
-    must be there."""
+    """Every answer column."""
     answered = Q.question_set("molecular_properties")(X.molecules_table(spark, folder))
-    chained = F.col("longest_chain").startswith('{"longest_carbon_chain": [').alias("has_chain")
     return answered.select(
-        "cid", chained, "hydrogen_count", "heavy_atom_count", "net_formal_charge", "kekulized_smiles", "element_counts", "sorted_rings",
+        "cid", "longest_chain", "hydrogen_count", "heavy_atom_count", "net_formal_charge", "kekulized_smiles", "element_counts", "sorted_rings",
         "ring_counts", "bond_counts", "stereo_summary", "molecular_formula", "iupac_name",
     )
 

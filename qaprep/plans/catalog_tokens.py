@@ -117,6 +117,39 @@ def answer_span(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("conv_id", "turn", F.col("span.start").cast("bigint").alias("start"), F.col("span.stop").cast("bigint").alias("stop"))
 
 
+def _blank_separated(texts: list[str]) -> list[tuple[list[int], list[tuple[int, int]]]]:
+    """A caller's tokenizer: what single blanks separate, the length as id."""
+    out = []
+    for text in texts:
+        at, places = 0, []
+        for piece in text.split(" "):
+            places.append((at, at + len(piece)))
+            at += len(piece) + 1
+        out.append(([b - a for a, b in places], places))
+    return out
+
+
+@query(
+    "answer_span_offsets",
+    f"""WITH w AS (SELECT doc_id, {_ANSWER} AS answer, strpos(text, {_ANSWER}) - 1 AS place, unnest(string_split(text, ' ')) AS word,
+        generate_subscripts(string_split(text, ' '), 1) AS i FROM documents),
+      o AS (SELECT *, CAST(sum(length(word) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) - 1 AS stop FROM w),
+      t AS (SELECT *, stop - length(word) AS start FROM o)
+      SELECT doc_id, CAST(count(*) AS BIGINT) AS n_tokens, min(i - 1) FILTER (WHERE hit) AS start, max(i) FILTER (WHERE hit) AS stop,
+        CAST(coalesce(sum(length(word)) FILTER (WHERE hit), 0) AS BIGINT) AS id_sum
+      FROM (SELECT *, start < place + length(answer) AND stop > place AND stop > start AND length(answer) > 0 AS hit FROM t) GROUP BY doc_id""",
+)
+def answer_span_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by the offset map of a caller's tokenizer, over whole documents."""
+    rows = X.spread_out(spark, folder, "documents").filter("text IS NOT NULL").withColumn("map", N.offset_tokenizer(_blank_separated)(F.col("text")))
+    rows = rows.withColumn("span", N.mapped_span(F.col("map"), F.col("text"), F.substring("text", 20, 12)))
+    inside = F.slice(N.mapped_ids(F.col("map")), F.col("span.start") + 1, F.col("span.stop") - F.col("span.start"))
+    return rows.select(
+        "doc_id", F.size("map").cast("bigint").alias("n_tokens"), F.col("span.start").cast("bigint").alias("start"), F.col("span.stop").cast("bigint").alias("stop"),
+        F.coalesce(F.reduce(inside, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("bigint").alias("id_sum"),
+    )
+
+
 @query(
     "subsequence_find",
     """SELECT doc_id, strlen(substr(text, 1, strpos(text, substr(text, 20, 12)) - 1)) AS found FROM documents

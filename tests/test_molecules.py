@@ -150,3 +150,11 @@ def test_unknown_answers_drop_the_row(spark):
     supplied = {r.cid: r for r in Q.molecular_properties(df).collect()}
     assert set(supplied) == {3, 4} and supplied[3].kekulized_smiles == "C1=CC=CC=C1"
     assert supplied[3].bond_counts == '{"all_bonds": 6, "double_bonds": 3, "triple_bonds": 0}' and supplied[4].iupac_name == "None"
+
+
+def test_a_label_closed_on_its_own_atom(evaluate):
+    """An atom can't be bonded to itself; closing a ring and opening the next with one label is fine."""
+    wrong = ["C11", "CC1=1C", "C%11%11", "C1CC1C11", "C12CC1C2C33"]
+    right = ["C1CC11CC1", "C1CC1C1CC1", "C12CC1C2", "C1=CC=CC=1", "C%11CC%11%11CC%11", "C1C2C1C2"]
+    assert evaluate(S.parsable, wrong + right) == [False] * len(wrong) + [True] * len(right)
+    assert evaluate(lambda c: S.ring_count(c), ["C11", "C1CC1"]) == [0, 1]

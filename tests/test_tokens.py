@@ -64,6 +64,56 @@ def test_training_rows(spark):
     assert len(held.labels) == 48
 
 
+def pieces_tokenizer():
+    """A tokenizer that merges across words: two characters a token, a token without text at the front."""
+
+    def encode(texts):
+        pair = lambda t, i: 1000 * ord(t[i]) + (ord(t[i + 1]) if i + 1 < len(t) else 0)
+        return [([9000, *(pair(t, i) for i in range(0, len(t), 2))], [(0, 0), *((i, min(i + 2, len(t))) for i in range(0, len(t), 2))]) for t in texts]
+
+    return encode
+
+
+def test_offset_map(spark):
+    rows = [("abcdef", "cd"), ("abcdef", "bc"), ("xx yy", " yy "), ("abc", "z"), ("abc", ""), (None, "a"), ("", "a"), ("漢字é!", "é")]
+    df = spark.createDataFrame(rows, "p string, a string").repartition(2).withColumn("m", N.offset_tokenizer(pieces_tokenizer())(F.col("p")))
+    got = {(r.p, r.a): (r.m, r.s) for r in df.withColumn("s", N.mapped_span(F.col("m"), F.col("p"), F.col("a"))).collect()}
+    spans = {k: None if s is None else (s.start, s.stop) for k, (_, s) in got.items()}
+    assert spans == {("abcdef", "cd"): (2, 3), ("abcdef", "bc"): (1, 3), ("xx yy", " yy "): (2, 4), ("abc", "z"): None, ("abc", ""): None, (None, "a"): None, ("", "a"): None, ("漢字é!", "é"): (2, 3)}
+    assert got[None, "a"][0] is None and len(got["", "a"][0]) == 1
+    assert [(t.start, t.stop) for t in got["abcdef", "cd"][0]] == [(0, 0), (0, 2), (2, 4), (4, 6)]
+
+
+def test_weights_with_a_callers_tokenizer(spark, tmp_path):
+    metadata = "struct<smiles:string,n:int>"
+    rows = [(f"q{i}", "How many in {smiles}?", "There are <answer>{n}</answer>", split, ("CCO", 30 + i)) for i, split in enumerate(["train", "valid", "valid", "test"])]
+    rows += [rows[2]] * 2  # repeated records
+    df = spark.createDataFrame(rows, f"question_id string, question_template string, assistant_template string, split string, metadata {metadata}")
+    tokenizer = N.offset_tokenizer(pieces_tokenizer())
+    assert build.build_dataset(df, str(tmp_path / "d"), "Sys", weights=True, tokenizer=tokenizer, end_id=7, max_length=64, max_label_len=32) == 0
+    row = spark.read.parquet(f"{tmp_path}/d/minimal").filter("split = 'train'").first()
+    assert len(row.input_ids) == len(row.labels) == len(row.position_weights) == len(row.attention_mask) == 64
+    whole = "Sys\n\nuser: How many in CCO?\n\nassistant: There are <answer>30</answer>"
+    ids, offsets = pieces_tokenizer()([whole])[0]
+    first = whole.index("There")
+    kept = [x for x, (a, b) in zip(ids, offsets) if b > first and b > a] + [7]
+    assert [x for x in row.labels if x != -100] == kept and row.labels[-len(kept):] == kept
+    assert [x for x, m in zip(row.input_ids, row.attention_mask) if m] == [*ids, 7]
+    body = whole.index("30")
+    heavy = {row.input_ids[i] for i, w in enumerate(row.position_weights) if w == 5.0}
+    assert heavy and heavy <= {x for x, (a, b) in zip(ids, offsets) if a < body + 2 and b > body}
+    full = spark.read.parquet(f"{tmp_path}/d/full").select("split", "example_id").collect()
+    assert len(full) == 5 and len({r.example_id for r in full}) == 5
+    try:
+        build.build_dataset(df, str(tmp_path / "e"), "Sys", weights=True, tokenizer=N.plugged_tokenizer(lambda t: [1]), end_id=7)
+    except ValueError as e:
+        assert "offsets" in str(e)
+    else:
+        raise AssertionError
+    cut = build.mapped_train(build.render_records(df, "Sys"), tokenizer, 7, 12, weights=True).first()
+    assert set(cut.labels) == {-100} and set(cut.position_weights) == {0.5}
+
+
 def test_words(spark):
     df = spark.createDataFrame([(1, "a b a, a"), (2, "b c"), (3, ""), (4, None)], "k int, t string")
     vocab = {r.token: r.token_id for r in N.build_vocab(df, "t").collect()}
