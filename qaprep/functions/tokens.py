@@ -9,12 +9,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qaprep.functions.text import strip, tagged_spans
-from qaprep.operators.indexing import global_index
+from qaprep.operators.indexing import global_index, group_positions
 from qaprep.operators.joins import sliced_join
 from qaprep.session import write_through
 
@@ -163,11 +163,23 @@ def find_ids(ids: Column, wanted: Column) -> Column:
     return F.when(F.size(wanted) == 0, F.lit(0)).when(place > 0, steps.cast("int"))
 
 
-def left_pad_batches(df: DataFrame, batch: str, columns: dict[str, int]) -> DataFrame:
-    """Pad each array column to the longest of its batch. Batches are bounded by construction."""
-    from pyspark.sql import Window
+def bounded_batches(df: DataFrame, ids: str, order: Sequence[str], max_rows: int = 64, max_ids: int = 1 << 18) -> DataFrame:
+    """``df`` with ``bucket`` and ``batch``: batches of rows of about the same length, at most ``max_rows`` rows and, once
+    padded to the longest, ``max_ids`` ids (a row longer than that is a batch by itself).
 
-    over = Window.partitionBy(batch)
+    A bucket holds the lengths of as many binary digits; its rows are numbered by length and ``order``, across
+    tasks, and cut into batches of as many rows as its greatest length allows. So padding at most doubles a row
+    and no group grows with the table. A null array counts as empty."""
+    sized = df.withColumn("_n", F.greatest(F.coalesce(F.size(ids), F.lit(0)), F.lit(0)).cast("bigint")).withColumn("bucket", F.length(F.bin("_n")))
+    numbered = group_positions(sized, ["bucket"], ["_n", *order], "_at")
+    fit = F.expr(f"{max_ids}L div (shiftleft(1L, bucket) - 1)")  # rows of the bucket's greatest length
+    rows = F.greatest(F.least(F.lit(max_rows).cast("bigint"), fit), F.lit(1).cast("bigint"))
+    return numbered.withColumn("batch", F.floor(F.col("_at") / rows).cast("bigint")).drop("_n", "_at")
+
+
+def left_pad_batches(df: DataFrame, batch: str | Sequence[str], columns: dict[str, int]) -> DataFrame:
+    """Pad each array column to the longest of its batch, such as ``bounded_batches`` makes."""
+    over = Window.partitionBy(*([batch] if isinstance(batch, str) else batch))
     longest = {c: F.max(F.size(c)).over(over) for c in columns}
     sized = df.withColumns({f"_{c}_max": longest[c] for c in columns})
     padded = sized.withColumns({c: pad_left(F.col(c), F.col(f"_{c}_max"), fill) for c, fill in columns.items()})

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from qaprep.functions.hashing import draw, unit_draw
 from qaprep.operators.filters import require_columns
+from qaprep.session import new_folder
 
 SPLITS = ("train", "valid", "test")
 _BUCKET_BITS = 16
@@ -66,10 +67,15 @@ def seeded_sample(df: DataFrame, key: str | None, n: int, seed: int = 42) -> Dat
 
 
 def split_by_column(df: DataFrame, column: str = "split") -> dict[str, DataFrame]:
-    """One frame per known split that has rows, without the split column. One counting pass."""
+    """One frame per known split that has rows, without the split column. The input is read once: it is written
+    by split, the write itself counts the rows, and each frame reads its own folder."""
     require_columns(df, [column])
-    present = {row[column] for row in split_counts(df, column).collect()}
-    return {name: df.filter(F.col(column) == name).drop(column) for name in SPLITS if name in present}
+    seen = Observation("splits")
+    known = df.filter(F.col(column).isin(*SPLITS)).observe(seen, *[F.count_if(F.col(column) == name).alias(name) for name in SPLITS])
+    path = new_folder(df.sparkSession, "splits")
+    known.withColumn("_split", F.col(column)).drop(column).write.partitionBy("_split").parquet(path)
+    rest = df.drop(column).schema
+    return {name: df.sparkSession.read.schema(rest).parquet(f"{path}/_split={name}") for name in SPLITS if seen.get[name]}
 
 
 def split_counts(df: DataFrame, column: str = "split") -> DataFrame:

@@ -53,6 +53,15 @@ def arrow_source(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("vec_id", "label", F.size("embedding").cast("bigint").alias("n_values"), value(1, "first_value"), value(-1, "last_value"))
 
 
+@query("arrow_stream_source", "SELECT vec_id, label, len(embedding) AS n_values, CAST(embedding[1] AS DOUBLE) AS first_value FROM embeddings")
+def arrow_stream_source(spark: SparkSession, folder: str) -> DataFrame:
+    """Streams, each read by several tasks."""
+    path = new_folder(spark, "arrow")
+    sinks.write_arrow(X.read(spark, folder, "embeddings"), path, stream=True)
+    back = tables.arrow_source(spark, path, batches_per_split=1)
+    return back.select("vec_id", "label", F.size("embedding").cast("bigint").alias("n_values"), F.element_at("embedding", 1).cast("double").alias("first_value"))
+
+
 @query("write_arrow", "SELECT doc_id, text, lang FROM documents")
 def write_arrow(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "arrow")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qaprep.functions import tokens as N
 from qaprep.functions.text import OPEN_TAG, CLOSE_TAG
 from qaprep.operators import evaluation as E
 from qaprep.plans import fixtures as X
+from qaprep.plans.build import tokenise_eval, tokenise_train
 from qaprep.plans.registry import query
+from qaprep.session import new_folder
+from qaprep.sources.sinks import write_dataset
 
 MAX_LENGTH = 1024
 LABEL_LENGTH = 96
@@ -246,6 +249,28 @@ def left_pad_batch(spark: SparkSession, folder: str) -> DataFrame:
     return N.left_pad_batches(coded, "conv_id", {"ids": N.PAD}).select("conv_id", "turn", shown(F.col("ids")).alias("ids"))
 
 
+_MOST_ROWS, _MOST_IDS = 64, 1 << 18
+
+
+@query(
+    "left_pad_bounded",
+    f"""WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n FROM documents),
+      b AS (SELECT *, length(bin(n)) AS bucket, row_number() OVER (PARTITION BY length(bin(n)) ORDER BY n, doc_id) - 1 AS pos FROM d),
+      c AS (SELECT *, pos // greatest(least({_MOST_ROWS}, {_MOST_IDS} // ((CAST(1 AS BIGINT) << bucket) - 1)), 1) AS batch FROM b)
+      SELECT doc_id, bucket, CAST(batch AS BIGINT) AS batch, CAST(max(n) OVER w AS BIGINT) AS n_padded, CAST(max(n) OVER w - n AS BIGINT) AS n_pads,
+        CAST(count(*) OVER w AS BIGINT) AS n_rows FROM c WINDOW w AS (PARTITION BY bucket, batch)""",
+)
+def left_pad_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents in batches of bounded rows and ids."""
+    coded = X.spread_out(spark, folder, "documents").select("doc_id", N.byte_ids(F.coalesce("text", F.lit(""))).alias("ids"))
+    batches = N.bounded_batches(coded, "ids", ["doc_id"], _MOST_ROWS, _MOST_IDS)
+    padded = N.left_pad_batches(batches, ["bucket", "batch"], {"ids": N.PAD})
+    rows = F.count("*").over(Window.partitionBy("bucket", "batch"))
+    return padded.select(
+        "doc_id", "bucket", "batch", F.size("ids").cast("bigint").alias("n_padded"), (F.size("ids") - F.size(F.array_remove("ids", N.PAD))).cast("bigint").alias("n_pads"), rows.alias("n_rows")
+    )
+
+
 @query(
     "sanitize_ids",
     "SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN CAST(floor(x * 1000) AS INT) BETWEEN 0 AND 256 THEN CAST(floor(x * 1000) AS INT) ELSE 256 END), ' ') AS ids FROM embeddings",
@@ -311,3 +336,24 @@ def score_predictions(spark: SparkSession, folder: str) -> DataFrame:
         N.pad_left(N.byte_ids(F.concat(F.lit(OPEN_TAG), F.col("text"), F.lit(CLOSE_TAG))), F.octet_length("text") + 40, N.MASKED).alias("labels"),
     )
     return E.score_predictions(rows).select(F.round("exact_match", 6).alias("exact_match"))
+
+
+@query(
+    "saved_profile",
+    f"""WITH q AS (SELECT *, 'Document ' || doc_id || ' in ' || lang AS prompt FROM documents WHERE doc_id % 10 > 6),
+      e AS (SELECT CASE WHEN doc_id % 10 < 9 THEN 'valid' ELSE 'test' END AS split, 96 - least(strlen(prompt), 96) AS pads, 32 - least(strlen(source) + 1, 32) AS masks FROM q),
+      t AS (SELECT 'train' AS split, 96 - least(strlen('Document ' || doc_id || ' in ' || lang) + strlen(source), 96) AS pads,
+              96 - strlen(source) - 1 AS masks FROM documents WHERE doc_id % 10 <= 6),
+      r AS (SELECT 'full' AS dataset, * FROM e UNION ALL SELECT 'minimal', * FROM e UNION ALL SELECT 'minimal', * FROM t)
+      SELECT dataset, split, count(*) AS n_rows, {_stats_sql('pads', 'pad_')}, {_stats_sql('masks', 'masked_')}, CAST(least(count(*), 2) AS BIGINT) AS n_samples FROM r GROUP BY dataset, split""",
+)
+def saved_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile of what ``write_dataset`` saved: questions that ask for the source of a document."""
+    rows = X.spread_out(spark, folder, "documents").selectExpr(
+        "concat('Document ', doc_id, ' in ', lang) AS prompt", "source AS answer",
+        "CASE WHEN doc_id % 10 < 7 THEN 'train' WHEN doc_id % 10 < 9 THEN 'valid' ELSE 'test' END AS split",
+    )
+    path = new_folder(spark, "dataset")
+    write_dataset(tokenise_train(rows.filter("split = 'train'"), 96), tokenise_eval(rows.filter("split <> 'train'"), 96, 32), path)
+    found = E.saved_profile(spark, path, samples=2)
+    return _rounded(found).select("dataset", "split", "n_rows", "pad_min", "pad_max", "pad_mean", "masked_min", "masked_max", "masked_mean", F.size("samples").cast("bigint").alias("n_samples"))

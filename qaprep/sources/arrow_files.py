@@ -1,7 +1,11 @@
-"""Arrow IPC files as a Spark data source: batches are handed over as they are."""
+"""Arrow IPC files and streams as a Spark data source: batches are handed over as they are.
+
+A file ends in a table of its batches. A stream has none, but each of its messages says ahead how long it is, so
+a scan of the headers alone finds the batches, and several tasks read one stream."""
 
 from __future__ import annotations
 
+import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,43 +61,112 @@ def _files(path: str) -> tuple[fs.FileSystem, list[str]]:
     return system, sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
 
 
+# Fixed values of the format: what a file begins with, what begins a message, kinds of messages.
+FILE_MAGIC, CONTINUATION = b"ARROW1", b"\xff\xff\xff\xff"
+DICTIONARY, BATCH = 2, 3
+
+
+def is_stream(source: pa.NativeFile) -> bool:
+    source.seek(0)
+    head = source.read(len(FILE_MAGIC))
+    source.seek(0)
+    return head != FILE_MAGIC
+
+
+def _message(metadata: bytes) -> tuple[int, int]:
+    """Kind and body length of a message, from its FlatBuffers table (fields: version, kind, header, body length)."""
+    table = struct.unpack_from("<I", metadata, 0)[0]
+    fields = table - struct.unpack_from("<i", metadata, table)[0]
+    size = struct.unpack_from("<H", metadata, fields)[0]
+
+    def field(number: int, form: str) -> int:
+        at = 4 + 2 * number
+        offset = struct.unpack_from("<H", metadata, fields + at)[0] if at < size else 0
+        return struct.unpack_from(form, metadata, table + offset)[0] if offset else 0
+
+    return field(1, "<B"), field(3, "<q")
+
+
+def stream_batches(source: pa.NativeFile) -> list[int] | None:
+    """Where the record batches of a stream begin; only the headers are read. None if the stream holds dictionaries,
+    which later batches build on: it is read from its beginning then."""
+    size, at, found = source.size(), 0, []
+    while at + 8 <= size:
+        source.seek(at)
+        head = source.read(8)
+        long = head[:4] == CONTINUATION
+        length = struct.unpack("<i", head[4:] if long else head[:4])[0]  # without the mark: a stream of the older form
+        if length == 0:
+            break
+        begin = at + (8 if long else 4)
+        source.seek(begin)
+        kind, body = _message(source.read(length))
+        if kind == DICTIONARY:
+            return None
+        if kind == BATCH:
+            found.append(at)
+        at = begin + length + body
+    return found
+
+
 @dataclass
 class BatchRange(InputPartition):
-    """Record batches [first, stop) of one file; ``stop`` None means to the end."""
+    """Record batches of one file or stream: from number ``first`` to before ``stop``, None meaning to the end. For a
+    stream, ``places`` are the positions of these batches."""
 
     file: str
     first: int
     stop: int | None
+    places: tuple[int, ...] | None
 
-    def __init__(self, file: str, first: int, stop: int | None):
-        super().__init__((file, first, stop))
-        self.file, self.first, self.stop = file, first, stop
+    def __init__(self, file: str, first: int, stop: int | None, places: tuple[int, ...] | None = None):
+        super().__init__((file, first, stop, places))
+        self.file, self.first, self.stop, self.places = file, first, stop, places
 
 
 class ArrowReader(DataSourceReader):
     def __init__(self, path: str, per_split: int):
         self.path, self.per_split = path, per_split
 
+    def _ranges(self, system: fs.FileSystem, name: str) -> list[BatchRange]:
+        with system.open_input_file(name) as source:
+            places = None
+            if is_stream(source):
+                places = stream_batches(source)
+                if places is None:
+                    return [BatchRange(name, 0, None)]
+                total = len(places)
+            else:
+                total = ipc.open_file(source).num_record_batches
+        steps = [(i, min(i + self.per_split, total)) for i in range(0, total, self.per_split)]
+        return [BatchRange(name, i, j, None if places is None else tuple(places[i:j])) for i, j in steps]
+
     def partitions(self) -> list[BatchRange]:
         system, names = _files(self.path)
         if len(names) > FOOTERS_ON_DRIVER:
             return [BatchRange(n, 0, None) for n in names]
-        ranges = []
-        for name in names:
-            with system.open_input_file(name) as source:
-                total = ipc.open_file(source).num_record_batches
-            ranges += [BatchRange(name, i, min(i + self.per_split, total)) for i in range(0, total, self.per_split)]
-        return ranges
+        ranges = [r for n in names for r in self._ranges(system, n)]
+        return ranges or [BatchRange(n, 0, 0) for n in names[:1]]  # Spark wants one, even of nothing
 
     def read(self, partition: BatchRange) -> Iterator[pa.RecordBatch]:
         system, _ = _open_path(self.path)
         with system.open_input_file(partition.file) as source:
+            for batch in self._batches(source, partition):
+                target = _target_schema(batch.schema)
+                yield from pa.Table.from_batches([batch]).cast(target).to_batches()
+
+    def _batches(self, source: pa.NativeFile, partition: BatchRange) -> Iterator[pa.RecordBatch]:
+        if not is_stream(source):
             reader = ipc.open_file(source)
-            target = _target_schema(reader.schema)
             stop = reader.num_record_batches if partition.stop is None else partition.stop
-            for i in range(partition.first, stop):
-                batch = pa.Table.from_batches([reader.get_batch(i)]).cast(target)
-                yield from batch.to_batches()
+            yield from (reader.get_batch(i) for i in range(partition.first, stop))
+        elif partition.places is None:
+            yield from ipc.open_stream(source)
+        else:
+            schema = ipc.open_stream(source).schema
+            for place in partition.places:
+                source.seek(place)
+                yield ipc.read_record_batch(ipc.read_message(source), schema)
 
 
 class ArrowWriter(DataSourceArrowWriter):
@@ -121,8 +194,9 @@ class ArrowWriter(DataSourceArrowWriter):
         """Names carry the job, so that a second write into the folder adds to the first."""
         system, root = _open_path(self.path)
         job = uuid.uuid4().hex
-        for number, message in enumerate(m for m in messages if m is not None):
-            system.move(message.name, f"{root}/part-{job}-{number:05d}.arrow")
+        written = [m.name for m in messages if m is not None]
+        for number, name in enumerate(written):
+            system.move(name, f"{root}/part-{job}-{number:05d}.arrow")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         """Unfinished files keep their hidden name and are never read."""
@@ -140,7 +214,8 @@ class ArrowFiles(DataSource):
         if not names:
             raise ValueError(f"no .arrow file in {self.options['path']}")
         with system.open_input_file(names[0]) as source:
-            return from_arrow_schema(_target_schema(ipc.open_file(source).schema))
+            opened = ipc.open_stream(source) if is_stream(source) else ipc.open_file(source)
+            return from_arrow_schema(_target_schema(opened.schema))
 
     def reader(self, schema: StructType) -> ArrowReader:
         return ArrowReader(self.options["path"], int(self.options.get("batches_per_split", 64)))

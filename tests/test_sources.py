@@ -184,3 +184,51 @@ def test_two_appends_and_crlf(spark, tmp_path):
     for name, want in (("crlf", [(1, "C1"), (2, "C2"), (3, "C3")]), ("lf", [(4, "C4"), (5, "C5")])):
         rows = sdf.sdf_source(spark, str(tmp_path / f"{name}.sdf")).collect()
         assert sorted((int(r.cid), r.formula) for r in rows) == want
+
+
+def test_arrow_streams(spark, tmp_path):
+    """Streams of several batches come back whole, read by several tasks; so does a stream with dictionaries, by one."""
+    from qaprep.sources import arrow_files
+
+    rows = [(i, None if i % 7 == 0 else "x" * (i % 50), [float(i), None]) for i in range(500)]
+    table = pa.table({"i": pa.array([r[0] for r in rows], pa.uint64()), "t": pa.array([r[1] for r in rows]), "v": pa.array([r[2] for r in rows])})
+    path = tmp_path / "s.arrow"
+    with ipc.new_stream(str(path), table.schema) as out:
+        out.write_table(table, max_chunksize=60)
+    back = tables.arrow_source(spark, str(path), batches_per_split=2)
+    assert back.rdd.getNumPartitions() == 5
+    assert [(int(r.i), r.t, r.v) for r in back.orderBy("i").collect()] == rows
+    with pa.OSFile(str(path)) as source:
+        places = arrow_files.stream_batches(source)
+        schema = ipc.open_stream(source).schema if source.seek(0) == 0 else None
+        got = []
+        for place in places:
+            source.seek(place)
+            got.append(ipc.read_record_batch(ipc.read_message(source), schema))
+    assert len(places) == 9 and pa.Table.from_batches(got).equals(table)
+    coded = pa.table({"w": pa.array(["a", "b", "a", "c"] * 10).dictionary_encode(), "n": list(range(40))})
+    with ipc.new_stream(str(tmp_path / "d.arrow"), coded.schema) as out:
+        out.write_table(coded, max_chunksize=10)
+    with pa.OSFile(str(tmp_path / "d.arrow")) as source:
+        assert arrow_files.stream_batches(source) is None
+    with ipc.new_stream(str(tmp_path / "e.arrow"), table.schema):
+        pass
+    assert tables.arrow_source(spark, str(tmp_path / "e.arrow")).count() == 0
+    out = str(tmp_path / "written")
+    sinks.write_arrow(spark.range(100).repartition(3), out, stream=True)
+    assert sorted(r.id for r in tables.arrow_source(spark, out, batches_per_split=1).collect()) == list(range(100))
+
+
+def test_predictions_keep_their_order(spark, tmp_path):
+    rows = [(i * 7919 % 1000, f'g "{i}"', "a,\nb") for i in range(1000)]
+    df = spark.createDataFrame(rows, "example_id int, gold string, prediction string").repartition(5)
+    sinks.write_predictions(df, str(tmp_path / "p"))
+    import csv
+
+    read = []
+    for part in sorted((tmp_path / "p").glob("part-*.csv")):
+        with open(part, newline="") as source:
+            read += [tuple(r) for r in csv.reader(source)][1:]
+    assert read == [(str(n), gold, said) for n, (_, gold, said) in enumerate(sorted(rows))]
+    sinks.write_predictions(df.limit(0), str(tmp_path / "none"))
+    assert spark.read.csv(str(tmp_path / "none"), header=True, schema="index long, gold_label string, prediction string").count() == 0

@@ -124,3 +124,41 @@ def test_words(spark):
 
 def test_sanitize(evaluate):
     assert evaluate(N.sanitize_ids, [[-100, 0, 256, 257, 5]], "array<int>") == [[256, 0, 256, 256, 5]]
+
+
+def test_bounded_batches(spark):
+    lengths = [0, 0, 1, 2, 3, 5, 8, 200, 3000] + [50] * 300 + [None]
+    df = spark.createDataFrame([(i, None if n is None else [7] * n) for i, n in enumerate(lengths)], "i int, ids array<int>").repartition(3)
+    batched = N.bounded_batches(df, "ids", ["i"], max_rows=16, max_ids=640)
+    groups = {}
+    for r in batched.collect():
+        groups.setdefault((r.bucket, r.batch), []).append(len(r.ids or []))
+    assert sum(map(len, groups.values())) == len(lengths)
+    for sizes in groups.values():
+        assert len(sizes) <= 16 and (len(sizes) * max(sizes) <= 640 or len(sizes) == 1) and max(sizes) <= 2 * max(1, min(sizes))
+    padded = N.left_pad_batches(batched.filter("ids IS NOT NULL"), ["bucket", "batch"], {"ids": 256}).collect()
+    assert all(r.ids == [256] * (len(r.ids) - lengths[r.i]) + [7] * lengths[r.i] for r in padded)
+
+
+def test_saved_profile(spark, tmp_path):
+    from qaprep.operators import evaluation as E
+    from qaprep.sources.sinks import write_dataset
+
+    rows = spark.createDataFrame([(f"q{i}", f"a{i % 3}", "train" if i < 20 else "valid" if i < 26 else "test") for i in range(30)], "prompt string, answer string, split string").repartition(4)
+    train, held = build.tokenise_train(rows.filter("split = 'train'"), 16), build.tokenise_eval(rows.filter("split <> 'train'"), 16, 8)
+    write_dataset(train, held, str(tmp_path / "d"))
+    found = E.saved_profile(spark, str(tmp_path / "d"), samples=4)
+    got = {(r.dataset, r.split): r for r in found.collect()}
+    assert {k: r.n_rows for k, r in got.items()} == {("full", "valid"): 6, ("full", "test"): 4, ("minimal", "valid"): 6, ("minimal", "test"): 4, ("minimal", "train"): 20}
+    want = E.dataset_profile(spark.read.parquet(f"{tmp_path}/d/minimal"), ["split"])
+    for r in want.collect():
+        own = got["minimal", r.split]
+        assert (own.pad_min, own.pad_max, round(own.pad_mean, 9), own.masked_min, own.masked_max, round(own.masked_mean, 9)) == (r.pad_min, r.pad_max, round(r.pad_mean, 9), r.masked_min, r.masked_max, round(r.masked_mean, 9))
+    assert "prompt" in got["full", "test"].columns and "prompt" not in got["minimal", "test"].columns
+    shown = E.decoded_samples(found).collect()
+    assert len(shown) == 4 * 5
+    assert all(r.labels == f"a{int(r.input[1:]) % 3}" for r in shown if r.dataset == "full")
+    again = E.decoded_samples(E.saved_profile(spark, str(tmp_path / "d"), samples=4)).collect()
+    assert sorted(map(tuple, shown)) == sorted(map(tuple, again))  # seeded
+    few = E.decoded_samples(E.saved_profile(spark, str(tmp_path / "d"), samples=2)).collect()
+    assert set(map(tuple, few)) <= set(map(tuple, shown))
