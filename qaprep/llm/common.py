@@ -7,6 +7,7 @@ names are read, so other columns may have any name.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,10 +44,11 @@ def keyed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def sampled(rows: DataFrame, count: int) -> DataFrame:
     """The ``count`` rows of ``keyed`` rows with the smallest hash of key and text. Only hashes are sorted; the
-    texts join the chosen ones (repeated rows of a chosen one come along)."""
+    texts join the chosen ones. A row that is repeated any number of times is read once."""
     order = F.xxhash64("key", "text")
-    chosen = rows.select("key", order.alias("_order")).orderBy("_order", "key").limit(count).distinct()
-    return rows.withColumn("_order", order).join(F.broadcast(chosen), ["key", "_order"]).drop("_order")  # at most ``count`` rows
+    chosen = rows.select("key", order.alias("_order")).distinct().orderBy("_order", "key").limit(count)
+    found = rows.withColumn("_order", order).join(F.broadcast(chosen), ["key", "_order"])  # at most ``count`` rows
+    return found.groupBy("key", "_order").agg(F.min("text").alias("text")).drop("_order")
 
 
 def id_of(key: Column) -> Column:
@@ -145,6 +147,19 @@ class SpanHash:
         return mix(raw + (ends - starts).astype(np.uint64))
 
 
+class WordHash(dict):
+    """64-bit hashes of words from their bytes; a word is hashed once."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return found
+
+    def of(self, words: list[bytes], most: int = 1_000_000) -> np.ndarray:
+        if len(self) > most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
 def components(links: DataFrame, label: str) -> DataFrame:
     """``node``, ``root`` (smallest node reachable) of the graph of ``links`` (a, b): large-star and
     small-star steps until nothing changes. Nodes without a link are not in the result. Every step is

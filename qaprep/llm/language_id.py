@@ -190,7 +190,7 @@ def _fitter(labels: list[str], rounds: int):
 
 def train(docs: DataFrame, usable: Column, sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
     """Fit on rows with a language for which ``usable`` (of ``doc_id``) holds, in one task over the sample."""
-    known = docs.filter(F.col("lang").isNotNull()).filter(usable).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
+    known = docs.filter(F.col("lang").isNotNull()).filter(usable).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang")).distinct()
     labels = sorted(r.lang for r in known.select("lang").distinct().collect())  # a row per language
     if not labels:
         return Model([], np.zeros((SLOTS + 1, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
@@ -201,6 +201,7 @@ def train(docs: DataFrame, usable: Column, sample: int = SAMPLE, rounds: int = R
     picked = cut.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("nth") <= sample).select("doc_id", "lang")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = texts.join(F.broadcast(picked), ["doc_id", "lang"])  # at most ``sample`` ids of a label
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # a repeated row is read once
     features = rows.select("doc_id", "lang", "text").mapInArrow(_sample_words, "doc_id bigint, lang string, slots binary, counts array<int>")
     row = features.repartition(1).sortWithinPartitions("doc_id", "lang", "slots").mapInArrow(_fitter(labels, rounds), "emission binary, transition binary, start binary").first()
     count = len(labels)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaprep.llm.common import SpanHash, components, id_of, keyed, lower_ascii, mix, slices, text_buffer, word_spans
+from qaprep.llm.common import WordHash, components, id_of, keyed, mix, slices
 from qaprep.session import write_through
 
 WORDS = 5
@@ -49,15 +49,12 @@ _PLUS = mix(np.arange(1, VALUES + 1, dtype=np.uint64))
 _TIMES = mix(_PLUS) | np.uint64(1)
 
 
-def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct 64-bit hashes of the word shingles of each text."""
-    data, offsets = text_buffer(texts)
-    data = lower_ascii(data)
-    starts, ends, first = word_spans(data, offsets)
-    hashes = SpanHash(data).spans(starts, ends)
+def shingle_sets(texts: pa.Array, words: int = WORDS, known: WordHash | None = None) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of the word shingles of each text. Words are hashed by their bytes."""
+    known = WordHash() if known is None else known
     out = []
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        own = hashes[a:b]
+    for text in texts.cast(pa.binary()).to_pylist():
+        own = known.of((text or b"").lower().split())  # bytes: A-Z only; blank, tab and the line ends
         if len(own) == 0:
             out.append(own)
             continue
@@ -80,8 +77,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def _sign(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHash()
         for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column("text"), words)
+            sets = shingle_sets(batch.column("text"), words, known)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
@@ -161,8 +159,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _hash_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHash()
         for batch in slices(batches, "text"):
-            sets = [s.tobytes() for s in shingle_sets(batch.column("text"), words)]
+            sets = [s.tobytes() for s in shingle_sets(batch.column("text"), words, known)]
             wanted = batch.column("digest").to_pylist()
             own = [i for i, s in enumerate(sets) if hashlib.blake2b(s, digest_size=16).digest() == wanted[i]]
             yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(own, pa.int32())), pa.array([sets[i] for i in own], pa.binary())], names=["node", "set"])

@@ -25,7 +25,7 @@ from qaprep.llm.common import slices
 SLOTS = 1 << 18
 #: Labelled documents the fit reads: the smallest by a hash of the id, at most this many of each label.
 SAMPLE = 2000
-#: Sentences (and words) of one sampled document that travel to the fit; a longer one is spread out.
+#: Words of a sampled clean document whose sentences travel to the fit; a longer one is spread out. Toxic ones go whole.
 SAMPLE_WORDS = 3000
 ROUNDS = 80
 SPARSE = 0.3
@@ -103,11 +103,12 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """The slots of each sentence of the sampled documents, as one array with -1 between sentences."""
     for batch in slices(batches, "text"):
         out = []
-        for text in batch.column("text").cast(pa.binary()).to_pylist():
+        for text, label in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("label").to_pylist(), strict=True):
             text = (text or b"").lower()
             flat: list[int] = []
             spans = _sentences(text)
-            step = max(1, -(-len(text.split()) // SAMPLE_WORDS))
+            # any sentence of a toxic document may be the one that makes it so
+            step = 1 if label else max(1, -(-len(text.split()) // SAMPLE_WORDS))
             for start, end in spans[::step]:
                 for word in dict.fromkeys(text[start:end].split()):
                     flat.extend(_slots(word))
@@ -144,6 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     totals = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     zero, one = (known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(zero.union(one)), "doc_id")  # at most 2 * sample ids
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # a repeated row is read once
     features = rows.select("doc_id", "label", "text").mapInArrow(_sample_features, "doc_id bigint, label int, slots binary")
     one_task = features.repartition(1).sortWithinPartitions("doc_id", "slots")
     row = one_task.mapInArrow(_fitter(totals, rounds), "weights binary, bias double").first()

@@ -158,3 +158,20 @@ def test_components(llm):
     links = [(i, i + 1) for i in range(100)] + [(500, 400), (500, 600)] + [(9000, 8000 - i) for i in range(50)]
     got = {r.node: r.root for r in components(llm.createDataFrame(links, "a bigint, b bigint"), "test").collect()}
     assert got == {**{i: 0 for i in range(101)}, 400: 400, 500: 400, 600: 400, 9000: 7951, **{8000 - i: 7951 for i in range(50)}}
+
+
+def test_long_words_that_a_polynomial_takes_for_equal(llm):
+    """Thue-Morse words and their complements have equal polynomial hashes modulo 2^64."""
+    from qaprep.llm.minhash import near_duplicates
+
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = llm.createDataFrame([(1, one), (2, other), (3, one.upper())], "doc_id bigint, text string")
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(rows).collect()} == {(1, 1), (2, 2), (3, 1)}
+
+
+def test_samples_read_repeated_rows_once(llm):
+    from qaprep.llm.common import keyed, sampled
+
+    rows = llm.createDataFrame([(i % 50, f"text {i % 50}") for i in range(3000)], "doc_id bigint, text string").repartition(4)
+    assert sampled(keyed(rows), 20).count() == 20 and sampled(keyed(rows), 500).count() == 50
