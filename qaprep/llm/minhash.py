@@ -12,9 +12,13 @@
 A bucket may hold a large share of all classes, so its pairs are never listed. Rounds of leaders come
 first: every class of a bucket is compared with a leader, the class that meets most others, which joins
 nearly all of a group of near copies by as many pairs as it has members, and then with its nearest
-ones. What is left are the pairs of a bucket whose classes are still in different components. These are compared block against block (bounded blocks of a bucket, one group
-each), except for pairs inside the bucket's largest component, which need no link any more; only
-survivors leave a block. So every candidate pair that could join two components is decided.
+ones. What is left are the pairs of a bucket whose classes are still in different components. A class there
+shares with others at most the shingles that are not its own alone; counting these (one pass over the
+sets) rules out exactly, by class and then by pair, whatever cannot reach the threshold, such as copies
+with so many edits of their own that they only come near. The rest is compared block against block
+(bounded blocks of a bucket, one group each), except for pairs inside the bucket's largest component,
+which need no link any more; only survivors leave a block. So every candidate pair that could join two
+components is decided.
 """
 
 from __future__ import annotations
@@ -169,9 +173,25 @@ def _hash_sets(words: int):
     return run
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per class and shingle, in bounded batches."""
+    for batch in slices(batches, "set", 1 << 20):
+        sets = [np.frombuffer(s, dtype=np.int64) for s in batch.column("set").to_pylist()]
+        nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+        shingles = np.concatenate(sets)
+        for at in range(0, len(nodes), 1 << 17):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[at : at + (1 << 17)]), pa.array(shingles[at : at + (1 << 17)])], names=["node", "shingle"])
+
+
+def reachable(size_a: np.ndarray, common_a: np.ndarray, size_b: np.ndarray, common_b: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes may be linked when at most ``common`` of their members occur elsewhere."""
+    most = np.minimum(common_a, common_b)
+    return DENOMINATOR * most >= NUMERATOR * (size_a + size_b - most)
+
+
 def _block_pairs(nearest: int | None):
-    """Surviving pairs between the left and the right rows of one block pair, in different components. A
-    pair that shares several bands is left to the first of them. ``nearest``: of each left row no more
+    """Surviving pairs between the left and the right rows of one block pair, in different components, whose
+    sizes and shared shingles allow a link. A pair that shares several bands is left to the first of them. ``nearest``: of each left row no more
     than this many, those with the most equal values."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -180,11 +200,12 @@ def _block_pairs(nearest: int | None):
         if left.num_rows and right.num_rows:
             ln, rn, lc, rc = (np.asarray(t.column(c)) for c in ("node", "comp") for t in (left, right))
             ls, rs = _signatures(left.column("sig").combine_chunks()), _signatures(right.column("sig").combine_chunks())
+            size, common, own_size, own_common = (np.asarray(t.column(c)) for t in (right, left) for c in ("size", "common"))
             rank, band = np.asarray(right.column("straggler")), left.column("band")[0].as_py()
             banded, mine = (x[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS) for x in (rs, ls))
             for i in range(left.num_rows):
                 # two stragglers meet once, from the smaller one
-                others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])))
+                others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])) & reachable(own_size[i], own_common[i], size, common))
                 if band and len(others):
                     earlier = (banded[others, :band] == mine[i, :band]).all(axis=2).any(axis=1)
                     others = others[~earlier]
@@ -209,7 +230,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     in one component, as it is the id that is linked; each shows the same ``kept``. A null id is an id below
     all others. An empty table gives an empty result."""
     signed = write_through(keyed(docs).mapInArrow(_sign(words), "key bigint, size bigint, digest binary, sig binary"), "signed")
-    nodes = write_through(signed.filter("size > 0").groupBy("digest").agg(F.min("key").alias("node"), F.max("sig").alias("sig")), "classes")
+    nodes = write_through(signed.filter("size > 0").groupBy("digest").agg(F.min("key").alias("node"), F.max("sig").alias("sig"), F.max("size").alias("size")), "classes")
 
     banded = write_through(nodes.select("node", "sig").mapInArrow(_bands, "node bigint, bucket bigint, band int").distinct(), "bands")
     shared = write_through(banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
@@ -252,17 +273,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     links = links.union(compared(labels, 1))
     labels = write_through(busy.join(components(links, "near"), "node", "left").select("node", F.coalesce("root", "node").alias("comp")), "labels")
 
+    # the classes of buckets that still hold several components, and how many of their shingles occur in another of them
+    undecided = buckets.join(labels, "node").groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("all")).filter("low != high AND all > 2")
+    open_nodes = write_through(buckets.join(undecided.select("bucket"), "bucket", "left_semi").select("node").distinct(), "open")
+    held = sets.join(open_nodes, "node", "left_semi").mapInArrow(_shingle_rows, "node bigint, shingle bigint")
+    alone = held.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("n")).filter("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    able = sigs.join(open_nodes, "node", "left_semi").join(alone, "node", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
+    able = write_through(able.filter(F.col("common") * DENOMINATOR >= F.col("size") * NUMERATOR).select("node", "size", "common", "sig"), "able")
+
     def opened(labels: DataFrame, nearest: int | None) -> DataFrame:
         """Pairs of the buckets that still hold several components, block against block."""
-        members = buckets.drop("size").join(labels, "node")
+        members = buckets.filter("size > 2").drop("size").join(able.select("node", "size", "common"), "node").join(labels, "node")
         sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("n").alias("all"))
-        sizes = sizes.filter("comps > 1 AND all > 2")  # two: compared as leader and member
+        sizes = sizes.filter("comps > 1")  # two classes: compared as leader and member
         sizes = sizes.select("bucket", F.col("top.comp").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"), F.ceil(F.col("all") / BLOCK).cast("int").alias("right_blocks"))
-        rest = members.join(write_through(sizes, "open"), "bucket").join(sigs.select("node", "sig"), "node").withColumn("straggler", F.col("comp") != F.col("top"))
+        rest = members.join(write_through(sizes, "open"), "bucket").join(able.select("node", "sig"), "node").withColumn("straggler", F.col("comp") != F.col("top"))
         slot = F.xxhash64("node", F.lit("block"))
         left = rest.filter("straggler").withColumns({"l": F.pmod(slot, "left_blocks"), "r": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("right_blocks").cast("bigint") - 1))})
         right = rest.withColumns({"r": F.pmod(slot, "right_blocks"), "l": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("left_blocks").cast("bigint") - 1))})
-        both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "band", "l", "r", "side", "node", "comp", "straggler", "sig")
+        both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "band", "l", "r", "side", "node", "comp", "straggler", "size", "common", "sig")
         return both.groupBy("bucket", "l", "r").applyInArrow(_block_pairs(nearest), "a bigint, b bigint").distinct()
 
     # what is left: first the nearest ones of each class, which join most, then every pair
