@@ -16,13 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qaprep.llm.common import id_of, keyed, mix, slices
 
 LONGEST = 256
-#: Pieces kept per task; the table starts afresh beyond it.
+#: Pieces kept per task. Beyond half of it the table becomes the older one, from which pieces still in use come back.
 KEPT = 300_000
 _NONE = np.int64(1 << 40)
 
@@ -84,6 +85,7 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
         """The ids of each piece."""
@@ -163,9 +165,12 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.pattern.findall(t) for t in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        new = [p for p in dict.fromkeys(p for own in parts for p in own) if p not in self.known]
+        if len(self.known) > KEPT // 2:
+            self.known, self.older = {}, self.known
+        missing = set().union(*parts).difference(self.known)
+        back = missing.intersection(self.older)
+        self.known.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        new = list(missing.difference(back))
         self.known.update(zip(new, (ids.astype("<i4").tobytes() for ids in self.merge([p.encode() for p in new])), strict=True))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, own)), dtype="<i4") for own in parts]
 
@@ -187,12 +192,16 @@ def _encode(path: str, pattern: str):
 def _decode(path: str, keep: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(path)
-        vocabulary = [b""] * (max(ranks.values()) + 1)
+        by_rank = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            vocabulary[rank] = token
+            by_rank[rank] = token
+        vocabulary = pa.array(by_rank, pa.large_binary())
         for batch in batches:
-            decoded = [None if ids is None else b"".join(map(vocabulary.__getitem__, ids)) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(keep)), pa.array(decoded, pa.binary())], names=[*batch.schema.names[:keep], "decoded"])
+            ids = batch.column("ids")
+            lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            tokens = pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths, dtype=np.int64)]), vocabulary.take(ids.flatten()))
+            decoded = pc.if_else(ids.is_valid(), pc.binary_join(tokens, pa.scalar(b"", pa.large_binary())), None).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(keep)), decoded], names=[*batch.schema.names[:keep], "decoded"])
 
     return run
 
