@@ -43,12 +43,32 @@ def _word_slots(word: str) -> list[int]:
     import xxhash
 
     word = word.strip(_EDGES).lower()
-    if not any(c.isalpha() for c in word):
+    if not (word.isalpha() or any(c.isalpha() for c in word)):
         return []
-    parts = ["w" + word, "a" + word[:2], "a" + word[:3], "a" + word[:4], "z" + word[-1:], "z" + word[-2:], "z" + word[-3:], "z" + word[-4:]]
-    closed = f"<{word}>"
-    parts += ["g" + closed[i : i + 3] for i in range(len(closed) - 2)]
-    return [xxhash.xxh32_intdigest(p.encode()) & (SLOTS - 1) for p in parts]
+    w = word.encode()
+    if len(w) == len(word):  # a byte per character
+        closed = b"<" + w + b">"
+        parts = [b"w" + w, b"a" + w[:2], b"a" + w[:3], b"a" + w[:4], b"z" + w[-1:], b"z" + w[-2:], b"z" + w[-3:], b"z" + w[-4:]]
+        parts += [b"g" + closed[i : i + 3] for i in range(len(closed) - 2)]
+    else:
+        closed = f"<{word}>"
+        affixes = ["w" + word, "a" + word[:2], "a" + word[:3], "a" + word[:4], "z" + word[-1:], "z" + word[-2:], "z" + word[-3:], "z" + word[-4:]]
+        parts = [p.encode() for p in affixes + ["g" + closed[i : i + 3] for i in range(len(closed) - 2)]]
+    return [x & (SLOTS - 1) for x in map(xxhash.xxh32_intdigest, parts)]
+
+
+def _word_scores(words: list[str], emission: np.ndarray) -> np.ndarray:
+    """The sum of the weights of each word's features, a row per word; zero without features."""
+    out = np.zeros((len(words), emission.shape[1]), dtype=np.float32)
+    step = max(256, (1 << 21) // (_PLACES * max(1, emission.shape[1])))
+    for at in range(0, len(words), step):
+        slots = [_word_slots(w) for w in words[at : at + step]]
+        n = np.array([len(s) for s in slots])
+        some = np.flatnonzero(n)
+        if len(some):
+            flat = np.array([x for own in slots for x in own])
+            out[at + some] = np.add.reduceat(emission[flat], (np.cumsum(n) - n)[some], axis=0)
+    return out
 
 
 def _pieces(run: str) -> list[str]:
@@ -68,6 +88,32 @@ def chains_of(text: str, size: int = CHAIN) -> list[list[str]]:
     return out
 
 
+class RunNumbers(dict):
+    """Runs without a blank to the numbers of their words (those of ``chains_of``), four bytes each; a run is
+    cut into words and looked at once. ``fresh``: the words numbered since it was last emptied, in order."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.number: dict[str, int] = {}
+        self.fresh: list[str] = []
+
+    def __missing__(self, run: str) -> bytes:
+        own = []
+        for word in _pieces(run):
+            if word.isalpha() or any(c.isalpha() for c in word):
+                at = self.number.get(word)
+                if at is None:
+                    at = self.number[word] = len(self.number)
+                    self.fresh.append(word)
+                own.append(at)
+        found = self[run] = np.array(own, dtype=np.int32).tobytes()
+        return found
+
+    def of(self, text: str) -> list[bytes]:
+        """The numbers of each line's words."""
+        return [b"".join(map(self.__getitem__, line.split())) for line in text.split("\n")]
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -82,12 +128,12 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transition: np.nda
     chains, longest, count = scores.shape
     top = scores.max(axis=2, keepdims=True)
     local = np.exp(scores - top)
-    move = np.exp(transition)
+    move = np.exp(transition).astype(scores.dtype)
     forward = np.empty_like(local)
     backward = np.ones_like(local)
     if longest == 0 or chains == 0:
         return local, np.zeros((count, count)) if pairs else None
-    now = local[:, 0] * np.exp(start - start.max())
+    now = local[:, 0] * np.exp(start - start.max()).astype(scores.dtype)
     forward[:, 0] = now / now.sum(axis=1, keepdims=True)
     for t in range(1, longest):
         now = (forward[:, t - 1] @ move) * local[:, t]
@@ -213,25 +259,27 @@ def _predict(model: Model, spans: bool):
     count = len(labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number: dict[str, int] = {}
+        table = RunNumbers()
         scores = np.zeros((1 << 12, count), dtype=np.float32)
         for batch in slices(batches, "text", 2 << 20):
-            texts = batch.column("text").to_pylist()
-            chains = [chains_of(t or "") for t in texts]
-            if len(number) > min(300_000, 20_000_000 // max(1, count)):
-                number, scores = {}, np.zeros((1 << 12, count), dtype=np.float32)
-            new = [w for w in dict.fromkeys(w for own in chains for c in own for w in c) if w not in number]
-            while len(scores) < len(number) + len(new):
+            if len(table) > min(300_000, 20_000_000 // max(1, count)):
+                table, scores = RunNumbers(), np.zeros((1 << 12, count), dtype=np.float32)
+            lines = [table.of(t or "") for t in batch.column("text").to_pylist()]
+            while len(scores) < len(table.number):
                 scores = np.concatenate([scores, np.zeros_like(scores)])
-            for w in new:
-                number[w] = at = len(number)
-                slots = _word_slots(w)
-                scores[at] = emission[slots].sum(axis=0) if slots else 0.0
-            doc = np.repeat(np.arange(len(texts)), [len(c) for c in chains])
-            flat = [c for own in chains for c in own]
-            sums = np.zeros((len(texts), count))
-            best: list[np.ndarray] = [np.zeros(0, np.int64)] * len(flat)
-            lengths = np.array([len(c) for c in flat], dtype=np.int64)
+            scores[len(table.number) - len(table.fresh) : len(table.number)] = _word_scores(table.fresh, emission)
+            table.fresh = []
+            words = np.frombuffer(b"".join(line for own in lines for line in own), dtype=np.int32)
+            # chains: the lines, longer ones in parts
+            in_line = np.array([len(line) // 4 for own in lines for line in own], dtype=np.int64)
+            parts = -(-in_line // CHAIN)
+            doc = np.repeat(np.repeat(np.arange(len(lines)), [len(own) for own in lines]), parts)
+            lengths = np.full(len(doc), CHAIN, dtype=np.int64)
+            last = np.cumsum(parts)[parts > 0] - 1
+            lengths[last] = in_line[parts > 0] - (parts[parts > 0] - 1) * CHAIN
+            begins = np.cumsum(lengths) - lengths
+            sums = np.zeros((len(lines), count))
+            best: list[np.ndarray] = [np.zeros(0, np.int64)] * len(doc)
             order = np.argsort(lengths, kind="stable")
             size = max(16, min(1024, 65536 // max(1, count)))
             for at in range(0, len(order), size) if count else ():
@@ -239,8 +287,8 @@ def _predict(model: Model, spans: bool):
                 n = lengths[some]
                 row = np.repeat(np.arange(len(some)), n)
                 inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                padded = np.zeros((len(some), int(n.max()), count))
-                padded[row, inner] = scores[[number[w] for i in some for w in flat[i]]]
+                padded = np.zeros((len(some), int(n.max()), count), dtype=np.float32)
+                padded[row, inner] = scores[words[begins[some][row] + inner]]
                 marginal, _ = forward_backward(padded, n, transition, start)
                 np.add.at(sums, doc[some], marginal.sum(axis=1))
                 if spans:
@@ -248,19 +296,19 @@ def _predict(model: Model, spans: bool):
                         best[i] = m[:length]
             total = sums.sum(axis=1)
             known = total > 0
-            top = sums.argmax(axis=1) if count else np.zeros(len(texts), np.int64)
+            top = sums.argmax(axis=1) if count else np.zeros(len(lines), np.int64)
             names = [labels[t] if k else "und" for t, k in zip(top, known, strict=True)]
             score = np.where(known, sums.max(axis=1, initial=0.0) / np.where(known, total, 1.0), 0.0)
             columns, fields = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(np.minimum(score, 1.0), pa.float64())], ["doc_id", "lang_pred", "score"]
             if spans:
-                words: list[list[dict]] = [[] for _ in texts]
-                for i, own in enumerate(flat):
-                    for w, b in zip(own, best[i], strict=False):
-                        if words[doc[i]] and words[doc[i]][-1]["lang"] == labels[b]:
-                            words[doc[i]][-1]["words"] += 1
+                changes: list[list[dict]] = [[] for _ in lines]
+                for own, labelled in zip(doc, best, strict=True):
+                    for b in labelled:
+                        if changes[own] and changes[own][-1]["lang"] == labels[b]:
+                            changes[own][-1]["words"] += 1
                         else:
-                            words[doc[i]].append({"lang": labels[b], "words": 1})
-                columns.append(pa.array(words, pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))))
+                            changes[own].append({"lang": labels[b], "words": 1})
+                columns.append(pa.array(changes, pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))))
                 fields.append("runs")
             yield pa.RecordBatch.from_arrays(columns, names=fields)
 
