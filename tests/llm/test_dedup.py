@@ -1,7 +1,9 @@
 """Exact, near and passage duplicates against brute force, with null, empty, repeated and long texts."""
 
 import hashlib
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from qaprep.llm import exact_dedup, minhash, suffix_dedup
@@ -175,3 +177,20 @@ def test_samples_read_repeated_rows_once(llm):
 
     rows = llm.createDataFrame([(i % 50, f"text {i % 50}") for i in range(3000)], "doc_id bigint, text string").repartition(4)
     assert sampled(keyed(rows), 20).count() == 20 and sampled(keyed(rows), 500).count() == 50
+
+
+def test_shared_shingles_bound_links():
+    """No pair that is linked is ruled out, whatever else its sets share or hold alone."""
+    rng = np.random.default_rng(3)
+    sets = [set(rng.choice(60, size=rng.integers(1, 50), replace=False).tolist()) for _ in range(60)]
+    sets += [set(list(s)[: max(1, len(s) - 1)]) | {1000 + i} for i, s in enumerate(sets[:40])]
+    held = Counter(x for s in sets for x in s)
+    size = np.array([len(s) for s in sets])
+    common = np.array([sum(held[x] > 1 for x in s) for s in sets])
+    ruled_out = 0
+    for i, a in enumerate(sets):
+        may = minhash.reachable(size[i], common[i], size, common)
+        linked = np.array([100 * len(a & b) >= 75 * len(a | b) for b in sets])
+        assert not (linked & ~may)[np.arange(len(sets)) != i].any()
+        ruled_out += int((~may).sum())
+    assert ruled_out
