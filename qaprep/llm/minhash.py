@@ -11,14 +11,14 @@
 
 A bucket may hold a large share of all classes, so its pairs are never listed. Rounds of leaders come
 first: every class of a bucket is compared with a leader, the class that meets most others, which joins
-nearly all of a group of near copies by as many pairs as it has members, and then with its nearest
-ones. What is left are the pairs of a bucket whose classes are still in different components. A class there
+nearly all of a group of near copies by as many pairs as it has members. What is left are the pairs of a bucket whose classes are still in different components. A class there
 shares with others at most the shingles that are not its own alone; counting these (one pass over the
 sets) rules out exactly, by class and then by pair, whatever cannot reach the threshold, such as copies
 with so many edits of their own that they only come near. The rest is compared block against block
 (bounded blocks of a bucket, one group each), except for pairs inside the bucket's largest component,
-which need no link any more; only survivors leave a block. So every candidate pair that could join two
-components is decided.
+which need no link any more. Blocks bring their full sets and verify what survives, and only the links that join
+two components leave them: fewer rows than classes, however many pairs of a large group are near but not
+linked. So every candidate pair that could join two components is decided.
 """
 
 from __future__ import annotations
@@ -44,10 +44,9 @@ VALUES = 192
 BATCH = 24
 #: A pair is given up when the posterior probability of reaching the threshold is below this.
 MISS = 1e-7
-#: Candidates of a class and block in the round before the last.
-NEAREST = 2
-#: Classes of one block in the last rounds.
+#: Classes of one block in the last round, and shingles of their sets (on average; a larger set is a block of its own).
 BLOCK = 256
+BLOCK_SHINGLES = 1 << 20
 
 _PLUS = mix(np.arange(1, VALUES + 1, dtype=np.uint64))
 _TIMES = mix(_PLUS) | np.uint64(1)
@@ -148,16 +147,18 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).take(pa.array(stays))
 
 
+def is_linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked = []
-        for a, b in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            x, y = np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            linked.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
+        linked = [is_linked(*(np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in pair)) for pair in zip(batch.column("set_a"), batch.column("set_b"), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
 
@@ -189,37 +190,49 @@ def reachable(size_a: np.ndarray, common_a: np.ndarray, size_b: np.ndarray, comm
     return DENOMINATOR * most >= NUMERATOR * (size_a + size_b - most)
 
 
-def _block_pairs(nearest: int | None):
-    """Surviving pairs between the left and the right rows of one block pair, in different components, whose
-    sizes and shared shingles allow a link. A pair that shares several bands is left to the first of them. ``nearest``: of each left row no more
-    than this many, those with the most equal values."""
-
-    def run(table: pa.Table) -> pa.Table:
-        left, right = (table.filter(pa.array(np.asarray(table.column("side")) == s)) for s in (0, 1))
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        if left.num_rows and right.num_rows:
-            ln, rn, lc, rc = (np.asarray(t.column(c)) for c in ("node", "comp") for t in (left, right))
-            ls, rs = _signatures(left.column("sig").combine_chunks()), _signatures(right.column("sig").combine_chunks())
-            size, common, own_size, own_common = (np.asarray(t.column(c)) for t in (right, left) for c in ("size", "common"))
-            rank, band = np.asarray(right.column("straggler")), left.column("band")[0].as_py()
-            banded, mine = (x[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS) for x in (rs, ls))
-            for i in range(left.num_rows):
-                # two stragglers meet once, from the smaller one
-                others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])) & reachable(own_size[i], own_common[i], size, common))
-                if band and len(others):
-                    earlier = (banded[others, :band] == mine[i, :band]).all(axis=2).any(axis=1)
-                    others = others[~earlier]
-                if len(others):
-                    found = others[surviving(np.broadcast_to(ls[i], (len(others), ls.shape[1])), rs[others])]
-                    if nearest is not None and len(found) > nearest:
-                        equal = (rs[found] == ls[i]).sum(axis=1)
-                        found = found[np.argsort(-equal, kind="stable")[:nearest]]
-                    out.append((np.minimum(ln[i], rn[found]), np.maximum(ln[i], rn[found])))
-        a = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.int64)
-        b = np.concatenate([y for _, y in out]) if out else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
+def _candidates(left: pa.Table, right: pa.Table):
+    """The right rows that survive against a left row, by the left row's number and the components that both sides have by now.
+    Their sizes and shared shingles allow a link; a pair that shares several bands is left to the first of them."""
+    ln, rn = (np.asarray(t.column("node")) for t in (left, right))
+    ls, rs = _signatures(left.column("sig").combine_chunks()), _signatures(right.column("sig").combine_chunks())
+    size, common, own_size, own_common = (np.asarray(t.column(c)) for t in (right, left) for c in ("size", "common"))
+    rank, band = np.asarray(right.column("straggler")), left.column("band")[0].as_py()
+    banded, mine = (x[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS) for x in (rs, ls))
+
+    def of(i: int, lc: np.ndarray, rc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows, and how many values of theirs are equal."""
+        # two stragglers meet once, from the smaller one
+        others = np.flatnonzero((rc != lc[i]) & (~rank | (rn > ln[i])) & reachable(own_size[i], own_common[i], size, common))
+        if band and len(others):
+            earlier = (banded[others, :band] == mine[i, :band]).all(axis=2).any(axis=1)
+            others = others[~earlier]
+        if len(others):
+            others = others[surviving(np.broadcast_to(ls[i], (len(others), ls.shape[1])), rs[others])]
+        return others, (rs[others] == ls[i]).sum(axis=1)
+
+    return of
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between the components of one block pair, verified on the full sets. Once two components are joined, by whatever
+    links, their other pairs need no look, so fewer rows leave than components came, however many pairs are only near."""
+    left, right = (table.filter(pa.array(np.asarray(table.column("side")) == s)) for s in (0, 1))
+    out: list[tuple[int, int]] = []
+    if left.num_rows and right.num_rows:
+        lc, rc = (np.asarray(t.column("comp")) for t in (left, right))
+        names, local = np.unique(np.concatenate([lc, rc]), return_inverse=True)
+        now = np.arange(len(names))  # the components by what was joined here
+        lc, rc = local[: len(lc)], local[len(lc) :]
+        sets = [[np.frombuffer(s, dtype=np.uint64) for s in t.column("set").to_pylist()] for t in (left, right)]
+        candidates = _candidates(left, right)
+        for i in range(left.num_rows):
+            found, equal = candidates(i, now[lc], now[rc])
+            for j in found[np.argsort(-equal, kind="stable")]:
+                a, b = now[lc[i]], now[rc[j]]
+                if a != b and is_linked(sets[0][i], sets[1][j]):
+                    out.append((int(names[min(a, b)]), int(names[max(a, b)])))
+                    now[now == max(a, b)] = min(a, b)
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -281,28 +294,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     able = sigs.join(open_nodes, "node", "left_semi").join(alone, "node", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
     able = write_through(able.filter(F.col("common") * DENOMINATOR >= F.col("size") * NUMERATOR).select("node", "size", "common", "sig"), "able")
 
-    def opened(labels: DataFrame, nearest: int | None) -> DataFrame:
-        """Pairs of the buckets that still hold several components, block against block."""
+    def opened() -> DataFrame:
+        """Links between the components of the buckets that still hold several, block against block."""
         members = buckets.filter("size > 2").drop("size").join(able.select("node", "size", "common"), "node").join(labels, "node")
-        sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("n").alias("all"))
+        sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("n").alias("all"), F.sum("shingles").alias("shingles"))
         sizes = sizes.filter("comps > 1")  # two classes: compared as leader and member
-        sizes = sizes.select("bucket", F.col("top.comp").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"), F.ceil(F.col("all") / BLOCK).cast("int").alias("right_blocks"))
-        rest = members.join(write_through(sizes, "open"), "bucket").join(able.select("node", "sig"), "node").withColumn("straggler", F.col("comp") != F.col("top"))
+        sizes = sizes.select("bucket", F.col("top.comp").alias("top"), *(F.ceil(F.greatest(n / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias(name) for n, name in ((F.col("all") - F.col("top.n"), "left_blocks"), (F.col("all"), "right_blocks"))))
+        rest = members.join(write_through(sizes, "open"), "bucket").join(able.select("node", "sig"), "node").withColumn("straggler", F.col("comp") != F.col("top")).join(sets, "node")
         slot = F.xxhash64("node", F.lit("block"))
         left = rest.filter("straggler").withColumns({"l": F.pmod(slot, "left_blocks"), "r": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("right_blocks").cast("bigint") - 1))})
         right = rest.withColumns({"r": F.pmod(slot, "right_blocks"), "l": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("left_blocks").cast("bigint") - 1))})
-        both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "band", "l", "r", "side", "node", "comp", "straggler", "size", "common", "sig")
-        return both.groupBy("bucket", "l", "r").applyInArrow(_block_pairs(nearest), "a bigint, b bigint").distinct()
-
-    # what is left: first the nearest ones of each class, which join most, then every pair
-    links = links.union(checked(opened(labels, NEAREST), "links"))
-    known = write_through(components(links, "near"), "known")
-    labels = write_through(busy.join(known, "node", "left").select("node", F.coalesce("root", "node").alias("comp")), "labels")
-    last = opened(labels, None)
-    more = checked(last, "links")
-    for end in ("a", "b"):  # between components now
-        more = more.join(labels.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp")), end)
-    more = more.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
+        both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).select("bucket", "band", "l", "r", "side", "node", "comp", "straggler", "size", "common", "sig", "set")
+        return both.groupBy("bucket", "l", "r").applyInArrow(_block_links, "a bigint, b bigint").distinct()
+
+    more = write_through(opened(), "links")  # what is left: every pair, verified where it is met
 
     member_of = write_through(signed.filter("size > 0").select("key", "digest").join(nodes.select("digest", "node"), "digest").select("key", "digest", "node"), "members")
     several = member_of.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")  # one id, several texts

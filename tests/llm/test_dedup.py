@@ -194,3 +194,27 @@ def test_shared_shingles_bound_links():
         assert not (linked & ~may)[np.arange(len(sets)) != i].any()
         ruled_out += int((~may).sum())
     assert ruled_out
+
+
+def _block_of(sets, left):
+    """Both sides of one block pair; the first ``left`` rows are stragglers, as is every row."""
+    import pyarrow as pa
+
+    rows = [(side, i) for side in (0, 1) for i in range(left if side == 0 else len(sets))]
+    size = [len(sets[i]) for _, i in rows]
+    columns = {"side": [s for s, _ in rows], "node": [i for _, i in rows], "comp": [i for _, i in rows], "straggler": [True] * len(rows), "size": size, "common": size}
+    columns |= {"sig": [minhash.signature(sets[i]).tobytes() for _, i in rows], "set": [sets[i].tobytes() for _, i in rows]}
+    return pa.table(columns).append_column("band", pa.array([0] * len(rows), pa.int32()))
+
+
+def test_a_block_sends_links_only():
+    """Pairs that are near but not linked stay in the block; of linked ones no more leave than join components."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n: rng.integers(1, 1 << 62, n).astype(np.uint64)
+    shared = fresh(160)
+    near = [np.sort(np.r_[shared, fresh(40)]) for _ in range(40)]  # 160 of 240: two thirds
+    assert all(len(minhash.surviving(*(np.frombuffer(minhash.signature(s).tobytes(), np.uint32)[None] for s in (near[0], x)))) for x in near[1:])
+    assert minhash._block_links(_block_of(near, 40)).num_rows == 0
+    linked = [np.sort(np.r_[shared, fresh(20)]) for _ in range(40)]
+    out = minhash._block_links(_block_of(near[:5] + linked, 45)).to_pydict()
+    assert len(out["a"]) == 39 and {*out["a"], *out["b"]} == set(range(5, 45))
