@@ -34,8 +34,10 @@ from qaprep.session import write_through
 
 WINDOW = 100
 GRAM = 32
-#: Texts are dealt with in pieces of at most 2^23 bytes (and a window), so that a place fits these bits.
+#: Texts are dealt with in pieces of at most ``ANCHOR_BYTES`` bytes (and a window), so that a place fits these bits.
 PLACE_BITS = 24
+#: Bytes of text whose contexts are found at once; it takes some hundred bytes for each in a Python worker.
+ANCHOR_BYTES = 1 << 20
 #: Different contexts of one anchor that an index takes.
 MOST = 8192
 #: Bytes of context texts in one index, on average.
@@ -87,10 +89,10 @@ _MARKS = "h bigint, key bigint, place bigint, n int, wanted boolean"
 
 def _anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ANCHOR_BYTES):
             data, offsets = text_buffer(batch.column("text"))
             # a text of any length is cut so that its windows are dealt with in turn
-            step = 1 << (PLACE_BITS - 1)
+            step = ANCHOR_BYTES
             for base in range(0, max(1, len(data)), step):
                 part = data[base : base + step + window - 1]
                 inner = np.unique(np.clip(offsets - base, 0, len(part)))

@@ -218,3 +218,20 @@ def test_a_block_sends_links_only():
     linked = [np.sort(np.r_[shared, fresh(20)]) for _ in range(40)]
     out = minhash._block_links(_block_of(near[:5] + linked, 45)).to_pydict()
     assert len(out["a"]) == 39 and {*out["a"], *out["b"]} == set(range(5, 45))
+
+
+def test_anchors_hold_little():
+    """Memory for the anchors of a long text and of many short ones does not grow with the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    text = "".join(map(chr, rng.integers(97, 123, 4 << 20)))
+    for texts in ([text], [text[i : i + 2048] for i in range(0, len(text), 2048)]):
+        batch = pa.RecordBatch.from_pydict({"key": pa.array(range(len(texts)), pa.int64()), "copy": pa.array([0] * len(texts), pa.int64()), "text": texts})
+        tracemalloc.start()
+        windows = sum(sum(b.column("n").to_pylist()) for b in suffix_dedup._anchors(100)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert windows == sum(len(t) - 99 for t in texts) and peak < 150 << 20
