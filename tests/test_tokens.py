@@ -162,3 +162,16 @@ def test_saved_profile(spark, tmp_path):
     assert sorted(map(tuple, shown)) == sorted(map(tuple, again))  # seeded
     few = E.decoded_samples(E.saved_profile(spark, str(tmp_path / "d"), samples=2)).collect()
     assert set(map(tuple, few)) <= set(map(tuple, shown))
+
+
+def test_python_gets_small_batches(spark):
+    """A batch is bounded in rows and bytes, whatever a task reads."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]})
+
+    few = spark.range(0, 20_000, 1, 1).mapInArrow(sizes, "n long, size long").collect()
+    large = spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 20000) AS t").mapInArrow(sizes, "n long, size long").collect()
+    assert max(r.n for r in few) <= 2000 and max(r.size for r in large) < 5 << 20
