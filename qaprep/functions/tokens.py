@@ -169,12 +169,16 @@ def bounded_batches(df: DataFrame, ids: str, order: Sequence[str], max_rows: int
 
     A bucket holds the lengths of as many binary digits; its rows are numbered by length and ``order``, across
     tasks, and cut into batches of as many rows as its greatest length allows. So padding at most doubles a row
-    and no group grows with the table. A null array counts as empty."""
+    and no group grows with the table. A null array counts as empty. Only lengths and ``order`` are sorted and numbered; the
+    arrays stay in the written table and meet their numbers by row."""
     sized = df.withColumn("_n", F.greatest(F.coalesce(F.size(ids), F.lit(0)), F.lit(0)).cast("bigint")).withColumn("bucket", F.length(F.bin("_n")))
-    numbered = group_positions(sized, ["bucket"], ["_n", *order], "_at")
+    rows = write_through(sized.withColumn("_row", F.monotonically_increasing_id()), "sized")
+    light = rows.select("_row", "_n", "bucket", *[F.col(c) for c in order if c not in ("_n", "bucket")])
+    placed = group_positions(light, ["bucket"], ["_n", *order], "_at").select("_row", "_at")
+    numbered = rows.join(placed, "_row").drop("_row")
     fit = F.expr(f"{max_ids}L div (shiftleft(1L, bucket) - 1)")  # rows of the bucket's greatest length
-    rows = F.greatest(F.least(F.lit(max_rows).cast("bigint"), fit), F.lit(1).cast("bigint"))
-    return numbered.withColumn("batch", F.floor(F.col("_at") / rows).cast("bigint")).drop("_n", "_at")
+    full = F.greatest(F.least(F.lit(max_rows).cast("bigint"), fit), F.lit(1).cast("bigint"))
+    return numbered.withColumn("batch", F.floor(F.col("_at") / full).cast("bigint")).drop("_n", "_at")
 
 
 def left_pad_batches(df: DataFrame, batch: str | Sequence[str], columns: dict[str, int]) -> DataFrame:

@@ -164,6 +164,16 @@ def test_saved_profile(spark, tmp_path):
     assert set(map(tuple, few)) <= set(map(tuple, shown))
 
 
+def test_bounded_batches_sort_no_arrays(spark, monkeypatch):
+    """Only lengths and the order are numbered; a null or repeated key keeps its rows."""
+    seen, real = [], N.group_positions
+    monkeypatch.setattr(N, "group_positions", lambda df, *rest: seen.append(df.columns) or real(df, *rest))
+    df = spark.createDataFrame([(None if i % 3 else 1, [i] * (i % 7)) for i in range(50)], "i int, ids array<int>").repartition(3)
+    out = N.bounded_batches(df, "ids", ["i"], max_rows=4, max_ids=64)
+    assert out.columns == ["i", "ids", "bucket", "batch"] and seen == [["_row", "_n", "bucket", "i"]]
+    assert sorted((r.i or 0, r.ids) for r in out.collect()) == sorted((r.i or 0, r.ids) for r in df.collect())
+
+
 def test_python_gets_small_batches(spark):
     """A batch is bounded in rows and bytes, whatever a task reads."""
     import pyarrow as pa
