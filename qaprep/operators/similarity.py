@@ -202,21 +202,21 @@ def _bits_below(prints: DataFrame) -> list[Column]:
     return out
 
 
-def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
-    """(id_a < id_b, shared, n_bits_a, n_bits_b) for distinct fingerprints. A pair meets at each
-    prefix key it shares and is kept at the first one, so it comes once."""
+def similar_pairs(prints: DataFrame, threshold: float, *keep: str) -> DataFrame:
+    """(id_a < id_b, shared, n_bits_a, n_bits_b) for distinct fingerprints, and both rows' columns ``keep``. A pair
+    meets at each prefix key it shares and is kept at the first one, so it comes once."""
     words = word_columns(prints)
     rows = spread(prints)
-    marked = _prefix(rows, threshold, larger=True).select("*", *_bits_below(prints))
+    marked = _prefix(rows, threshold, *keep, larger=True).select("*", *_bits_below(prints))
     earlier = " | ".join(f"(a.below_{i} & b.{w})" for i, w in enumerate(words))
     condition = f"(a.n_bits > b.n_bits OR a.n_bits = b.n_bits AND a.id > b.id) AND ({earlier}) = 0 AND {_similar_condition(threshold, words)}"
     first = F.col("a.id") < F.col("b.id")
-    return _meet(marked, _prefix(rows, threshold, larger=False), condition).select(
+    ends = lambda c: (F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(f"{c}_{x}") for x, y in ("ab", "ba"))
+    return _meet(marked, _prefix(rows, threshold, *keep, larger=False), condition).select(
         F.least("a.id", "b.id").alias("id_a"),
         F.greatest("a.id", "b.id").alias("id_b"),
         F.expr(_shared(words, "a", "b")).alias("shared"),
-        F.when(first, F.col("a.n_bits")).otherwise(F.col("b.n_bits")).alias("n_bits_a"),
-        F.when(first, F.col("b.n_bits")).otherwise(F.col("a.n_bits")).alias("n_bits_b"),
+        *(column for c in ("n_bits", *keep) for column in ends(c)),
     )
 
 
@@ -227,14 +227,9 @@ def similarity_join(df: DataFrame, key: str, bits: str, threshold: float) -> Dat
     lowest key. A fingerprint that several rows have also appears with itself, similarity 1.
     """
     prints, _ = distinct_prints(df, key, bits)
-    pairs = similar_pairs(prints, threshold)
-    names = prints.select("id", "n_rows")
+    pairs = similar_pairs(prints, threshold, "n_rows")  # counts travel with the prefix rows: the pairs are not moved again
     similarity = F.col("shared") / (F.col("n_bits_a") + F.col("n_bits_b") - F.col("shared"))
-    different = (
-        pairs.join(names.toDF("id_a", "n_a"), "id_a")
-        .join(names.toDF("id_b", "n_b"), "id_b")
-        .select("id_a", "id_b", "n_a", "n_b", similarity.alias("similarity"))
-    )
+    different = pairs.select("id_a", "id_b", F.col("n_rows_a").alias("n_a"), F.col("n_rows_b").alias("n_b"), similarity.alias("similarity"))
     copies = prints.filter("n_rows > 1").select(
         F.col("id").alias("id_a"), F.col("id").alias("id_b"),
         F.col("n_rows").alias("n_a"), F.col("n_rows").alias("n_b"), F.lit(1.0).alias("similarity"),

@@ -284,3 +284,10 @@ def test_chat_context_longer_than_a_chunk(spark, monkeypatch):
 def test_bind(spark):
     df = spark.createDataFrame([(3,)], "a int")
     assert df.select(bind(F.col("a") + 1, lambda v: v * v).alias("x")).first().x == 16
+
+
+def test_similarity_join_moves_pairs_once(spark):
+    """The counts travel with the prefix rows: no join but the one that finds the pairs."""
+    df = spark.createDataFrame(fingerprints(60, 3), "id long, size int, bits array<int>")
+    plan = similarity.similarity_join(df, "id", "bits", 0.6)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join ") == 1
