@@ -15,14 +15,17 @@ Equal fingerprints are collapsed first, so a third of all rows being copies of o
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from qaprep.functions.binding import bind
 from qaprep.session import spread, write_through
 
 BITS = 2048
@@ -33,6 +36,8 @@ SIZE_LOW, SIZE_HIGH = 0.83, 1.17
 
 #: Sizes of a band differ by less than this factor.
 BAND = 1.2
+#: Rows whose runs are hashed at once.
+FINGERPRINT_ROWS = 500
 FIRST_CHUNK = 2048
 CHUNK_GROWTH = 16
 HOT_ROWS = 50_000
@@ -41,29 +46,41 @@ BLOCK_EDGES = 1_000_000
 BROADCAST_ROWS = 200_000  # prefix rows, at most about 300 bytes each
 
 
-def fingerprint(text: Column, gram: int = 3, bits: int = BITS) -> Column:
-    """Sorted set bits: one per character run of length 1 to ``gram``, hashed by md5.
+def _run_bits(text: str, lengths: np.ndarray, gram: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and bit of every set bit, in order, of rows that lie in ``text`` one after the other. A run is hashed once."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(row))  # characters from this one to the row's end
+    found = np.zeros((len(lengths), bits), dtype=bool)
+    number = np.zeros(len(codes), dtype=np.int64)  # of the run one shorter that begins here
+    for size in range(1, gram + 1):
+        at = np.flatnonzero(left >= size)
+        _, first, inverse = np.unique(number[at] << 21 | codes[at + size - 1], return_index=True, return_inverse=True)
+        number[at] = inverse
+        digests = [hashlib.md5(text[p : p + size].encode(), usedforsecurity=False).digest() for p in at[first].tolist()]
+        position = np.array([int.from_bytes(d[:4], "big") % bits for d in digests], dtype=np.int64)
+        found[row[at], position[inverse]] = True
+    return np.nonzero(found)
 
-    Only the longest run at each character is cut out; the shorter ones are its beginnings, and they
-    are taken from the distinct ones.
-    """
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-
-    def longest(c: Column) -> Column:
-        runs = c
-        for step in range(1, gram):
-            following = F.slice(c, F.lit(step + 1), F.size(c))
-            runs = F.zip_with(runs, following, lambda r, n: F.concat(r, F.coalesce(n, F.lit(""))))
-        return F.array_distinct(runs)
-
-    def beginnings(runs: Column) -> Column:
-        begin = lambda n: F.transform(runs, lambda r: F.substring(r, 1, n))
-        shorter = [begin(n) for n in range(1, gram)]
-        return F.array_distinct(F.concat(runs, *shorter))
-
-    position = lambda g: (F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("bigint") % bits).cast("int")
-    every = bind(bind(chars, longest), beginnings)
-    return F.array_sort(F.array_distinct(F.transform(every, position)))
+
+def fingerprint(text: Column, gram: int = 3, bits: int = BITS) -> Column:
+    """Sorted set bits: one per character run of length 1 to ``gram``, hashed by md5. A null text has none, not even an empty set."""
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def run(texts: pa.Array) -> pa.Array:
+        filled = pc.fill_null(texts, "")
+        rows, own = [], []
+        for start in range(0, len(filled), FINGERPRINT_ROWS):
+            part = filled.slice(start, FINGERPRINT_ROWS).to_pylist()
+            row, bit = _run_bits("".join(part), np.array([len(t) for t in part], dtype=np.int64), gram, bits)
+            rows.append(row + start)
+            own.append(bit)
+        counts = np.bincount(np.concatenate(rows), minlength=len(texts)) if rows else np.zeros(0, np.int64)
+        offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+        values = pa.array(np.concatenate(own).astype(np.int32) if own else [], pa.int32())
+        return pa.ListArray.from_arrays(offsets, values, mask=pc.is_null(texts))
+
+    return run(text)
 
 
 def tanimoto(a: Column, b: Column) -> Column:

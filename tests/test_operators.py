@@ -291,3 +291,18 @@ def test_similarity_join_moves_pairs_once(spark):
     df = spark.createDataFrame(fingerprints(60, 3), "id long, size int, bits array<int>")
     plan = similarity.similarity_join(df, "id", "bits", 0.6)._jdf.queryExecution().analyzed().toString()
     assert plan.count("Join ") == 1
+
+
+def test_fingerprint_by_brute_force(spark):
+    """Runs of characters beyond the basic plane, repeated, null and empty texts; worked out in batches, not per character."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    texts = [None, "", "a", "aé😀b\x00c😀", "aaaa", "x y" * 700] * 90
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(2)
+    out = df.select("i", similarity.fingerprint(F.col("t")).alias("bits"))
+    of = lambda t: sorted({int(hashlib.md5(t[i : i + n].encode()).hexdigest()[:8], 16) % 2048 for n in (1, 2, 3) for i in range(len(t) - n + 1)})
+    wanted = {t: None if t is None else of(t) for t in set(texts)}
+    assert all(r.bits == wanted[texts[r.i]] for r in out.collect())
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
