@@ -22,6 +22,8 @@ from qaprep.session import write_through
 PAD = 256
 MASKED = -100
 NO_LABELS = "[No valid labels]"
+#: Tokens of a vocabulary that travels to the tasks, at most.
+TRAVELLING = 1 << 16
 WORD_PATTERN = r"([\p{L}\p{N}]+|[^\s\p{L}\p{N}])"
 
 
@@ -205,13 +207,28 @@ def build_vocab(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
     return ranked if size is None else ranked.filter(F.col("token_id") < size)
 
 
-def encode_words(df: DataFrame, text: str, vocab: DataFrame, output: str = "input_ids", unknown: int = -1) -> DataFrame:
-    """Word ids of a text column, for a vocabulary of any size: every token meets its id in a join (which
-    Spark broadcasts when the vocabulary's measured size allows it), and the ids of a row are put
+def _looked_up(vocab: pa.Table, unknown: int) -> Callable[[Column], Column]:
+    """The ids of an array of tokens, by a vocabulary that travels to the tasks."""
+    tokens, numbers = vocab.column("token").combine_chunks(), vocab.column("token_id").combine_chunks().cast(pa.int32())
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def run(rows: pa.Array) -> pa.Array:
+        offsets = np.r_[0, np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))].astype(np.int32)
+        found = pc.index_in(rows.flatten(), value_set=tokens.cast(rows.type.value_type))
+        return pa.ListArray.from_arrays(pa.array(offsets), numbers.take(found).fill_null(unknown), mask=rows.is_null())
+
+    return run
+
+
+def encode_words(df: DataFrame, text: str, vocab: DataFrame, output: str = "input_ids", unknown: int = -1, travelling: int = TRAVELLING) -> DataFrame:
+    """Word ids of a text column, for a vocabulary of any size: one of at most ``travelling`` tokens is looked up where
+    the row is; in a larger one every token meets its id in a join, and the ids of a row are put
     together again. A null text has null ids, a text without words an empty array."""
+    known = write_through(vocab.filter("token IS NOT NULL").select("token", "token_id"), "vocabulary")
+    if known.count() <= travelling:
+        return df.withColumn(output, _looked_up(known.toArrow(), unknown)(words(F.col(text))))
     rows = write_through(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     pieces = rows.select("_row", F.posexplode(words(F.col(text))).alias("_pos", "token"))
-    known = vocab.select("token", "token_id")
     found = sliced_join(pieces, known, ["token"], ["_row", "_pos"], "left")
     item = F.struct("_pos", F.coalesce("token_id", F.lit(unknown)).cast("int").alias("id"))
     joined = found.groupBy("_row").agg(F.array_sort(F.collect_list(item)).alias("_ids"))

@@ -185,3 +185,15 @@ def test_python_gets_small_batches(spark):
     few = spark.range(0, 20_000, 1, 1).mapInArrow(sizes, "n long, size long").collect()
     large = spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 20000) AS t").mapInArrow(sizes, "n long, size long").collect()
     assert max(r.n for r in few) <= 2000 and max(r.size for r in large) < 5 << 20
+
+
+def test_encode_words_where_the_row_is(spark):
+    """A small vocabulary is looked up without moving a word; a large one is joined, with the same ids."""
+    df = spark.createDataFrame([(1, "a b, a c"), (1, "a b, a c"), (None, None), (3, ""), (4, " \n"), (5, "c " * 500 + "é")] * 3, "k int, t string").repartition(3)
+    vocab = N.build_vocab(df, "t", size=3)
+    near, far = (N.encode_words(df, "t", vocab, travelling=n) for n in (3, 2))
+    rows = lambda out: sorted(((r.k or 0), r.t or "", r.input_ids) for r in out.collect())
+    assert rows(near) == rows(far) and near.columns == far.columns == ["k", "t", "input_ids"]
+    assert "Join" not in near._jdf.queryExecution().analyzed().toString() and "Generate" not in near._jdf.queryExecution().analyzed().toString()
+    nothing = N.encode_words(df, "t", vocab.limit(0))
+    assert all(r.input_ids is None if r.t is None else set(r.input_ids) <= {-1} for r in nothing.collect())
