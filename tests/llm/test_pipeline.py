@@ -1,8 +1,11 @@
 """The pipeline stage by stage on a small table, and the registered queries on the smallest test tables."""
 
+import time
+
 import numpy as np
 import pytest
 from llm_cases import SF, needs_tables, prose
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
@@ -61,3 +64,28 @@ def test_embeddings_query_has_the_recall(llm):
 def test_ten_operators_are_registered():
     names = entry_points.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_written_steps_leave_no_shuffle_files(llm):
+    """They went only when the driver happened to collect its garbage."""
+    from qaprep.session import SHUFFLE_CLEANUP, write_through
+
+    def shuffles():
+        files = llm._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    def fresh():  # files are dropped a moment later
+        for _ in range(50):
+            if not (new := shuffles() - there):
+                break
+            time.sleep(0.2)
+        return new
+
+    there, before = shuffles(), llm.conf.get(SHUFFLE_CLEANUP, None)
+    grouped = llm.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    written = write_through(grouped, "grouped")
+    assert not fresh() and llm.conf.get(SHUFFLE_CLEANUP, None) == before
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, grouped.collect()))  # the frame itself can be read again
+    held = grouped.collect()
+    again = write_through(grouped, "grouped")
+    assert again.count() == 7 and sorted(grouped.collect()) == sorted(held)
