@@ -226,6 +226,24 @@ def test_lm_forward_is_lean():
     assert least(lambda: model.log_probabilities(ids, there, goal)) < least(plain)
 
 
+def test_lm_numbers(vocab, monkeypatch):
+    """Words have the ids the encoder gives them, over calls, growth and clearing; a word is hashed only where that is wanted."""
+    path, hashed, plain = vocab.path("byte_bpe_50k.tiktoken"), [], lm_scoring._hash
+    size = max(lm_scoring.load_ranks(path).values()) + 1
+    monkeypatch.setattr(lm_scoring, "_hash", lambda w: (hashed.append(w), plain(w))[1])
+    monkeypatch.setattr(lm_scoring, "HELD", 3)
+    for wanted in (False, True):
+        hashed.clear()
+        table = lm_scoring.Subwords(path, vocab.PATTERN, np.ones(size, np.int16), np.zeros(size, np.float32))
+        for docs in ([b"one two one".split(), []], [b"three two".split()], [b"four five one".split()], [b"six one one".split()], []):
+            numbers = table.numbers(docs, **({"hashed": True} if wanted else {}))
+            words = [w for d in docs for w in d]
+            ids, _, sizes, _ = table.spread(numbers, np.array([len(d) for d in docs], dtype=np.int64))
+            assert ids[ids >= 0].tolist() == table.encoder.encode(words)[0].tolist()
+            assert not wanted or table.hashes[numbers].tolist() == [plain(w) for w in words]
+        assert bool(hashed) == wanted
+
+
 def test_lm_gradient():
     rng = np.random.default_rng(2)
     model = lm_scoring.Attention(7, np.array([1, 1, 0, 1, 0, 1, 0], dtype=bool))
