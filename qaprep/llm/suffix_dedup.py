@@ -36,12 +36,12 @@ WINDOW = 100
 GRAM = 32
 #: Texts are dealt with in pieces of at most ``ANCHOR_BYTES`` bytes (and a window), so that a place fits these bits.
 PLACE_BITS = 24
-#: Bytes of text whose contexts are found at once; it takes some hundred bytes for each in a Python worker.
-ANCHOR_BYTES = 1 << 20
+#: Bytes of text whose contexts are found at once; a Python worker takes some hundred bytes for each, two or three workers an executor.
+ANCHOR_BYTES = 1 << 18
 #: Different contexts of one anchor that an index takes.
 MOST = 8192
-#: Bytes of context texts in one index, on average.
-INDEX_BYTES = 1 << 20
+#: Bytes of context texts in one index, on average; it takes some hundred bytes for each, too.
+INDEX_BYTES = 1 << 18
 #: A place is the copy (tells texts under one id apart) and the start in the text.
 START_BITS = 40
 _START = (1 << START_BITS) - 1

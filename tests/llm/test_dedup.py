@@ -235,3 +235,21 @@ def test_anchors_hold_little():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert windows == sum(len(t) - 99 for t in texts) and peak < 150 << 20
+
+
+def test_a_slice_and_an_index_take_little_memory():
+    """A Python worker keeps what its largest step took, through all later stages of a pipeline."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    text = "".join(map(chr, rng.integers(97, 123, 2 << 20)))
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([0], pa.int64()), "copy": pa.array([0], pa.int64()), "text": [text]})
+    pieces = [text[i : i + 170].encode() for i in range(0, suffix_dedup.INDEX_BYTES, 170)]
+    for step in (lambda: sum(b.num_rows for b in suffix_dedup._anchors(100)([batch])), lambda: suffix_dedup.marked_windows(pieces * 2)):
+        tracemalloc.start()
+        step()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 64 << 20
