@@ -33,6 +33,19 @@ def test_word_encoder(vocab, edge_rows, name, spaced):
     assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == want
 
 
+def test_plain_words_need_one_call_and_no_slow_library(vocab, monkeypatch):
+    words = ["don't", "WE'LL", "x" * 50, "a1b22", "\u00c9t\u00e9", "'s", "'", "!?'re", "\u0149\u017f", "1\u00b2\u00bd", "rock'n'roll"]
+    texts = [" ".join(words), "\n".join(words) + "\n", "", " ", *words]
+    encoder, calls = WordEncoder(vocab.path("word_bpe_49k.json"), False), []
+    encode = encoder.pieces.encode_ordinary
+    monkeypatch.setattr(encoder.pieces, "encode_ordinary", lambda text: calls.append(text) or encode(text))
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert len(calls) == 1 and "tokenizer" not in vars(encoder)
+    assert got == [e.ids for e in library(vocab, "word_bpe_49k.json").encode_batch_fast(texts, add_special_tokens=False)]
+    odd = "\x01 a\x01b \u0130 \u03a3\u03a3 \t word"  # the end mark, and words that are not plain
+    assert np.frombuffer(encoder.encode([odd])[0], encoder.dtype).tolist() == library(vocab, "word_bpe_49k.json").encode(odd, add_special_tokens=False).ids
+
+
 def test_bpe(vocab, llm, edge_docs, edge_rows):
     import tiktoken
 
