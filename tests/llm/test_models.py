@@ -311,3 +311,12 @@ def test_lm_pairs_by_brute_force(llm, vocab, monkeypatch):
 def test_lm_empty(no_docs, vocab):
     out = lm_scoring.score_texts(no_docs, F.lit(True), vocab.path("byte_bpe_50k.tiktoken"), vocab.PATTERN, steps=2)
     assert out.count() == 0
+
+
+def test_used_numbers_are_found_without_a_sort(monkeypatch):
+    numbers = np.random.default_rng(6).zipf(1.3, 5000) % 700
+    want = np.unique(numbers, return_inverse=True)
+    monkeypatch.setattr(np, "unique", None)
+    for a, b in zip(lm_scoring._used(numbers, 700), want, strict=True):
+        assert a.tolist() == b.tolist()
+    assert [x.tolist() for x in lm_scoring._used(numbers[:0], 0)] == [[], []]
