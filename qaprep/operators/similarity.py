@@ -9,7 +9,8 @@ join on composite keys (a prefix filter, Bayardo et al. 2007, with the positiona
   suffices against rows of its size or more; and both bring a band of sizes, so that they meet only if
   their sizes agree.
 
-Every candidate is verified inside the join condition by bit counts; only verified rows leave the join.
+Every candidate is verified by bit counts, inside the join condition or, for all pairs of one table, block by block
+in Arrow batches; only verified rows leave the join.
 Equal fingerprints are collapsed first, so a third of all rows being copies of one another costs one row.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,11 @@ HOT_ROWS = 50_000
 #: Edges of a block that one task scans.
 BLOCK_EDGES = 1_000_000
 BROADCAST_ROWS = 200_000  # prefix rows, at most about 300 bytes each
+#: Prefix rows of one side that a task compares with as many of the other side.
+BLOCK_ROWS = 16_384
+#: Rows of a tile, by side, and pairs sent on at once.
+TILE = (512, 1024)
+PAIRS_AT_ONCE = 1 << 17
 
 
 def _run_bits(text: str, lengths: np.ndarray, gram: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,30 +215,104 @@ def _meet(big: DataFrame, small: DataFrame, condition: str, how: str = "inner",
     return a.alias("a").join(b.hint("merge").alias("b"), F.expr(f"a.slice = b.slice AND {on}"), how)
 
 
-def _bits_below(prints: DataFrame) -> list[Column]:
-    """The words of a prefix row without its bits from ``bit`` on."""
-    out = []
-    for number, word in enumerate(word_columns(prints)):
-        mask = F.expr(f"~shiftleft(-1L, bit % 64) & {word}")
-        below = F.when(F.col("bit") >= 64 * (number + 1), F.col(word)).when(F.col("bit") >= 64 * number, mask)
-        out.append(below.otherwise(F.lit(0)).cast("bigint").alias(f"below_{number}"))
-    return out
+def _block_pairs(threshold: float, words: Sequence[str], keep: Sequence[str]):
+    """The similar pairs of a block of larger rows (``side`` 0) and one of smaller rows (1) that meet at one key.
+
+    Common bits are counted for whole tiles by a matrix product over the bits from the key on that both blocks use, less
+    the share that is needed (exact in 32 bits up to the tolerance). Rows are in order of size and of bits left, so that tiles whose
+    sizes or bounds disagree are not compared. What may reach the threshold is tested again on whole numbers, and for a common
+    bit ahead of the key, at which the pair has been found already."""
+    share, near = threshold / (1.0 + threshold), -0.01
+    columns = ["id", "n_bits", *keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches).sort_by([("side", "ascending"), ("n_bits", "ascending"), ("left", "ascending")]).combine_chunks()
+        bit, cut = table.column("bit")[0].as_py(), int(pc.sum(pc.equal(table.column("side"), 0)).as_py())
+        if cut in (0, len(table)):
+            return
+        number = table.column("n_bits").to_numpy().astype(np.int64)
+        slack = table.column("left").to_numpy() - share * number
+        rank = pc.rank(table.column("id"), tiebreaker="dense").to_numpy().astype(np.int64)
+        named = table.column("id").is_valid().to_numpy()
+        packed = np.column_stack([table.column(w).to_numpy() for w in words])
+        ahead = np.array([((1 << min(64, max(0, bit - 64 * w))) - 1) for w in range(len(words))], np.uint64).view(np.int64)
+        ahead_in = np.flatnonzero(ahead)
+        before = np.ascontiguousarray((packed & ahead)[:, ahead_in].T)
+        there = np.unpackbits(packed.view(np.uint8), axis=1, bitorder="little")[:, bit:]
+        used = np.flatnonzero(there[:cut].any(axis=0) & there[cut:].any(axis=0))
+        own = (share * number).astype(np.float32)[:, None]
+        one = np.ones_like(own)
+        a = np.hstack([there[:cut, used].astype(np.float32), -own[:cut], one[:cut]])
+        b = np.ascontiguousarray(np.hstack([there[cut:, used].astype(np.float32), one[cut:], -own[cut:]]).T)
+        del there
+        found, held = [], 0
+
+        def sent() -> pa.RecordBatch:
+            at = [np.concatenate(x) for x in zip(*found, strict=True)]
+            values = {f"{c}_{side}": table.column(c).take(pa.array(at[side])).combine_chunks() for c in columns for side in (0, 1)}
+            return pa.RecordBatch.from_pydict({"shared": pa.array(at[2], pa.int32()), **values})
+
+        for i in range(0, cut, TILE[0]):
+            i_end = min(i + TILE[0], cut)
+            i_slack = slack[i:i_end].max()
+            for j in range(cut, len(table), TILE[1]):
+                j_end = min(j + TILE[1], len(table))
+                if number[j] > number[i_end - 1] or number[j_end - 1] < threshold * number[i] - 1e-9:
+                    continue
+                if i_slack < share * number[j] + near or slack[j:j_end].max() < share * number[i] + near:
+                    continue
+                over = a[i:i_end] @ b[:, j - cut : j_end - cut]
+                hit = np.flatnonzero(over.ravel() >= near)
+                if not len(hit):
+                    continue
+                x, y = np.divmod(hit, j_end - j)
+                x, y = x + i, y + j
+                n_x, n_y = number[x], number[y]
+                shared = np.rint(over.ravel()[hit] + share * (n_x + n_y)).astype(np.int64)
+                right = (shared >= np.ceil(share * (n_x + n_y) - 1e-9)) & (n_y >= threshold * n_x - 1e-9)
+                right &= (n_x > n_y) | ((n_x == n_y) & (rank[x] > rank[y]) & named[x] & named[y])
+                for word in before:
+                    right &= (word[x] & word[y]) == 0
+                if right.any():
+                    found.append((x[right], y[right], shared[right]))
+                    held += len(found[-1][0])
+                    if held > PAIRS_AT_ONCE:
+                        yield sent()
+                        found, held = [], 0
+        if held:
+            yield sent()
+
+    return run
 
 
 def similar_pairs(prints: DataFrame, threshold: float, *keep: str) -> DataFrame:
     """(id_a < id_b, shared, n_bits_a, n_bits_b) for distinct fingerprints, and both rows' columns ``keep``. A pair
-    meets at each prefix key it shares and is kept at the first one, so it comes once."""
-    words = word_columns(prints)
+    meets at each prefix key it shares and is kept at the first one, so it comes once.
+
+    The rows of a key and band are dealt to blocks of about ``BLOCK_ROWS``; every block of larger rows meets every
+    block of smaller ones, in a task of its own. So no task has more than two blocks, however many rows share a key."""
+    spark, words = prints.sparkSession, word_columns(prints)
     rows = spread(prints)
-    marked = _prefix(rows, threshold, *keep, larger=True).select("*", *_bits_below(prints))
-    earlier = " | ".join(f"(a.below_{i} & b.{w})" for i, w in enumerate(words))
-    condition = f"(a.n_bits > b.n_bits OR a.n_bits = b.n_bits AND a.id > b.id) AND ({earlier}) = 0 AND {_similar_condition(threshold, words)}"
-    first = F.col("a.id") < F.col("b.id")
-    ends = lambda c: (F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(f"{c}_{x}") for x, y in ("ab", "ba"))
-    return _meet(marked, _prefix(rows, threshold, *keep, larger=False), condition).select(
-        F.least("a.id", "b.id").alias("id_a"),
-        F.greatest("a.id", "b.id").alias("id_b"),
-        F.expr(_shared(words, "a", "b")).alias("shared"),
+    sides = _prefix(rows, threshold, *keep, larger=True).withColumn("side", F.lit(0)).unionByName(_prefix(rows, threshold, *keep, larger=False).withColumn("side", F.lit(1)))
+    blocks = [F.ceil(F.count_if(F.col("side") == side) / BLOCK_ROWS).alias(f"blocks_{side}") for side in (0, 1)]
+    keys = write_through(sides.groupBy("bit", "band").agg(*blocks), "blocks").filter("blocks_0 > 0 AND blocks_1 > 0")
+    dealt = sides.join(F.broadcast(keys), ["bit", "band"])  # at most 2048 bits times some forty bands
+    larger = F.col("side") == 0
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id", *words), F.when(larger, F.col("blocks_0")).otherwise(F.col("blocks_1"))))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(larger, F.col("blocks_1")).otherwise(F.col("blocks_0")) - 1)))
+    dealt = dealt.withColumns({"block_0": F.when(larger, F.col("own")).otherwise(F.col("other")), "block_1": F.when(larger, F.col("other")).otherwise(F.col("own"))})
+    place = ["bit", "band", "block_0", "block_1"]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)  # by number: the work of two blocks is not in their bytes
+    kinds = {c: prints.schema[c].dataType.simpleString() for c in ("id", "n_bits", *keep)}
+    schema = ", ".join(["shared int", *(f"`{c}_{side}` {kind}" for c, kind in kinds.items() for side in (0, 1))])
+    met = dealt.select(*place, "side", "id", "n_bits", "left", *words, *keep).repartition(tasks, *place)
+    met = met.groupBy(*place).applyInArrow(_block_pairs(threshold, words, keep), schema)
+    first = F.col("id_0") < F.col("id_1")
+    ends = lambda c: (F.when(first, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(f"{c}_{name}") for name, x, y in (("a", 0, 1), ("b", 1, 0)))
+    return met.select(
+        F.least("id_0", "id_1").alias("id_a"),
+        F.greatest("id_0", "id_1").alias("id_b"),
+        "shared",
         *(column for c in ("n_bits", *keep) for column in ends(c)),
     )
 

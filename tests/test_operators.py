@@ -293,6 +293,28 @@ def test_similarity_join_moves_pairs_once(spark):
     assert plan.count("Join ") == 1
 
 
+def test_similar_pairs_block_by_block(spark, monkeypatch):
+    """Keys that many rows have are cut into blocks on both sides, and pairs are counted in tiles, not one by one in a join."""
+    for name, value in (("BLOCK_ROWS", 5), ("TILE", (3, 4)), ("PAIRS_AT_ONCE", 10)):
+        monkeypatch.setattr(similarity, name, value, raising=False)
+    rows = [(i, b) for i, _, b in fingerprints(260, 23)] + [(1000 + i, list(range(i % 40))) for i in range(2, 60)]  # equal sizes and subsets of one another
+    df = spark.createDataFrame(rows, "id long, bits array<int>").repartition(3)
+    by_bits = {}
+    for i, b in rows:
+        if b:
+            by_bits.setdefault(tuple(b), []).append(i)
+    for threshold in (0.45, 0.7):
+        prints, _ = similarity.distinct_prints(df, "id", "bits")
+        pairs = similarity.similar_pairs(prints, threshold, "n_rows")
+        assert "bit_count" not in pairs._jdf.queryExecution().analyzed().toString()
+        wanted = set()
+        for (a, ma), (b, mb) in itertools.combinations(sorted(by_bits.items(), key=lambda g: min(g[1])), 2):
+            if similarity_of(a, b) >= threshold:
+                wanted.add((min(ma), min(mb), len(set(a) & set(b)), len(a), len(b), len(ma), len(mb)))
+        got = [tuple(r) for r in pairs.select("id_a", "id_b", "shared", "n_bits_a", "n_bits_b", "n_rows_a", "n_rows_b").collect()]
+        assert len(got) == len(wanted) and set(got) == wanted
+
+
 def test_fingerprint_by_brute_force(spark):
     """Runs of characters beyond the basic plane, repeated, null and empty texts; worked out in batches, not per character."""
     import hashlib
