@@ -289,6 +289,52 @@ def test_lm_pairs_of_whole_texts(llm, vocab):
         assert scores[0] > scores[1] + 1
 
 
+def test_lm_network_reads_every_training_window(llm, vocab, monkeypatch):
+    """The first fit is on one document; what follows comes from a pass over all windows of all training texts, each once,
+    however the rows are dealt, and the shards' weights are averaged by their windows."""
+    path, rng = vocab.path("byte_bpe_50k.tiktoken"), np.random.default_rng(8)
+    size = max(lm_scoring.load_ranks(path).values()) + 1
+    class_of = np.where(np.arange(size) % 3 == 0, 3 + np.arange(size) % 5, 1 + np.arange(size) % 2).astype(np.int16)
+    table, starts = (path, vocab.PATTERN, class_of, np.zeros(size, np.float32)), np.array([1, 1, 0, 1, 0, 1, 0, 1], dtype=bool)
+    rows = [(i % 9, text_in(("en", "de", "fr")[i % 3], i, int(rng.integers(0, 300)))) for i in range(40)] + [(3, ""), (3, "")]
+    subwords = lm_scoring.Subwords(*table)
+    words = [lm_scoring.words_of(t.encode()) for _, t in rows]
+    _, _, _, lengths = subwords.spread(subwords.numbers(words), np.array([len(w) for w in words]))
+    monkeypatch.setattr(lm_scoring, "SHARD_IDS", int(lengths.sum()) // 3)
+    monkeypatch.setattr(lm_scoring, "PART", 100)
+    network, seen = lm_scoring.Attention(8, starts).p, []
+    for parts in (1, 4):
+        learn = llm.createDataFrame(rows, "key bigint, text string").repartition(parts)
+        read = lm_scoring.read_classes(learn, table, 8)
+        assert sorted(r.n for r in read.filter("kind = 2").collect()) == sorted(lengths.tolist())
+        found = lm_scoring.fit_shards(read, int(lengths.sum()), starts, network)
+        assert all(found[n].shape == x.shape and np.isfinite(found[n]).all() for n, x in network.items())
+        seen.append(found)
+    assert all(np.allclose(seen[0][n], seen[1][n], atol=1e-6) for n in network)
+    assert not np.allclose(seen[0]["q"], network["q"])
+    shards = max(1, math.ceil(int(lengths.sum()) / lm_scoring.SHARD_IDS))
+    total, windows = {n: 0.0 for n in network}, 0
+    for shard in range(shards):
+        own = sorted((r.key, bytes(r.classes)) for r in read.filter("kind = 2").collect() if r.key % shards == shard)
+        model = lm_scoring.Attention(8, starts)
+        visited, gradients = [], model.gradients
+        model.gradients = lambda ids, there, goal, scored: (visited.append(int(scored.sum())), gradients(ids, there, goal, scored))[1]  # noqa: B023
+        n = lm_scoring.go_on(model, np.frombuffer(b"".join(t for _, t in own), np.int16), np.array([len(t) // 2 for _, t in own]), shard)
+        assert sum(visited) == sum(len(t) // 2 for _, t in own)  # every id is a target once
+        windows += n
+        total = {name: total[name] + n * x.astype(np.float64) for name, x in model.p.items()}
+    assert windows == int((-(-lengths // lm_scoring.STRIDE)).sum())
+    assert all(np.allclose(total[n] / windows, seen[0][n], atol=1e-5) for n in network)
+
+
+def test_lm_score_reads_texts_outside_the_sample(llm, vocab, monkeypatch):
+    passes, go_on = [], lm_scoring.fit_shards
+    monkeypatch.setattr(lm_scoring, "fit_shards", lambda read, *rest: (passes.append(read.filter("kind = 2").count()), go_on(read, *rest))[1])
+    docs = llm.createDataFrame([(i, text_in("en", i, 50)) for i in range(30)], "doc_id bigint, text string")
+    scored = lm_scoring.score_texts(docs, F.col("doc_id") % 5 != 1, vocab.path("byte_bpe_50k.tiktoken"), vocab.PATTERN, steps=2, sample=1)
+    assert scored.count() == 30 and passes == [24]
+
+
 def test_lm_pairs_by_brute_force(llm, vocab, monkeypatch):
     path, texts = vocab.path("byte_bpe_50k.tiktoken"), [text_in(("en", "de", "fr")[i % 3], i, 400) for i in range(9)] + [""]
     size = max(lm_scoring.load_ranks(path).values()) + 1
